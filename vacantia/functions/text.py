@@ -74,6 +74,11 @@ def col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def let(value: Column, body) -> Column:
+    """*body* of *value* with the value computed once per row (no Python UDF inside)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 @F.pandas_udf(T.StringType())
 def nfkc(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacantia.functions.text import CREDENTIAL, col, collapse, fixed_strings, lines
+from vacantia.functions.text import CREDENTIAL, col, collapse, fixed_strings, let, lines
 
 # Query parameters that never identify a posting (besides utm_*).
 NON_IDENTIFYING_PARAMS = (
@@ -277,24 +277,28 @@ def off_public_network(url: Column | str) -> Column:
     Literal IPv6 hosts are judged by their leading group (loopback, unspecified,
     link-local, unique-local, multicast, documentation); names are not resolved.
     """
-    host = authority_host(url_parts(url)["authority"])
     octet = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-    is_v4 = host.rlike(rf"^{octet}(?:\.{octet}){{3}}$")
-    number = _ipv4_number(F.when(is_v4, host))
-    blocks = []
+    ranges = []
     for base, bits in NON_PUBLIC_IPV4:
         low = sum(int(part) << shift for part, shift in zip(base.split("."), (24, 16, 8, 0)))
-        blocks.append(number.between(low, low + (1 << (32 - bits)) - 1))
-    hit = blocks[0]
-    for block in blocks[1:]:
-        hit = hit | block
-    v6 = F.contains(host, F.lit(":"))
-    unsafe_v6 = host.rlike(
-        r"^(?:::1?$|(?:0{1,4}:){7}0{0,3}[01]$|fe[89a-f][0-9a-f]?:|f[cd][0-9a-f]{0,2}:|ff[0-9a-f]{0,2}:|2001:0?db8:|100::)"
-    )
-    return F.coalesce(
-        F.when(is_v4, hit & ~host.isin(*PUBLIC_INSIDE)).when(v6, unsafe_v6), F.lit(False)
-    )
+        ranges.append((low, low + (1 << (32 - bits)) - 1))
+
+    def judge_number(number: Column) -> Column:
+        hit = F.lit(False)
+        for low, high in ranges:
+            hit = hit | number.between(low, high)
+        return hit
+
+    def judge(host: Column) -> Column:
+        is_v4 = host.rlike(rf"^{octet}(?:\.{octet}){{3}}$")
+        unsafe_v6 = host.rlike(
+            r"^(?:::1?$|(?:0{1,4}:){7}0{0,3}[01]$|fe[89a-f][0-9a-f]?:|f[cd][0-9a-f]{0,2}:"
+            r"|ff[0-9a-f]{0,2}:|2001:0?db8:|100::)"
+        )
+        unsafe_v4 = let(_ipv4_number(host), judge_number) & ~host.isin(*PUBLIC_INSIDE)
+        return F.when(is_v4, unsafe_v4).when(F.contains(host, F.lit(":")), unsafe_v6)
+
+    return F.coalesce(let(authority_host(url_parts(url)["authority"]), judge), F.lit(False))
 
 
 def redact_url(url: Column) -> Column:
