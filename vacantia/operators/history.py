@@ -27,21 +27,28 @@ def _highest(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
 
 
-def observe(jobs: DataFrame, sources: DataFrame, snapshot: DataFrame, seen_at) -> tuple[DataFrame, DataFrame]:
+def observe(jobs: DataFrame, sources: DataFrame, snapshot: DataFrame, seen_at=None) -> tuple[DataFrame, DataFrame]:
     """Fold a URL snapshot (company_slug, url) into jobs and sources; both new versions.
 
     Unknown keys become new jobs; a known key marks the root of its merge chain as seen;
     each raw URL is a source of that root. Unkeyable URLs are skipped. Everything is
-    reduced to distinct (company, key, url) before the joins.
+    reduced to one row per (company, key, url) before the joins. Without *seen_at* the
+    snapshot's own column of that name gives the first and last sighting of each URL.
     """
-    moment = _moment(seen_at)
+    if seen_at is not None:
+        snapshot = snapshot.withColumn("seen_at", _moment(seen_at))
     pairs = (
         urls.with_url_key(snapshot)
         .filter("url_key is not null")
-        .select("company_slug", "url_key", "url")
-        .distinct()
+        .groupBy("company_slug", "url_key", "url")
+        .agg(
+            F.min(F.col("seen_at").cast("timestamp_ntz")).alias("first_at"),
+            F.max(F.col("seen_at").cast("timestamp_ntz")).alias("last_at"),
+        )
+    )
+    keys = pairs.groupBy("company_slug", "url_key").agg(
+        F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at")
     )
-    keys = pairs.select("company_slug", "url_key").distinct()
     fresh = keys.join(jobs, ["company_slug", "url_key"], "left_anti")
     created = numbered(fresh, ["company_slug", "url_key"], "id", _highest(jobs)).select(
         "id",
@@ -55,9 +62,9 @@ def observe(jobs: DataFrame, sources: DataFrame, snapshot: DataFrame, seen_at) -
         F.lit(None).alias("current_content_id"),
         F.lit(False).alias("reprocess_requested"),
         F.lit(None).alias("merged_into_id"),
-        moment.alias("first_seen_at"),
-        moment.alias("last_seen_at"),
-        moment.alias("updated_at"),
+        F.col("first_at").alias("first_seen_at"),
+        F.col("last_at").alias("last_seen_at"),
+        F.col("last_at").alias("updated_at"),
     )
     everything = jobs.unionByName(_typed(created, JOBS))
     roots = merge_roots(everything)
@@ -67,23 +74,25 @@ def observe(jobs: DataFrame, sources: DataFrame, snapshot: DataFrame, seen_at) -
     targets = (
         keys.join(everything.select("company_slug", "url_key", F.col("id").alias("job_id")), ["company_slug", "url_key"])
         .join(roots.select("job_id", "root_id"), "job_id")
-        .select("company_slug", "url_key", "root_id")
+        .select("company_slug", "url_key", "root_id", "last_at")
     )
-    seen = targets.select(F.col("root_id").alias("id"), F.lit(True).alias("_seen")).distinct()
+    seen = targets.groupBy(F.col("root_id").alias("id")).agg(F.max("last_at").alias("_seen"))
     new_jobs = everything.join(seen, "id", "left")
     for name in ("last_seen_at", "updated_at"):
-        new_jobs = new_jobs.withColumn(name, F.when(F.col("_seen"), moment).otherwise(F.col(name)))
+        new_jobs = new_jobs.withColumn(name, F.greatest(F.col(name), F.col("_seen")))
     observed = (
-        pairs.join(targets, ["company_slug", "url_key"])
-        .select(F.col("root_id").alias("job_id"), "url")
-        .distinct()
-    )
-    known = sources.join(observed.withColumn("_seen", F.lit(True)), ["job_id", "url"], "left").withColumn(
-        "last_seen_at", F.when(F.col("_seen"), moment).otherwise(F.col("last_seen_at"))
+        pairs.join(targets.drop("last_at"), ["company_slug", "url_key"])
+        .groupBy(F.col("root_id").alias("job_id"), "url")
+        .agg(F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
     )
+    known = sources.join(
+        observed.select("job_id", "url", F.col("last_at").alias("_seen")), ["job_id", "url"], "left"
+    ).withColumn("last_seen_at", F.greatest("last_seen_at", "_seen"))
     added = numbered(
         observed.join(sources, ["job_id", "url"], "left_anti"), ["job_id", "url"], "id", _highest(sources)
-    ).select("id", "job_id", "url", moment.alias("first_seen_at"), moment.alias("last_seen_at"))
+    ).select(
+        "id", "job_id", "url", F.col("first_at").alias("first_seen_at"), F.col("last_at").alias("last_seen_at")
+    )
     return (
         new_jobs.select(*JOBS.names),
         known.select(*JOB_SOURCES.names).unionByName(_typed(added, JOB_SOURCES)),

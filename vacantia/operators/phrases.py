@@ -123,7 +123,8 @@ def unbound_phrases(
         "span",
         F.least(
             F.lit(max_span),
-            F.shiftleft(F.lit(1), F.floor(F.log2(F.size("_words"))).cast("int")),
+            # Number of binary digits gives the power of two without rounding.
+            F.pow(F.lit(2), F.length(F.bin(F.size("_words").cast("long"))) - 1).cast("int"),
         ).cast("int"),
     )
     spans = sorted(r["span"] for r in sized.select("span").distinct().collect())

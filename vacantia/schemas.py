@@ -5,17 +5,42 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(text: str) -> T.StructType:
-    """Schema from ``name type`` pairs; a trailing ``?`` on the name allows null."""
+_PLAIN = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def _record(**fields: T.DataType | str) -> T.StructType:
+    """Nested record; plain types by name."""
+    return T.StructType([T.StructField(n, _PLAIN[k] if isinstance(k, str) else k) for n, k in fields.items()])
+
+
+def _list(kind: T.DataType | str) -> T.ArrayType:
+    return T.ArrayType(_PLAIN[kind] if isinstance(kind, str) else kind)
+
+
+def _struct(text: str, **nested: T.DataType) -> T.StructType:
+    """Table schema from ``name type`` lines; ``?`` after the name allows null.
+
+    Types that are not plain are named by keyword.
+    """
     fields = []
     for line in text.strip().splitlines():
-        name, kind = line.split(None, 1)
-        fields.append(
-            T.StructField(name.rstrip("?"), T.DataType.fromDDL(kind.strip()), name.endswith("?"))
-        )
+        name, kind = line.split()
+        plain = _PLAIN[kind] if kind in _PLAIN else nested[kind]
+        fields.append(T.StructField(name.rstrip("?"), plain, name.endswith("?")))
     return T.StructType(fields)
 
 
+_STRINGS = _list("string")
+_FILES = _list(_record(file="string", url="string"))
+_QUALIFICATIONS = _list(_record(text="string", kind="string", evidence=_STRINGS))
+
 JOB_STATUSES = (
     "new",
     "in_progress",
@@ -83,13 +108,26 @@ CATALOG = _struct(
     """name string
     job_board_url string
     strategy string
-    aliases? array<string>
-    pre_filter_urls? array<string>
-    link_rule? struct<sample_job_url:string,path_prefix:string,min_depth:int,suppress_ancestor_selector:string>
-    phenom? struct<path_prefix:string,page_id:string,locale:string>
-    talentbrew? struct<results_path:string,records_per_page:int>
-    coveo? struct<search_url:string,browser_token_key:string>
-    hooks? struct<next_control_selector:string,pre_extract_css:string,expand_selector:string>"""
+    aliases? strings
+    pre_filter_urls? strings
+    link_rule? link_rule
+    phenom? phenom
+    talentbrew? talentbrew
+    coveo? coveo
+    hooks? hooks""",
+    strings=_STRINGS,
+    link_rule=_record(
+        sample_job_url="string",
+        path_prefix="string",
+        min_depth="int",
+        suppress_ancestor_selector="string",
+    ),
+    phenom=_record(path_prefix="string", page_id="string", locale="string"),
+    talentbrew=_record(results_path="string", records_per_page="int"),
+    coveo=_record(search_url="string", browser_token_key="string"),
+    hooks=_record(
+        next_control_selector="string", pre_extract_css="string", expand_selector="string"
+    ),
 )
 COMPANY_RUNS = _struct(
     """id bigint
@@ -205,24 +243,28 @@ BOARD_SNAPSHOTS = _struct(
     captured_at? string
     captured_with_filters? boolean
     path_prefix? string
-    pre_filter_urls? array<string>
+    pre_filter_urls? strings
     top_url? string
-    pages? array<struct<file:string,url:string>>
+    pages? files
     min_depth? int
     suppress_ancestor_selector? string
-    frames? array<struct<file:string,url:string>>
-    states? array<struct<file:string,url:string,frames:array<struct<file:string,url:string>>>>
+    frames? files
+    states? states
     pre_extract_css? string
     next_control_selector? string
     render_wait_sec? double
     render_scroll_count? int
-    expand_selector? string"""
+    expand_selector? string""",
+    strings=_STRINGS,
+    files=_FILES,
+    states=_list(_record(file="string", url="string", frames=_FILES)),
 )
 ANSWER = _struct(
     """decision? string
     reason? string
-    supporting_evidence? array<string>
-    conflicting_evidence? array<string>"""
+    supporting_evidence? strings
+    conflicting_evidence? strings""",
+    strings=_STRINGS,
 )
 RECORDING = _struct(
     """recording_version? int
@@ -245,11 +287,15 @@ EXPECTED_DECISION = _struct(
     case_id? string
     reviewed? boolean
     decision? string
-    must_cite? array<string>
+    must_cite? strings
     rationale? string
     partition? string
     source_content_sha256? string
-    provenance? struct<company:string,title:string,source_url:string,captured_at_utc:string>"""
+    provenance? provenance""",
+    strings=_STRINGS,
+    provenance=_record(
+        company="string", title="string", source_url="string", captured_at_utc="string"
+    ),
 )
 EXPECTED_EVIDENCE = _struct(
     """schema_version? int
@@ -261,36 +307,42 @@ EXPECTED_EVIDENCE = _struct(
     decision? string
     prompt_example? string
     missing_information? boolean
-    obligations? array<struct<obligation_id:string,role:string,critical:boolean,excerpt_alternatives:array<string>>>
-    conflict_pairs? array<array<string>>"""
+    obligations? obligations
+    conflict_pairs? pairs""",
+    obligations=_list(
+        _record(
+            obligation_id="string",
+            role="string",
+            critical="boolean",
+            excerpt_alternatives=_STRINGS,
+        )
+    ),
+    pairs=_list(_STRINGS),
 )
 
 # Facts of an extracted posting, in order, with the type of their value.
-_QUALIFICATIONS = "array<struct<text:string,kind:string,evidence:array<string>>>"
 FACT_VALUES = {
-    "title": "string",
-    "location_text": "string",
-    "location": "struct<country:string,region:string,city:string>",
-    "work_mode": "string",
-    "employment_type": "string",
-    "experience_level": "string",
-    "job_functions": "array<string>",
-    "summary": "string",
-    "source_language": "string",
-    "responsibilities": "array<string>",
+    "title": _PLAIN["string"],
+    "location_text": _PLAIN["string"],
+    "location": _record(country="string", region="string", city="string"),
+    "work_mode": _PLAIN["string"],
+    "employment_type": _PLAIN["string"],
+    "experience_level": _PLAIN["string"],
+    "job_functions": _STRINGS,
+    "summary": _PLAIN["string"],
+    "source_language": _PLAIN["string"],
+    "responsibilities": _STRINGS,
     "required_qualifications": _QUALIFICATIONS,
     "preferred_qualifications": _QUALIFICATIONS,
-    "benefits": "array<string>",
-    "compensation_text": "string",
-    "technologies": "array<struct<mention:string,status:string,evidence:array<string>>>",
-    "posting_date": "string",
-    "requisition_id": "string",
+    "benefits": _STRINGS,
+    "compensation_text": _PLAIN["string"],
+    "technologies": _list(_record(mention="string", status="string", evidence=_STRINGS)),
+    "posting_date": _PLAIN["string"],
+    "requisition_id": _PLAIN["string"],
 }
 FACTS = T.StructType(
     [
-        T.StructField(
-            name, T.DataType.fromDDL(f"struct<state:string,value:{kind},evidence:array<string>>")
-        )
+        T.StructField(name, _record(state="string", value=kind, evidence=_STRINGS))
         for name, kind in FACT_VALUES.items()
     ]
 )

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from vacantia.functions import urls
 from vacantia.operators.history import observe
 from vacantia.schemas import JOB_SOURCES, JOBS
 
@@ -61,13 +59,12 @@ class VersionedState:
 def fold_batches(seen: DataFrame, state_path: str, checkpoint: str, watermark: str = "1 day", trigger=None):
     """Start folding a stream of (company_slug, url, seen_at) into versioned state.
 
-    Repeats of a key within the watermark are dropped before the fold. A replayed batch
-    starts from the version before it, so folding it again gives the same state.
+    Redelivered sightings are dropped within the watermark; later sightings of a URL are
+    kept, since they move its last-seen time. A replayed batch starts from the version
+    before it, so folding it again gives the same state.
     """
-    keyed = (
-        urls.with_url_key(seen)
-        .withWatermark("seen_at", watermark)
-        .dropDuplicatesWithinWatermark(["company_slug", "url_key", "url"])
+    once = seen.withWatermark("seen_at", watermark).dropDuplicatesWithinWatermark(
+        ["company_slug", "url", "seen_at"]
     )
 
     def fold(batch: DataFrame, batch_id: int) -> None:
@@ -75,14 +72,10 @@ def fold_batches(seen: DataFrame, state_path: str, checkpoint: str, watermark: s
         if batch_id in state.versions():
             return
         jobs, sources = state.read(before=batch_id)
-        moment = batch.agg(F.max("seen_at").cast("timestamp_ntz").alias("m")).first()["m"]
-        if moment is None:
-            state.write(batch_id, jobs, sources)
-            return
-        new_jobs, new_sources = observe(jobs, sources, batch.select("company_slug", "url"), moment)
+        new_jobs, new_sources = observe(jobs, sources, batch.select("company_slug", "url", "seen_at"))
         state.write(batch_id, new_jobs, new_sources)
 
-    writer = keyed.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
+    writer = once.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
