@@ -7,6 +7,7 @@ from vacantia.workloads.base import CHECKS, QUERIES
 for _module in (
     "url_jobs",
     "document_jobs",
+    "history_jobs",
 ):
     import_module(f"vacantia.workloads.{_module}")
 
