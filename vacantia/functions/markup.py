@@ -288,8 +288,9 @@ def _holds_all(wanted: Column):
 
 def page_anchors(pages, key: str = "page_id", url: str = "url", html: str = "html"):
     """One row per anchor with an href: key, ord, href, hidden, trail and page URL."""
+    # The outer form keeps the parse from being repeated in a size filter.
     nodes = pages.select(key, url, page_nodes(html, "a").alias("_nodes"))
-    return nodes.select(key, url, F.posexplode("_nodes").alias("ord", "_n")).select(
+    return nodes.select(key, url, F.posexplode_outer("_nodes").alias("ord", "_n")).select(
         key,
         url,
         "ord",

@@ -133,7 +133,7 @@ def quotes_of(df: DataFrame, keys: list[str], answer: str = "answer") -> DataFra
     stacked = F.concat(
         *[F.transform(F.col(answer)[name], _quote_row(name)) for name in BUCKETS]
     )
-    return df.select(*keys, F.explode(stacked).alias("_q")).select(
+    return df.select(*keys, F.explode_outer(stacked).alias("_q")).filter("_q is not null").select(
         *keys,
         F.col("_q.bucket").alias("bucket"),
         F.col("_q.position").alias("position"),

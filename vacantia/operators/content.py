@@ -95,7 +95,8 @@ def structured_postings(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """One row per structured posting of a page."""
     return (
         read_pages(pages)
-        .select(key, F.posexplode("postings").alias("ord", "_p"))
+        .select(key, F.posexplode_outer("postings").alias("ord", "_p"))
+        .filter("_p is not null")
         .select(key, "ord", "_p.fields.*", "_p.description_text", "_p.raw")
     )
 

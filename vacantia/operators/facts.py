@@ -123,7 +123,7 @@ def fact_quotes(results: DataFrame, keys: list[str], facts: str = "facts") -> Da
         if name in NESTED:
             nested = F.flatten(F.transform(F.col(facts)[name]["value"], _nested_quotes(name)))
             lists.append(F.coalesce(nested, F.array().cast(_QUOTES)))
-    return results.select(*keys, F.explode(F.concat(*lists)).alias("_q")).select(*keys, "_q.*")
+    return results.select(*keys, F.explode_outer(F.concat(*lists)).alias("_q")).filter("_q is not null").select(*keys, "_q.*")
 
 
 _QUOTES = "array<struct<field:string,item:int,position:int,path:string,quote:string>>"

@@ -139,16 +139,19 @@ def unbound_phrases(
             "_words", F.slice("_words", 1, span)
         )
         group = _with_run_hashes(group, "_words", [span]).select(
-            "phrase_key", "span", F.element_at(f"_h{span}", 1).alias("seed")
+            "phrase_key", "span", F.coalesce(F.element_at(f"_h{span}", 1), F.lit(0)).alias("seed")
         )
         seeds = group if seeds is None else seeds.unionByName(group)
     # The word list is computed once and kept out of the later steps.
     doc_words = docs.select(doc_id, tx.word_key(text).alias("_key")).select(
         doc_id, tx.key_words(F.col("_key")).alias("_words")
     )
+    # Outer explodes and seeds without nulls: a size filter of a plain explode, or a null
+    # filter of the join, would be pushed below the hash columns and so compute them again
+    # inside each other.
     runs = _with_run_hashes(doc_words, "_words", spans).select(
         doc_id,
-        F.explode(
+        F.explode_outer(
             F.array(
                 *[
                     F.struct(
@@ -158,7 +161,10 @@ def unbound_phrases(
                 ]
             )
         ).alias("_r"),
-    ).select(doc_id, F.col("_r.span").alias("span"), F.explode("_r.runs").alias("seed"))
+    )
+    runs = runs.select(doc_id, F.col("_r.span").alias("span"), F.explode_outer("_r.runs").alias("seed")).select(
+        doc_id, F.coalesce("span", F.lit(0)).alias("span"), F.coalesce("seed", F.lit(0)).alias("seed")
+    )
     used = small_side(seeds.select("span", "seed").distinct())
     hits = runs.join(used, ["span", "seed"])
     candidates = hits.join(seeds, ["span", "seed"]).select(doc_id, "phrase_key").distinct()

@@ -118,7 +118,7 @@ def platform_hits(pages: DataFrame, network: DataFrame | None = None, key: str =
                 dom.alias("in_dom"),
             )
         )
-    hits = read.select(key, F.explode(F.array(*rows)).alias("_h")).select(key, "_h.*")
+    hits = read.select(key, F.explode_outer(F.array(*rows)).alias("_h")).select(key, "_h.*")
     if network is not None:
         called = network.select(key, F.explode(_claimed_by(F.lower("network_url"))).alias("platform")).distinct()
         hits = hits.join(called.withColumn("on_network", F.lit(True)), [key, "platform"], "left")
@@ -157,7 +157,7 @@ def unclassified_job_apis(network: DataFrame, hits: DataFrame, key: str = "page_
 
 def location_options(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """Location options of a board page: key, ord, option_id, label."""
-    nodes = pages.select(key, F.posexplode(page_nodes("html")).alias("ord", "_n"))
+    nodes = pages.select(key, F.posexplode_outer(page_nodes("html")).alias("ord", "_n"))
     attrs = F.col("_n.attrs")
     return (
         nodes.filter(attrs["data-cy"].rlike("^_location_id_select_.*_option$"))
@@ -313,7 +313,7 @@ def filter_controls(pages: DataFrame, key: str = "page_id") -> DataFrame:
         ),
     )
     found = F.concat(selects, comboboxes, F.coalesce(groups, F.filter(selects, lambda _: F.lit(False))), searches)
-    return read.select(key, F.explode(found).alias("_c")).select(
+    return read.select(key, F.explode_outer(found).alias("_c")).filter("_c is not null").select(
         key,
         *[F.col(f"_c.{c}").alias(c) for c in ("kind", "position", "tag", "name", "id", "label", "sample_options")],
     )
