@@ -41,7 +41,7 @@ def confusion(calls: DataFrame) -> DataFrame:
         calls.withColumn("actual", actual)
         .groupBy("expected_decision")
         .pivot("actual", [*DECISIONS, "error"])
-        .agg(F.count("*"))
+        .agg(F.count(F.lit(1)))
         .na.fill(0)
     )
 

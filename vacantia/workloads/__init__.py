@@ -8,6 +8,7 @@ for _module in (
     "url_jobs",
     "document_jobs",
     "history_jobs",
+    "answer_jobs",
 ):
     import_module(f"vacantia.workloads.{_module}")
 
