@@ -269,11 +269,18 @@ def filter_controls(pages: DataFrame, key: str = "page_id") -> DataFrame:
     )
 
     def is_group(n: Column) -> Column:
-        # The smallest container with two boxes or more: no child element has two.
-        held = boxes_below(n)
-        return (F.size(held) >= 2) & ~F.exists(
-            nodes, lambda c: (c["parent"] == n["position"]) & (F.size(boxes_below(c)) >= F.size(held))
+        # The nearest container with two boxes or more of some box: a child element leads
+        # to that one box alone.
+        single = F.exists(
+            nodes,
+            lambda c: (F.coalesce(c["parent"], F.lit(-1)) == n["position"])
+            & F.array_contains(
+                F.transform(boxes, lambda b: b["position"]),
+                F.coalesce(F.try_element_at(boxes_below(c), F.lit(1))["position"], c["position"]),
+            )
+            & (F.size(boxes_below(c)) <= 1),
         )
+        return (F.size(boxes_below(n)) >= 2) & single
 
     groups = F.when(
         F.size(boxes) >= 2,

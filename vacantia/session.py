@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +46,12 @@ def _checkpoint_ready(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder on this cluster")
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder below the shared checkpoint folder, for streams that write and end."""
+    _checkpoint_ready(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/run-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the cluster's shared folder (survives lost executors)."""
     _checkpoint_ready(df.sparkSession)

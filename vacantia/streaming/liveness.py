@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 OUTPUT = "attempt_id long, job_id long, outcome string, started_at timestamp, ended_at timestamp"
-STATE = "job_id long, started_at timestamp, ended_at timestamp, phase string"
+STATE = "job_id long, started_at timestamp, phase string"
 
 
 def attempt_outcomes(events: DataFrame, stale_seconds: int, watermark: str = "0 seconds") -> DataFrame:
@@ -34,13 +34,12 @@ def attempt_outcomes(events: DataFrame, stale_seconds: int, watermark: str = "0
                 }
             )
 
-        job, start, end, phase = state.get if state.exists else (None, None, None, "waiting")
+        job, start, phase = state.get if state.exists else (None, None, "waiting")
         start = pd.NaT if start is None else pd.Timestamp(start)
         if state.hasTimedOut:
             if phase == "waiting" and not pd.isna(start):
-                ended = start + bound
-                state.update((job, start.to_pydatetime(), ended.to_pydatetime(), "interrupted"))
-                yield row(job, "interrupted", start, ended)
+                state.update((job, start.to_pydatetime(), "interrupted"))
+                yield row(job, "interrupted", start, start + bound)
             return
         rows = pd.concat(list(batches))
         for event in rows.sort_values(["at", "kind"], ascending=[True, False]).itertuples():
@@ -51,14 +50,13 @@ def attempt_outcomes(events: DataFrame, stale_seconds: int, watermark: str = "0
                 if not pd.isna(start) and event.at - start > bound:
                     yield row(job, "interrupted", start, start + bound)
                     yield row(job, "late_finish", start, event.at)
-                    phase, end = "interrupted", start + bound
+                    phase = "interrupted"
                 else:
-                    phase, end = "finished", event.at
+                    phase = "finished"
                     yield row(job, "finished", start, event.at)
             elif event.kind == "finished" and phase == "interrupted":
                 yield row(job, "late_finish", start, event.at)
-        plain = lambda t: None if t is None or pd.isna(t) else pd.Timestamp(t).to_pydatetime()
-        state.update((job, plain(start), plain(end), phase))
+        state.update((job, None if pd.isna(start) else start.to_pydatetime(), phase))
         if phase == "waiting" and not pd.isna(start):
             due = int((start + bound).value // 1_000_000)
             state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))

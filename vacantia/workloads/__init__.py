@@ -9,6 +9,7 @@ for _module in (
     "document_jobs",
     "history_jobs",
     "answer_jobs",
+    "board_jobs",
 ):
     import_module(f"vacantia.workloads.{_module}")
 
