@@ -9,9 +9,9 @@ import sys
 
 from pyspark import cloudpickle
 
-from vacantia.session import build_session, cut_lineage, small_side
+from vacantia.session import build_session, cut_lineage, small_side, spread
 
 # Batch functions travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-__all__ = ["build_session", "cut_lineage", "small_side"]
+__all__ = ["build_session", "cut_lineage", "small_side", "spread"]

@@ -11,7 +11,7 @@ import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,11 +50,15 @@ SECRET_PATTERNS = (
     ("authorization_header", r"(?i)(?:authorization\s*[=:]\s*(?:bearer|basic)\s+)[A-Za-z0-9._~+/-]+=*"),
     ("cookie_header", r"(?i)(?:set-cookie|cookie)\s*:"),
 )
-# White space as the source rules see it (Unicode), in Java regex form.
-_WS = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-_HORIZONTAL_WS = (
-    r"[\t\x{0b}\f\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+# White space as the source rules see it (Unicode), in Java regex form. Single plain
+# blanks need no change, so the replacing patterns skip them.
+_ODD = (
+    r"\t\x{0b}\f\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+_WS = rf"[ \n{_ODD}]"
+_WS_RUN = rf"[ \n{_ODD}]{{2,}}|[\n{_ODD}]"
+_HORIZONTAL_WS = rf"[ {_ODD}]{{2,}}|[{_ODD}]"
 _LINE_BREAK = r"\r\n|[\n\r\x{0b}\f\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 _NON_ASCII = r"[^\x{00}-\x{7f}]"
 _WORD = re.compile(r"[^\W_]+(?:[\u0300-\u036f]+[^\W_]*)*")
@@ -96,7 +100,20 @@ def nfkc_fold(values: pd.Series) -> pd.Series:
     )
 
 
+def _plain(text: str) -> bool:
+    """Whether folding keeps word borders: NFKC text without the one folding mark."""
+    return unicodedata.is_normalized("NFKC", text) and "\u0345" not in text
+
+
+def _key(text: str) -> str:
+    if _plain(text):
+        return " ".join(_WORD.findall(text.casefold()))
+    return " ".join(word for word, _, _ in _spans(text))
+
+
 def _spans(text: str) -> list[tuple[str, int, int]]:
+    if _plain(text):
+        return [(m.group().casefold(), m.start(), m.end()) for m in _WORD.finditer(text)]
     return [
         (word, match.start(), match.end())
         for match in _WORD.finditer(text)
@@ -116,9 +133,32 @@ def word_spans(values: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.StringType())
 def _word_key_unicode(values: pd.Series) -> pd.Series:
-    return values.map(
-        lambda v: None if v is None else " ".join(word for word, _, _ in _spans(v))
+    return values.map(lambda v: None if v is None else _key(v))
+
+
+@F.pandas_udf(
+    T.StructType(
+        [T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]
     )
+)
+def span_of_words(texts: pd.Series, first: pd.Series, count: pd.Series) -> pd.DataFrame:
+    """Character range of a run of words; rows of one text in a row share its words."""
+    last, spans, rows = None, [], []
+    for text, start, size in zip(texts, first, count):
+        if text is not last:
+            last, spans = text, _spans(text)
+        rows.append((spans[int(start)][1], spans[int(start + size) - 1][2]))
+    return pd.DataFrame(rows, columns=["start", "end"])
+
+
+def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row.
+
+    Later filters on a projected column are pushed below it with its expression copied
+    into them, which multiplies the work of long expressions. A generated column has no
+    such copies. Use it on narrow rows.
+    """
+    return df.withColumn(name, F.explode_outer(F.array(value)))
 
 
 def _by_alphabet(text: Column, ascii_form: Column, udf) -> Column:
@@ -132,9 +172,7 @@ def _word_keys_unicode(values: pd.Series) -> pd.Series:
     return values.map(
         lambda items: None
         if items is None
-        else [
-            None if v is None else " ".join(word for word, _, _ in _spans(v)) for v in items
-        ]
+        else [None if v is None else _key(v) for v in items]
     )
 
 
@@ -189,7 +227,7 @@ def compat(text: Column | str) -> Column:
 
 def collapse(text: Column) -> Column:
     """One blank between words, none at the ends."""
-    return F.trim(F.regexp_replace(text, _WS + "+", " "))
+    return F.trim(F.regexp_replace(text, _WS_RUN, " "))
 
 
 def tidy(text: Column) -> Column:

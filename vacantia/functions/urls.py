@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacantia.functions.text import CREDENTIAL, col, collapse, fixed_strings, let, lines
+from vacantia.functions.text import CREDENTIAL, col, collapse, computed, fixed_strings, let, lines
 
 # Query parameters that never identify a posting (besides utm_*).
 NON_IDENTIFYING_PARAMS = (
@@ -176,12 +176,9 @@ def url_key(url: Column | str) -> Column:
 
 
 def with_url_key(df: DataFrame, url: str = "url", out: str = "url_key") -> DataFrame:
-    """Add the canonical key; the split is computed once per row."""
-    return (
-        df.withColumn("_parts", url_parts(url))
-        .withColumn(out, key_from_parts(F.col("_parts")))
-        .drop("_parts")
-    )
+    """Add the canonical key, computed once per row (keep the rows narrow)."""
+    split = df.withColumn("_parts", url_parts(url))
+    return computed(split, out, key_from_parts(F.col("_parts"))).drop("_parts")
 
 
 def origin_of(parts: Column) -> Column:

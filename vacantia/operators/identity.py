@@ -90,6 +90,8 @@ def duplicate_matches(jobs: DataFrame, contents: DataFrame) -> DataFrame:
     another job's match. Groups of three and more are left alone: see
     :func:`fold_in_order` for the result of working through the jobs one by one.
     """
+    # Texts stay out of the shuffles: only keys and titles are compared.
+    contents = contents.select("id", "job_id", "requisition_id", "fingerprint", "title", "retrieved_at")
     live = jobs.filter(
         (F.col("status") != "merged") & F.col("merged_into_id").isNull()
     ).select(F.col("id").alias("job_id"), "company_slug", "status")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vacantia.functions import urls
 from vacantia.functions.markup import in_trail
+from vacantia.functions.text import computed
 
 
 def first_seen(df: DataFrame, keys: list[str], order: Column | str) -> DataFrame:
@@ -22,7 +23,7 @@ def first_seen(df: DataFrame, keys: list[str], order: Column | str) -> DataFrame
 
 
 def absolute_links(anchors: DataFrame, url: str = "url") -> DataFrame:
-    return anchors.withColumn("abs_url", urls.resolve_url(F.col(url), F.col("href")))
+    return computed(anchors, "abs_url", urls.resolve_url(F.col(url), F.col("href")))
 
 
 def visible_links(anchors: DataFrame, suppress_selector: str | None = None) -> DataFrame:
@@ -39,7 +40,7 @@ def bucketed_links(links: DataFrame, browser_form: bool = False) -> DataFrame:
     Needs columns abs_url, origin, base_path, min_depth. *browser_form* compares origins
     as browsers do: lower-case host, default port dropped.
     """
-    df = links.withColumn("_u", urls.url_parts("abs_url"))
+    df = computed(links, "_u", urls.url_parts("abs_url"))
     parts = F.col("_u")
     authority = parts["authority"]
     if browser_form:

@@ -37,22 +37,15 @@ def bound_quotes(
 def with_excerpts(
     located: DataFrame, contents: DataFrame, key: str = "content_id", text: str = "text"
 ) -> DataFrame:
-    """Character span and literal excerpt of each located quote.
-
-    Only documents with a located quote have their spans computed.
-    """
-    wanted = located.filter("found").select(key).distinct()
-    spans = contents.select(key, text).join(wanted, key, "left_semi").withColumn(
-        "_spans", tx.word_spans(text)
-    )
-    joined = located.join(spans, key, "left")
-    first = F.try_element_at(F.col("_spans"), F.col("first_word") + 1)["start"]
-    last = F.try_element_at(F.col("_spans"), F.col("first_word") + F.col("word_count"))["end"]
-    return (
-        joined.withColumn("span_start", first)
-        .withColumn("span_end", last)
-        .withColumn("excerpt", F.substring(F.col(text), first + 1, last - first))
-        .drop("_spans", text)
+    """Located quotes with character span and literal excerpt; unlocated ones are left out."""
+    joined = located.filter("found").join(contents.select(key, text), key)
+    spanned = joined.withColumn("_span", tx.span_of_words(text, "first_word", "word_count"))
+    start, end = F.col("_span.start"), F.col("_span.end")
+    return spanned.select(
+        *located.columns,
+        start.alias("span_start"),
+        end.alias("span_end"),
+        F.substring(F.col(text), start + 1, end - start).alias("excerpt"),
     )
 
 

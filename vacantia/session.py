@@ -63,3 +63,15 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROW_BOUND) -> DataFrame:
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Share the rows of a scan with fewer partitions than cores among all cores.
+
+    Few large files (or row groups) would leave text work to a few tasks. A scan that
+    already has a partition per core is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vacantia.functions import text as tx
 from vacantia.functions import urls
 from vacantia.operators import content, facts, identity, phrases
+from vacantia.session import cut_lineage
 from vacantia.workloads.base import query
 
 # Folding in check SQL: lower case plus the one full folding the texts need.
@@ -229,7 +230,8 @@ def proper_nouns(t):
     FROM x JOIN d ON d.doc_id = x.folded WHERE own OR d.lang <> 'de' GROUP BY 1""",
 )
 def duplicate_matches(t):
-    return identity.duplicate_matches(document_jobs(t), contents(t))
+    # Contents are stored rows when merges are looked for; so they are here.
+    return identity.duplicate_matches(document_jobs(t), cut_lineage(contents(t).drop("text")))
 
 
 @query(
