@@ -275,3 +275,29 @@ def test_pairs_must_split(spark):
 def test_metrics_of_nothing(spark):
     empty = spark.createDataFrame([], "expected_decision string, decision string, status string")
     assert scoring.macro_f1(empty).first()["macro_f1"] == 1.0
+
+
+def test_sql_functions(spark):
+    from vacantia.functions.registry import register_sql_functions
+
+    register_sql_functions(spark)
+    spark.createDataFrame([(1, "<title>T</title><a href='/x'>x</a><a hidden href='/y'>y</a>")], "page_id long, html string").createOrReplaceTempView("stored")
+    rows = spark.sql("SELECT page_id, a.* FROM stored, LATERAL html_anchors(html) a ORDER BY ord").collect()
+    assert [(r["href"], r["hidden"]) for r in rows] == [("/x", False), ("/y", True)]
+    assert spark.sql("SELECT m.title FROM stored, LATERAL html_main_text(html) m").first()[0] == "T"
+    assert spark.sql("SELECT nfkc_fold('ÀSS')").first()[0] == "àss"
+
+
+def test_min_depth(spark):
+    counts = F.create_map(F.lit(1), F.lit(5), F.lit(2), F.lit(9), F.lit(3), F.lit(1))
+    got = spark.range(1).select(links.suggested_min_depth(F.lit(3), counts), links.suggested_min_depth(F.lit(1), counts), links.suggested_min_depth(F.lit(0), counts)).first()
+    assert tuple(got) == (3, None, None)
+
+
+def test_failed_fields_of_stored_results(spark):
+    from vacantia.operators import reports
+
+    jobs = spark.createDataFrame([(1, "c")], "id long, company_slug string")
+    held = [(1, True, '{"title": {"state": "failed", "value": null, "evidence": []}, "summary": {"state": "extracted", "value": "x", "evidence": ["x"]}}'), (1, False, '{"summary": {"state": "failed"}}')]
+    results = spark.createDataFrame(held, "job_id long, is_current boolean, result_json string")
+    assert [tuple(r) for r in reports.results_with_failed_fields(jobs, results).collect()] == [(1, "c", "$.title.state")]

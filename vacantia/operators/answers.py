@@ -52,9 +52,8 @@ def parse_answers(df: DataFrame, raw: str = "raw_json") -> DataFrame:
         kind = F.schema_of_variant(F.try_variant_get(tree, f"$.{bucket}", "variant"))
         strict = strict & kind.isin("ARRAY<STRING>", "ARRAY<VOID>", "ARRAY<>")
     answer = F.from_json(raw, ANSWER)
-    return df.withColumn("answer", F.when(F.coalesce(strict, F.lit(False)), answer)).withColumn(
-        "parsed", F.col("answer").isNotNull()
-    )
+    typed = tx.computed(df, "answer", F.when(F.coalesce(strict, F.lit(False)), answer))
+    return typed.withColumn("parsed", F.col("answer").isNotNull())
 
 
 def shape_errors(answer: Column) -> Column:
@@ -125,7 +124,8 @@ def with_structure(df: DataFrame, answer: str = "answer", out: str = "structural
         (empty & ~canonical, "empty evidence requires the missing-information reason"),
         (~empty & canonical, "the missing-information reason forbids evidence"),
     )
-    return keyed.withColumn(out, F.when(a.isNotNull(), F.concat(rules, both))).drop("_s", "_c")
+    found = F.when(a.isNotNull(), F.concat(rules, both))
+    return tx.computed(keyed, out, found).drop("_s", "_c")
 
 
 def quotes_of(df: DataFrame, keys: list[str], answer: str = "answer") -> DataFrame:

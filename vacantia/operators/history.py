@@ -67,14 +67,15 @@ def observe(jobs: DataFrame, sources: DataFrame, snapshot: DataFrame, seen_at=No
         F.col("last_at").alias("updated_at"),
     )
     everything = jobs.unionByName(_typed(created, JOBS))
-    roots = merge_roots(everything)
+    # New jobs are their own roots; only the stored table can hold chains.
+    roots = merge_roots(jobs)
     # A chain that leaves the table or never ends is a broken table, not a result.
     if roots.filter("problem is not null").limit(1).count():
         raise ValueError("merge chain with a missing job or a cycle")
     targets = (
         keys.join(everything.select("company_slug", "url_key", F.col("id").alias("job_id")), ["company_slug", "url_key"])
-        .join(roots.select("job_id", "root_id"), "job_id")
-        .select("company_slug", "url_key", "root_id", "last_at")
+        .join(roots.select("job_id", "root_id"), "job_id", "left")
+        .select("company_slug", "url_key", F.coalesce("root_id", "job_id").alias("root_id"), "last_at")
     )
     seen = targets.groupBy(F.col("root_id").alias("id")).agg(F.max("last_at").alias("_seen"))
     new_jobs = everything.join(seen, "id", "left")

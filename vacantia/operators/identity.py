@@ -198,8 +198,12 @@ def merge_roots(jobs: DataFrame) -> DataFrame:
     jobs = jobs.select(F.col("id").alias("job_id"), "merged_into_id")
     merged = jobs.filter("merged_into_id is not null")
     total = merged.count()
+    if total == 0:
+        return jobs.select(
+            "job_id", F.col("job_id").alias("root_id"), F.lit(None).cast("string").alias("problem")
+        )
     links = merged.select("job_id", F.col("merged_into_id").alias("up"))
-    for _ in range(math.ceil(math.log2(total + 1)) if total else 0):
+    for _ in range(math.ceil(math.log2(total + 1))):
         parents = links.select(F.col("job_id").alias("up"), F.col("up").alias("_next"))
         links = cut_lineage(
             links.join(parents, "up", "left").select(

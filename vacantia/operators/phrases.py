@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacantia.functions import text as tx
-from vacantia.session import small_side
+from vacantia.session import cut_lineage, small_side
 
 
 def with_word_key(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -112,7 +112,8 @@ def unbound_phrases(
     """
     keyed = phrases.select(phrase_id, tx.word_key(phrase).alias("phrase_key")).filter("phrase_key != ''")
     distinct = keyed.select("phrase_key").distinct()
-    sized = distinct.withColumn("_words", F.split("phrase_key", " ")).withColumn(
+    # Phrases are few beside documents; their keys are computed once.
+    sized = cut_lineage(distinct).withColumn("_words", F.split("phrase_key", " ")).withColumn(
         "span",
         F.least(
             F.lit(max_span),
