@@ -33,10 +33,11 @@ def in_region(
 ) -> Column:
     """Whether a location text names the region; null and empty texts do not."""
     location = col(location)
-    return F.coalesce(
-        location.rlike(word_bounded(names, True)) | location.rlike(word_bounded(codes, False)),
-        F.lit(False),
-    )
+    hit = F.lit(False)
+    for patterns, ignore_case in ((names, True), (codes, False)):
+        if patterns:
+            hit = hit | location.rlike(word_bounded(patterns, ignore_case))
+    return F.coalesce(hit, F.lit(False))
 
 
 def joined_place(country: Column, city: Column) -> Column:

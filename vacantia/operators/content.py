@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacantia.functions import markup
+from vacantia.functions.numbering import numbered
 from vacantia.functions.text import (
     dedup_paragraphs,
     is_expired,
@@ -259,7 +260,7 @@ def append_contents(stored: DataFrame, acquired: DataFrame) -> DataFrame:
     """New content rows of a batch: one per (job, hash) not stored yet, with fresh ids.
 
     The first row of a repeated (job, hash) in the batch is kept. Ids follow the highest
-    stored one by a per-partition counter, so no global ordering is needed.
+    stored one in the order of job and hash.
     """
     rest = [c for c in acquired.columns if c not in ("job_id", "content_hash")]
     once = (
@@ -268,12 +269,8 @@ def append_contents(stored: DataFrame, acquired: DataFrame) -> DataFrame:
         .select("job_id", "content_hash", *[F.col(f"_r.{c}").alias(c) for c in rest])
     )
     fresh = once.join(stored.select("job_id", "content_hash"), ["job_id", "content_hash"], "left_anti")
-    top = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))
-    return (
-        fresh.crossJoin(F.broadcast(top))
-        .withColumn("id", F.col("_top") + 1 + F.monotonically_increasing_id())
-        .drop("_top")
-    )
+    top = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")).first()["top"]
+    return numbered(fresh, ["job_id", "content_hash"], "id", top)
 
 
 def point_at_content(jobs: DataFrame, contents: DataFrame, acquired: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from vacantia.functions.numbering import next_in_group, numbered
 from vacantia.operators.identity import merge_roots
 from vacantia.plans.workplan import _moment, claimable
 from vacantia.schemas import JOB_ATTEMPTS, JOB_SOURCES, JOBS
+from vacantia.session import cut_lineage
 
 # Job state after an accepted decision.
 TRANSITIONS = {
@@ -37,7 +38,9 @@ def observe(jobs: DataFrame, sources: DataFrame, snapshot: DataFrame, seen_at=No
     """
     if seen_at is not None:
         snapshot = snapshot.withColumn("seen_at", _moment(seen_at))
-    pairs = (
+    # Read by several branches below: the distinct pairs are written once instead of
+    # keying the raw snapshot again for each.
+    pairs = cut_lineage(
         urls.with_url_key(snapshot)
         .filter("url_key is not null")
         .groupBy("company_slug", "url_key", "url")

@@ -23,6 +23,8 @@ def build_session(app: str = "vacantia", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Files of lineage cuts go when nothing refers to them any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Pages are wide rows: keep one Arrow batch of HTML small.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
     }

@@ -175,21 +175,21 @@ def select_region(rows: DataFrame) -> DataFrame:
     return rows.filter(regions.in_region("location"))
 
 
-def select_region_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
-    """Rows per region for several regions: *rules* holds region, names, codes (lists).
+def select_region_rules(rows: DataFrame, rules: dict[str, tuple[list[str], list[str]]]) -> DataFrame:
+    """Rows per region for several regions: *rules* maps region to its names and codes.
 
-    Each rule becomes one pattern pair; the rule table is a configuration list and is
-    broadcast.
+    The rules are configuration, so they are part of the plan: each location is tested in
+    its own row and nothing is joined.
     """
-    bound = r"(?<![\p{L}\p{N}_])(?:%s)(?![\p{L}\p{N}_])"
-    patterns = rules.select(
-        "region",
-        F.format_string("(?iu)" + bound.replace("%s", "%1$s"), F.array_join("names", "|")).alias("_names"),
-        F.format_string(bound.replace("%s", "%1$s"), F.array_join("codes", "|")).alias("_codes"),
-        (F.size("codes") > 0).alias("_has_codes"),
+    hits = F.array_compact(
+        F.array(
+            *[
+                F.when(regions.in_region("location", names, codes), F.lit(region))
+                for region, (names, codes) in rules.items()
+            ]
+        )
     )
-    hit = F.expr("location rlike _names or (_has_codes and location rlike _codes)")
-    return rows.crossJoin(F.broadcast(patterns)).filter(hit).drop("_names", "_codes", "_has_codes")
+    return rows.withColumn("region", F.explode(hits))
 
 
 def bamboohr_in_region(payloads: DataFrame) -> DataFrame:

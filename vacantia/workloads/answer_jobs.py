@@ -667,14 +667,7 @@ def bamboohr_postings(t):
 )
 def regions_of_locations(t):
     rows = t.supplier.select(F.when(F.col("s_nationkey") < 12, "Upper NORTH side").otherwise("XY, 12").alias("location"))
-    rules = t.region.agg(F.max("r_regionkey").alias("_")).select(
-        F.explode(
-            F.array(
-                F.struct(F.lit("north").alias("region"), F.array(F.lit("north")).alias("names"), F.array().cast("array<string>").alias("codes")),
-                F.struct(F.lit("codes").alias("region"), F.array(F.lit("south")).alias("names"), F.array(F.lit("XY")).alias("codes")),
-            )
-        ).alias("r")
-    ).select("r.*")
+    rules = {"north": (["north"], []), "codes": (["south"], ["XY"])}
     return payloads.select_region_rules(rows, rules).groupBy("region").agg(F.count("*").alias("suppliers"))
 
 

@@ -364,33 +364,27 @@ def first_seen_links(t):
 
 @query(
     "pages_until_stale",
-    f"""WITH {SQL_ANCHORS}, s AS (SELECT p.host, p.page_id, a.href,
-          dense_rank() OVER (PARTITION BY p.host ORDER BY p.page_id) AS page
-        FROM (SELECT regexp_extract(host, '([^.]*)$', 1) AS host, page_id FROM parts) p JOIN anchors a USING (page_id)),
+    f"""WITH {SQL_ANCHORS}, s AS (SELECT regexp_extract(p.host, '([^.]*)$', 1) AS host, p.page_id AS page, a.href
+        FROM parts p JOIN anchors a USING (page_id)),
     f AS (SELECT host, href, min(page) AS first FROM s GROUP BY 1, 2),
+    low AS (SELECT host, min(page) AS low FROM s GROUP BY 1),
     stop AS (SELECT s.host, min(s.page) AS stop FROM (SELECT DISTINCT host, page FROM s) s
         LEFT JOIN (SELECT DISTINCT host, first FROM f) f ON s.host = f.host AND s.page = f.first
         WHERE f.first IS NULL GROUP BY 1)
-    SELECT s.host, count(*) AS links, max(s.page) AS last_page FROM s LEFT JOIN stop USING (host)
-    WHERE (stop IS NULL OR s.page < stop) AND s.page <= 20 GROUP BY 1""",
+    SELECT s.host, count(*) AS links, max(s.page) AS last_page FROM s JOIN low USING (host) LEFT JOIN stop USING (host)
+    WHERE (stop IS NULL OR s.page < stop) AND s.page < low + 40 GROUP BY 1""",
 )
 def pages_until_stale(t):
-    from pyspark.sql import Window
-
-    anchors = page_anchors_by_pattern(t.pages).withColumn(
-        "host",
-        F.regexp_extract(urls.authority_host(urls.url_parts("url")["authority"]), r"([^.]*)$", 1),
-    )
-    # Page numbers of a board come from its page table, one row per page.
-    boards = anchors.select("host", "page_id").distinct()
-    numbers = boards.withColumn(
-        "page", F.row_number().over(Window.partitionBy("host").orderBy("page_id"))
+    # The page id stands in for the page number of a board.
+    rows = page_anchors_by_pattern(t.pages).select(
+        F.regexp_extract(urls.authority_host(urls.url_parts("url")["authority"]), r"([^.]*)$", 1).alias("host"),
+        F.col("page_id").alias("page"),
+        "href",
     )
-    rows = anchors.join(numbers, ["host", "page_id"]).select("host", "page", "href")
     return (
-        links.pages_until_stale(rows, "host", "page", "href")
+        links.pages_until_stale(rows, "host", "page", "href", max_pages=40)
         .groupBy("host")
-        .agg(F.count("*").alias("links"), F.max("page").cast("long").alias("last_page"))
+        .agg(F.count("*").alias("links"), F.max("page").alias("last_page"))
     )
 
 
