@@ -17,8 +17,8 @@ MISSING = answers.MISSING_INFORMATION_REASON
 # evidence is its first line, and some answers cite the neighbour or nothing.
 SQL_ANSWERS = f"""
 src AS (
-  SELECT doc_id, lang, n_chars, text, left(split_part(text, chr(10), 1), 120) AS line,
-    left(split_part(lead(text) OVER (ORDER BY doc_id), chr(10), 1), 120) AS other FROM documents
+  SELECT doc_id, lang, n_chars, text, split_part(text, chr(10), 1) AS line,
+    split_part(lead(text) OVER (ORDER BY doc_id), chr(10), 1) AS other FROM documents
 ),
 ans AS (
   SELECT doc_id AS content_id, text,
@@ -31,7 +31,7 @@ ans AS (
 
 
 def recorded(t):
-    line = F.substring(F.substring_index("text", "\n", 1), 1, 120)
+    line = F.substring_index("text", "\n", 1)
     following = t.documents.select(
         (F.col("doc_id") - 1).alias("doc_id"), line.alias("other")
     )
@@ -77,9 +77,11 @@ def parsed_answers(t):
 
 @query(
     "answer_shape_errors",
-    f"""WITH {SQL_ANSWERS}, e AS (SELECT content_id, unnest(list_concat(
+    f"""WITH {SQL_ANSWERS}, e AS (SELECT content_id, unnest(flatten([
         CASE WHEN reason NOT LIKE '%.' THEN ['reason: not one closed sentence'] ELSE [] END,
-        CASE WHEN len([x for x in supporting if NOT regexp_matches(x, '\\S')]) > 0 THEN ['supporting_evidence: blank excerpt'] ELSE [] END)) AS error FROM ans)
+        CASE WHEN len([x for x in supporting if length(x) > 300]) > 0 THEN ['supporting_evidence: excerpt too long'] ELSE [] END,
+        CASE WHEN len([x for x in conflicting if length(x) > 300]) > 0 THEN ['conflicting_evidence: excerpt too long'] ELSE [] END,
+        CASE WHEN len([x for x in supporting if NOT regexp_matches(x, '\\S')]) > 0 THEN ['supporting_evidence: blank excerpt'] ELSE [] END])) AS error FROM ans)
     SELECT error, count(*) AS answers FROM e GROUP BY 1""",
 )
 def answer_shape_errors(t):
@@ -371,6 +373,28 @@ def recording_comparison(t):
     )
 
 
+@query(
+    "structural_error_kinds",
+    f"""WITH {SQL_ANSWERS}, {SQL_CALLS}, n AS (SELECT a.*, {SQL_WORDS.format('supporting[1]')} AS s1, {SQL_WORDS.format("coalesce(supporting[2], '')")} AS s2, {SQL_WORDS.format('conflicting[1]')} AS c1 FROM ans a)
+    SELECT decision AS side, 'appears in both evidence buckets' AS kind, count(*) AS errors FROM n WHERE len(conflicting) > 0 AND (c1 = s1 OR (len(supporting) > 1 AND c1 = s2)) GROUP BY 1""",
+)
+def structural_error_kinds(t):
+    calls = answers.with_structure(typed(t)).withColumn("side", F.col("answer.decision"))
+    return scoring.count_structural_errors(calls).filter("kind like 'appears%'")
+
+
+@query(
+    "miss_counts",
+    f"""WITH {SQL_ANSWERS}, q AS (SELECT decision, text, unnest(supporting) AS quote, generate_subscripts(supporting, 1) - 1 AS i FROM ans)
+    SELECT decision AS side, '$.supporting_evidence[' || i || ']' AS path, 'not_in_posting' AS reason, count(*) AS misses FROM q
+    WHERE {SQL_WORDS.format('quote')} = '' OR NOT contains(' ' || {SQL_WORDS.format('text')} || ' ', ' ' || {SQL_WORDS.format('quote')} || ' ') GROUP BY 1, 2""",
+)
+def miss_counts(t):
+    sided = typed(t).withColumn("side", F.col("answer.decision"))
+    misses = answers.answer_misses(sided, contents(t), ["content_id", "side"])
+    return scoring.count_misses(misses.filter("bucket = 'supporting_evidence'"))
+
+
 @query(
     "replay_grid_problems",
     """WITH p AS (SELECT DISTINCT conv_id AS job_id FROM conversations), g AS (SELECT job_id, unnest([1, 2, 3]) AS replay FROM p),

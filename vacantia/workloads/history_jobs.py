@@ -491,11 +491,12 @@ def observed_sources(t):
 
 @query(
     "canonical_snapshot_keys",
-    f"WITH {SQL_KEYED} SELECT DISTINCT host AS company_slug, url_key FROM keyed WHERE page_id < 150",
+    f"WITH {SQL_KEYED} SELECT DISTINCT host AS company_slug, url_key FROM keyed",
 )
 def canonical_snapshot_keys(t):
-    pages, (state, _) = page_state(t)
-    return identity.canonical_snapshot_keys(pages, state, identity.merge_roots(state))
+    pages, (state, seen) = page_state(t)
+    new_jobs, _ = history.observe(state, seen, pages.filter("page_id >= 100"), "2024-01-02 00:00:00")
+    return identity.canonical_snapshot_keys(pages, new_jobs, identity.merge_roots(new_jobs))
 
 
 @query(
