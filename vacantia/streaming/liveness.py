@@ -1,71 +1,45 @@
-"""Attempt liveness on a stream of starts and finishes."""
+"""Attempt liveness on a stream of starts and finishes, as stream-stream joins."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-OUTPUT = "attempt_id long, job_id long, outcome string, started_at timestamp, ended_at timestamp"
-STATE = "job_id long, started_at timestamp, phase string"
 
 
-def attempt_outcomes(events: DataFrame, stale_seconds: int, watermark: str = "0 seconds") -> DataFrame:
+def attempt_outcomes(
+    events: DataFrame, stale_seconds: int, watermark: str = "0 seconds", report_late_seconds: int = 86_400
+) -> DataFrame:
     """Outcome of each attempt from a stream of (attempt_id, job_id, kind, at).
 
-    ``finished`` when a finish comes in time, ``interrupted`` once event time passes the
-    start by *stale_seconds*, ``late_finish`` for a finish after that: it is reported, and
-    the attempt stays interrupted. State is one small row per attempt.
+    ``finished`` when a finish comes within *stale_seconds* of the start, ``interrupted``
+    once the watermark passes that bound without one. A finish after the bound is reported
+    as ``late_finish`` (for *report_late_seconds*) and not applied. The outer join holds a
+    start only until its bound, so state is limited by the bound, not by history; both
+    joins and their state stay in the JVM. One start and one finish count per attempt.
     """
-    bound = pd.Timedelta(seconds=stale_seconds)
-
-    def settle(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        def row(job, outcome, start, end):
-            return pd.DataFrame(
-                {
-                    "attempt_id": [key[0]],
-                    "job_id": [job],
-                    "outcome": [outcome],
-                    "started_at": [start],
-                    "ended_at": [end],
-                }
-            )
-
-        job, start, phase = state.get if state.exists else (None, None, "waiting")
-        start = pd.NaT if start is None else pd.Timestamp(start)
-        if state.hasTimedOut:
-            if phase == "waiting" and not pd.isna(start):
-                state.update((job, start.to_pydatetime(), "interrupted"))
-                yield row(job, "interrupted", start, start + bound)
-            return
-        rows = pd.concat(list(batches))
-        for event in rows.sort_values(["at", "kind"], ascending=[True, False]).itertuples():
-            if event.kind == "started" and pd.isna(start):
-                job, start = event.job_id, event.at
-            elif event.kind == "finished" and phase == "waiting":
-                job = job if job is not None else event.job_id
-                if not pd.isna(start) and event.at - start > bound:
-                    yield row(job, "interrupted", start, start + bound)
-                    yield row(job, "late_finish", start, event.at)
-                    phase = "interrupted"
-                else:
-                    phase = "finished"
-                    yield row(job, "finished", start, event.at)
-            elif event.kind == "finished" and phase == "interrupted":
-                yield row(job, "late_finish", start, event.at)
-        state.update((job, None if pd.isna(start) else start.to_pydatetime(), phase))
-        if phase == "waiting" and not pd.isna(start):
-            due = int((start + bound).value // 1_000_000)
-            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+    once = events.select(
+        "attempt_id", "job_id", "kind", F.col("at").cast("timestamp").alias("at")
+    )
 
-    return (
-        events.select("attempt_id", "job_id", "kind", F.col("at").cast("timestamp").alias("at"))
-        .withWatermark("at", watermark)
-        .groupBy("attempt_id")
-        .applyInPandasWithState(
-            settle, OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout
-        )
+    def part(kind: str, at: str, *columns: str) -> DataFrame:
+        rows = once.filter(F.col("kind") == kind).select(*columns, F.col("at").alias(at))
+        return rows.withWatermark(at, watermark).dropDuplicatesWithinWatermark([columns[0]])
+
+    starts = part("started", "started_at", "attempt_id", "job_id")
+    finishes = part("finished", "ended_at", "attempt_id").withColumnRenamed("attempt_id", "_id")
+    bound = f"started_at + interval {stale_seconds} seconds"
+    last = f"started_at + interval {stale_seconds + report_late_seconds} seconds"
+    same = "attempt_id = _id and "
+    in_time = starts.join(
+        finishes, F.expr(f"{same} ended_at >= started_at and ended_at <= {bound}"), "leftOuter"
+    ).select(
+        "attempt_id",
+        "job_id",
+        F.when(F.col("ended_at").isNull(), "interrupted").otherwise("finished").alias("outcome"),
+        "started_at",
+        F.coalesce("ended_at", F.expr(bound)).alias("ended_at"),
     )
+    late = starts.join(
+        finishes, F.expr(f"{same} ended_at > {bound} and ended_at <= {last}")
+    ).select("attempt_id", "job_id", F.lit("late_finish").alias("outcome"), "started_at", "ended_at")
+    return in_time.unionByName(late)

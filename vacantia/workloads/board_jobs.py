@@ -215,10 +215,12 @@ def case_violations(t):
 
 @query(
     "streamed_liveness",
-    """SELECT event_id AS attempt_id, user_id AS job_id, outcome FROM (
-      SELECT event_id, user_id, 'finished' AS outcome FROM events WHERE event_type <> 'view' AND floor(value) <= 60
-      UNION ALL SELECT event_id, user_id, 'interrupted' FROM events WHERE (event_type = 'view' AND ts + INTERVAL 60 SECOND < (SELECT max(ts) FROM events)) OR (event_type <> 'view' AND floor(value) > 60)
-      UNION ALL SELECT event_id, user_id, 'late_finish' FROM events WHERE event_type <> 'view' AND floor(value) > 60)""",
+    """WITH a AS (SELECT *, floor(value) AS took, event_type <> 'view' AS done FROM events),
+    w AS (SELECT date_trunc('millisecond', least(max(ts), max(ts + to_seconds(took::INT)) FILTER (done))) AS mark FROM a)
+    SELECT event_id AS attempt_id, user_id AS job_id, outcome FROM (
+      SELECT event_id, user_id, 'finished' AS outcome FROM a WHERE done AND took <= 60
+      UNION ALL SELECT event_id, user_id, 'interrupted' FROM a, w WHERE (NOT done OR took > 60) AND ts + INTERVAL 60 SECOND < mark
+      UNION ALL SELECT event_id, user_id, 'late_finish' FROM a WHERE done AND took > 60)""",
 )
 def streamed_liveness(t):
     spark = t.spark
