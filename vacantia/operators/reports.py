@@ -69,15 +69,23 @@ def usage_groups(attempts: DataFrame) -> DataFrame:
     )
 
 
+def micro_rounded(amount: Column) -> Column:
+    """Amount rounded to six places by its binary value.
+
+    ``round`` goes by the shortest decimal form of a double and so lifts amounts that lie
+    just below a half; databases that keep money as REAL do not.
+    """
+    return F.floor(amount * 1000000 + 0.5) / 1000000
+
+
 def usage_and_cost(attempts: DataFrame, prices: DataFrame) -> DataFrame:
     """Usage groups with estimated cost; a model without price has null cost."""
-    cost = F.round(
+    cost = micro_rounded(
         (
             F.col("prompt_tokens") * F.col("input_usd_per_million")
             + F.col("completion_tokens") * F.col("output_usd_per_million")
         )
-        / 1000000.0,
-        6,
+        / 1000000.0
     )
     return (
         usage_groups(attempts)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vacantia.functions import text as tx
 from vacantia.operators import phrases
+from vacantia.operators.reports import micro_rounded
 from vacantia.schemas import DECISIONS
 
 MIN_GROUNDING_RATE = 0.99
@@ -238,7 +239,7 @@ def usage_totals(rows: DataFrame, input_price: float, output_price: float) -> Da
         F.round(F.coalesce(F.sum("latency_ms") / F.nullif(F.count("*"), F.lit(0)), F.lit(0.0)), 1).alias(
             "latency_ms_mean"
         ),
-        F.round((prompt * input_price + completion * output_price) / 1000000.0, 6).alias("estimated_cost"),
+        micro_rounded((prompt * input_price + completion * output_price) / 1000000.0).alias("estimated_cost"),
     )
 
 

@@ -108,20 +108,19 @@ def preview(jobs: DataFrame, keys: DataFrame, now, limit: int | None = None) ->
         F.grouping("company_slug").alias("_gc"),
         F.grouping("label").alias("_gl"),
     )
-    labels = label_level.filter("_gl = 0").select(
-        "company_slug", section.alias("section"), "label", "jobs"
-    )
 
-    def capped(name: str, column: str) -> DataFrame:
+    def row(section_name: Column, label: Column, jobs_in: Column) -> Column:
+        return F.struct(section_name.alias("section"), label.alias("label"), jobs_in.cast("long").alias("jobs"))
+
+    def capped(name: str, column: str) -> Column:
         total = F.col(column) if limit is None else F.least(F.col(column), F.lit(limit))
-        return label_level.filter("_gl = 1").select(
-            "company_slug",
-            F.lit("Would process").alias("section"),
-            F.lit(name).alias("label"),
-            total.cast("long").alias("jobs"),
-        )
-
-    return labels.unionByName(capped("eligibility", "_e")).unionByName(capped("extraction", "_x"))
+        return row(F.lit("Would process"), F.lit(name), total)
+
+    # Label rows and work rows come from one pass over the grouping levels.
+    rows = F.when(F.col("_gl") == 0, F.array(row(section, F.col("label"), F.col("jobs")))).otherwise(
+        F.array(capped("eligibility", "_e"), capped("extraction", "_x"))
+    )
+    return label_level.select("company_slug", F.explode(rows).alias("_r")).select("company_slug", "_r.*")
 
 
 def checkpoint_problems(jobs: DataFrame, contents: DataFrame, decisions: DataFrame) -> DataFrame:
