@@ -220,7 +220,7 @@ def test_file_sources(spark, tmp_path):
     import hashlib
     import json
 
-    text = "We hire in Costa Rica."
+    text = "We hire\nin Costa Rica.\n"
     digest = hashlib.sha256(text.encode()).hexdigest()
     case = tmp_path / "cases" / "C1"
     case.mkdir(parents=True)

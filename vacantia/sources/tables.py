@@ -73,8 +73,8 @@ def evaluation_cases(spark: SparkSession, path: str) -> DataFrame:
         )
 
     content = (
-        files("content.txt", spark.read.option("wholetext", "true"))
-        .text(path)
+        files("content.txt", spark.read)
+        .text(path, wholetext=True)
         .select(folder().alias("case_id"), F.col("value").alias("content"))
     )
 
