@@ -342,7 +342,10 @@ def validate_facts(results: DataFrame, contents: DataFrame, key: str = "content_
         ).otherwise(F.array().cast("array<string>")),
     ).withColumn("_absent", F.filter("_nouns", lambda n: ~F.contains(F.col("_post"), F.lower(n))))
     # Required technologies need a trace: a required quote, a cue or a required section.
-    df = df.withColumn("_lines", tx.section_lines("text", "_folded"))
+    # Only answers with technology quotes need the posting's sections.
+    df = df.withColumn(
+        "_lines", F.when(F.size("_q_technologies") > 0, tx.section_lines("text", "_folded"))
+    )
     df = df.withColumn(
         "_req_quotes",
         F.coalesce(
