@@ -247,6 +247,7 @@ def validate_facts(results: DataFrame, contents: DataFrame, key: str = "content_
     df = results.join(docs, key, "left").withColumn("_post", tx.collapse(F.col("_folded")))
     facts = F.col("facts")
     # All strings to be searched are folded in one array per fact.
+    cited = {}
     for name in FACT_NAMES:
         quotes = F.coalesce(facts[name]["evidence"], F.array().cast("array<string>"))
         if name in NESTED:
@@ -257,9 +258,10 @@ def validate_facts(results: DataFrame, contents: DataFrame, key: str = "content_
                     F.array().cast("array<string>"),
                 ),
             )
-        df = df.withColumn(f"_q_{name}", quotes)
-    for name in FACT_NAMES:
-        df = df.withColumn(f"_k_{name}", tx.grounding_texts(f"_q_{name}"))
+        cited[f"_q_{name}"] = quotes
+    # Whole groups of columns at once: each single one would analyse the plan again.
+    df = df.withColumns(cited)
+    df = df.withColumns({f"_k_{n}": tx.grounding_texts(f"_q_{n}") for n in FACT_NAMES})
     missing = {
         name: F.transform(
             F.filter(
@@ -270,8 +272,7 @@ def validate_facts(results: DataFrame, contents: DataFrame, key: str = "content_
         )
         for name in FACT_NAMES
     }
-    for name in FACT_NAMES:
-        df = df.withColumn(f"_u_{name}", missing[name])
+    df = df.withColumns({f"_u_{n}": missing[n] for n in FACT_NAMES})
 
     def was_extracted(name: str) -> Column:
         return F.coalesce(facts[name]["state"] == "extracted", F.lit(False))
