@@ -7,7 +7,10 @@ from collections.abc import Iterator
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.functions import markup, text
+from vacantia.functions import text
+
+# Plain names, so that a table function carries only the readers it uses.
+from vacantia.functions.markup import _content, _Tree
 
 
 @F.udtf(returnType="ord int, href string, hidden boolean")
@@ -15,7 +18,7 @@ class HtmlAnchors:
     """``SELECT p.page_id, a.* FROM pages p, LATERAL html_anchors(p.html) a``"""
 
     def eval(self, html: str) -> Iterator[tuple]:
-        tree = markup._Tree()
+        tree = _Tree()
         tree.feed(html or "")
         tree.close()
         links = [n for n in tree.nodes if n["tag"] == "a" and "href" in n["attrs"]]
@@ -28,7 +31,7 @@ class JsonldBlocks:
     """Structured posting objects of a page."""
 
     def eval(self, html: str) -> Iterator[tuple]:
-        for place, found in enumerate(markup._content(html or "")["postings"]):
+        for place, found in enumerate(_content(html or "")["postings"]):
             yield place, found["raw"], found["description"]
 
 
@@ -37,7 +40,7 @@ class HtmlMainText:
     """Main text and title of a page, before white space is tidied."""
 
     def eval(self, html: str) -> Iterator[tuple]:
-        found = markup._content(html or "")
+        found = _content(html or "")
         yield found["main"], found["title"]
 
 
