@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import simhash
+from vacantia.llm import langid, linededup, simhash
 from vacantia.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,42 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query("op9_word_first_language")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.filter(~langid.held_out()))
+    return docs.select(
+        "doc_id", langid.held_out().alias("held_out"), langid.predicted(model, docs).alias("p")
+    ).select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")
+
+
+OP7_SQL = """
+WITH numbered AS (
+  SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos,
+         unnest(string_split(coalesce(text, ''), chr(10))) AS line
+  FROM documents
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM numbered
+), common AS (
+  SELECT k, max(doc_id) AS last FROM keyed WHERE length(k) >= 40
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+  SELECT keyed.*, common.k IS NOT NULL AND doc_id <> last AS gone
+  FROM keyed LEFT JOIN common USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query("op7_levelled_line_dedup", OP7_SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
