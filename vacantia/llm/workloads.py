@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import langid, linededup, simhash
+from vacantia.llm import decontam, langid, linededup, pieces, simhash
 from vacantia.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
+#: The public SentencePiece model; only the driver opens it.
+PIECES = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
 
 def query(name: str, sql: str | None = None):
     def register(function):
@@ -71,3 +75,13 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.dedup_lines(docs).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+@query("op3_merge_dropout_pieces")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encoded(table(spark, folder, "documents"), PIECES, dropout=0.1, seed=42)
+
+
+@query("op4_benchmark_windows")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
