@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,8 @@ def run_hashes(words: np.ndarray, width: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     total = np.zeros(number, np.uint64)
     for i in range(width):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + _mixed(words[i : i + number] + np.uint64(i + 1))
+        total *= np.uint64(0x9E3779B97F4A7C15)
+        total += words[i : i + number]
     return _mixed(total)
 
 
@@ -68,7 +70,7 @@ class Size:
     items: list[int] = field(default_factory=list)
     weights: list[dict[int, int]] = field(default_factory=list)
     prints: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
-    blocks: list[dict[int, list[int]]] = field(default_factory=list)
+    blocks: list[np.ndarray] = field(default_factory=list)
 
 
 class Index:
@@ -102,14 +104,12 @@ class Index:
             self.filters[width_] = slots
         for number, size in sorted(by.items()):
             size.prints = np.array(prints[number], np.uint64)
+            # Of each block and value of its 8 bits: the items that differ in few enough of them, one bit each.
+            values = np.arange(256, dtype=np.uint64)[:, None]
             for b in range(BLOCKS):
-                block: dict[int, list[int]] = {}
-                for i, p in enumerate(prints[number]):
-                    block.setdefault(p >> (8 * b) & 255, []).append(i)
-                size.blocks.append(block)
+                own = (size.prints >> np.uint64(8 * b)) & np.uint64(255)
+                size.blocks.append(np.packbits(np.bitwise_count(values ^ own) <= radius // BLOCKS, axis=1))
             self.sizes.append(size)
-        near = radius // BLOCKS
-        self.flips = [m for m in range(256) if m.bit_count() <= near]
 
     def is_known(self, runs: np.ndarray, width: int) -> np.ndarray:
         found = self.filters[width][runs >> np.uint64(42)]
@@ -120,14 +120,14 @@ class Index:
             found[at] = values[np.minimum(place, len(values) - 1)] == runs[at]
         return found
 
-    def within_radius(self, size: Size, print_: int) -> set[int]:
-        """Items whose fingerprint is within the radius: all of them, by their blocks."""
-        met: set[int] = set()
-        for b, block in enumerate(size.blocks):
-            own = print_ >> (8 * b) & 255
-            for flip in self.flips:
-                met.update(block.get(own ^ flip, ()))
-        return {i for i in met if (int(size.prints[i]) ^ print_).bit_count() <= self.radius}
+    def within_radius(self, size: Size, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, item) for all items whose fingerprint is within the radius, by their blocks."""
+        met = size.blocks[0][prints & np.uint64(255)]
+        for b in range(1, BLOCKS):
+            met |= size.blocks[b][(prints >> np.uint64(8 * b)) & np.uint64(255)]
+        window, item = np.nonzero(np.unpackbits(met, axis=1, count=len(size.items)))
+        near = np.bitwise_count(prints[window] ^ size.prints[item]) <= self.radius
+        return window[near], item[near]
 
     def similarity(self, weights: dict[int, int], runs: np.ndarray) -> float:
         values, counts = np.unique(runs, return_counts=True)
@@ -140,7 +140,7 @@ class Index:
         if not words or not self.sizes or len(words) < self.sizes[0].words:
             return []
         get = self.vocabulary.get
-        hashed = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
+        hashed = np.fromiter(map(get, words, repeat(0)), np.uint64, len(words))
         marks: dict[int, np.ndarray] = {}
         for width in self.known:
             if len(words) >= width:
@@ -150,7 +150,7 @@ class Index:
         if not marks:
             return []
         exact: np.ndarray | None = None
-        counts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        hashes: dict[int, np.ndarray] = {}
         best: dict[int, tuple[float, int, int]] = {}
         for size in self.sizes:
             number = size.words - size.width + 1
@@ -164,23 +164,22 @@ class Index:
                 continue
             if exact is None:
                 exact = np.fromiter((get(w) or xxh64_intdigest(w) for w in words), np.uint64, len(words))
-            if size.width not in counts:
-                counts[size.width] = run_hashes(exact, size.width), np.empty(0)
-            runs = counts[size.width][0]
+            if size.width not in hashes:
+                hashes[size.width] = run_hashes(exact, size.width)
+            runs = hashes[size.width]
             for part in np.split(starts, np.flatnonzero(np.diff(starts) > 4 * number) + 1):
-                for piece in np.array_split(part, 1 + len(part) // 4096):
+                for piece in np.array_split(part, 1 + len(part) // max(16, (1 << 20) // len(size.items) // 64)):
                     low = int(piece[0])
                     sums = np.cumsum(_bits(runs[low : int(piece[-1]) + number]), axis=0, dtype=np.int32)
                     sums = np.vstack([np.zeros((1, 64), np.int32), sums])
                     ones = sums[piece - low + number] - sums[piece - low]
-                    for start, print_ in zip(piece.tolist(), _packed(2 * ones > number).tolist(), strict=True):
-                        for i in self.within_radius(size, print_):
-                            s = self.similarity(size.weights[i], runs[start : start + number])
-                            if s >= self.least:
-                                item = size.items[i]
-                                old = best.get(item)
-                                if old is None or (-s, start, size.words) < (-old[0], old[1], old[2]):
-                                    best[item] = s, start, size.words
+                    for w, i in zip(*self.within_radius(size, _packed(2 * ones > number)), strict=True):
+                        start, item = int(piece[w]), size.items[i]
+                        s = self.similarity(size.weights[i], runs[start : start + number])
+                        if s >= self.least:
+                            old = best.get(item)
+                            if old is None or (-s, start, size.words) < (-old[0], old[1], old[2]):
+                                best[item] = s, start, size.words
         return [(item, start, number, s) for item, (s, start, number) in best.items()]
 
 
