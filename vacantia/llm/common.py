@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 
 from vacantia.session import scratch_folder
 
-#: Rows of one Arrow batch with whole texts; a batch must fit a worker many times over.
-TEXT_ROWS = 256
-#: Rows of one Arrow batch of narrow rows (hashes and numbers).
-NARROW_ROWS = 20_000
+#: Bounds of one Arrow batch; a batch with whole texts must fit a worker many times over.
+BATCH_ROWS, BATCH_BYTES = 20_000, 2 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,9 +18,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
-    """Bound the rows of Arrow batches for the Python stages planned after this call."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """Bound the rows and the bytes of Arrow batches for the Python stages of this session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from vacantia.llm.common import TEXT_ROWS, small_batches
+from vacantia.llm.common import small_batches
 
 WORD = re.compile(r"[^\W_]+")
 #: UTF-8 bytes of benchmark texts in one broadcast index; a larger benchmark takes more passes.
@@ -222,7 +222,7 @@ def matches(
 
         return apply
 
-    small_batches(spark, TEXT_ROWS)
+    small_batches(spark)
     narrow = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
     found = None
     for part in range(parts):

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacantia.llm.common import TEXT_ROWS, small_batches
+from vacantia.llm.common import small_batches
 
 #: A word: a run of letters of any script.
 WORD = re.compile(r"[^\W\d_]+")
@@ -46,7 +46,7 @@ def training_words(docs: DataFrame, lang: str, text: str) -> DataFrame:
             if rows:
                 yield pa.record_batch([list(c) for c in zip(*rows, strict=True)], schema=schema)
 
-    small_batches(docs.sparkSession, TEXT_ROWS)
+    small_batches(docs.sparkSession)
     return (
         docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
         .filter("lang is not null and text is not null")
@@ -188,7 +188,7 @@ def predicted(model: Model, docs: DataFrame, text: str = "text") -> Column:
         for texts in batches:
             yield pd.DataFrame([scorer.predict(t) for t in texts], columns=["lang", "score"])
 
-    small_batches(docs.sparkSession, TEXT_ROWS)
+    small_batches(docs.sparkSession)
     return apply(F.col(text))
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from vacantia.llm.common import TEXT_ROWS, small_batches
+from vacantia.llm.common import small_batches
 
 #: The model's sign for a space inside pieces (fixed by the format).
 MARK = "▁"
@@ -357,7 +357,7 @@ def encoded(
                 names=[key, "ids", "n_ids", "lossless"],
             )
 
-    small_batches(spark, TEXT_ROWS)
+    small_batches(spark)
     return docs.select(F.col(key), F.col(text)).mapInArrow(
         apply, f"`{key}` {kind}, ids array<int>, n_ids int, lossless boolean"
     )
@@ -372,5 +372,5 @@ def decoded(encodings: DataFrame, model_path: str, ids: str = "ids", out: str =
         for rows in batches:
             yield pd.Series([None if x is None else shared.value.decode(x) for x in rows], dtype=object)
 
-    small_batches(encodings.sparkSession, TEXT_ROWS)
+    small_batches(encodings.sparkSession)
     return encodings.withColumn(out, apply(F.col(ids)))

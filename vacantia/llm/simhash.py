@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from vacantia.llm.common import NARROW_ROWS, TEXT_ROWS, components, small_batches, stored
+from vacantia.llm.common import components, small_batches, stored
 
 #: Variants that a task holds at once.
 BLOCK = 1 << 20
@@ -193,7 +193,7 @@ def hamming_links(prints: DataFrame, radius: int = 4) -> DataFrame:
     length = min(32, max(8, math.ceil(math.log2(number)) - 8))
     half = radius // 2
     heads = F.array(*[F.lit(m) for m in _masks(length, half)])
-    small_batches(prints.sparkSession, NARROW_ROWS)
+    small_batches(prints.sparkSession)
     reached = distinct.select(
         F.explode(heads).alias("_mask"), "fp"
     ).select(F.shiftrightunsigned("fp", 64 - length).bitwiseXOR(F.col("_mask")).alias("prefix"), "fp")
@@ -214,10 +214,10 @@ def near_duplicates(
     null key take part; *root* is the group's least fingerprint, *component* its least key
     that is not null (null if there is none). Repeated rows stay and fall in one component. Other columns are not read.
     """
-    small_batches(docs.sparkSession, TEXT_ROWS)
+    small_batches(docs.sparkSession)
     prints = stored(docs.select(F.col(key).alias("_key"), fingerprint(width)(F.col(text)).alias("fp")))
     roots = stored(components(hamming_links(prints, radius)))
-    small_batches(docs.sparkSession, TEXT_ROWS)
+    small_batches(docs.sparkSession)
     first = prints.groupBy("fp").agg(F.min("_key").alias("_least"))
     joined = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
@@ -243,7 +243,7 @@ def without_near_duplicates(
     once = docs.join(chosen.filter("__n = 1"), match, "left_semi")
     often = docs.join(chosen.filter("__n > 1"), match, "left_semi").dropDuplicates([key])
     lone = groups.filter("component is null").select(F.col("fp").alias("__p"), F.col("root").alias("__root")).distinct()
-    small_batches(docs.sparkSession, TEXT_ROWS)
+    small_batches(docs.sparkSession)
     nameless = (
         docs.filter(F.col(key).isNull())
         .withColumn("__fp", fingerprint(width)(F.col(text)))

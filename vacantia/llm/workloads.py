@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import decontam, langid, linededup, pieces, simhash
+from vacantia.llm import decontam, langid, linededup, pieces, repeats, simhash
 from vacantia.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,16 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_benchmark_windows")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op5_previous_factor_dedup")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    length = F.aggregate("removed", F.lit(0).cast("long"), lambda a, r: a + r["to"] - r["from"])
+    return repeats.without_repeats(docs, length=100).select(
+        "doc_id",
+        (F.octet_length("kept") + length).alias("n_bytes"),
+        length.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
