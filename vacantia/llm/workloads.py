@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import decontam, langid, linededup, pieces, repeats, simhash
+from vacantia.llm import decontam, forest, langid, linededup, pieces, repeats, simhash
 from vacantia.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,14 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op8_projection_forest_links")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = forest.linked(table(spark, folder, "embeddings"), least=0.98)
+    return found.select(
+        "vec_id",
+        "n_links",
+        F.col("component").cast("long").alias("component_id"),
+        F.col("vec_id").eqNullSafe(F.col("component")).alias("kept"),
+    )
