@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import decontam, forest, langid, linededup, pieces, repeats, simhash
+from vacantia.llm import decontam, forest, langid, linededup, pieces, repeats, shards, simhash
 from vacantia.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
         F.col("component").cast("long").alias("component_id"),
         F.col("vec_id").eqNullSafe(F.col("component")).alias("kept"),
     )
+
+
+@query("op10_label_propagation_shards")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return shards.sharded(table(spark, folder, "documents"), shards=40).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
