@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import chat, decontam, forest, langid, linededup, pieces, repeats, shards, simhash
+from vacantia.llm import chat, decontam, forest, langid, linededup, pieces, quality, repeats, shards, simhash
 from vacantia.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,13 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
         digest(F.col("targets")).alias("loss_sha256"),
         F.col("chars").alias("formatted_chars"),
     )
+
+
+@query("op1_bradley_terry_quality")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    model = quality.fit(docs, labels.filter(~langid.held_out()))
+    return docs.select(
+        "doc_id", langid.held_out().alias("held_out"), quality.scored(model, docs).alias("score")
+    ).withColumn("predicted", (F.col("score") >= quality.CUT).cast("int"))
