@@ -62,10 +62,15 @@ class Hasher:
 
     def __init__(self, length: int) -> None:
         self.length, self.reach = length, length - K
-        self.up = _powers(_ODD, 2 * PIECE)
-        self.down = _powers(pow(_ODD, -1, 1 << 64), 2 * PIECE)
+        self._reserve(PIECE)
+
+    def _reserve(self, number: int) -> None:
+        self.up = _powers(_ODD, 2 * number)
+        self.down = _powers(pow(_ODD, -1, 1 << 64), 2 * number)
 
     def sums(self, data: np.ndarray) -> np.ndarray:
+        if len(data) >= len(self.up):
+            self._reserve(len(data))
         out = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_BYTES[data] * self.up[: len(data)], out=out[1:])
         return out
