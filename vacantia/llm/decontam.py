@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -183,6 +184,22 @@ class Index:
         return [(item, start, number, s) for item, (s, start, number) in best.items()]
 
 
+def indexes(
+    benchmark: DataFrame, item: str, item_text: str, width: int, least: float, radius: int, part_bytes: int
+) -> Iterator[Index]:
+    """Indexes of parts of the benchmark of about *part_bytes* each (one of nothing if it is empty)."""
+    items = (
+        benchmark.select(F.col(item).cast("long").alias("i"), F.col(item_text).alias("t"))
+        .filter("i is not null and t is not null")
+        .distinct()
+    )
+    volume = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+    parts = max(1, -(-volume // part_bytes))
+    for part in range(parts):
+        own = items.filter(F.pmod(F.xxhash64("i"), F.lit(parts)) == part).orderBy("i", "t").collect()
+        yield Index([tuple(r) for r in own], width, least, radius)
+
+
 def matches(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -205,9 +222,6 @@ def matches(
     one pass over the documents.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item).cast("long").alias("i"), F.col(item_text).alias("t")).filter("i is not null and t is not null").distinct()
-    volume = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
-    parts = max(1, -(-volume // part_bytes))
     schema = pa.schema([(key, pa.int64()), (item, pa.int64()), ("first_word", pa.int32()), ("n_words", pa.int32()), ("similarity", pa.float64())])
     ddl = f"`{key}` long, `{item}` long, first_word int, n_words int, similarity double"
 
@@ -225,9 +239,27 @@ def matches(
     small_batches(spark)
     narrow = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
     found = None
-    for part in range(parts):
-        own = items.filter(F.pmod(F.xxhash64("i"), F.lit(parts)) == part).orderBy("i", "t").collect()
-        index = Index([tuple(r) for r in own], width, least, radius)
+    for index in indexes(benchmark, item, item_text, width, least, radius, part_bytes):
         hits = narrow.mapInArrow(searcher(spark.sparkContext.broadcast(index)), ddl)
         found = hits if found is None else found.unionByName(hits)
     return found
+
+
+def without_benchmark(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
+    width: int = 5, least: float = 0.8, radius: int = 24, part_bytes: int = INDEX_BYTES,
+) -> DataFrame:
+    """The rows of *docs* whose text has no window that matches an item, as :func:`matches` finds them."""
+    def free_of(shared):
+        @F.pandas_udf("boolean")
+        def free(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for texts in batches:
+                yield pd.Series([not shared.value.search(t) for t in texts], dtype=bool)
+
+        return free(F.col(text))
+
+    clean = docs
+    for index in indexes(benchmark, item, item_text, width, least, radius, part_bytes):
+        clean = clean.filter(free_of(docs.sparkSession.sparkContext.broadcast(index)))
+    small_batches(docs.sparkSession)
+    return clean

@@ -59,13 +59,23 @@ def majority(hashes: np.ndarray) -> int:
     return int(bits.view(">u8")[0].astype(np.uint64).view(np.int64))
 
 
-def fingerprint(width: int):
-    """Column function: the fingerprint of a text (null and empty: 0)."""
+def _again(hashes: np.ndarray, turn: int) -> np.ndarray:
+    """The hashes as another hash function would give them; the first turn leaves them."""
+    if turn == 0:
+        return hashes
+    x = (hashes + np.uint64(turn * 0x9E3779B97F4A7C15 & 2**64 - 1)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-    @F.pandas_udf("long")
+
+def fingerprints(width: int, number: int = 1):
+    """Column function: *number* independent fingerprints of a text (null and empty: 0)."""
+
+    @F.pandas_udf("array<long>")
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([majority(shingle_hashes(words_of(t), width)) for t in texts], dtype="int64")
+            hashed = [shingle_hashes(words_of(t), width) for t in texts]
+            yield pd.Series([[majority(_again(h, i)) for i in range(number)] for h in hashed])
 
     return apply
 
@@ -206,49 +216,103 @@ def hamming_links(prints: DataFrame, radius: int = 4) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, radius: int = 4
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, radius: int = 4, prints: int = 1
 ) -> DataFrame:
     """(key, fp, root, component) per row: groups of fingerprints that links join.
 
-    Null and empty texts have fingerprint 0 and are linked like any other. Rows with a
+    With *prints* over 1, texts are linked if any of that many independent fingerprints is
+    within the radius, which meets more of the less similar copies; *fp* is the first of
+    them. Null and empty texts have fingerprint 0 and are linked like any other. Rows with a
     null key take part; *root* is the group's least fingerprint, *component* its least key
-    that is not null (null if there is none). Repeated rows stay and fall in one component. Other columns are not read.
+    that is not null (null if there is none). Repeated rows stay and fall in one component.
+    Other columns are not read.
     """
     small_batches(docs.sparkSession)
-    prints = stored(docs.select(F.col(key).alias("_key"), fingerprint(width)(F.col(text)).alias("fp")))
-    roots = stored(components(hamming_links(prints, radius)))
-    small_batches(docs.sparkSession)
-    first = prints.groupBy("fp").agg(F.min("_key").alias("_least"))
-    joined = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp")
-    )
+    made = docs.select(F.col(key).alias("_key"), fingerprints(width, prints)(F.col(text)).alias("_fps"))
+    found = stored(made.select("_key", *[F.get("_fps", i).alias(f"fp{i}") for i in range(prints)]))
+    links = hamming_links(found.select(F.col("fp0").alias("fp")), radius)
+    for i in range(1, prints):
+        # A class of another fingerprint stands for its least first fingerprint.
+        own = found.select("fp0", f"fp{i}").distinct()
+        stands = stored(own.groupBy(f"fp{i}").agg(F.min("fp0").alias("to")))
+        same = own.join(stands, f"fp{i}").filter(F.col("fp0") != F.col("to")).select(F.col("fp0").alias("a"), F.col("to").alias("b"))
+        near = hamming_links(stands.select(F.col(f"fp{i}").alias("fp")), radius)
+        left = stands.select(F.col(f"fp{i}").alias("a"), F.col("to").alias("x"))
+        right = stands.select(F.col(f"fp{i}").alias("b"), F.col("to").alias("y"))
+        near = near.join(left, "a").join(right, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        links = links.unionByName(same).unionByName(near)
+    roots = stored(components(links)).withColumnRenamed("node", "fp")
+    first = found.groupBy(F.col("fp0").alias("fp")).agg(F.min("_key").alias("_least"))
+    joined = first.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = joined.groupBy("root").agg(F.min("_least").alias("component"))
-    classes = joined.join(least, "root").select("fp", "root", "component")
-    return prints.join(classes, "fp").select(F.col("_key").alias(key), "fp", "root", "component")
+    classes = joined.join(least, "root").select(F.col("fp").alias("fp0"), "root", "component")
+    return found.join(classes, "fp0").select(F.col("_key").alias(key), F.col("fp0").alias("fp"), "root", "component")
+
+
+def _shingle_set(width: int):
+    """Column function: the distinct shingle hashes of a text, sorted, as bytes."""
+
+    @F.pandas_udf("binary")
+    def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([np.unique(shingle_hashes(words_of(t), width)).tobytes() for t in texts])
+
+    return apply
+
+
+def _jaccard():
+    """Column function: Jaccard similarity of two sets of hashes; two empty sets are alike."""
+
+    @F.pandas_udf("double")
+    def apply(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for one, two in batches:
+            found = []
+            for a, b in zip(one, two, strict=True):
+                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                found.append(both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0)
+            yield pd.Series(found, dtype="float64")
+
+    return apply
 
 
 def without_near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, radius: int = 4
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = 5,
+    radius: int = 4,
+    prints: int = 4,
+    least: float = 0.8,
 ) -> DataFrame:
-    """The rows of one document of each group: the one with the least key.
+    """*docs* without the near copies of rows that stay.
 
-    Where rows repeat a kept key, one of them stays (any: they are copies). A group whose keys are
-    all null keeps one row likewise; a null key in any other group goes. Texts are only
-    shuffled for keys that repeat and for null keys.
+    Groups come from :func:`near_duplicates`. The row with the least key of a group stays
+    (null keys last); the others go if they share *least* of their distinct shingles with
+    it, and the rest of the group is treated in the same way again, until none is left. So
+    each row that goes has a close copy that stays, and no two rows of a group that stay are
+    copies of each other. Equal texts, also empty ones, are copies. Repeated rows leave one.
     """
-    groups = near_duplicates(docs, key, text, width, radius)
-    chosen = groups.filter(F.col(key) == F.col("component")).groupBy(key).agg(F.count("*").alias("__n"))
-    chosen = stored(chosen.withColumnRenamed(key, "__keep"))
-    match = F.col(key) == F.col("__keep")
-    once = docs.join(chosen.filter("__n = 1"), match, "left_semi")
-    often = docs.join(chosen.filter("__n > 1"), match, "left_semi").dropDuplicates([key])
-    lone = groups.filter("component is null").select(F.col("fp").alias("__p"), F.col("root").alias("__root")).distinct()
-    small_batches(docs.sparkSession)
-    nameless = (
-        docs.filter(F.col(key).isNull())
-        .withColumn("__fp", fingerprint(width)(F.col(text)))
-        .join(lone, F.col("__fp") == F.col("__p"))
-        .dropDuplicates(["__root"])
-        .select(*docs.columns)
-    )
-    return once.unionByName(often).unionByName(nameless)
+    spark = docs.sparkSession
+    base = stored(docs.withColumn("__id", F.monotonically_increasing_id()))
+    groups = near_duplicates(base.select("__id", F.col(text).alias("__text")), "__id", "__text", width, radius, prints)
+    groups = stored(groups.select("__id", F.col("root").alias("__root")))
+    several = groups.groupBy("__root").agg(F.count("*").alias("__n")).filter("__n > 1").select("__root")
+    members = groups.join(several, "__root", "left_semi")
+    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("__id").alias("id")).alias("order")
+    small_batches(spark)
+    sets = base.join(members, "__id").select(F.col("__root").alias("root"), order, _shingle_set(width)(F.col(text)).alias("set"))
+    sets = stored(sets.withColumn("digest", F.sha2("set", 256)))
+    first = sets.groupBy("root", "digest").agg(F.min("order").alias("lead"))
+    left = stored(sets.join(first, ["root", "digest"]).select("root", "order", "set", (F.col("order") != F.col("lead")).alias("gone")))
+    gone = left.filter("gone").select(F.col("order.id").alias("__id"))
+    left = left.filter("not gone")
+    while True:
+        lead = left.groupBy("root").agg(F.min("order").alias("lead"), F.min_by("set", "order").alias("lead_set"))
+        others = left.join(lead, "root").filter("order <> lead")
+        told = stored(others.select("root", "order", "set", (_jaccard()("set", "lead_set") >= least).alias("gone")))
+        left = told.filter("not gone")
+        gone = gone.unionByName(told.filter("gone").select(F.col("order.id").alias("__id")))
+        if not left.limit(1).count():
+            break
+    return base.join(gone, "__id", "left_anti").select(*docs.columns)
