@@ -157,9 +157,10 @@ def sharded(docs: DataFrame, shards: int = 40, key: str = "doc_id", text: str =
     spread = rows.filter("h1 is not null").groupBy("h1", "h2", start.alias("shard")).agg(F.count("*").alias("n"))
     groups = (
         spread.groupBy("h1", "h2")
-        .agg(*[F.sum(F.when(F.col("shard") == s, F.col("n")).otherwise(0)).alias(f"n{s}") for s in range(shards)])
-        .select("h1", "h2", F.array(*[f"n{s}" for s in range(shards)]).alias("counts"))
-        .filter(_total(F.col("counts")) > 1)
+        .agg(F.sum("n").alias("total"), F.collect_list(F.struct("shard", "n")).alias("held"))  # a row per shard at most
+        .filter("total > 1")
+        .withColumn("held", F.map_from_entries("held"))
+        .select("h1", "h2", F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: F.coalesce(F.try_element_at("held", s), F.lit(0).cast("long"))).alias("counts"))
     )
     state = propagated(groups, shards, number // shards, rounds)
     # Documents of a group take its shards in the order of their numbers.
