@@ -99,3 +99,35 @@ def test_stream_batches_resume(spark, tmp_path):
     want = ({"https://b.io/1": ("2024-01-01", "2024-01-03"), "https://b.io/2": ("2024-01-03", "2024-01-03")}, 3)
     assert run() == want
     assert run() == want
+    # Late, repeated and unordered sightings all count; older versions go.
+    add("three", ("c", "https://b.io/9", "2023-11-01 00:00:00"), ("c", "https://b.io/1", "2023-12-01 00:00:00"))
+    add("four", ("d", "https://d.io/1", "2024-01-02 00:00:00"), ("c", "https://b.io/2", "2024-01-03 00:00:00"))
+    keys, sources = run()
+    assert keys["https://b.io/9"] == ("2023-11-01", "2023-11-01") and keys["https://b.io/1"] == ("2023-12-01", "2024-01-03")
+    assert keys["https://d.io/1"] == ("2024-01-02", "2024-01-02") and sources == 5 and len(keys) == 4
+    versions = VersionedState(spark, state).versions()
+    assert len(versions) == 2
+    jobs, rows = VersionedState(spark, state).read()
+    assert jobs.select("id").distinct().count() == 4 and rows.select("id").distinct().count() == 5
+
+
+def test_attempts_late_repeated_and_unmatched(spark, tmp_path):
+    from vacantia.streaming import liveness
+
+    runs = liveness.AttemptRuns(spark, str(tmp_path / "runs"))
+
+    def add(batch, *rows):
+        events = spark.createDataFrame([(a, a * 10, k, at) for a, k, at in rows], "attempt_id long, job_id long, kind string, at string")
+        runs.add(batch, events.withColumn("at", F.to_timestamp("at")))
+
+    day = "2024-01-01 00:%s"
+    add(0, (1, "started", day % "00:00"), (2, "started", day % "00:00"), (9, "finished", day % "05:00"))
+    add(1, (1, "finished", day % "00:30"), (3, "finished", day % "01:10"))
+    add(1, (7, "started", day % "00:00"))  # the same batch again
+    add(2, (3, "started", day % "01:00"), (1, "started", day % "00:00"), (1, "finished", day % "00:30"))
+    for batch in range(3, 20):
+        add(batch, (2, "finished", day % "09:00"), (4, "started", "2024-01-01 00:30:00"))
+    got = {(r.attempt_id, r.outcome) for r in liveness.attempt_outcomes(runs.read(), 60).collect()}
+    assert got == {(1, "finished"), (2, "interrupted"), (2, "late_finish"), (3, "finished"), (9, "unmatched")}
+    assert liveness.attempt_outcomes(runs.read(), 60).count() == 5
+    assert len(runs.manifests.load()["runs"]) < 12

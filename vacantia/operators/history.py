@@ -28,14 +28,19 @@ def _highest(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
 
 
-def observe(jobs: DataFrame, sources: DataFrame, snapshot: DataFrame, seen_at=None) -> tuple[DataFrame, DataFrame]:
+def observe(
+    jobs: DataFrame, sources: DataFrame, snapshot: DataFrame, seen_at=None, highest: tuple[int, int] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Fold a URL snapshot (company_slug, url) into jobs and sources; both new versions.
 
     Unknown keys become new jobs; a known key marks the root of its merge chain as seen;
     each raw URL is a source of that root. Unkeyable URLs are skipped. Everything is
     reduced to one row per (company, key, url) before the joins. Without *seen_at* the
-    snapshot's own column of that name gives the first and last sighting of each URL.
+    snapshot's own column of that name gives the first and last sighting of each URL; a
+    sighting older than the stored ones moves the first. *highest* are the ids given so far,
+    where *jobs* and *sources* are only a part of the state.
     """
+    top_job, top_source = highest or (_highest(jobs), _highest(sources))
     if seen_at is not None:
         snapshot = snapshot.withColumn("seen_at", _moment(seen_at))
     # Read by several branches below: the distinct pairs are written once instead of
@@ -53,7 +58,7 @@ def observe(jobs: DataFrame, sources: DataFrame, snapshot: DataFrame, seen_at=No
         F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at")
     )
     fresh = keys.join(jobs, ["company_slug", "url_key"], "left_anti")
-    created = numbered(fresh, ["company_slug", "url_key"], "id", _highest(jobs)).select(
+    created = numbered(fresh, ["company_slug", "url_key"], "id", top_job).select(
         "id",
         "company_slug",
         "url_key",
@@ -78,22 +83,29 @@ def observe(jobs: DataFrame, sources: DataFrame, snapshot: DataFrame, seen_at=No
     targets = (
         keys.join(everything.select("company_slug", "url_key", F.col("id").alias("job_id")), ["company_slug", "url_key"])
         .join(roots.select("job_id", "root_id"), "job_id", "left")
-        .select("company_slug", "url_key", F.coalesce("root_id", "job_id").alias("root_id"), "last_at")
+        .select("company_slug", "url_key", F.coalesce("root_id", "job_id").alias("root_id"), "first_at", "last_at")
+    )
+    seen = targets.groupBy(F.col("root_id").alias("id")).agg(
+        F.max("last_at").alias("_seen"), F.min("first_at").alias("_first")
     )
-    seen = targets.groupBy(F.col("root_id").alias("id")).agg(F.max("last_at").alias("_seen"))
-    new_jobs = everything.join(seen, "id", "left")
+    new_jobs = everything.join(seen, "id", "left").withColumn("first_seen_at", F.least("first_seen_at", "_first"))
     for name in ("last_seen_at", "updated_at"):
         new_jobs = new_jobs.withColumn(name, F.greatest(F.col(name), F.col("_seen")))
     observed = (
-        pairs.join(targets.drop("last_at"), ["company_slug", "url_key"])
+        pairs.join(targets.drop("first_at", "last_at"), ["company_slug", "url_key"])
         .groupBy(F.col("root_id").alias("job_id"), "url")
         .agg(F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
     )
     known = sources.join(
-        observed.select("job_id", "url", F.col("last_at").alias("_seen")), ["job_id", "url"], "left"
-    ).withColumn("last_seen_at", F.greatest("last_seen_at", "_seen"))
+        observed.select("job_id", "url", F.col("first_at").alias("_first"), F.col("last_at").alias("_seen")),
+        ["job_id", "url"],
+        "left",
+    )
+    known = known.withColumn("last_seen_at", F.greatest("last_seen_at", "_seen")).withColumn(
+        "first_seen_at", F.least("first_seen_at", "_first")
+    )
     added = numbered(
-        observed.join(sources, ["job_id", "url"], "left_anti"), ["job_id", "url"], "id", _highest(sources)
+        observed.join(sources, ["job_id", "url"], "left_anti"), ["job_id", "url"], "id", top_source
     ).select(
         "id", "job_id", "url", F.col("first_at").alias("first_seen_at"), F.col("last_at").alias("last_seen_at")
     )

@@ -3,81 +3,95 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vacantia.operators.history import observe
 from vacantia.schemas import JOB_SOURCES, JOBS
+from vacantia.streaming.state import Manifests
+
+BUCKETS = 64
+
+
+def _bucket(company: str = "company_slug"):
+    return F.pmod(F.xxhash64(company), F.lit(BUCKETS)).cast("int")
 
 
 class VersionedState:
-    """Jobs and sources as table versions, one folder per finished batch.
+    """Jobs and sources in buckets of companies; a version says which batch wrote each bucket.
 
-    A version counts once its success marker exists, and a batch that ran before is not
-    folded again: the version folder carries the batch id.
+    A batch writes the buckets of its companies only and its manifest last. A batch that
+    ran before is not folded again. The last two versions are kept.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
-
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        base = jvm.org.apache.hadoop.fs.Path(self.path)
-        return base.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), base
+        self.manifests = Manifests(spark, path)
 
     def versions(self) -> list[int]:
-        fs, base = self._fs()
-        if not fs.exists(base):
-            return []
-        names = [status.getPath().getName() for status in fs.listStatus(base)]
-        done = []
-        for name in names:
-            marker = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-                f"{self.path}/{name}/sources/_SUCCESS"
-            )
-            if name.startswith("batch=") and fs.exists(marker):
-                done.append(int(name.removeprefix("batch=")))
-        return sorted(done)
-
-    def read(self, before: int | None = None) -> tuple[DataFrame, DataFrame]:
-        done = [v for v in self.versions() if before is None or v < before]
-        if not done:
-            return self.spark.createDataFrame([], JOBS), self.spark.createDataFrame([], JOB_SOURCES)
-        folder = f"{self.path}/batch={done[-1]}"
+        return self.manifests.versions()
+
+    def _table(self, name: str, schema, manifest: dict, buckets) -> DataFrame:
+        held = manifest.get(name, {})
+        own = [f"{self.path}/{name}/batch={v}/bucket={b}" for b, v in held.items() if buckets is None or int(b) in buckets]
+        if not own:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*own)
+
+    def read(self, before: int | None = None, buckets: set[int] | None = None) -> tuple[DataFrame, DataFrame]:
+        manifest = self.manifests.load(before)
         return (
-            self.spark.read.schema(JOBS).parquet(f"{folder}/jobs"),
-            self.spark.read.schema(JOB_SOURCES).parquet(f"{folder}/sources"),
+            self._table("jobs", JOBS, manifest, buckets),
+            self._table("sources", JOB_SOURCES, manifest, buckets),
         )
 
     def write(self, batch: int, jobs: DataFrame, sources: DataFrame) -> None:
-        folder = f"{self.path}/batch={batch}"
-        # Sources last: their marker completes the version. A retried batch overwrites
-        # its own unfinished folder only.
-        jobs.write.mode("overwrite").parquet(f"{folder}/jobs")
-        sources.write.mode("overwrite").parquet(f"{folder}/sources")
-
-
-def fold_batches(seen: DataFrame, state_path: str, checkpoint: str, watermark: str = "1 day", trigger=None):
+        """Write the buckets of *jobs* and their *sources*; all other buckets stay as they are."""
+        manifest = self.manifests.load(batch)
+        placed = jobs.withColumn("bucket", _bucket())
+        homes = placed.select(F.col("id").alias("job_id"), "bucket")
+        out = {"highest": dict(manifest.get("highest", {}))}
+        for name, table in (("jobs", placed), ("sources", sources.join(homes, "job_id").select(*JOB_SOURCES.names, "bucket"))):
+            folder = f"{self.path}/{name}/batch={batch}"
+            table.write.mode("overwrite").partitionBy("bucket").parquet(folder)
+            written = [n[7:] for n in self.manifests.names(name, f"batch={batch}") if n.startswith("bucket=")]
+            out[name] = {**manifest.get(name, {}), **{b: batch for b in written}}
+            if written:
+                schema = JOBS if name == "jobs" else JOB_SOURCES
+                top = self._table(name, schema, {name: {b: batch for b in written}}, None).agg(F.max("id")).first()[0]
+                out["highest"][name] = max(top or 0, out["highest"].get(name, 0))
+        self.manifests.save(batch, out)
+        self.manifests.prune(lambda m: [f"{n}/batch={v}/bucket={b}" for n in ("jobs", "sources") for b, v in m.get(n, {}).items()])
+
+    def highest(self, before: int | None = None) -> tuple[int, int]:
+        found = self.manifests.load(before).get("highest", {})
+        return found.get("jobs", 0), found.get("sources", 0)
+
+
+def fold_batches(seen: DataFrame, state_path: str, checkpoint: str, trigger=None):
     """Start folding a stream of (company_slug, url, seen_at) into versioned state.
 
-    Redelivered sightings are dropped within the watermark; later sightings of a URL are
-    kept, since they move its last-seen time. A replayed batch starts from the version
-    before it, so folding it again gives the same state.
+    The fold keeps the first and last sighting of each URL, so redelivered, late and
+    unordered sightings are folded like any other and none is dropped. A replayed batch
+    starts from the version before it, so folding it again gives the same state. Only
+    buckets with a company of the batch are read and written.
     """
-    once = seen.withWatermark("seen_at", watermark).dropDuplicatesWithinWatermark(
-        ["company_slug", "url", "seen_at"]
-    )
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         state = VersionedState(batch.sparkSession, state_path)
         if batch_id in state.versions():
             return
-        jobs, sources = state.read(before=batch_id)
-        new_jobs, new_sources = observe(jobs, sources, batch.select("company_slug", "url", "seen_at"))
-        state.write(batch_id, new_jobs, new_sources)
-
-    writer = once.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
+        rows = batch.select("company_slug", "url", "seen_at").groupBy("company_slug", "url")
+        rows = rows.agg(F.min("seen_at").alias("a"), F.max("seen_at").alias("b"))
+        rows = rows.select("company_slug", "url", F.explode(F.array("a", "b")).alias("seen_at")).persist()
+        touched = {r.bucket for r in rows.select(_bucket().alias("bucket")).distinct().collect()}
+        if touched:
+            jobs, sources = state.read(before=batch_id, buckets=touched)
+            new_jobs, new_sources = observe(jobs, sources, rows, highest=state.highest(batch_id))
+            state.write(batch_id, new_jobs, new_sources)
+        rows.unpersist()
+
+    writer = seen.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
-
-

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vacantia.operators import content, platforms, scoring
 from vacantia.session import scratch_folder
 from vacantia.sources import payloads
-from vacantia.streaming.liveness import attempt_outcomes
+from vacantia.streaming.liveness import AttemptRuns, attempt_outcomes, fold_attempts
 from vacantia.streaming.observe import VersionedState, fold_batches
 from vacantia.workloads.base import query
 from vacantia.workloads.document_jobs import SQL_WORDS
@@ -216,7 +216,7 @@ def case_violations(t):
 @query(
     "streamed_liveness",
     """WITH a AS (SELECT *, floor(value) AS took, event_type <> 'view' AS done FROM events),
-    w AS (SELECT date_trunc('millisecond', least(max(ts), max(ts + to_seconds(took::INT)) FILTER (done))) AS mark FROM a)
+    w AS (SELECT greatest(max(ts), max(ts + to_seconds(took::INT)) FILTER (done)) AS mark FROM a)
     SELECT event_id AS attempt_id, user_id AS job_id, outcome FROM (
       SELECT event_id, user_id, 'finished' AS outcome FROM a WHERE done AND took <= 60
       UNION ALL SELECT event_id, user_id, 'interrupted' FROM a, w WHERE (NOT done OR took > 60) AND ts + INTERVAL 60 SECOND < mark
@@ -225,9 +225,10 @@ def case_violations(t):
 def streamed_liveness(t):
     spark = t.spark
     stored = t.events
-    stream = (
-        spark.readStream.schema(stored.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
-    )
+    folder = scratch_folder(spark)
+    # Several files, in no order of time: each is a micro-batch.
+    stored.repartition(5, "user_id").write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
     moments = F.array(
         F.struct(F.lit("started").alias("kind"), F.col("ts").alias("at")),
         F.struct(
@@ -241,17 +242,10 @@ def streamed_liveness(t):
     events = stream.select(
         F.col("event_id").alias("attempt_id"), F.col("user_id").alias("job_id"), F.explode(moments).alias("m")
     ).select("attempt_id", "job_id", "m.*").filter("at is not null")
-    folder = scratch_folder(spark)
-    running = (
-        attempt_outcomes(events, stale_seconds=60)
-        .writeStream.format("parquet")
-        .option("path", f"{folder}/out")
-        .option("checkpointLocation", f"{folder}/ckpt")
-        .trigger(availableNow=True)
-        .start()
-    )
+    running = fold_attempts(events, f"{folder}/state", f"{folder}/ckpt", trigger={"availableNow": True})
     running.awaitTermination()
-    return spark.read.parquet(f"{folder}/out").select("attempt_id", "job_id", "outcome")
+    attempts = AttemptRuns(spark, f"{folder}/state").read()
+    return attempt_outcomes(attempts, stale_seconds=60).select("attempt_id", "job_id", "outcome")
 
 
 @query(
@@ -263,13 +257,15 @@ def streamed_observe(t):
     from vacantia.functions import urls
 
     spark = t.spark
-    stream = spark.readStream.schema(t.pages.schema).option("pathGlobFilter", "pages.parquet").parquet(t.folder)
+    folder = scratch_folder(spark)
+    stored = t.pages.select("page_id", "url")
+    stored.repartition(4, "url").write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
     seen = stream.select(
         urls.authority_host(urls.url_parts("url")["authority"]).alias("company_slug"),
         "url",
         F.timestamp_seconds(F.col("page_id") + 1700000000).alias("seen_at"),
     )
-    folder = scratch_folder(spark)
     running = fold_batches(seen, f"{folder}/state", f"{folder}/ckpt", trigger={"availableNow": True})
     running.awaitTermination()
     jobs, sources = VersionedState(spark, f"{folder}/state").read()
