@@ -55,10 +55,48 @@ _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 _DROPPED = frozenset("script style noscript template nav footer aside head svg".split())
+# Never text of a page, not even where nothing else is left.
+_UNREAD = frozenset("script style template svg".split())
+_HEAD = frozenset("html head title base link meta style script noscript template".split())
 _BLOCK = frozenset(
     "address article blockquote body br dd div dl dt fieldset figcaption figure form h1 h2 "
     "h3 h4 h5 h6 header hr html li main ol p pre section table tbody td tfoot th thead tr ul".split()
 )
+# Fixed values of HTML: a start tag ends these open elements, up to a container that holds them apart.
+_CELLS = frozenset(("td", "th"))
+_ROWS = _CELLS | {"tr"}
+_SECTIONS = _ROWS | {"thead", "tbody", "tfoot"}
+_ENDS = {
+    "li": (frozenset(("li",)), frozenset(("ul", "ol", "menu"))),
+    "option": (frozenset(("option",)), frozenset(("select", "datalist"))),
+    "optgroup": (frozenset(("option", "optgroup")), frozenset(("select",))),
+    "dt": (frozenset(("dt", "dd")), frozenset(("dl",))),
+    "dd": (frozenset(("dt", "dd")), frozenset(("dl",))),
+    "td": (_CELLS, frozenset(("table", "tr"))),
+    "th": (_CELLS, frozenset(("table", "tr"))),
+    "tr": (_ROWS, frozenset(("table", "thead", "tbody", "tfoot"))),
+    "thead": (_SECTIONS, frozenset(("table",))),
+    "tbody": (_SECTIONS, frozenset(("table",))),
+    "tfoot": (_SECTIONS, frozenset(("table",))),
+}
+# A block ends an open paragraph, unless one of these stands between.
+_APART = frozenset("button td th caption object html body table".split())
+
+
+def _implied_end(tag: str, open_tags: list[str]) -> int:
+    """How many of the open elements stay open when *tag* starts."""
+    ends, until = _ENDS.get(tag, (frozenset(), _APART))
+    if tag in _BLOCK and not ends:
+        ends = frozenset(("p",))
+    stay = len(open_tags)
+    for depth in range(len(open_tags) - 1, -1, -1):
+        if open_tags[depth] in until:
+            break
+        if open_tags[depth] in ends:
+            stay = depth
+    return stay
+
+
 _INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -76,6 +114,7 @@ class _Tree(HTMLParser):
             if name == "href" and value is None:
                 continue
             kept.setdefault(name, value or "")
+        del self.open[_implied_end(tag, [node["tag"] for node in self.open]) :]
         parent = self.open[-1] if self.open else None
         own = [tag]
         if kept.get("id"):
@@ -121,11 +160,18 @@ class _Reader(HTMLParser):
         self.text: list[str] = []
         self.titles: list[str] = []
         self.blocks: list[str] = []
+        self.everything: list[str] = []
+        # Open dropped sections, and the elements that are open inside and around them.
         self.dropped: list[str] = []
+        self.around: list[str] = []
         self.in_title = False
         self.block: list[str] | None = None
 
     def handle_starttag(self, tag, attrs):
+        if "head" in self.dropped and tag not in _HEAD:
+            self._close(self.around.index("head"))  # its end tag may be left out
+        if tag not in _VOID:
+            self.around.append(tag)
         if tag == "title":
             self.in_title = True
         if tag == "script":
@@ -143,17 +189,25 @@ class _Reader(HTMLParser):
         if tag == "script" and self.block is not None:
             self.blocks.append("".join(self.block))
             self.block = None
-        if tag in _DROPPED:
-            if tag in self.dropped:
-                del self.dropped[len(self.dropped) - 1 - self.dropped[::-1].index(tag) :]
-        elif tag in _BLOCK:
+        if tag in self.around:
+            # Whatever is still open inside ends too, dropped sections among it.
+            self._close(len(self.around) - 1 - self.around[::-1].index(tag))
+        if tag in _BLOCK and tag not in _DROPPED:
             self.text.append("\n")
 
+    def _close(self, depth):
+        for gone in self.around[depth:]:
+            if gone in _DROPPED and gone in self.dropped:
+                del self.dropped[len(self.dropped) - 1 - self.dropped[::-1].index(gone) :]
+        del self.around[depth:]
+
     def handle_data(self, data):
         if self.in_title:
             self.titles.append(data)
         if self.block is not None:
             self.block.append(data)
+        if not self.in_title and not _UNREAD.intersection(self.dropped):
+            self.everything.append(" ".join(data.split("\n")))
         if not self.dropped and not self.in_title:
             self.text.append(" ".join(data.split("\n")))
 
@@ -165,16 +219,25 @@ def _read(html: str) -> _Reader:
     return reader
 
 
+def _sound(text: str) -> str:
+    """The text with lone surrogates replaced: they have no UTF-8 form."""
+    return text.encode("utf-8", "replace").decode() if any("\ud800" <= c <= "\udfff" for c in text) else text
+
+
 def _nfkc(value):
     if isinstance(value, str):
-        return unicodedata.normalize("NFKC", value)
+        return _sound(unicodedata.normalize("NFKC", value))
     if isinstance(value, list):
         return [_nfkc(item) for item in value]
     if isinstance(value, dict):
-        return {key: _nfkc(item) for key, item in value.items()}
+        return {_sound(key): _nfkc(item) for key, item in value.items()}
     return value
 
 
+def _refused(name: str):
+    raise ValueError(f"{name} is not JSON")
+
+
 def _posting_objects(value):
     """Posting objects inside lists and graphs, outer ones first."""
     waiting = [value]
@@ -195,22 +258,21 @@ def _postings(blocks: list[str]) -> list[dict]:
     found = []
     for block in blocks:
         try:
-            payload = json.loads(block)
-        except ValueError:
+            # NaN and infinities are no JSON; a block nested too deep to read counts as broken.
+            payload = json.loads(block, parse_constant=_refused)
+            items = [(item, _nfkc({k: v for k, v in item.items() if k != "description"})) for item in _posting_objects(payload)]
+        except (ValueError, RecursionError):
             continue
-        for item in _posting_objects(payload):
+        for item, fields in items:
             description = item.get("description")
             shown = (
                 "".join(_read(description).text) if isinstance(description, str) else ""
             )
             found.append(
                 {
-                    "raw": json.dumps(item, ensure_ascii=False),
-                    "fields": json.dumps(
-                        _nfkc({k: v for k, v in item.items() if k != "description"}),
-                        ensure_ascii=False,
-                    ),
-                    "description": unicodedata.normalize("NFKC", shown),
+                    "raw": _sound(json.dumps(item, ensure_ascii=False)),
+                    "fields": json.dumps(fields, ensure_ascii=False),
+                    "description": _sound(unicodedata.normalize("NFKC", shown)),
                 }
             )
     return found
@@ -218,9 +280,12 @@ def _postings(blocks: list[str]) -> list[dict]:
 
 def _content(html: str) -> dict:
     reader = _read(html)
+    main = "".join(reader.text)
+    if not main.replace("•", "").strip():
+        main = "".join(reader.everything)  # sections that never end hold all of the page
     return {
-        "main": unicodedata.normalize("NFKC", "".join(reader.text)),
-        "title": unicodedata.normalize("NFKC", " ".join(reader.titles)),
+        "main": _sound(unicodedata.normalize("NFKC", main)),
+        "title": _sound(unicodedata.normalize("NFKC", " ".join(reader.titles))),
         "postings": _postings(reader.blocks),
     }
 

@@ -79,7 +79,7 @@ def read_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     postings = F.transform(
         F.col("_c.postings"),
         lambda p: F.struct(
-            posting_fields(F.parse_json(p["fields"])).alias("fields"),
+            posting_fields(F.try_parse_json(p["fields"])).alias("fields"),
             tidy(p["description"]).alias("description_text"),
             p["raw"].alias("raw"),
         ),
