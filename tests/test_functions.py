@@ -171,3 +171,20 @@ def test_first_word_index(spark):
     assert one(spark, tx.first_word_index(F.lit(key), F.lit("java"))) == 2
     assert one(spark, tx.first_word_index(F.lit(key), F.lit("jav"))) is None
     assert one(spark, tx.first_word_index(F.lit(key), F.lit(""))) is None
+
+
+def test_ipv6_hosts(spark):
+    import ipaddress
+
+    hosts = ["::1", "::", "::ffff:127.0.0.1", "::ffff:8.8.8.8", "::ffff:192.0.0.9", "2002:7f00:1::", "2606:4700::1111", "2001:db8::1", "2001:1::1",
+             "2001:1::3", "2001:20::5", "fe80::1", "fec0::1", "fd00::1", "ff02::1", "64:ff9b::808:808", "100::1", "4000::1", "3fff::1",
+             "2a00:1450:4001:81b::200e", "0:0:0:0:0:ffff:a00:1", "2001:0:1:2:3:4:5:6"]
+    got = {r.h: r.off for r in spark.createDataFrame([(h,) for h in hosts], "h string")
+           .withColumn("off", urls.off_public_network(F.concat(F.lit("https://["), "h", F.lit("]/x")))).collect()}
+
+    def unsafe(host):
+        v = ipaddress.ip_address(host)
+        v = getattr(v, "ipv4_mapped", None) or v
+        return not v.is_global or v.is_reserved or v.is_multicast or v.is_link_local or getattr(v, "is_site_local", False)
+
+    assert got == {h: unsafe(h) for h in hosts}

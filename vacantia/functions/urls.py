@@ -72,6 +72,16 @@ NON_PUBLIC_IPV4 = (
     ("240.0.0.0", 4),
 )
 PUBLIC_INSIDE = ("192.0.0.9", "192.0.0.10")
+# Blocks of 2000::/3 that are not global, and what is global inside them.
+NON_PUBLIC_IPV6 = ("2001::/23", "2001:db8::/32", "2002::/16")
+PUBLIC_INSIDE_IPV6 = (
+    "2001:1::1/128",
+    "2001:1::2/128",
+    "2001:3::/32",
+    "2001:4:112::/48",
+    "2001:20::/28",
+    "2001:30::/28",
+)
 
 _GENERIC = r"(?s)^([A-Za-z][A-Za-z0-9+.-]*):(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 _SERVER = r"^(?:.*@)?(\[[^\[\]@]*\]|[^\[\]@:]*)(?::(.*))?$"
@@ -268,11 +278,41 @@ def _ipv4_number(address: Column) -> Column:
     )
 
 
+def _groups_of(address: str) -> list[int]:
+    left, _, right = address.partition("::")
+    head, tail = ([int(x, 16) for x in side.split(":") if x] for side in (left, right))
+    return head + [0] * (8 - len(head) - len(tail)) + tail
+
+
+def _ipv6_groups(host: Column) -> Column:
+    """The eight groups of an IPv6 host as numbers; null if it is none."""
+    tail = r"([0-9]+\.[0-9]+\.[0-9]+\.[0-9]+)$"
+    v4 = F.regexp_extract(host, tail, 1)
+    number = _ipv4_number(v4)
+    as_groups = F.concat(
+        F.regexp_replace(host, tail, ""), F.lower(F.hex(F.shiftright(number, 16))), F.lit(":"), F.lower(F.hex(number % 65536))
+    )
+    plain = F.when(v4 == "", host).otherwise(as_groups)
+
+    def numbers(side: Column) -> Column:
+        return F.transform(F.filter(F.split(side, ":"), lambda x: x != ""), lambda x: F.conv(x, 16, 10).try_cast("long"))
+
+    def spread(text: Column) -> Column:
+        sides = F.split(text, "::", 2)
+        left, right = numbers(F.get(sides, 0)), numbers(F.coalesce(F.get(sides, 1), F.lit("")))
+        gap = F.when(F.size(sides) == 2, 8 - F.size(left) - F.size(right)).otherwise(0)
+        return F.concat(left, F.array_repeat(F.lit(0).cast("long"), F.greatest(gap, F.lit(0))), right)
+
+    sound = plain.rlike(r"^[0-9a-f:]*:[0-9a-f:]*$") & ~plain.rlike(r"[0-9a-f]{5}")
+    return F.when(sound, let(plain, spread))
+
+
 def off_public_network(url: Column | str) -> Column:
     """Whether the URL names a literal address that is not globally reachable.
 
-    Literal IPv6 hosts are judged by their leading group (loopback, unspecified,
-    link-local, unique-local, multicast, documentation); names are not resolved.
+    A literal IPv6 host is written out to its eight groups: IPv4 in IPv6 is judged as
+    IPv4, and of the rest only 2000::/3 without its reserved blocks is global. Names are
+    not resolved.
     """
     octet = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
     ranges = []
@@ -286,13 +326,35 @@ def off_public_network(url: Column | str) -> Column:
             hit = hit | number.between(low, high)
         return hit
 
+    inside = [sum(int(part) << shift for part, shift in zip(a.split("."), (24, 16, 8, 0))) for a in PUBLIC_INSIDE]
+
+    def judge_v4(number: Column) -> Column:
+        return judge_number(number) & ~number.isin(*inside)
+
+    def judge_groups(g: Column) -> Column:
+        def under(block: str) -> Column:
+            base, bits = block.split("/")
+            bits, test = int(bits), F.lit(True)
+            for i, group in enumerate(_groups_of(base)):
+                if 16 * i < bits:
+                    kept = 16 - min(16, bits - 16 * i)
+                    test = test & (F.shiftright(F.get(g, i), kept) == group >> kept)
+            return test
+
+        def within(blocks) -> Column:
+            hit = F.lit(False)
+            for block in blocks:
+                hit = hit | under(block)
+            return hit
+
+        inner = judge_v4(F.get(g, 6) * 65536 + F.get(g, 7))
+        unsafe = ~under("2000::/3") | (within(NON_PUBLIC_IPV6) & ~within(PUBLIC_INSIDE_IPV6))
+        return F.when(F.size(g) == 8, F.when(under("::ffff:0:0/96"), inner).otherwise(unsafe))
+
     def judge(host: Column) -> Column:
         is_v4 = host.rlike(rf"^{octet}(?:\.{octet}){{3}}$")
-        unsafe_v6 = host.rlike(
-            r"^(?:::1?$|(?:0{1,4}:){7}0{0,3}[01]$|fe[89a-f][0-9a-f]?:|f[cd][0-9a-f]{0,2}:"
-            r"|ff[0-9a-f]{0,2}:|2001:0?db8:|100::)"
-        )
-        unsafe_v4 = let(_ipv4_number(host), judge_number) & ~host.isin(*PUBLIC_INSIDE)
+        unsafe_v6 = let(_ipv6_groups(host), judge_groups)
+        unsafe_v4 = let(_ipv4_number(host), judge_v4)
         return F.when(is_v4, unsafe_v4).when(F.contains(host, F.lit(":")), unsafe_v6)
 
     return F.coalesce(let(authority_host(url_parts(url)["authority"]), judge), F.lit(False))

@@ -73,8 +73,14 @@ def key_partners(live_keys: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _spread_key(key: str) -> Column:
+    """The key as text; a null key is the job's own, so that nulls are no hot group."""
+    return F.coalesce(F.concat(F.lit("r"), F.col(key)), F.concat(F.lit("j"), F.col("job_id").cast("string")))
+
+
 def _partner_of(current: DataFrame, pairs: DataFrame, key: str, out: str) -> DataFrame:
-    joined = current.join(pairs, ["company_slug", key], "left")
+    known = pairs.withColumn("_key", F.concat(F.lit("r"), F.col(key))).drop(key)
+    joined = current.withColumn("_key", _spread_key(key)).join(known, ["company_slug", "_key"], "left").drop("_key")
     other = F.when(F.col("job_id") == F.col("low"), F.col("high")).when(
         F.col("job_id") == F.col("high"), F.col("low")
     )
@@ -130,7 +136,7 @@ def duplicate_matches(jobs: DataFrame, contents: DataFrame) -> DataFrame:
     )
 
 
-def fold_in_order(postings: DataFrame, max_rounds: int = 200) -> DataFrame:
+def fold_in_order(postings: DataFrame) -> DataFrame:
     """Result of merging the postings of a first run one by one in id order.
 
     *postings* has one row per job: job_id, company_slug, requisition_id, title_key
@@ -139,11 +145,12 @@ def fold_in_order(postings: DataFrame, max_rounds: int = 200) -> DataFrame:
     stays live. Whether a job is live depends on earlier jobs alone, and only through
     three numbers per key: the first live job of a fingerprint and the first two live
     jobs of a requisition. Those are plain minimum aggregates, so the order is settled
-    by recomputing them until nothing changes; no group is ever worked through by one
-    task. Returns job_id, canonical_id (own id when live).
+    by recomputing them until nothing changes (each round settles one more job of every
+    chain at least, so it ends); no group is ever worked through by one task. Returns
+    job_id, canonical_id (own id when live).
     """
     base = cut_lineage(postings.withColumn("live", F.lit(True)))
-    for _ in range(max_rounds):
+    while True:
         live = base.filter("live")
         by_print = live.groupBy("company_slug", "fingerprint").agg(F.min("job_id").alias("print_1"))
         by_req = live.filter("requisition_id is not null")
@@ -163,8 +170,11 @@ def fold_in_order(postings: DataFrame, max_rounds: int = 200) -> DataFrame:
             F.col("r1.title_key").alias("req_title"),
             "req_2",
         )
-        seen = base.join(by_print, ["company_slug", "fingerprint"], "left").join(
-            firsts, ["company_slug", "requisition_id"], "left"
+        firsts = firsts.withColumn("_req", F.concat(F.lit("r"), "requisition_id")).drop("requisition_id")
+        seen = (
+            base.join(by_print, ["company_slug", "fingerprint"], "left")
+            .withColumn("_req", _spread_key("requisition_id"))
+            .join(firsts, ["company_slug", "_req"], "left")
         )
         by_requisition = F.when(
             (F.col("req_1") < F.col("job_id"))
@@ -185,7 +195,6 @@ def fold_in_order(postings: DataFrame, max_rounds: int = 200) -> DataFrame:
         if settled.filter("live <> was").limit(1).count() == 0:
             return settled.select("job_id", "canonical_id")
         base = settled.drop("was", "canonical_id")
-    raise RuntimeError(f"merge order did not settle in {max_rounds} rounds")
 
 
 def merge_roots(jobs: DataFrame) -> DataFrame:

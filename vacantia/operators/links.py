@@ -100,13 +100,12 @@ def apply_link_rule(
 
 
 def pages_until_stale(
-    links: DataFrame, board: str, page: str, url: str, max_pages: int = 20
+    links: DataFrame, board: str, page: str, url: str
 ) -> DataFrame:
     """Rows of the pages read before the first one that adds no new URL.
 
     A page is fresh when some URL appears on it first. Pages count from the lowest
-    number; the first page without fresh URLs ends the board, as does *max_pages*, the
-    walker's own limit.
+    number; only the first page without fresh URLs ends the board, however many it has.
     """
     first = links.groupBy(board, url).agg(F.min(page).alias("_first"))
     fresh = first.select(board, F.col("_first").alias(page)).distinct()
@@ -114,13 +113,10 @@ def pages_until_stale(
     stale = (
         seen.join(fresh, [board, page], "left_anti").groupBy(board).agg(F.min(page).alias("_stop"))
     )
-    low = seen.groupBy(board).agg(F.min(page).alias("_low"))
     return (
         links.join(stale, board, "left")
-        .join(low, board)
         .filter(F.col("_stop").isNull() | (F.col(page) < F.col("_stop")))
-        .filter(F.col(page) < F.col("_low") + max_pages)
-        .drop("_stop", "_low")
+        .drop("_stop")
     )
 
 

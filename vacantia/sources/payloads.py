@@ -201,7 +201,7 @@ def coveo_in_region(payloads: DataFrame) -> DataFrame:
     return coveo(payloads).filter("in_region")
 
 
-def talentbrew(payloads: DataFrame, max_pages: int = 20) -> DataFrame:
+def talentbrew(payloads: DataFrame) -> DataFrame:
     """board, page, ord, url of recorded result pages up to the first stopping page.
 
     Needs board, page, url (request URL), origin, base_path, min_depth, records_per_page,
@@ -236,7 +236,6 @@ def talentbrew(payloads: DataFrame, max_pages: int = 20) -> DataFrame:
         matched.join(ends, "board", "left")
         .filter(F.col("_before").isNull() | (F.col("page") < F.col("_before")))
         .filter(F.col("_after").isNull() | (F.col("page") <= F.col("_after")))
-        .filter(F.col("page") <= max_pages)
         .select("board", "page", "ord", F.col("link").alias("url"))
     )
     return first_seen(kept, ["board", "url"], F.struct("page", "ord"))
@@ -248,7 +247,7 @@ def peopleforce_locations(pages: DataFrame) -> DataFrame:
     return first_seen(options, ["board", "option_id"], "ord")
 
 
-def peopleforce(pages: DataFrame, max_pages: int = 20) -> DataFrame:
+def peopleforce(pages: DataFrame) -> DataFrame:
     """board, page, ord, url of stored list pages up to the first that adds nothing.
 
     Needs board, page, url, html, origin, base_path, min_depth.
@@ -264,7 +263,7 @@ def peopleforce(pages: DataFrame, max_pages: int = 20) -> DataFrame:
     # A page without any matching link is stale too, so empty pages take part in the stop.
     empty = pages.select("board", "page").join(matched, ["board", "page"], "left_anti")
     stops = empty.groupBy("board").agg(F.min("page").alias("_empty"))
-    read = pages_until_stale(matched, "board", "page", "url", max_pages)
+    read = pages_until_stale(matched, "board", "page", "url")
     kept = read.join(stops, "board", "left").filter(
         F.col("_empty").isNull() | (F.col("page") < F.col("_empty"))
     )

@@ -367,12 +367,11 @@ def first_seen_links(t):
     f"""WITH {SQL_ANCHORS}, s AS (SELECT regexp_extract(p.host, '([^.]*)$', 1) AS host, p.page_id AS page, a.href
         FROM parts p JOIN anchors a USING (page_id)),
     f AS (SELECT host, href, min(page) AS first FROM s GROUP BY 1, 2),
-    low AS (SELECT host, min(page) AS low FROM s GROUP BY 1),
     stop AS (SELECT s.host, min(s.page) AS stop FROM (SELECT DISTINCT host, page FROM s) s
         LEFT JOIN (SELECT DISTINCT host, first FROM f) f ON s.host = f.host AND s.page = f.first
         WHERE f.first IS NULL GROUP BY 1)
-    SELECT s.host, count(*) AS links, max(s.page) AS last_page FROM s JOIN low USING (host) LEFT JOIN stop USING (host)
-    WHERE (stop IS NULL OR s.page < stop) AND s.page < low + 40 GROUP BY 1""",
+    SELECT s.host, count(*) AS links, max(s.page) AS last_page FROM s LEFT JOIN stop USING (host)
+    WHERE stop IS NULL OR s.page < stop GROUP BY 1""",
 )
 def pages_until_stale(t):
     # The page id stands in for the page number of a board.
@@ -382,7 +381,7 @@ def pages_until_stale(t):
         "href",
     )
     return (
-        links.pages_until_stale(rows, "host", "page", "href", max_pages=40)
+        links.pages_until_stale(rows, "host", "page", "href")
         .groupBy("host")
         .agg(F.count("*").alias("links"), F.max("page").alias("last_page"))
     )
