@@ -39,7 +39,7 @@ PIECE = 1 << 20
 COMBINE = 400_000
 _NO_KEY = -(2**63)
 _ODD = 0x9E3779B97F4A7C15
-_BYTES = np.random.default_rng(7).integers(0, 2**63, 256, dtype=np.int64).astype(np.uint64)
+_BYTES, _OTHER_BYTES = np.random.default_rng(7).integers(0, 2**63, (2, 256), dtype=np.int64).astype(np.uint64)
 
 
 def _powers(base: int, number: int) -> np.ndarray:
@@ -68,11 +68,11 @@ class Hasher:
         self.up = _powers(_ODD, 2 * number)
         self.down = _powers(pow(_ODD, -1, 1 << 64), 2 * number)
 
-    def sums(self, data: np.ndarray) -> np.ndarray:
+    def sums(self, data: np.ndarray, values: np.ndarray = _BYTES) -> np.ndarray:
         if len(data) >= len(self.up):
             self._reserve(len(data))
         out = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTES[data] * self.up[: len(data)], out=out[1:])
+        np.cumsum(values[data] * self.up[: len(data)], out=out[1:])
         return out
 
     def between(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -191,11 +191,17 @@ def lpf(position: np.ndarray, lcp: np.ndarray, least: int) -> np.ndarray:
     """
     number = len(position)
     best = np.zeros(number, np.int64)
+    if not number:
+        return best
+    # Within a stretch that shares *least* throughout, all but the smallest position have an earlier one.
+    cut = lcp < least
+    cut[0] = True
+    smallest = np.minimum.reduceat(position, np.flatnonzero(cut))[np.cumsum(cut) - 1]
+    most = lcp.max()
     for step in (-1, 1):
-        at = np.arange(number)
         shared = np.full(number, np.iinfo(np.int64).max)
-        rows = at.copy()
-        here = at.copy()
+        rows = np.flatnonzero((position > smallest) & (best < most))
+        here = rows.copy()
         while len(rows):
             edge = here if step < 0 else here + 1
             inside = (edge > 0) if step < 0 else (edge < number)
@@ -226,38 +232,33 @@ def repeated_starts(
     at = begin[owner] + offset
     if not len(at):
         return np.empty(0, np.int64), np.empty(0, np.int64)
+    # A text's place in the order of keys, and the start in it, as one number.
+    position = np.unique(num, return_inverse=True)[1][owner] << 32 | (first[owner] + offset)
     hashes = hasher.between(hasher.sums(data), at, at + length)
     # A string whose hash is met once has no longest previous factor of this length.
     order = np.argsort(hashes)
     near = hashes[order][1:] == hashes[order][:-1]
     twice = np.zeros(len(at), bool)
-    twice[order] = np.concatenate([near, [False]]) | np.concatenate([[False], near])
-    owner, offset, at = owner[twice], offset[twice], at[twice]
+    twice[order[1:]] |= near
+    twice[order[:-1]] |= near
+    owner, offset, at, position, hashes = owner[twice], offset[twice], at[twice], position[twice], hashes[twice]
     if not len(at):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    number, start = num[owner], first[owner] + offset
-    place = np.lexsort((start, number))
-    rank = np.empty(len(place), np.int64)
-    new = np.concatenate([[True], (number[place][1:] != number[place][:-1]) | (start[place][1:] != start[place][:-1])])
-    rank[place] = np.cumsum(new)
-    # Suffix order to the depth of *length* bytes; equal strings by position.
-    text = np.lib.stride_tricks.sliding_window_view(data, length)[at]
-    words = np.ascontiguousarray(np.pad(text, ((0, 0), (0, -length % 8)))).view(">u8")
-    kinds, kind = np.unique(hashes[twice], return_inverse=True)
-    sample = np.empty(len(kinds), np.int64)
-    sample[kind] = np.arange(len(kind))
-    if (words == words[sample[kind]]).all():
-        ordered = np.lexsort(words[sample].T[::-1])
-        of = np.empty(len(ordered), np.int64)
-        of[ordered] = np.arange(len(ordered))
-        suffix = np.lexsort((rank, of[kind]))
-    else:  # two strings have one hash
-        suffix = np.lexsort((rank, *words.T[::-1]))
-    lines = words[suffix]
+    other = hasher.between(hasher.sums(data, _OTHER_BYTES), at, at + length)
+    # Suffix order to the depth of *length* bytes: kinds of strings by their bytes, equal ones by position.
+    sort = np.lexsort((position, other, hashes))
+    new = np.concatenate([[True], (hashes[sort][1:] != hashes[sort][:-1]) | (other[sort][1:] != other[sort][:-1])])
+    kind = np.cumsum(new) - 1
+    heads = np.lib.stride_tricks.sliding_window_view(data, length)[at[sort[new]]]
+    words = np.ascontiguousarray(np.pad(heads, ((0, 0), (0, -length % 8)))).view(">u8").astype(np.uint64)
+    place = np.empty(len(words), np.int64)
+    place[np.lexsort(words.T[::-1])] = np.arange(len(words))
+    blocks = np.argsort(place[kind], kind="stable")
+    suffix, same = sort[blocks], kind[blocks]
     # What neighbours share matters only where it is the whole depth.
-    lcp = np.concatenate([[0], np.where((lines[1:] == lines[:-1]).all(axis=1), length, 0)])
-    hit = suffix[lpf(rank[suffix], lcp, length) >= length]
-    return number[hit], start[hit]
+    lcp = np.concatenate([[0], np.where(same[1:] == same[:-1], length, 0)])
+    hit = suffix[lpf(position[suffix], lcp, length) >= length]
+    return num[owner[hit]], first[owner[hit]] + offset[hit]
 
 
 def _spans(num: np.ndarray, start: np.ndarray, length: int) -> pa.RecordBatch:
