@@ -109,20 +109,20 @@ def with_structure(df: DataFrame, answer: str = "answer", out: str = "structural
                 F.concat(
                     F.lit("$.conflicting_evidence["),
                     i.cast("string"),
-                    F.lit("] appears in both evidence buckets"),
+                    F.lit("] in_both"),
                 ),
             ),
         ),
         lambda v: v.isNotNull(),
     )
     rules = _flags(
-        (empty & (F.size(a["conflicting_evidence"]) > 0), "conflicting evidence requires supporting evidence"),
+        (empty & (F.size(a["conflicting_evidence"]) > 0), "conflicting_alone"),
         (
             empty & (a["decision"] != "unknown"),
-            F.concat(a["decision"], F.lit(" requires supporting evidence")),
+            F.concat(a["decision"], F.lit("_unsupported")),
         ),
-        (empty & ~canonical, "empty evidence requires the missing-information reason"),
-        (~empty & canonical, "the missing-information reason forbids evidence"),
+        (empty & ~canonical, "empty_unexplained"),
+        (~empty & canonical, "explained_not_empty"),
     )
     found = F.when(a.isNotNull(), F.concat(rules, both))
     return tx.computed(keyed, out, found).drop("_s", "_c")
@@ -294,19 +294,19 @@ def replay_shape_violations(calls: DataFrame) -> DataFrame:
     )
     path = F.col("raw_response_path")
     rules = _flags(
-        ((F.col("status") == "grounded") != F.col("decision").isNotNull(), "only grounded calls have accepted decisions"),
-        (parsed != counted, "only parsed calls have evidence counts"),
+        ((F.col("status") == "grounded") != F.col("decision").isNotNull(), "decision_without_grounding"),
+        (parsed != counted, "counts_without_parse"),
         (
             (F.col("status") == "inconsistent") != (F.coalesce(F.size("structural_errors"), F.lit(0)) > 0),
-            "only inconsistent calls have structural errors",
+            "errors_without_inconsistency",
         ),
         (
             (F.col("status") == "ungrounded") != (F.coalesce(F.size("grounding_misses"), F.lit(0)) > 0),
-            "only ungrounded calls have grounding misses",
+            "misses_without_ungrounded",
         ),
         (
             F.coalesce(path.rlike(r"^/|(?:^|/)\.\.(?:/|$)") | ~path.rlike(r"[^/]\.json$"), F.lit(False)),
-            "raw response path must be a safe relative JSON path",
+            "unsafe_response_path",
         ),
     )
     return calls.select("run_id", "job_id", "replay", F.explode(rules).alias("rule"))

@@ -184,32 +184,32 @@ def fact_violations(results: DataFrame, keys: list[str], facts: str = "facts") -
         state, value, quotes = fact["state"], fact["value"], fact["evidence"]
         cited = F.coalesce(F.size(quotes), F.lit(0)) > 0
         rules = [
-            (~state.isin(*MODEL_STATES, "failed"), "state is not allowed"),
-            ((state == "extracted") & (value.isNull() | ~cited), "extracted facts require a value and evidence"),
-            ((state == "not_stated") & (value.isNotNull() | cited), "not_stated facts require no value and no evidence"),
-            ((state == "uncertain") & ~cited, "uncertain facts require evidence"),
-            ((state == "failed") & (value.isNotNull() | cited), "failed facts require no value and no evidence"),
-            (_blank(quotes), "evidence quotes must not be empty"),
+            (~state.isin(*MODEL_STATES, "failed"), "state_unknown"),
+            ((state == "extracted") & (value.isNull() | ~cited), "extracted_incomplete"),
+            ((state == "not_stated") & (value.isNotNull() | cited), "not_stated_filled"),
+            ((state == "uncertain") & ~cited, "uncertain_uncited"),
+            ((state == "failed") & (value.isNotNull() | cited), "failed_filled"),
+            (_blank(quotes), "quote_blank"),
         ]
         if name in CODED:
-            rules.append((value.isNotNull() & ~value.isin(*CODED[name]), "value is not allowed"))
+            rules.append((value.isNotNull() & ~value.isin(*CODED[name]), "value_unknown"))
         if name == "job_functions":
             rules.append(
-                (F.exists(value, lambda v: ~v.isin(*JOB_FUNCTIONS)), "value is not allowed")
+                (F.exists(value, lambda v: ~v.isin(*JOB_FUNCTIONS)), "value_unknown")
             )
         if name == "source_language":
             rules.append(
-                (value.isNotNull() & ~value.rlike(r"\A[a-z]{2}\z"), "source language must be a lowercase ISO 639-1 code")
+                (value.isNotNull() & ~value.rlike(r"\A[a-z]{2}\z"), "language_code")
             )
         if name == "location":
-            rules.append((value.isNotNull() & ~value["country"].rlike(r"\S"), "location country must not be blank"))
+            rules.append((value.isNotNull() & ~value["country"].rlike(r"\S"), "country_blank"))
         if name in NESTED:
             label = "mention" if name == "technologies" else "text"
             code, allowed = ("status", TECHNOLOGY_STATUSES) if name == "technologies" else ("kind", QUALIFICATION_KINDS)
             rules += [
-                (F.exists(value, _item_blank(label)), f"{label} must not be blank"),
-                (F.exists(value, _item_not_in(code, allowed)), f"{code} is not allowed"),
-                (F.exists(value, _item_unquoted()), "item evidence must contain nonempty quotes"),
+                (F.exists(value, _item_blank(label)), f"{label}_blank"),
+                (F.exists(value, _item_not_in(code, allowed)), f"{code}_unknown"),
+                (F.exists(value, _item_unquoted()), "item_unquoted"),
             ]
         for broken, rule in rules:
             flags.append(

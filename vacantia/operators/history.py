@@ -406,9 +406,9 @@ def reprocess_checks(
         selected = selected.withColumn("content_id", F.lit(None).cast("long"))
         missing = F.lit(None).cast("string")
     problem = (
-        F.when(F.col("_known").isNull(), "unknown job")
-        .when(F.col("status") == "in_progress", "active job")
-        .when(F.col("status") == "merged", "merged job")
+        F.when(F.col("_known").isNull(), "no_job")
+        .when(F.col("status") == "in_progress", "busy")
+        .when(F.col("status") == "merged", "merged")
         .otherwise(missing)
     )
     return selected.select("id", "content_id", problem.alias("problem"))
@@ -486,9 +486,6 @@ def latest_runs(run_events: DataFrame) -> DataFrame:
     ).select(*[c for c in run_events.columns if c != "event_at"])
 
 
-def content_history(contents: DataFrame) -> DataFrame:
-    return contents.orderBy("job_id", "retrieved_at", "id")
-
 
 def newest_source(sources: DataFrame) -> DataFrame:
     return sources.groupBy("job_id").agg(

@@ -9,9 +9,6 @@ from vacantia.functions import text as tx
 from vacantia.session import cut_lineage, small_side
 
 
-def with_word_key(df: DataFrame, text: str, out: str) -> DataFrame:
-    return df.withColumn(out, tx.word_key(text))
-
 
 def bound_quotes(
     quotes: DataFrame, contents: DataFrame, key: str = "content_id", quote: str = "quote", text: str = "text"

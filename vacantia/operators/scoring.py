@@ -338,9 +338,9 @@ def recording_differences(baseline: DataFrame, new: DataFrame) -> DataFrame:
         return result
 
     problem = (
-        F.when(F.col("a").isNull() | F.col("b").isNull(), "different job sets")
-        .when(differs("content_id", "content_hash"), "different content checkpoints")
-        .when(differs("accepted_decision", "accepted_prompt_hash"), "different accepted metadata")
+        F.when(F.col("a").isNull() | F.col("b").isNull(), "jobs_differ")
+        .when(differs("content_id", "content_hash"), "content_differs")
+        .when(differs("accepted_decision", "accepted_prompt_hash"), "acceptance_differs")
     )
     return joined.select("job_id", problem.alias("problem")).filter("problem is not null")
 
@@ -396,9 +396,6 @@ def metadata_rates(expected: DataFrame, actual: DataFrame) -> DataFrame:
     )
 
 
-def list_intersection(expected: Column, actual: Column) -> Column:
-    return F.array_intersect(expected, actual)
-
 
 def case_violations(cases: DataFrame) -> DataFrame:
     """Broken rules of evaluation cases: case_id, rule, detail.

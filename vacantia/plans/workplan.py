@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacantia.schemas import STAGE_PHASES, TERMINAL_CATEGORIES, RETRYABLE_CATEGORIES
+from vacantia.schemas import STAGE_PHASES, TERMINAL_CATEGORIES
 
 RETRY_LIMIT = 3
 RETRY_BACKOFF_HOURS = 24
@@ -130,9 +130,9 @@ def checkpoint_problems(jobs: DataFrame, contents: DataFrame, decisions: DataFra
         F.col("job_id").alias("id"), "decision", F.col("content_id").alias("_dc")
     )
     reason = (
-        F.when(F.col("_cj").isNull() | (F.col("_cj") != F.col("id")), "no current content checkpoint")
-        .when(F.coalesce(F.col("decision") != "eligible", F.lit(True)), "no current eligible decision")
-        .when(F.col("_dc") != F.col("current_content_id"), "decision references different content")
+        F.when(F.col("_cj").isNull() | (F.col("_cj") != F.col("id")), "no_content")
+        .when(F.coalesce(F.col("decision") != "eligible", F.lit(True)), "not_eligible")
+        .when(F.col("_dc") != F.col("current_content_id"), "other_content")
     )
     return (
         jobs.join(content, "current_content_id", "left")
@@ -166,11 +166,6 @@ def next_state(
     )
 
 
-def is_retryable(category: Column) -> Column:
-    return category.isin(
-        *RETRYABLE_CATEGORIES, "model_call", "validation_failed", "ungrounded_evidence", "internal"
-    )
-
 
 def stale_companies(companies: DataFrame, runs: DataFrame, now, hours: int = FRESHNESS_HOURS) -> DataFrame:
     """Companies without a success inside the freshness window; a zero count is a success."""

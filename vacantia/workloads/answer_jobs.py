@@ -98,11 +98,11 @@ def answer_shape_errors(t):
     f"""WITH {SQL_ANSWERS}, k AS (SELECT *, {SQL_WORDS.format('supporting[1]')} AS s1, {SQL_WORDS.format("coalesce(supporting[2], '')")} AS s2,
         {SQL_WORDS.format('conflicting[1]')} AS c1 FROM ans),
     e AS (SELECT content_id, unnest(list_concat(
-      CASE WHEN len(supporting) = 0 AND len(conflicting) > 0 THEN ['conflicting evidence requires supporting evidence'] ELSE [] END,
-      CASE WHEN len(supporting) = 0 AND decision <> 'unknown' THEN [decision || ' requires supporting evidence'] ELSE [] END,
-      CASE WHEN len(supporting) = 0 AND reason <> '{MISSING}' THEN ['empty evidence requires the missing-information reason'] ELSE [] END,
-      CASE WHEN len(supporting) > 0 AND reason = '{MISSING}' THEN ['the missing-information reason forbids evidence'] ELSE [] END,
-      CASE WHEN len(conflicting) > 0 AND (c1 = s1 OR (len(supporting) > 1 AND c1 = s2)) THEN ['$.conflicting_evidence[0] appears in both evidence buckets'] ELSE [] END)) AS error FROM k)
+      CASE WHEN len(supporting) = 0 AND len(conflicting) > 0 THEN ['conflicting_alone'] ELSE [] END,
+      CASE WHEN len(supporting) = 0 AND decision <> 'unknown' THEN [decision || '_unsupported'] ELSE [] END,
+      CASE WHEN len(supporting) = 0 AND reason <> '{MISSING}' THEN ['empty_unexplained'] ELSE [] END,
+      CASE WHEN len(supporting) > 0 AND reason = '{MISSING}' THEN ['explained_not_empty'] ELSE [] END,
+      CASE WHEN len(conflicting) > 0 AND (c1 = s1 OR (len(supporting) > 1 AND c1 = s2)) THEN ['$.conflicting_evidence[0] in_both'] ELSE [] END)) AS error FROM k)
     SELECT error, count(*) AS answers FROM e GROUP BY 1""",
 )
 def structural_errors(t):
@@ -376,23 +376,28 @@ def recording_comparison(t):
 @query(
     "structural_error_kinds",
     f"""WITH {SQL_ANSWERS}, {SQL_CALLS}, n AS (SELECT a.*, {SQL_WORDS.format('supporting[1]')} AS s1, {SQL_WORDS.format("coalesce(supporting[2], '')")} AS s2, {SQL_WORDS.format('conflicting[1]')} AS c1 FROM ans a)
-    SELECT decision AS side, 'appears in both evidence buckets' AS kind, count(*) AS errors FROM n WHERE len(conflicting) > 0 AND (c1 = s1 OR (len(supporting) > 1 AND c1 = s2)) GROUP BY 1""",
+    SELECT decision AS side, 'in_both' AS kind, count(*) AS errors FROM n WHERE len(conflicting) > 0 AND (c1 = s1 OR (len(supporting) > 1 AND c1 = s2)) GROUP BY 1
+    UNION ALL SELECT decision, 'conflicting_alone', count(*) FROM ans WHERE len(supporting) = 0 AND len(conflicting) > 0 GROUP BY 1
+    UNION ALL SELECT decision, decision || '_unsupported', count(*) FROM ans WHERE len(supporting) = 0 AND decision <> 'unknown' GROUP BY 1
+    UNION ALL SELECT decision, 'empty_unexplained', count(*) FROM ans WHERE len(supporting) = 0 AND reason <> '{MISSING}' GROUP BY 1
+    UNION ALL SELECT decision, 'explained_not_empty', count(*) FROM ans WHERE len(supporting) > 0 AND reason = '{MISSING}' GROUP BY 1""",
 )
 def structural_error_kinds(t):
     calls = answers.with_structure(typed(t)).withColumn("side", F.col("answer.decision"))
-    return scoring.count_structural_errors(calls).filter("kind like 'appears%'")
+    return scoring.count_structural_errors(calls)
 
 
 @query(
     "miss_counts",
-    f"""WITH {SQL_ANSWERS}, q AS (SELECT decision, text, unnest(supporting) AS quote, generate_subscripts(supporting, 1) - 1 AS i FROM ans)
-    SELECT decision AS side, '$.supporting_evidence[' || i || ']' AS path, 'not_in_posting' AS reason, count(*) AS misses FROM q
+    f"""WITH {SQL_ANSWERS}, q AS (SELECT decision, text, 'supporting' AS bucket, unnest(supporting) AS quote, generate_subscripts(supporting, 1) - 1 AS i FROM ans
+      UNION ALL SELECT decision, text, 'conflicting', unnest(conflicting), generate_subscripts(conflicting, 1) - 1 FROM ans)
+    SELECT decision AS side, '$.' || bucket || '_evidence[' || i || ']' AS path, 'not_in_posting' AS reason, count(*) AS misses FROM q
     WHERE {SQL_WORDS.format('quote')} = '' OR NOT contains(' ' || {SQL_WORDS.format('text')} || ' ', ' ' || {SQL_WORDS.format('quote')} || ' ') GROUP BY 1, 2""",
 )
 def miss_counts(t):
     sided = typed(t).withColumn("side", F.col("answer.decision"))
     misses = answers.answer_misses(sided, contents(t), ["content_id", "side"])
-    return scoring.count_misses(misses.filter("bucket = 'supporting_evidence'"))
+    return scoring.count_misses(misses)
 
 
 @query(
@@ -410,8 +415,8 @@ def replay_grid_problems(t):
 
 @query(
     "recording_differences",
-    """SELECT job_id, problem FROM (SELECT coalesce(a.doc_id, b.doc_id) AS job_id, CASE WHEN a.doc_id IS NULL OR b.doc_id IS NULL THEN 'different job sets'
-      WHEN a.n_chars > 3000 THEN 'different content checkpoints' WHEN a.lang = 'fr' THEN 'different accepted metadata' END AS problem
+    """SELECT job_id, problem FROM (SELECT coalesce(a.doc_id, b.doc_id) AS job_id, CASE WHEN a.doc_id IS NULL OR b.doc_id IS NULL THEN 'jobs_differ'
+      WHEN a.n_chars > 3000 THEN 'content_differs' WHEN a.lang = 'fr' THEN 'acceptance_differs' END AS problem
     FROM (SELECT * FROM documents WHERE source <> 'src1') a FULL JOIN (SELECT * FROM documents WHERE source <> 'src2') b ON a.doc_id = b.doc_id) WHERE problem IS NOT NULL""",
 )
 def recording_differences(t):
@@ -555,9 +560,9 @@ def failed_fields(t):
 
 @query(
     "fact_violations",
-    """SELECT 'title' AS field, 'evidence quotes must not be empty' AS rule, count(*) AS results FROM documents WHERE NOT regexp_matches(split_part(text, chr(10), 1), '\\S') HAVING count(*) > 0
-    UNION ALL SELECT 'source_language', 'source language must be a lowercase ISO 639-1 code', count(*) FROM documents WHERE lang = 'fr'
-    UNION ALL SELECT 'source_language', 'extracted facts require a value and evidence', count(*) FROM documents""",
+    """SELECT 'title' AS field, 'quote_blank' AS rule, count(*) AS results FROM documents WHERE NOT regexp_matches(split_part(text, chr(10), 1), '\\S') HAVING count(*) > 0
+    UNION ALL SELECT 'source_language', 'language_code', count(*) FROM documents WHERE lang = 'fr'
+    UNION ALL SELECT 'source_language', 'extracted_incomplete', count(*) FROM documents""",
 )
 def fact_violations(t):
     odd = extracted(t).join(t.documents.select(F.col("doc_id").alias("content_id"), "lang"), "content_id")
@@ -569,15 +574,15 @@ def fact_violations(t):
             F.struct(F.lit("extracted").alias("state"), value.alias("value"), F.array().cast("array<string>").alias("evidence")),
         ),
     )
-    found = facts.fact_violations(odd, ["content_id"]).filter("field in ('title', 'source_language')")
+    found = facts.fact_violations(odd, ["content_id"])
     return found.groupBy("field", "rule").agg(F.count("*").alias("results"))
 
 
 @query(
     "replay_shape_violations",
     """SELECT rule, count(*) AS calls FROM (
-      SELECT 'only grounded calls have accepted decisions' AS rule FROM orders WHERE (o_orderstatus = 'O') <> (o_orderpriority <> '1-URGENT')
-      UNION ALL SELECT 'raw response path must be a safe relative JSON path' FROM orders WHERE o_orderpriority = '5-LOW') GROUP BY 1""",
+      SELECT 'decision_without_grounding' AS rule FROM orders WHERE (o_orderstatus = 'O') <> (o_orderpriority <> '1-URGENT')
+      UNION ALL SELECT 'unsafe_response_path' FROM orders WHERE o_orderpriority = '5-LOW') GROUP BY 1""",
 )
 def replay_shape_violations(t):
     grounded = F.col("o_orderstatus") == "O"

@@ -150,9 +150,9 @@ def retry_states(t):
     c AS (SELECT DISTINCT l_orderkey AS content_id, l_orderkey AS job_id FROM lineitem WHERE l_quantity > 30),
     d AS (SELECT l_orderkey AS job_id, min(CASE WHEN l_tax < 0.04 THEN l_orderkey ELSE l_orderkey + 1 END) AS content_id,
           CASE WHEN max(l_discount) > 0.05 THEN 'eligible' ELSE 'unknown' END AS decision FROM lineitem GROUP BY 1)
-    SELECT * FROM (SELECT j.id, company_slug, CASE WHEN c.job_id IS NULL THEN 'no current content checkpoint'
-      WHEN d.decision IS NULL OR d.decision <> 'eligible' THEN 'no current eligible decision'
-      WHEN d.content_id <> j.current_content_id THEN 'decision references different content' END AS problem
+    SELECT * FROM (SELECT j.id, company_slug, CASE WHEN c.job_id IS NULL THEN 'no_content'
+      WHEN d.decision IS NULL OR d.decision <> 'eligible' THEN 'not_eligible'
+      WHEN d.content_id <> j.current_content_id THEN 'other_content' END AS problem
     FROM j LEFT JOIN c ON c.content_id = j.current_content_id AND c.job_id = j.id LEFT JOIN d ON d.job_id = j.id) WHERE problem IS NOT NULL""",
 )
 def checkpoint_problems(t):
@@ -798,7 +798,7 @@ def requests_without_decision(t):
 @query(
     "reprocess_checks",
     f"""WITH {SQL_DECISIONS}, w AS (SELECT doc_id AS id FROM documents UNION SELECT doc_id + 100000 FROM documents)
-    SELECT w.id, CASE WHEN d.doc_id IS NULL THEN 'unknown job' WHEN lang = 'de' THEN 'active job' WHEN lang = 'fr' THEN 'merged job'
+    SELECT w.id, CASE WHEN d.doc_id IS NULL THEN 'no_job' WHEN lang = 'de' THEN 'busy' WHEN lang = 'fr' THEN 'merged'
       WHEN x.id IS NULL THEN 'no current eligible decision checkpoint' END AS problem
     FROM w LEFT JOIN documents d ON d.doc_id = w.id LEFT JOIN (SELECT id FROM decisions WHERE is_current AND decision = 'eligible') x ON x.id = w.id""",
 )

@@ -316,17 +316,13 @@ def visible_anchors(t):
     f"""WITH {SQL_ANCHORS}, deep AS (SELECT page_id, origin || href AS link, min(ord) AS ord FROM anchors
         WHERE starts_with(origin || href, origin || '/') AND href <> '/' GROUP BY 1, 2)
     SELECT page_id, count(*) AS links, arg_min(link, ord) AS first_link FROM deep
-    WHERE length(regexp_extract(link, '^[a-z]+://[^/?#]*([^?#]*)', 1)) > 1 AND contains(link, '/a') GROUP BY 1""",
+    WHERE length(regexp_extract(link, '^[a-z]+://[^/?#]*([^?#]*)', 1)) > 1 GROUP BY 1""",
 )
 def link_rule(t):
     # Base path '' puts every path of the origin into the path bucket.
     rule = anchor_links(t).withColumn("base_path", F.lit("")).withColumn("min_depth", F.lit(1))
     chosen = links.apply_link_rule(rule, ["page_id"])
-    return (
-        chosen.filter(F.contains("link", F.lit("/a")))
-        .groupBy("page_id")
-        .agg(F.count("*").alias("links"), F.min_by("link", "ord").alias("first_link"))
-    )
+    return chosen.groupBy("page_id").agg(F.count("*").alias("links"), F.min_by("link", "ord").alias("first_link"))
 
 
 @query(
