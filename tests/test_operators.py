@@ -301,3 +301,26 @@ def test_failed_fields_of_stored_results(spark):
     held = [(1, True, '{"title": {"state": "failed", "value": null, "evidence": []}, "summary": {"state": "extracted", "value": "x", "evidence": ["x"]}}'), (1, False, '{"summary": {"state": "failed"}}')]
     results = spark.createDataFrame(held, "job_id long, is_current boolean, result_json string")
     assert [tuple(r) for r in reports.results_with_failed_fields(jobs, results).collect()] == [(1, "c", "$.title.state")]
+
+
+def test_talentbrew_boards_that_fail(spark):
+    from vacantia.sources import payloads
+
+    link = '<a href=\\"/jobs/%d\\">x</a>'
+
+    def page(board, number, results, flag):
+        return (board, number, "https://b.io/list", "https://b.io", "", 1, 2, '{"results": %s, "hasJobs": %s}' % (results, flag))
+
+    two = '"%s%s"' % (link % 1, link % 2)
+    rows = [page("good", 1, two, "true"), page("good", 2, '"%s"' % (link % 3), "true"), page("good", 3, "7", '"no"'),
+            page("typed", 1, two, '"true"'), page("list", 1, "[]", "true"), page("late", 1, two, "true"), page("late", 2, two, "1"),
+            page("bare", 1, '"nothing"', "true"), page("empty", 1, '""', "false")]
+    rows += [page("long", n, '"%s%s"' % (link % (2 * n), link % (2 * n + 1)), "true") for n in range(1, 31)]
+    table = spark.createDataFrame(
+        rows, "board string, page int, url string, origin string, base_path string, min_depth int, records_per_page int, payload string")
+    found = {}
+    for r in payloads.talentbrew(table).collect():
+        found.setdefault(r.board, set()).add(r.url)
+    assert found["good"] == {f"https://b.io/jobs/{n}" for n in (1, 2, 3)} and len(found["long"]) == 60 and len(found) == 2
+    wrong = {(r.board, r.page): r.problem for r in payloads.talentbrew_problems(table).collect()}
+    assert wrong == {("typed", 1): "has_jobs_type", ("list", 1): "results_type", ("late", 2): "has_jobs_type", ("bare", 1): "no_anchors"}

@@ -201,16 +201,12 @@ def coveo_in_region(payloads: DataFrame) -> DataFrame:
     return coveo(payloads).filter("in_region")
 
 
-def talentbrew(payloads: DataFrame) -> DataFrame:
-    """board, page, ord, url of recorded result pages up to the first stopping page.
-
-    Needs board, page, url (request URL), origin, base_path, min_depth, records_per_page,
-    payload. A page without jobs ends the board before it, a page with fewer matching
-    links than a full page ends it after it.
-    """
+def _talentbrew_read(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Matching links of the pages up to each board's end, and what is wrong with those pages."""
     tree = F.try_parse_json("payload")
-    pages = payloads.withColumn("html", F.try_variant_get(tree, "$.results", "string")).withColumn(
-        "has_jobs", F.coalesce(F.try_variant_get(tree, "$.hasJobs", "boolean"), F.lit(False))
+    flag = F.try_variant_get(tree, "$.hasJobs", "variant")
+    pages = payloads.withColumn("html", _string(tree, "results")).withColumn(
+        "has_jobs", F.when(F.schema_of_variant(flag) == "BOOLEAN", _get(tree, "hasJobs", "boolean"))
     )
     keyed = pages.withColumn("_key", F.struct("board", "page"))
     rules = pages.select("board", "page", "origin", "base_path", "min_depth")
@@ -221,24 +217,55 @@ def talentbrew(payloads: DataFrame) -> DataFrame:
         absolute_links(anchors).join(rules, ["board", "page"]), ["board", "page"]
     )
     counts = matched.groupBy("board", "page").agg(F.count("*").alias("_n"))
-    ends = (
-        pages.select("board", "page", "has_jobs", "records_per_page")
+    hrefs = anchors.groupBy("board", "page").agg(F.count("*").alias("_a"))
+    state = (
+        pages.select("board", "page", "html", "has_jobs", "records_per_page")
         .join(counts, ["board", "page"], "left")
-        .groupBy("board")
-        .agg(
-            F.min(F.when(~F.col("has_jobs"), F.col("page"))).alias("_before"),
-            F.min(
-                F.when(F.coalesce("_n", F.lit(0)) < F.col("records_per_page"), F.col("page"))
-            ).alias("_after"),
-        )
+        .join(hrefs, ["board", "page"], "left")
+        .fillna(0, ["_n", "_a"])
+    )
+    ends = state.groupBy("board").agg(
+        F.min(F.when(~F.col("has_jobs"), F.col("page"))).alias("_before"),
+        F.min(F.when(F.col("_n") < F.col("records_per_page"), F.col("page"))).alias("_after"),
     )
-    kept = (
-        matched.join(ends, "board", "left")
-        .filter(F.col("_before").isNull() | (F.col("page") < F.col("_before")))
-        .filter(F.col("_after").isNull() | (F.col("page") <= F.col("_after")))
-        .select("board", "page", "ord", F.col("link").alias("url"))
+    first = (F.col("page") == 1) & F.col("has_jobs")
+    problem = (
+        F.when(F.col("html").isNull(), "results_type")
+        .when(F.col("has_jobs").isNull(), "has_jobs_type")
+        .when(first & (F.col("_a") == 0), "no_anchors")
+        .when(first & (F.col("_n") == 0), "no_links")
     )
-    return first_seen(kept, ["board", "url"], F.struct("page", "ord"))
+
+    def until_the_end(rows: DataFrame, at_end: bool) -> DataFrame:
+        before = F.col("page") <= F.col("_before") if at_end else F.col("page") < F.col("_before")
+        joined = rows.join(ends, "board", "left").filter(F.col("_before").isNull() | before)
+        return joined.filter(F.col("_after").isNull() | (F.col("page") <= F.col("_after")))
+
+    wrong = until_the_end(state.withColumn("problem", problem), True).filter("problem is not null")
+    return until_the_end(matched, False), wrong.select("board", "page", "problem")
+
+
+def talentbrew_problems(payloads: DataFrame) -> DataFrame:
+    """board, page, problem of the read pages that fail their board.
+
+    ``results_type`` and ``has_jobs_type``: the envelope's field has another type or is
+    absent; ``no_anchors`` and ``no_links``: page 1 claims jobs and shows none.
+    """
+    return _talentbrew_read(payloads)[1]
+
+
+def talentbrew(payloads: DataFrame) -> DataFrame:
+    """board, page, ord, url of recorded result pages up to the first stopping page.
+
+    Needs board, page, url (request URL), origin, base_path, min_depth, records_per_page,
+    payload. A page without jobs ends the board before it, a page with fewer matching
+    links than a full page ends it after it. A board with a page of
+    :func:`talentbrew_problems` gives no rows: what is stored of it stays as it is.
+    """
+    kept, wrong = _talentbrew_read(payloads)
+    sound = kept.join(wrong.select("board").distinct(), "board", "left_anti")
+    rows = sound.select("board", "page", "ord", F.col("link").alias("url"))
+    return first_seen(rows, ["board", "url"], F.struct("page", "ord"))
 
 
 def peopleforce_locations(pages: DataFrame) -> DataFrame:
