@@ -31,8 +31,9 @@ from vacantia.functions.numbering import numbered
 from vacantia.llm.common import small_batches, stored
 
 K = 32
-#: Kinds of surroundings of one anchor beyond which its strings are compared as table rows.
-HOT = 8_000
+#: Kinds of surroundings of one anchor beyond which its strings are compared as table rows:
+#: as many take a task about 300 MB.
+HOT = 40_000
 #: Bytes hashed at once; longer texts go piece by piece.
 PIECE = 1 << 20
 #: Rows that a task combines at once.
