@@ -108,3 +108,25 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted((r.doc_id or -1, r.text) for r in kept.collect()) == [
         (-1, "only without a key"), (3, "a b c d e f"), (8, "other words here")]
     assert kept.columns == rows.columns
+
+
+def test_pairs_at_the_least_similarity_do_not_both_stay(spark):
+    rng = random.Random(11)
+    texts = []
+    for _ in range(60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(150)]
+        texts.append(" ".join(words))
+        for changed in (1, 2, 3, 4):  # about 0.93 down to 0.76
+            other = list(words)
+            for at in rng.sample(range(150), changed):
+                other[at] = "changed"
+            texts.append(" ".join(other))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [set(simhash.shingle_hashes(simhash.words_of(t), 5).tolist()) for t in texts]
+    stay = []  # by all pairs: a row goes if a row before it stays and has 0.8 of its shingles
+    for i, own in enumerate(sets):
+        if all(len(own & sets[j]) < 0.8 * len(own | sets[j]) for j in stay):
+            stay.append(i)
+    got = sorted(r.doc_id for r in simhash.without_near_duplicates(docs).collect())
+    assert 60 <= len(stay) < 240
+    assert got == stay

@@ -80,6 +80,37 @@ def fingerprints(width: int, number: int = 1):
     return apply
 
 
+def min_hash_bands(hashes: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """A hash of each band of *rows* MinHash values, as signed longs (no hashes: none).
+
+    Two sets at Jaccard similarity s have a given band in common with chance s ** rows.
+    """
+    if not len(hashes):
+        return np.empty(0, np.int64)
+    salts = np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    salts = _again(salts, 1)[:, None]
+    least = np.full(bands * rows, np.iinfo(np.uint64).max)
+    for at in range(0, len(hashes), 1 << 9):
+        part = (hashes[at : at + (1 << 9)] ^ salts) * (salts | np.uint64(1))
+        np.minimum(least, part.min(axis=1), out=least)
+    # Equal values in another place are another band.
+    out = np.arange(bands, dtype=np.uint64)
+    for row in least.reshape(bands, rows).T:
+        out = _again(out ^ row, 1)
+    return out.view(np.int64)
+
+
+def banded(width: int, bands: int, rows: int):
+    """Column function: MinHash bands of the shingles of a text (null and empty: none)."""
+
+    @F.pandas_udf("array<long>")
+    def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([min_hash_bands(shingle_hashes(words_of(t), width), bands, rows) for t in texts])
+
+    return apply
+
+
 def _masks(bits: int, most: int) -> list[int]:
     return [sum(1 << i for i in c) for k in range(most + 1) for c in combinations(range(bits), k)]
 
@@ -216,20 +247,30 @@ def hamming_links(prints: DataFrame, radius: int = 4) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, radius: int = 4, prints: int = 1
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = 4,
+    radius: int = 4,
+    prints: int = 1,
+    bands: int = 0,
+    band_rows: int = 6,
 ) -> DataFrame:
     """(key, fp, root, component) per row: groups of fingerprints that links join.
 
     With *prints* over 1, texts are linked if any of that many independent fingerprints is
     within the radius, which meets more of the less similar copies; *fp* is the first of
-    them. Null and empty texts have fingerprint 0 and are linked like any other. Rows with a
+    them. With *bands*, texts are also linked if one of that many bands of *band_rows*
+    MinHash values is equal. Null and empty texts have fingerprint 0 and are linked like any other. Rows with a
     null key take part; *root* is the group's least fingerprint, *component* its least key
     that is not null (null if there is none). Repeated rows stay and fall in one component.
     Other columns are not read.
     """
     small_batches(docs.sparkSession)
-    made = docs.select(F.col(key).alias("_key"), fingerprints(width, prints)(F.col(text)).alias("_fps"))
-    found = stored(made.select("_key", *[F.get("_fps", i).alias(f"fp{i}") for i in range(prints)]))
+    made = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), fingerprints(width, prints)(F.col(text)).alias("_fps"))
+    if bands:
+        made = made.withColumn("_bands", banded(width, bands, band_rows)(F.col("_text")))
+    found = stored(made.select("_key", *[F.get("_fps", i).alias(f"fp{i}") for i in range(prints)], *["_bands"][: min(bands, 1)]))
     links = hamming_links(found.select(F.col("fp0").alias("fp")), radius)
     for i in range(1, prints):
         # A class of another fingerprint stands for its least first fingerprint.
@@ -241,6 +282,10 @@ def near_duplicates(
         right = stands.select(F.col(f"fp{i}").alias("b"), F.col("to").alias("y"))
         near = near.join(left, "a").join(right, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
         links = links.unionByName(same).unionByName(near)
+    if bands:
+        own = stored(found.select("fp0", F.explode("_bands").alias("_band")).distinct())
+        stands = own.groupBy("_band").agg(F.min("fp0").alias("to"), F.max("fp0").alias("_top")).filter("to <> _top")
+        links = links.unionByName(own.join(stands, "_band").filter("fp0 <> to").select(F.col("fp0").alias("a"), F.col("to").alias("b")))
     roots = stored(components(links)).withColumnRenamed("node", "fp")
     first = found.groupBy(F.col("fp0").alias("fp")).agg(F.min("_key").alias("_least"))
     joined = first.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -282,8 +327,10 @@ def without_near_duplicates(
     text: str = "text",
     width: int = 5,
     radius: int = 4,
-    prints: int = 4,
+    prints: int = 1,
     least: float = 0.8,
+    bands: int = 36,
+    band_rows: int = 6,
 ) -> DataFrame:
     """*docs* without the near copies of rows that stay.
 
@@ -292,10 +339,12 @@ def without_near_duplicates(
     it, and the rest of the group is treated in the same way again, until none is left. So
     each row that goes has a close copy that stays, and no two rows of a group that stay are
     copies of each other. Equal texts, also empty ones, are copies. Repeated rows leave one.
+    A pair at similarity s is in one group by the fingerprint or by a band: the bands miss
+    (1 - s ** band_rows) ** bands of such pairs, by default 2 in 100,000 at 0.8.
     """
     spark = docs.sparkSession
     base = stored(docs.withColumn("__id", F.monotonically_increasing_id()))
-    groups = near_duplicates(base.select("__id", F.col(text).alias("__text")), "__id", "__text", width, radius, prints)
+    groups = near_duplicates(base.select("__id", F.col(text).alias("__text")), "__id", "__text", width, radius, prints, bands, band_rows)
     groups = stored(groups.select("__id", F.col("root").alias("__root")))
     several = groups.groupBy("__root").agg(F.count("*").alias("__n")).filter("__n > 1").select("__root")
     members = groups.join(several, "__root", "left_semi")
