@@ -79,3 +79,34 @@ def test_empty_tables(spark):
     assert decontam.matches(none, some).count() == 0
     assert decontam.matches(some, none).count() == 0
     assert [tuple(r) for r in decontam.matches(some, some).collect()] == [(1, 1, 0, 6, 1.0)]
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_texts_shorter_than_an_item(spark, seed):
+    rng = random.Random(seed)
+    items = [(i, " ".join(f"v{rng.randrange(400)}" for _ in range(rng.choice([2, 5, 6, 39, 59])))) for i in range(40)]
+    docs = []
+    for doc in range(160):
+        words = rng.choice(items)[1].split()
+        for _ in range(rng.randrange(6)):
+            del words[rng.choice([0, -1, rng.randrange(len(words))]) if words else slice(0)]
+        docs.append((doc, " ".join(words)))
+    docs += [(200, items[0][1].split()[0]), (201, "")]
+    want = brute(docs, items, 5, 0.8)
+    for doc, text in docs:  # the whole text against each item that has more words
+        words = decontam.words_of(text)
+        for item, body in items:
+            other = decontam.words_of(body)
+            w = min(5, len(other))
+            if 0 < len(words) < len(other):
+                left, right = shingles(words, w), shingles(other, w)
+                s = sum((left & right).values()) / sum((left | right).values())
+                if s >= 0.8:
+                    want.append((doc, item, 0, len(words), round(s, 9)))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    found = sorted((*r[:4], round(r[4], 9)) for r in decontam.matches(d, b).collect())
+    assert sum(n < len(items[i][1].split()) for _, i, _, n, _ in found) > 10
+    assert found == sorted(want)
+    hit = {f[0] for f in found}
+    assert {r.doc_id for r in decontam.without_benchmark(d, b).collect()} == {doc for doc, _ in docs} - hit

@@ -3,7 +3,8 @@
 A window has as many words as a benchmark item. Its similarity to the item is the weighted
 Jaccard of their word shingles, each shingle weighing as often as it occurs. A window that
 reaches the threshold shares so many shingles with the benchmark that a running count of
-known shingles finds all of them in one pass; only such windows get fingerprints. Those are
+known shingles finds all of them in one pass; only such windows get fingerprints. A text with
+fewer words than an item is one window, if it is long enough to reach the threshold. Those are
 looked up in blocks of their bits: with radius r and b blocks some block differs in at most
 r // b bits, so every item fingerprint within the radius is met. What is met is compared
 exactly.
@@ -138,7 +139,7 @@ class Index:
     def search(self, text: str | None) -> list[tuple[int, int, int, float]]:
         """(item, first word, words, similarity): the best window of every item that is met."""
         words = words_of(text)
-        if not words or not self.sizes or len(words) < self.sizes[0].words:
+        if not words or not self.sizes:
             return []
         get = self.vocabulary.get
         hashed = np.fromiter(map(get, words, repeat(0)), np.uint64, len(words))
@@ -154,12 +155,15 @@ class Index:
         hashes: dict[int, np.ndarray] = {}
         best: dict[int, tuple[float, int, int]] = {}
         for size in self.sizes:
-            number = size.words - size.width + 1
-            if size.width not in marks or len(words) < size.words:
+            whole = size.words - size.width + 1
+            # A text that is shorter than the item is one window.
+            taken = min(size.words, len(words))
+            number = taken - size.width + 1
+            if size.width not in marks or number < max(1, self.least * whole - 1e-9):
                 continue
             mark = marks[size.width]
-            # similarity x / (2 * number - x) reaches the threshold from this x on
-            enough = 2 * number * self.least / (1 + self.least) - 1e-9
+            # similarity x / (whole + number - x) reaches the threshold from this x on
+            enough = (whole + number) * self.least / (1 + self.least) - 1e-9
             starts = np.flatnonzero(mark[number:] - mark[:-number] >= enough)
             if not len(starts):
                 continue
@@ -179,8 +183,8 @@ class Index:
                         s = self.similarity(size.weights[i], runs[start : start + number])
                         if s >= self.least:
                             old = best.get(item)
-                            if old is None or (-s, start, size.words) < (-old[0], old[1], old[2]):
-                                best[item] = s, start, size.words
+                            if old is None or (-s, start, taken) < (-old[0], old[1], old[2]):
+                                best[item] = s, start, taken
         return [(item, start, number, s) for item, (s, start, number) in best.items()]
 
 
@@ -215,7 +219,8 @@ def matches(
     """(key, item, first_word, n_words, similarity): the best window per row and item.
 
     Null and empty texts match nothing, nor do null, empty or wordless items. An item of
-    fewer than *width* words is one shingle. Ties: the earliest window. Repeated rows of
+    fewer than *width* words is one shingle. Against an item with more words than the text,
+    the whole text is the window. Ties: the earliest window. Repeated rows of
     *docs* each give their rows; repeated items count once. Windows more than *radius* bits
     from an item are not compared; at similarity 0.8 a window is about 10 bits away. The
     benchmark goes to the driver and the tasks in parts of about *part_bytes*; each part is
