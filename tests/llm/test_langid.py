@@ -52,3 +52,17 @@ def test_held_out_accuracy(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     held = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.97 * len(held)
+
+
+def test_whole_words_count(spark):
+    """Languages without spaces whose texts begin alike and differ after 24 characters."""
+    head = "的一不是" * 8
+    one, two = "我人在有他", "のはがをに"
+    rows = [(i, head + own * (10 + i), lang) for i in range(20) for own, lang in ((one, "zh"), (two, "ja"))]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    scorer = langid.Scorer(model)
+    assert scorer.predict(head + one * 40)[0] == "zh"
+    assert scorer.predict(head + two * 40)[0] == "ja"
+    assert (head + two * 40) not in scorer.unseen  # too long to be kept
+    assert two[-2:] + "$" in model.grams[3] and head[21:24] + "$" not in model.grams[4]
+    assert scorer.unseen_word(two * 50_000).shape == (2,)

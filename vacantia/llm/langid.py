@@ -17,8 +17,6 @@ from vacantia.llm.common import small_batches
 
 #: A word: a run of letters of any script.
 WORD = re.compile(r"[^\W\d_]+")
-#: Characters of a word that take part in n-grams, at its head and at its tail.
-EDGE = 24
 UNDECIDED = "und"
 
 
@@ -56,6 +54,40 @@ def training_words(docs: DataFrame, lang: str, text: str) -> DataFrame:
     )
 
 
+def training_runs(counts: DataFrame, orders: tuple[int, ...]) -> DataFrame:
+    """(order, lang, key, n): how often each run of characters stands in the whole words of *counts*.
+
+    A word has one sign at its start and one at its end.
+    """
+    schema = pa.schema([("order", pa.int32()), ("lang", pa.string()), ("key", pa.string()), ("n", pa.int64())])
+
+    def taken(found: Counter) -> pa.RecordBatch:
+        keys = zip(*found, strict=True)
+        return pa.record_batch([pa.array(c, f.type) for c, f in zip([*keys, found.values()], schema, strict=True)], schema=schema)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: Counter = Counter()
+            for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                marked = f"^{word}$"
+                for order in orders:
+                    for i in range(len(marked) - order + 1):
+                        found[order, lang, marked[i : i + order]] += n
+                        if len(found) >= 200_000:
+                            yield taken(found)
+                            found.clear()
+            if found:
+                yield taken(found)
+
+    small_batches(counts.sparkSession)
+    return (
+        counts.select("lang", "word", "n")
+        .mapInArrow(count, "order int, lang string, key string, n long")
+        .groupBy("order", "lang", "key")
+        .agg(F.sum("n").alias("n"))
+    )
+
+
 def sample(docs: DataFrame, text: str, bound: int) -> DataFrame:
     """About *bound* rows, chosen by the hash of their text: the same ones on each run."""
     number = docs.count()
@@ -112,19 +144,12 @@ def fit(
 
     words = commonest(counts.withColumnRenamed("word", "key"), max_words, 0, totals)
     grams = {}
-    marked = F.concat(F.lit("^"), F.substring("word", 1, EDGE), F.lit("$"))
+    runs = training_runs(counts, orders).cache()
     for order in orders:
-        starts = F.explode(F.sequence(F.lit(1), F.length("_w") - order + 1)).alias("_i")
-        runs = (
-            counts.withColumn("_w", marked)
-            .filter(F.length("_w") >= order)
-            .select("lang", "_w", "n", starts)
-            .select("lang", F.col("_w").substr(F.col("_i"), F.lit(order)).alias("key"), "n")
-        )
-        table = runs.groupBy("lang", "key").agg(F.sum("n").alias("n")).cache()
+        table = runs.filter(F.col("order") == order)
         sums = {r.lang: r.n for r in table.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
         grams[order] = commonest(table, max_grams, order, sums)
-        table.unpersist()
+    runs.unpersist()
     counts.unpersist()
     logs = np.array(rows) if rows else np.zeros((0, len(langs)))
     return Model(langs, words, grams, logs, missing)
@@ -134,6 +159,8 @@ class Scorer:
     """Scores texts by one model; keeps the vectors of unseen words it has met, up to a bound."""
 
     KEEP = 200_000
+    #: Longer words are not kept: a word may be a whole text.
+    LONGEST = 64
 
     def __init__(self, model: Model) -> None:
         self.model = model
@@ -144,13 +171,15 @@ class Scorer:
         got = self.unseen.get(word)
         if got is None:
             model = self.model
-            marked = f"^{word[:EDGE]}$"
+            marked = f"^{word}$"
             got = np.zeros(len(model.langs))
             for order, index in model.grams.items():
                 at = [index[g] for i in range(len(marked) - order + 1) if (g := marked[i : i + order]) in index]
                 if at:
-                    got = model.logs[at].mean(axis=0)
+                    got = sum(model.logs[at[j : j + 10_000]].sum(axis=0) for j in range(0, len(at), 10_000)) / len(at)
                     break
+            if len(word) > self.LONGEST:
+                return got
             if len(self.unseen) >= self.KEEP:
                 self.unseen.clear()
             self.unseen[word] = got
