@@ -72,3 +72,57 @@ def test_table(spark):
     back = pieces.decoded(got, PIECES).collect()
     assert sorted(r.text for r in back) == ["", "", "abc def", "abc def", "▁ z\n"]
     assert pieces.encoded(docs.filter("false"), PIECES).count() == 0
+
+
+def test_each_occurrence_draws_anew(vocabulary):
+    encoder = pieces.Encoder(vocabulary, 0.1, 1)
+    ids = encoder.encode(["of" + " of" * 3999])[0].tolist()
+    # One piece by "of" or " o" first: none of two merges skipped, or "of" only and none of two others.
+    whole = ids.count(vocabulary.ids[" of"])
+    assert abs(whole / 4000 - (0.9**2 + 0.1 * 0.9**2)) < 0.03
+    common = ["the", "and", "of", "in", "to", "is", "for", "with", "that", "on", "as", "by"]
+    text = " ".join(common * 300)
+    got = [tuple(x) for x in _by_word(vocabulary, encoder.encode([text])[0].tolist())]
+    forms = {w: {x for x, c in zip(got, common * 300) if c == w} for w in common}
+    assert all(len(f) > 1 for f in forms.values())
+
+
+def _by_word(vocabulary, ids):
+    out = []
+    for i in ids:
+        if vocabulary.back[i].startswith(b" "):
+            out.append([])
+        out[-1].append(i)
+    return out
+
+
+class EveryDraw(pieces.Merger):
+    """Takes every occurrence for one that skips a merge, and merges one by one."""
+
+    @staticmethod
+    def skipped(keys, places, limit):
+        return keys == keys
+
+    def merge_keyed(self, words, keys, limit, traces=None):
+        if traces is not None:
+            return super().merge_keyed(words, keys, limit, traces)
+        return [self.vocabulary.merge_keyed(w, int(k), limit) for w, k in zip(words, keys)]
+
+
+@pytest.mark.parametrize("dropout", [0.1, 0.5, 1.0])
+def test_own_draws_same_as_one_by_one(vocabulary, dropout):
+    some = texts(5, 300, 150) + texts(6, 100, 200, "abcdeinthr sm") + ["x" * 500, " ", "\ud800", "", None, "▁"]
+    encoder = pieces.Encoder(vocabulary, dropout, 7)
+    got = encoder.encode(some)
+    assert [vocabulary.decode(x.tolist()) for x in got] == [t or "" for t in some]
+    # Every occurrence merged by itself under its key, without the short cut for words that skip nothing.
+    slow = pieces.Encoder(vocabulary, dropout, 7)
+    slow.merger = EveryDraw(vocabulary)
+    assert [x.tolist() for x in slow.encode(some)] == [x.tolist() for x in got]
+    assert [x.tolist() for t in some[::-1] for x in encoder.encode([t])][::-1] == [x.tolist() for x in got]
+
+
+def test_many_new_words_in_one_batch(vocabulary):
+    text = " ".join(f"ab{i}" for i in range(20_000))
+    ids = pieces.Encoder(vocabulary, 0.1, 7).encode([text])[0].tolist()
+    assert vocabulary.decode(ids) == text

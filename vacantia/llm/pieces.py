@@ -3,10 +3,11 @@
 The vocabulary is read once on the driver and broadcast (its size is fixed). Pieces never
 reach over the start of a word, so a text is encoded word by word: a word is its spaces and
 what follows them. Merges are taken from an agenda, best score first, then leftmost. With
-dropout every candidate merge is skipped or not by a keyed hash of (seed, roll, word, place
-of the merge): no random state, so a task that runs again gives the same ids. Each run of
-words of a text draws one of ``rolls`` such patterns by a hash of the seed, the text and its
-place; a worker keeps the segmentations it has made, up to a bound.
+dropout every candidate merge is skipped or not by a keyed hash of (seed, text, place of the
+word, place of the merge): no random state, so a task that runs again gives the same ids, and
+each occurrence of a word draws anew. A worker keeps the merges of words without dropout, up
+to a bound: an occurrence that skips none of them has that segmentation. With ``rolls`` over 0
+each run of words draws one of so many patterns instead, which can be kept too.
 """
 
 from __future__ import annotations
@@ -80,13 +81,16 @@ class Vocabulary:
 
     def merge(self, word: str, salt: int, limit: int) -> tuple[int, ...]:
         """Ids of one word; a merge of [left, right) is skipped if its keyed hash is below *limit*."""
+        return self.merge_keyed(word, xxh64_intdigest(word.encode("utf-8", "surrogatepass"), salt) if limit else 0, limit)
+
+    def merge_keyed(self, word: str, key: int, limit: int, trace: list[int] | None = None) -> tuple[int, ...]:
+        """As :meth:`merge`, with the key of the hash; the places of the merges are added to *trace*."""
         ranks = self.ranks
         n = len(word)
         if n == 1:
             return self._ids([word])
         bits = n.bit_length()
         low = (1 << bits) - 1
-        key = xxh64_intdigest(word.encode("utf-8", "surrogatepass"), salt) if limit else 0
         ends = list(range(1, n + 1))  # end of the symbol that starts at i; 0 once merged away
         before = list(range(-1, n - 1))
         # A candidate is one number: rank, then left, middle and right as places in the word.
@@ -107,6 +111,8 @@ class Vocabulary:
                 x = (key ^ (left << 42 | middle << 21 | right)) * 0x9E3779B97F4A7C15 & _M
                 if ((x ^ x >> 29) * 0xBF58476D1CE4E5B9 & _M) >> 32 < limit:
                     continue
+            if trace is not None:
+                trace.append(left << 42 | middle << 21 | right)
             ends[left], ends[middle] = right, 0
             if right < n:
                 before[right] = left
@@ -189,6 +195,13 @@ class Merger:
 
     def merge(self, words: list[str], salts: list[int], limit: int) -> list[tuple[int, ...]]:
         """Ids of each word under its salt; the same as merging them one by one."""
+        keys = [xxh64_intdigest(w.encode("utf-8", "surrogatepass"), s) for w, s in zip(words, salts, strict=True)] if limit else []
+        return self.merge_keyed(words, np.array(keys or np.zeros(len(words)), np.uint64), limit)
+
+    def merge_keyed(
+        self, words: list[str], keys: np.ndarray, limit: int, traces: list[np.ndarray] | None = None
+    ) -> list[tuple[int, ...]]:
+        """As :meth:`merge`, with the keys of the hashes; *traces* gets the places of each word's merges."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         text = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         symbols = self.chars[text]
@@ -197,17 +210,25 @@ class Merger:
         plain &= sizes <= self.SIZES[-1]
         out: list = [None] * len(words)
         for i in np.flatnonzero(~plain).tolist():
-            out[i] = self.vocabulary.merge(words[i], salts[i], limit)
+            own: list[int] = []
+            out[i] = self.vocabulary.merge_keyed(words[i], int(keys[i]), limit, None if traces is None else own)
+            if traces is not None:
+                traces[i] = np.array(own, np.uint64)
         least = 0
         for most in self.SIZES:
             own = np.flatnonzero(plain & (sizes > least) & (sizes <= most))
             least = most
             for at in range(0, len(own), 8192):
                 part = own[at : at + 8192]
-                key = np.fromiter(
-                    (xxh64_intdigest(words[i].encode(), salts[i]) for i in part.tolist()), np.uint64, len(part)
-                ) if limit else np.zeros(len(part), np.uint64)
-                ids, counts = self._block(symbols, starts[part], sizes[part], most, key, limit)
+                steps: list | None = None if traces is None else []
+                ids, counts = self._block(symbols, starts[part], sizes[part], most, keys[part], limit, steps)
+                if steps is not None:
+                    rows = np.concatenate([r for r, _ in steps] or [np.empty(0, np.int64)])
+                    places = np.concatenate([p for _, p in steps] or [np.empty(0, np.uint64)])
+                    places = places[np.argsort(rows, kind="stable")]
+                    many = np.cumsum(np.bincount(rows, minlength=len(part)))
+                    for i, these in zip(part.tolist(), np.split(places, many[:-1]), strict=True):
+                        traces[i] = these.copy()
                 ends = np.cumsum(counts).tolist()
                 begin = 0
                 for i, end in zip(part.tolist(), ends, strict=True):
@@ -215,7 +236,14 @@ class Merger:
                     begin = end
         return out
 
-    def _block(self, symbols, starts, sizes, most, key, limit) -> tuple[list[int], np.ndarray]:
+    @staticmethod
+    def skipped(keys: np.ndarray, places: np.ndarray, limit: int) -> np.ndarray:
+        """Whether the merge at each place is skipped under its key."""
+        x = (keys ^ places) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return (x >> np.uint64(32)) < np.uint64(limit)
+
+    def _block(self, symbols, starts, sizes, most, key, limit, steps=None) -> tuple[list[int], np.ndarray]:
         number = len(starts)
         place = np.arange(most)
         inside = place < sizes[:, None]
@@ -241,13 +269,12 @@ class Merger:
             right = after[rows, middle]
             r, go_left, go_middle, go_right = rows, left, middle, right
             if limit:
-                x = (left << 42 | middle << 21 | right).astype(np.uint64)
-                x = (key[rows] ^ x) * np.uint64(0x9E3779B97F4A7C15)
-                x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-                skip = (x >> np.uint64(32)) < np.uint64(limit)
+                skip = self.skipped(key[rows], (left << 42 | middle << 21 | right).astype(np.uint64), limit)
                 rank[rows[skip], left[skip]] = self.NONE
                 go = ~skip
                 r, go_left, go_middle, go_right = rows[go], left[go], middle[go], right[go]
+            if steps is not None:
+                steps.append((r, (go_left << 42 | go_middle << 21 | go_right).astype(np.uint64)))
             piece = made[r, go_left]
             symbol[r, go_left] = piece
             live[r, go_middle] = False
@@ -276,11 +303,15 @@ class Encoder:
     #: Words of a text that share one draw.
     RUN = 32
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, rolls: int) -> None:
+    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, rolls: int = 0) -> None:
         self.vocabulary = vocabulary
         self.merger = Merger(vocabulary)
         self.limit = round(dropout * (1 << 32))
         self.seed, self.rolls = seed, rolls if self.limit else 1
+        #: Words without dropout, for draws of each occurrence: number, ids and places of the merges.
+        self.number: dict[str, int] = {}
+        self.plain: list[tuple[int, ...]] = []
+        self.traces: list[np.ndarray] = []
         self.salts = [xxh64_intdigest(f"{seed}:{r}".encode()) for r in range(self.rolls)]
         self.made: list[dict[str, tuple[int, ...]]] = [{} for _ in range(self.rolls)]
 
@@ -294,8 +325,56 @@ class Encoder:
             blocks.append(((x ^ x >> 31) % self.rolls, words[at : at + self.RUN]))
         return blocks
 
+    def _anew(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text, every occurrence of a word by its own draw."""
+        if len(self.number) > self.KEEP:
+            self.number, self.plain, self.traces = {}, [], []
+        split = [_PART.findall(" " + t) if t else [] for t in texts]
+        words = list(chain.from_iterable(split))
+        if not words:
+            return [np.empty(0, np.int32) for _ in texts]
+        missing = [w for w in dict.fromkeys(words) if w not in self.number]
+        if missing:
+            traces: list = [None] * len(missing)
+            self.plain += self.merger.merge_keyed(missing, np.zeros(len(missing), np.uint64), 0, traces)
+            self.traces += traces
+            self.number.update(zip(missing, range(len(self.number), len(self.number) + len(missing)), strict=True))
+        # The key of an occurrence: the seed, the text and the word's place in it.
+        base = [xxh64_intdigest(t.encode("utf-8", "surrogatepass"), self.seed) if t else 0 for t in texts]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        keys = np.repeat(np.array(base, np.uint64), sizes) + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        keys = (keys ^ (keys >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        keys ^= keys >> np.uint64(31)
+        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        found = list(map(self.plain.__getitem__, at.tolist()))
+        # Places of the merges of all words of the batch, one after the other.
+        own, at = np.unique(at, return_inverse=True)
+        places = [self.traces[i] for i in own.tolist()]
+        many = np.fromiter(map(len, places), np.int64, len(places))
+        first, places = np.cumsum(many) - many, np.concatenate(places)
+        drawn = np.zeros(len(words), bool)
+        for low in range(0, len(words), 1 << 16):
+            part = at[low : low + (1 << 16)]
+            n = many[part]
+            row = np.repeat(np.arange(len(part)), n)
+            inner = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            skip = self.merger.skipped(keys[low + row], places[np.repeat(first[part], n) + inner], self.limit)
+            drawn[low + row[skip]] = True
+        again = np.flatnonzero(drawn).tolist()
+        if again:
+            for i, ids in zip(again, self.merger.merge_keyed([words[i] for i in again], keys[again], self.limit), strict=True):
+                found[i] = ids
+        ends = np.cumsum(sizes).tolist()
+        return [
+            np.fromiter(chain.from_iterable(found[end - n : end]), np.int32)
+            for n, end in zip(sizes.tolist(), ends, strict=True)
+        ]
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text (null and empty: none)."""
+        if not self.rolls:
+            return self._anew(texts)
         if sum(map(len, self.made)) > self.KEEP:
             for made in self.made:
                 made.clear()
@@ -329,13 +408,14 @@ def _encoder(shared, dropout: float, seed: int, rolls: int) -> Encoder:
 
 def encoded(
     docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text",
-    dropout: float = 0.1, seed: int = 42, rolls: int = 4,
+    dropout: float = 0.1, seed: int = 42, rolls: int = 0,
 ) -> DataFrame:
     """(key, ids, n_ids, lossless) per row of *docs*; only *key* and *text* are read.
 
     *lossless* tells that the ids decode to the text, checked on every row. Null and empty
     texts have no ids and decode to the empty text. A literal mark, control characters and
-    characters outside the vocabulary are encoded as bytes. Equal texts give equal ids;
+    characters outside the vocabulary are encoded as bytes. Each occurrence of a word draws
+    its own dropout, unless *rolls* bounds the patterns (:class:`Encoder`). Equal texts give equal ids;
     repeated rows stay.
     """
     spark: SparkSession = docs.sparkSession
