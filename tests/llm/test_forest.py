@@ -1,5 +1,7 @@
 """Forest links against all pairs; every leaf size, dense groups, unusable vectors."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -72,3 +74,34 @@ def test_unusable_vectors(spark):
     got = sorted(((r.vec_id or 0, r.n_links, r.component) for r in forest.linked(table).collect()))
     assert got == sorted([(1, 4, 1), (2, 4, 1), (2, 4, 1), (0, 4, 1), (12, 4, 1)] + [(i, 0, i) for i in (3, 4, 5, 6, 7, 8, 9, 10, 11)])
     assert forest.linked(table.filter("false")).count() == 0
+
+
+def test_hot_label_late_in_order_is_split_before_the_tasks(spark, monkeypatch):
+    """Labels below the bound come first by name and by rows; no task sees a leaf above the bound."""
+    monkeypatch.setattr(forest, "LEAF", 40)
+    monkeypatch.setattr(forest, "LEAF_SAMPLE", 32)
+    x = clusters(9, 1800)
+    labels = np.array([f"a{i // 30:02}" if i < 900 else "z" for i in range(1800)])
+    ids = np.arange(1800)
+    table = spark.createDataFrame([(int(i), v.tolist(), str(g)) for i, v, g in zip(ids, x, labels)], "vec_id long, embedding array<double>, label string")
+    seen = spark.sparkContext.accumulator(0)
+    comparer = forest._comparer
+
+    def counting(*args):
+        inner = comparer(*args)
+
+        def apply(batches):
+            def passed():
+                for batch in batches:
+                    names = Counter(zip(batch.column("grp").to_pylist(), batch.column("leaf").to_pylist()))
+                    seen.add(sum(n > 4 * 40 for n in names.values()))
+                    yield batch
+
+            yield from inner(passed())
+
+        return apply
+
+    monkeypatch.setattr(forest, "_comparer", counting)
+    got = {r.vec_id: (r.n_links, r.component) for r in forest.linked(table, trees=6, max_sample=60).collect()}
+    assert got == brute(ids, labels, x, 0.98)
+    assert seen.value == 0

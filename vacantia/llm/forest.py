@@ -5,8 +5,9 @@ goes to both sides of a split that it is close to. Pairs are compared exactly wi
 A pair that meets in several leaves counts in the first of them only, which both vectors
 know from their lists of leaves; so links are counted without writing pairs, and a leaf
 leaves a spanning forest of its links: at most one edge per vector, however dense it is.
-Equal vectors are one class throughout. A leaf that is still large is split again in its
-task, by the same rule.
+Equal vectors are one class throughout. Leaves that more vectors reach than are compared at
+once are split again by samples of their own before anything is shuffled, until none is left
+that can be split; what is too dense for that is split in its task as far as it can be.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ from vacantia.llm.simhash import _forest
 
 #: Vectors that a leaf should have; leaves of up to four times as many are compared at once.
 LEAF = 1_500
-#: Groups (label and dimension) that get trees of their own; all others are one leaf to begin with.
+#: Groups (label and dimension) that are given trees at once; others follow if they are too large for one leaf.
 MAX_GROUPS = 5_000
+#: Large leaves split at once, and sampled vectors of each at least.
+MAX_LEAVES, LEAF_SAMPLE = 500, 128
 
 
 @dataclass
@@ -70,6 +73,107 @@ def route(node: Node, vectors: np.ndarray, rows: np.ndarray, spill: float) -> It
     yield from route(node.high, vectors, rows[place >= node.at - spill], spill)
 
 
+def leaves_of(node: Node) -> Iterator[Node]:
+    """All leaves of a tree."""
+    if node.direction is None:
+        yield node
+    else:
+        yield from leaves_of(node.low)
+        yield from leaves_of(node.high)
+
+
+def _unit(batch: pa.RecordBatch, rows: np.ndarray) -> np.ndarray:
+    """The unit vectors of the given rows, whose last column is the vector."""
+    flat = batch.column(batch.num_columns - 1).take(pa.array(rows)).flatten()
+    vectors = flat.to_numpy().astype(np.float64).reshape(len(rows), -1)
+    return vectors / np.linalg.norm(vectors, axis=1)[:, None]
+
+
+def _reached(shared, spill: float):
+    """Rows (cid, grp, vector) -> (grp, leaf, n): vectors of a batch that reach each leaf."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = shared.value
+        for batch in batches:
+            grp = np.array(batch.column(1).to_pylist())
+            out = []
+            for name in np.unique(grp):
+                vectors = _unit(batch, np.flatnonzero(grp == name))
+                for root in forest[str(name)]:
+                    out += [(str(name), leaf, len(r)) for leaf, r in route(root, vectors, np.arange(len(vectors)), spill)]
+            if out:
+                yield pa.record_batch([pa.array(c) for c in zip(*out, strict=True)], names=["grp", "leaf", "n"])
+
+    return apply
+
+
+def _drawn(shared, spill: float):
+    """Rows (cid, grp, vector) -> (leaf, vector) of those that the hash of row and leaf draws for a large leaf."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest, shares = shared.value
+        for batch in batches:
+            cid, grp = batch.column(0).to_numpy(), np.array(batch.column(1).to_pylist())
+            for name in np.unique(grp):
+                own = np.flatnonzero(grp == name)
+                vectors = _unit(batch, own)
+                for root in forest[str(name)]:
+                    for leaf, rows in route(root, vectors, np.arange(len(own)), spill):
+                        if leaf not in shares:
+                            continue
+                        x = (cid[own[rows]] ^ leaf).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+                        rows = rows[(x >> np.uint64(32)).astype(np.float64) < shares[leaf] * 2**32]
+                        if len(rows):
+                            yield pa.record_batch(
+                                [pa.array(np.full(len(rows), leaf)), pa.array(list(vectors[rows]), pa.list_(pa.float64()))],
+                                names=["leaf", "vector"],
+                            )
+
+    return apply
+
+
+def deepen(classes: DataFrame, forest: dict[str, list[Node]], large: dict[str, int], rng: np.random.Generator, trees: int, spill: float) -> None:
+    """Split leaves in place until no leaf of the *large* groups that can be split is above the bound.
+
+    Only as many leaves as the driver can hold samples of are split at a time.
+    """
+    spark = classes.sparkSession
+    for name in sorted(large):
+        if name not in forest:
+            forest[name] = [Node(int(rng.integers(1 << 62))) for _ in range(trees)]
+    dense: set[int] = set()
+    names = spark.createDataFrame([(n,) for n in sorted(large)], "grp string")
+    rows = classes.join(F.broadcast(names), "grp", "left_semi").select("cid", "grp", "v")
+    while True:
+        small_batches(spark)
+        reached = rows.mapInArrow(_reached(spark.sparkContext.broadcast(forest), spill), "grp string, leaf long, n long")
+        over = reached.groupBy("leaf").agg(F.sum("n").alias("n")).filter(F.col("n") > 4 * LEAF)
+        if dense:
+            over = over.join(F.broadcast(spark.createDataFrame([(x,) for x in dense], "leaf long")), "leaf", "left_anti")
+        sizes = {r.leaf: r.n for r in over.orderBy(F.desc("n"), "leaf").limit(MAX_LEAVES).collect()}
+        if not sizes:
+            return
+        wanted = max(LEAF_SAMPLE, 20_000 // len(sizes))
+        shares = {leaf: min(1.0, wanted / n) for leaf, n in sizes.items()}
+        drawn = rows.mapInArrow(_drawn(spark.sparkContext.broadcast((forest, shares)), spill), "leaf long, vector array<double>")
+        samples: dict[int, list] = {}
+        for r in drawn.collect():
+            samples.setdefault(r.leaf, []).append(r.vector)
+        for name in sorted(large):
+            for node in [x for root in forest[name] for x in leaves_of(root)]:
+                if node.name not in sizes:
+                    continue
+                own = np.array(sorted(samples.get(node.name, [])), np.float64)
+                for _ in range(3):
+                    split = grow(rng, own, sizes[node.name] / LEAF, spill)
+                    if split.direction is not None:
+                        node.direction, node.at, node.low, node.high = split.direction, split.at, split.low, split.high
+                        break
+                else:
+                    dense.add(node.name)
+
+
 def _lists(found: list[tuple[int, np.ndarray]], number: int) -> np.ndarray:
     """Sorted leaves of each row, padded with -1."""
     rows = np.concatenate([r for _, r in found])
@@ -178,7 +282,7 @@ def _comparer(least: float, spill: float, trees: int):
             lists = rows.column("leaves").to_pylist()
             width = max(map(len, lists))
             names = np.array([x + [-1] * (width - len(x)) for x in lists], np.int64)
-            vectors = np.array(rows.column("vector").to_pylist(), np.float64)
+            vectors = rows.column("vector").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
             counts, edges = worker.links(now[1], ids, weights, names, vectors)
             some = np.flatnonzero(counts)
             if len(some):
@@ -223,8 +327,8 @@ def linked(
     with a null or non-finite component link with nothing: 0 links, the component is the
     key. Repeated rows are vectors of their own that link with each other. A component is
     its least key that is not null. *spill* is half the typical projected distance of a pair
-    at the threshold by default. The trees are fitted on about *max_sample* vectors; every
-    row is indexed and compared.
+    at the threshold by default. The trees are fitted on about *max_sample* vectors, and
+    leaves that are still too large on samples of their own; every row is indexed and compared.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(key).alias("vid"), F.col(label).cast("string").alias("label"), F.col(embedding).cast("array<double>").alias("v"))
@@ -246,20 +350,31 @@ def linked(
     width = 64
     if sizes:
         share = int(min(1.0, max_sample / sum(sizes.values())) * 1_000_000)
-        chosen = classes.filter(F.pmod(F.xxhash64(F.lit("fit"), "v"), F.lit(1_000_000)) < share)
+        large = spark.createDataFrame([(g,) for g in sizes], "grp string")
+        chosen = classes.join(F.broadcast(large), "grp", "left_semi").filter(F.pmod(F.xxhash64(F.lit("fit"), "v"), F.lit(1_000_000)) < share)
         sample: dict[str, list] = {}
-        for r in chosen.select("grp", "v").orderBy("grp", "cid").limit(2 * max_sample).collect():
-            sample.setdefault(r.grp, []).append(r.v)
+        for r in chosen.select("grp", "cid", "v").collect():
+            sample.setdefault(r.grp, []).append((r.cid, r.v))
+        sample = {g: [v for _, v in sorted(own)] for g, own in sample.items()}
         width = max(len(v[0]) for v in sample.values()) if sample else width
     if spill is None:
         spill = 0.5 * math.sqrt(max(0.0, 2 - 2 * least)) / math.sqrt(width)
     if sizes:
         rng = np.random.default_rng(20)
+        done: set[str] = set()
         for name, own in sorted(sample.items()):
-            if name in sizes:
-                x = np.array(own, np.float64)
-                x /= np.linalg.norm(x, axis=1)[:, None]
-                forest[name] = [grow(rng, x, sizes[name] / LEAF, spill) for _ in range(trees)]
+            x = np.array(own, np.float64)
+            x /= np.linalg.norm(x, axis=1)[:, None]
+            forest[name] = [grow(rng, x, sizes[name] / LEAF, spill) for _ in range(trees)]
+        while True:
+            over = classes.groupBy("grp").agg(F.count("*").alias("n")).filter(F.col("n") > 4 * LEAF)
+            if done:
+                over = over.join(F.broadcast(spark.createDataFrame([(g,) for g in done], "grp string")), "grp", "left_anti")
+            more = {r.grp: r.n for r in over.orderBy(F.desc("n"), "grp").limit(MAX_GROUPS).collect()}
+            if not more:
+                break
+            deepen(classes, forest, more, rng, trees, spill)
+            done.update(more)
     small_batches(spark)
     routed = classes.select("cid", "grp", "weight", "v").mapInArrow(
         _router(spark.sparkContext.broadcast(forest), trees, spill),
