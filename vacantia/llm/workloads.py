@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import chat, decontam, forest, langid, linededup, pieces, quality, repeats, shards, simhash
+from vacantia.llm import (
+    centroids,
+    chat,
+    decontam,
+    forest,
+    langid,
+    linededup,
+    pieces,
+    quality,
+    repeats,
+    resampling,
+    secrets,
+    shards,
+    simhash,
+)
 from vacantia.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +196,100 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select(
         "doc_id", langid.held_out().alias("held_out"), quality.scored(model, docs).alias("score")
     ).withColumn("predicted", (F.col("score") >= quality.CUT).cast("int"))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE bits AS (
+  SELECT i, 0 AS round, i AS v FROM generate_series(0, 255) t(i)
+  UNION ALL
+  SELECT i, round + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE round < 8
+), step AS (
+  SELECT list(v ORDER BY i) AS t FROM bits WHERE round = 8
+), words AS (
+  SELECT 'd' AS side, doc_id AS id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents
+  UNION ALL
+  SELECT 'b', item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark
+), kinds AS (
+  SELECT w, hex(encode(w)) AS h FROM (SELECT DISTINCT w FROM words)
+), hashed AS (
+  SELECT w, xor(list_reduce(list_transform(range(0, length(h) // 2),
+      lambda j: ('0x' || substr(h, 2 * j + 1, 2))::BIGINT),
+      lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1]), 4294967295::BIGINT), 4294967295) % 10000 AS bucket
+  FROM kinds, step
+), counted AS (
+  SELECT bucket, count(*) FILTER (WHERE side = 'd') AS s, count(*) FILTER (WHERE side = 'b') AS t
+  FROM words JOIN hashed USING (w) GROUP BY bucket
+), totals AS (
+  SELECT coalesce(sum(s), 0)::BIGINT AS s_all, coalesce(sum(t), 0)::BIGINT AS t_all FROM counted
+), gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1) * (s_all + 10000))::DOUBLE / ((s + 1) * (t_all + 10000))::DOUBLE))::BIGINT AS gain
+  FROM counted, totals
+), weighed AS (
+  SELECT id AS doc_id, count(*) AS n_features, sum(gain)::BIGINT AS weight
+  FROM words JOIN hashed USING (w) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id
+), scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM documents LEFT JOIN weighed USING (doc_id)
+), ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS number
+  FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * number // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+
+@query("op11_position_table_resampling", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs, target = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return resampling.resampled(docs, target, longest=1, buckets=10_000, percent=10, least_words=20, seed=2024)
+
+
+@query("op12_randomness_battery_secrets")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scanned(table(spark, folder, "documents"))
+    many = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        many(0).alias("n_assign"),
+        many(1).alias("n_access"),
+        many(2).alias("n_hex"),
+        F.sha2(F.col("base_text").cast("binary"), 256).alias("base_sha256"),
+        F.col("spans_text").alias("spans"),
+    )
+
+
+def _op13_sql() -> str:
+    """Every round as tables of its own: nearest centroid of each vector, then the floor of each mean."""
+    square = "list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    near = f"SELECT vec_id, any_value(v.x) AS x, min({square}) AS distance, arg_min(c.c, ({square}, c.c)) AS cluster FROM v, {{}} c GROUP BY vec_id"
+    parts = [
+        """v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x::DOUBLE))) = 64
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, x FROM v ORDER BY sha256('2:' || vec_id) LIMIT 40
+)"""
+    ]
+    for i in range(5):
+        parts.append(f"a{i} AS ({near.format(f'c{i}')})")
+        parts.append(
+            f"s{i} AS (SELECT cluster, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM a{i}, generate_series(1, 64) t(i) GROUP BY cluster, i)"
+        )
+        parts.append(f"m{i} AS (SELECT cluster AS c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM s{i} GROUP BY cluster)")
+        parts.append(f"c{i + 1} AS (SELECT c{i}.c, coalesce(m{i}.x, c{i}.x) AS x FROM c{i} LEFT JOIN m{i} USING (c))")
+    parts.append(f"a5 AS ({near.format('c5')})")
+    body = ",\n".join(parts)
+    return f"""WITH {body}
+SELECT vec_id, a5.cluster::INT AS cluster, distance, sum(distance) OVER (PARTITION BY a5.cluster)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c5.x, ',')) AS centroid_sha256
+FROM a5 JOIN c5 ON c5.c = a5.cluster
+"""
+
+
+@query("op13_rotated_filter_centroids", _op13_sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.clustered(table(spark, folder, "embeddings")).drop("compared")
