@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,32 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+_SHARED: list[Broadcast] = []
+
+
+def share(spark: SparkSession, value) -> Broadcast:
+    """A broadcast of a value of bounded size that :func:`release` can give up."""
+    made = spark.sparkContext.broadcast(value)
+    _SHARED.append(made)
+    return made
+
+
+def release(keep: bool = False) -> None:
+    """Give up what :func:`share` has sent since the last call.
+
+    Call it once every table that needs it is written; *keep* leaves the driver's copy, so
+    that a table which is not written after all can still be made.
+    """
+    for made in _SHARED:
+        try:
+            made.unpersist() if keep else made.destroy()
+        except Exception as gone:  # a stopped session has given everything up itself
+            if "stopped" not in str(gone).lower() and "NoneType" not in str(gone):
+                raise
+    if not keep:
+        _SHARED.clear()
+
+
 def stored(df: DataFrame) -> DataFrame:
     """*df* as a Parquet table in the shared checkpoint folder: lineage ends there.
 

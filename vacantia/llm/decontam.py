@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from vacantia.llm.common import small_batches
+from vacantia.llm.common import share, small_batches
 
 WORD = re.compile(r"[^\W_]+")
 #: UTF-8 bytes of benchmark texts in one broadcast index; a larger benchmark takes more passes.
@@ -245,7 +245,7 @@ def matches(
     narrow = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
     found = None
     for index in indexes(benchmark, item, item_text, width, least, radius, part_bytes):
-        hits = narrow.mapInArrow(searcher(spark.sparkContext.broadcast(index)), ddl)
+        hits = narrow.mapInArrow(searcher(share(spark, index)), ddl)
         found = hits if found is None else found.unionByName(hits)
     return found
 
@@ -265,6 +265,6 @@ def without_benchmark(
 
     clean = docs
     for index in indexes(benchmark, item, item_text, width, least, radius, part_bytes):
-        clean = clean.filter(free_of(docs.sparkSession.sparkContext.broadcast(index)))
+        clean = clean.filter(free_of(share(docs.sparkSession, index)))
     small_batches(docs.sparkSession)
     return clean

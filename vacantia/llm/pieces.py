@@ -5,17 +5,19 @@ reach over the start of a word, so a text is encoded word by word: a word is its
 what follows them. Merges are taken from an agenda, best score first, then leftmost. With
 dropout every candidate merge is skipped or not by a keyed hash of (seed, text, place of the
 word, place of the merge): no random state, so a task that runs again gives the same ids, and
-each occurrence of a word draws anew. A worker keeps the merges of words without dropout, up
-to a bound: an occurrence that skips none of them has that segmentation. With ``rolls`` over 0
-each run of words draws one of so many patterns instead, which can be kept too.
+each occurrence of a word draws anew. A task keeps the merges of short words without dropout,
+up to a bound in bytes: an occurrence that skips none of them has that segmentation. A long
+word is cut where no piece has the two characters on either side, so no merge can cross; very
+long texts are encoded some ten thousand words at a time.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -24,12 +26,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from vacantia.llm.common import small_batches
+from vacantia.llm.common import share, small_batches
 
 #: The model's sign for a space inside pieces (fixed by the format).
 MARK = "▁"
 _PART = re.compile(r" *[^ \n]+| +|\n")
 _M = (1 << 64) - 1
+#: Words of more characters are not kept and are merged one by one.
+LONGEST = 64
+
+
+def place_of(left: int, middle: int, right: int, whole: int) -> int:
+    """Name of the merge of [left, middle) and [middle, right) in a word of *whole* characters, 64 bits."""
+    if whole < 1 << 21:
+        return left << 42 | middle << 21 | right
+    return (left * 0x9E3779B97F4A7C15 ^ middle * 0xC2B2AE3D27D4EB4F ^ right * 0x165667B19E3779F9) & _M
 
 
 class Vocabulary:
@@ -40,6 +51,8 @@ class Vocabulary:
         self.ranks: dict[str, int] = {}
         self.bytes: dict[int, int] = {}
         self.back: list[bytes] = []
+        #: Pairs of characters that stand side by side in some piece.
+        self.pairs: set[str] = set()
         scores = sorted({score for _, score, _ in pieces}, reverse=True)
         place = {score: i for i, score in enumerate(scores)}
         for i, (piece, score, kind) in enumerate(pieces):
@@ -51,6 +64,7 @@ class Vocabulary:
                 text = piece.replace(MARK, " ")
                 self.ids[text] = i
                 self.ranks[text] = place[score]
+                self.pairs.update(text[j : j + 2] for j in range(len(text) - 1))
                 self.back.append(text.encode())
             else:
                 self.back.append(b"")
@@ -69,7 +83,7 @@ class Vocabulary:
         size = model.get_piece_size()
         return cls([(model.id_to_piece(i), model.get_score(i), kind(i)) for i in range(size)])
 
-    def _ids(self, symbols: list[str]) -> tuple[int, ...]:
+    def _ids(self, symbols: list[str]) -> list[int]:
         out = []
         for s in symbols:
             i = self.ids.get(s)
@@ -77,22 +91,33 @@ class Vocabulary:
                 out.extend(self.bytes[b] for b in s.encode("utf-8", "surrogatepass"))
             else:
                 out.append(i)
-        return tuple(out)
+        return out
 
-    def merge(self, word: str, salt: int, limit: int) -> tuple[int, ...]:
-        """Ids of one word; a merge of [left, right) is skipped if its keyed hash is below *limit*."""
-        return self.merge_keyed(word, xxh64_intdigest(word.encode("utf-8", "surrogatepass"), salt) if limit else 0, limit)
+    def merge(self, word: str, key: int = 0, limit: int = 0, trace: list[int] | None = None) -> list[int]:
+        """Ids of one word; a merge at a place is skipped if its hash under *key* is below *limit*.
+
+        The places of the merges that are made are added to *trace* (short words only).
+        """
+        if len(word) <= LONGEST:
+            return self._agenda(word, 0, len(word), key, limit, trace)
+        out: list[int] = []
+        begin, pairs = 0, self.pairs
+        for i in range(1, len(word) + 1):
+            if i == len(word) or word[i - 1 : i + 1] not in pairs:
+                out += self._agenda(word[begin:i], begin, len(word), key, limit, trace)
+                begin = i
+        return out
 
-    def merge_keyed(self, word: str, key: int, limit: int, trace: list[int] | None = None) -> tuple[int, ...]:
-        """As :meth:`merge`, with the key of the hash; the places of the merges are added to *trace*."""
+    def _agenda(self, word: str, offset: int, whole: int, key: int, limit: int, trace: list[int] | None) -> list[int]:
+        """Ids of a part of a word of *whole* characters that begins at *offset*."""
         ranks = self.ranks
         n = len(word)
         if n == 1:
             return self._ids([word])
         bits = n.bit_length()
         low = (1 << bits) - 1
-        ends = list(range(1, n + 1))  # end of the symbol that starts at i; 0 once merged away
-        before = list(range(-1, n - 1))
+        ends = array("q", range(1, n + 1))  # end of the symbol that starts at i; 0 once merged away
+        before = array("q", range(-1, n - 1))
         # A candidate is one number: rank, then left, middle and right as places in the word.
         agenda = []
         for i in range(n - 1):
@@ -108,11 +133,11 @@ class Vocabulary:
             if ends[left] != middle or ends[middle] != right:
                 continue
             if limit:
-                x = (key ^ (left << 42 | middle << 21 | right)) * 0x9E3779B97F4A7C15 & _M
+                x = (key ^ place_of(left + offset, middle + offset, right + offset, whole)) * 0x9E3779B97F4A7C15 & _M
                 if ((x ^ x >> 29) * 0xBF58476D1CE4E5B9 & _M) >> 32 < limit:
                     continue
             if trace is not None:
-                trace.append(left << 42 | middle << 21 | right)
+                trace.append(place_of(left + offset, middle + offset, right + offset, whole))
             ends[left], ends[middle] = right, 0
             if right < n:
                 before[right] = left
@@ -137,6 +162,45 @@ class Vocabulary:
         return b"".join([back[i] for i in ids]).decode("utf-8", "surrogatepass")[1:]
 
 
+class Flat:
+    """Lists of numbers, one after the other, and the length of each."""
+
+    def __init__(self, values: np.ndarray, counts: np.ndarray) -> None:
+        self.values, self.counts = values, counts.astype(np.int64)
+        self.starts = np.cumsum(self.counts) - self.counts
+
+    @classmethod
+    def of(cls, lists: list[list[int]], kind: type) -> Flat:
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        return cls(np.fromiter(chain.from_iterable(lists), kind, int(counts.sum())), counts)
+
+    def places(self, rows: np.ndarray) -> np.ndarray:
+        """Places of the numbers of the lists *rows*, one list after the other."""
+        n = self.counts[rows]
+        return np.repeat(self.starts[rows] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+
+    def more(self, other: Flat) -> Flat:
+        return Flat(np.concatenate([self.values, other.values]), np.concatenate([self.counts, other.counts]))
+
+
+class Parts:
+    """Lists of numbers that come in parts, for known rows."""
+
+    def __init__(self, number: int, kind: type) -> None:
+        self.counts, self.kind = np.zeros(number, np.int64), kind
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, rows: np.ndarray, lists: Flat) -> None:
+        self.counts[rows] = lists.counts
+        self.held.append((rows, lists.values))
+
+    def flat(self) -> Flat:
+        out = Flat(np.empty(int(self.counts.sum()), self.kind), self.counts)
+        for rows, values in self.held:
+            out.values[out.places(rows)] = values
+        return out
+
+
 class Merger:
     """The agenda of :meth:`Vocabulary.merge` for many words at once, a step for all words at a time."""
 
@@ -193,48 +257,45 @@ class Merger:
             open_ = open_[~hit & (self.slots[here] >= 0)]
         return found
 
-    def merge(self, words: list[str], salts: list[int], limit: int) -> list[tuple[int, ...]]:
-        """Ids of each word under its salt; the same as merging them one by one."""
-        keys = [xxh64_intdigest(w.encode("utf-8", "surrogatepass"), s) for w, s in zip(words, salts, strict=True)] if limit else []
-        return self.merge_keyed(words, np.array(keys or np.zeros(len(words)), np.uint64), limit)
-
-    def merge_keyed(
-        self, words: list[str], keys: np.ndarray, limit: int, traces: list[np.ndarray] | None = None
-    ) -> list[tuple[int, ...]]:
-        """As :meth:`merge`, with the keys of the hashes; *traces* gets the places of each word's merges."""
+    def merge(self, words: list[str], keys: np.ndarray, limit: int, traced: bool = False) -> tuple[Flat, Flat | None]:
+        """Ids of each word under its key, the same as merging them one by one; if *traced*, the places of the merges too."""
+        if not words:
+            return Flat.of([], np.int32), Flat.of([], np.uint64) if traced else None
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        text = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        plain = sizes <= self.SIZES[-1]
+        short = [w if p else "" for w, p in zip(words, plain.tolist(), strict=True)]
+        text = np.frombuffer("".join(short).encode("utf-32-le", "surrogatepass"), np.uint32)
         symbols = self.chars[text]
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        plain = np.minimum.reduceat(symbols, starts[:-1]) >= 0 if len(words) else np.empty(0, bool)
-        plain &= sizes <= self.SIZES[-1]
-        out: list = [None] * len(words)
-        for i in np.flatnonzero(~plain).tolist():
-            own: list[int] = []
-            out[i] = self.vocabulary.merge_keyed(words[i], int(keys[i]), limit, None if traces is None else own)
-            if traces is not None:
-                traces[i] = np.array(own, np.uint64)
+        inside = np.where(plain, sizes, 0)
+        starts = np.cumsum(inside) - inside
+        own = np.flatnonzero(inside)
+        if len(own):
+            plain[own] = np.minimum.reduceat(symbols, starts[own]) >= 0
+        ids, places = Parts(len(words), np.int32), Parts(len(words), np.uint64)
+        slow = np.flatnonzero(~plain)
+        for at in range(0, len(slow), 8192):
+            part = slow[at : at + 8192]
+            traces: list[list[int]] = [[] for _ in part]
+            made = [
+                self.vocabulary.merge(words[i], int(keys[i]), limit, own if traced else None)
+                for i, own in zip(part.tolist(), traces, strict=True)
+            ]
+            ids.add(part, Flat.of(made, np.int32))
+            places.add(part, Flat.of(traces, np.uint64))
         least = 0
         for most in self.SIZES:
             own = np.flatnonzero(plain & (sizes > least) & (sizes <= most))
             least = most
             for at in range(0, len(own), 8192):
                 part = own[at : at + 8192]
-                steps: list | None = None if traces is None else []
-                ids, counts = self._block(symbols, starts[part], sizes[part], most, keys[part], limit, steps)
+                steps: list | None = [] if traced else None
+                values, counts = self._block(symbols, starts[part], sizes[part], most, keys[part], limit, steps)
+                ids.add(part, Flat(values, counts))
                 if steps is not None:
                     rows = np.concatenate([r for r, _ in steps] or [np.empty(0, np.int64)])
-                    places = np.concatenate([p for _, p in steps] or [np.empty(0, np.uint64)])
-                    places = places[np.argsort(rows, kind="stable")]
-                    many = np.cumsum(np.bincount(rows, minlength=len(part)))
-                    for i, these in zip(part.tolist(), np.split(places, many[:-1]), strict=True):
-                        traces[i] = these.copy()
-                ends = np.cumsum(counts).tolist()
-                begin = 0
-                for i, end in zip(part.tolist(), ends, strict=True):
-                    out[i] = tuple(ids[begin:end])
-                    begin = end
-        return out
+                    found = np.concatenate([p for _, p in steps] or [np.empty(0, np.uint64)])
+                    places.add(part, Flat(found[np.argsort(rows, kind="stable")], np.bincount(rows, minlength=len(part))))
+        return ids.flat(), places.flat() if traced else None
 
     @staticmethod
     def skipped(keys: np.ndarray, places: np.ndarray, limit: int) -> np.ndarray:
@@ -243,7 +304,7 @@ class Merger:
         x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         return (x >> np.uint64(32)) < np.uint64(limit)
 
-    def _block(self, symbols, starts, sizes, most, key, limit, steps=None) -> tuple[list[int], np.ndarray]:
+    def _block(self, symbols, starts, sizes, most, key, limit, steps=None) -> tuple[np.ndarray, np.ndarray]:
         number = len(starts)
         place = np.arange(most)
         inside = place < sizes[:, None]
@@ -288,7 +349,7 @@ class Merger:
             has = go_left > 0
             q, b = r[has], go_left[has]
             self._offer(symbol, made, rank, q, before[q, b], b)
-        return symbol[live].tolist(), live.sum(axis=1)
+        return symbol[live], live.sum(axis=1)
 
     def _offer(self, symbol, made, rank, row, left, right) -> None:
         new = self.joined(symbol[row, left], symbol[row, right])
@@ -297,134 +358,108 @@ class Merger:
 
 
 class Encoder:
-    """Encodes batches of texts, keeping what it has merged, up to a bound."""
+    """Encodes batches of texts, keeping the merges of short words up to a bound."""
 
-    KEEP = 300_000
-    #: Words of a text that share one draw.
-    RUN = 32
+    #: Bytes of kept words, about.
+    KEEP = 32 << 20
+    #: Texts of more characters are cut into lists of so many words.
+    LONG_TEXT, WORDS = 1 << 20, 1 << 16
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, rolls: int = 0) -> None:
-        self.vocabulary = vocabulary
-        self.merger = Merger(vocabulary)
+    def __init__(self, merger: Merger, dropout: float, seed: int) -> None:
+        self.merger, self.vocabulary = merger, merger.vocabulary
         self.limit = round(dropout * (1 << 32))
-        self.seed, self.rolls = seed, rolls if self.limit else 1
-        #: Words without dropout, for draws of each occurrence: number, ids and places of the merges.
+        self.seed = seed
+        self._forget()
+
+    def _forget(self) -> None:
+        #: Words without dropout: number, ids and places of the merges.
         self.number: dict[str, int] = {}
-        self.plain: list[tuple[int, ...]] = []
-        self.traces: list[np.ndarray] = []
-        self.salts = [xxh64_intdigest(f"{seed}:{r}".encode()) for r in range(self.rolls)]
-        self.made: list[dict[str, tuple[int, ...]]] = [{} for _ in range(self.rolls)]
-
-    def _blocks(self, text: str | None) -> list[tuple[int, list[str]]]:
-        """The words of a text in runs of ``RUN``, each with the roll it draws."""
-        words = _PART.findall(" " + text) if text else []
-        base = xxh64_intdigest(text.encode("utf-8", "surrogatepass"), self.seed) if text else 0
-        blocks = []
-        for at in range(0, len(words), self.RUN):
-            x = (base + at) * 0x9E3779B97F4A7C15 & _M
-            blocks.append(((x ^ x >> 31) % self.rolls, words[at : at + self.RUN]))
-        return blocks
-
-    def _anew(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text, every occurrence of a word by its own draw."""
-        if len(self.number) > self.KEEP:
-            self.number, self.plain, self.traces = {}, [], []
-        split = [_PART.findall(" " + t) if t else [] for t in texts]
+        self.ids, self.traces = Flat.of([], np.int32), Flat.of([], np.uint64)
+        self.held = 0
+
+    def _learn(self, words: list[str]) -> None:
+        ids, places = self.merger.merge(words, np.zeros(len(words), np.uint64), 0, traced=True)
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
+        self.ids, self.traces = self.ids.more(ids), self.traces.more(places)
+        # A string and its place in the dictionary take some 200 bytes, an entry of the lists 32.
+        self.held += 240 * len(words) + 4 * len(ids.values) + 8 * len(places.values)
+
+    def _merged(self, words: list[str], keys: np.ndarray) -> Flat:
+        """Ids of each occurrence of a word under its own key."""
+        if self.held > self.KEEP:
+            self._forget()
+        number = self.number
+        new = [w for w in dict.fromkeys(words) if w not in number and len(w) <= LONGEST]
+        if new:
+            self._learn(new)
+        at = np.fromiter((number.get(w, -1) for w in words), np.int64, len(words))
+        again = at < 0
+        if self.limit:
+            for low in range(0, len(words), 1 << 15):
+                own = np.flatnonzero(at[low : low + (1 << 15)] >= 0) + low
+                many = self.traces.counts[at[own]]
+                places = self.traces.values[self.traces.places(at[own])]
+                again[np.repeat(own, many)[self.merger.skipped(np.repeat(keys[own], many), places, self.limit)]] = True
+        kept, again = np.flatnonzero(~again), np.flatnonzero(again)
+        out = Parts(len(words), np.int32)
+        out.add(kept, Flat(self.ids.values[self.ids.places(at[kept])], self.ids.counts[at[kept]]))
+        if len(again):
+            out.add(again, self.merger.merge([words[i] for i in again.tolist()], keys[again], self.limit)[0])
+        return out.flat()
+
+    def _long(self, text: str) -> np.ndarray:
+        """Ids of a long text, some words at a time."""
+        found, first = [], 0
+        words = (m[0] for m in _PART.finditer(" " + text))
+        digest = xxh64_intdigest(text.encode("utf-8", "surrogatepass"), self.seed)
+        while part := list(islice(words, self.WORDS)):
+            place = np.arange(first, first + len(part)).astype(np.uint64)
+            found.append(self._merged(part, _mixed(np.uint64(digest), place)).values)
+            first += len(part)
+        return np.concatenate(found)
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text (null and empty: none)."""
+        long = [bool(t) and len(t) > self.LONG_TEXT for t in texts]
+        split = [_PART.findall(" " + t) if t and not far else [] for t, far in zip(texts, long, strict=True)]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
         words = list(chain.from_iterable(split))
-        if not words:
-            return [np.empty(0, np.int32) for _ in texts]
-        missing = [w for w in dict.fromkeys(words) if w not in self.number]
-        if missing:
-            traces: list = [None] * len(missing)
-            self.plain += self.merger.merge_keyed(missing, np.zeros(len(missing), np.uint64), 0, traces)
-            self.traces += traces
-            self.number.update(zip(missing, range(len(self.number), len(self.number) + len(missing)), strict=True))
-        # The key of an occurrence: the seed, the text and the word's place in it.
+        del split
         base = [xxh64_intdigest(t.encode("utf-8", "surrogatepass"), self.seed) if t else 0 for t in texts]
-        sizes = np.fromiter(map(len, split), np.int64, len(split))
         place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        keys = np.repeat(np.array(base, np.uint64), sizes) + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        keys = (keys ^ (keys >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        keys ^= keys >> np.uint64(31)
-        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        found = list(map(self.plain.__getitem__, at.tolist()))
-        # Places of the merges of all words of the batch, one after the other.
-        own, at = np.unique(at, return_inverse=True)
-        places = [self.traces[i] for i in own.tolist()]
-        many = np.fromiter(map(len, places), np.int64, len(places))
-        first, places = np.cumsum(many) - many, np.concatenate(places)
-        drawn = np.zeros(len(words), bool)
-        for low in range(0, len(words), 1 << 16):
-            part = at[low : low + (1 << 16)]
-            n = many[part]
-            row = np.repeat(np.arange(len(part)), n)
-            inner = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            skip = self.merger.skipped(keys[low + row], places[np.repeat(first[part], n) + inner], self.limit)
-            drawn[low + row[skip]] = True
-        again = np.flatnonzero(drawn).tolist()
-        if again:
-            for i, ids in zip(again, self.merger.merge_keyed([words[i] for i in again], keys[again], self.limit), strict=True):
-                found[i] = ids
-        ends = np.cumsum(sizes).tolist()
+        ids = self._merged(words, _mixed(np.repeat(np.array(base, np.uint64), sizes), place.astype(np.uint64)))
+        upto = np.concatenate([[0], np.cumsum(ids.counts)])
+        ends = np.cumsum(sizes)
         return [
-            np.fromiter(chain.from_iterable(found[end - n : end]), np.int32)
-            for n, end in zip(sizes.tolist(), ends, strict=True)
+            self._long(t) if far else ids.values[a:b]
+            for t, far, a, b in zip(texts, long, upto[ends - sizes].tolist(), upto[ends].tolist(), strict=True)
         ]
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text (null and empty: none)."""
-        if not self.rolls:
-            return self._anew(texts)
-        if sum(map(len, self.made)) > self.KEEP:
-            for made in self.made:
-                made.clear()
-        blocks = [self._blocks(t) for t in texts]
-        new: list[set[str]] = [set() for _ in range(self.rolls)]
-        for roll, words in chain.from_iterable(blocks):
-            new[roll].update(words)
-        for roll, made in enumerate(self.made):
-            missing = list(new[roll] - made.keys())
-            salts = [self.salts[roll]] * len(missing)
-            made.update(zip(missing, self.merger.merge(missing, salts, self.limit), strict=True))
-        gets = [made.__getitem__ for made in self.made]
-        out = []
-        for own in blocks:
-            ids = chain.from_iterable(chain.from_iterable(map(gets[roll], words) for roll, words in own))
-            out.append(np.fromiter(ids, np.int32))
-        return out
-
-
-_ENCODERS: dict[tuple, Encoder] = {}
-
 
-def _encoder(shared, dropout: float, seed: int, rolls: int) -> Encoder:
-    """The worker's encoder for a broadcast vocabulary, kept between tasks (the last one only)."""
-    at = (shared.value is not None and id(shared.value), dropout, seed, rolls)
-    if at not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[at] = Encoder(shared.value, dropout, seed, rolls)
-    return _ENCODERS[at]
+def _mixed(base: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The key of an occurrence: the digest of seed and text, and the word's place in the text."""
+    keys = base + place * np.uint64(0x9E3779B97F4A7C15)
+    keys = (keys ^ (keys >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return keys ^ (keys >> np.uint64(31))
 
 
 def encoded(
-    docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text",
-    dropout: float = 0.1, seed: int = 42, rolls: int = 0,
+    docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text", dropout: float = 0.1, seed: int = 42
 ) -> DataFrame:
     """(key, ids, n_ids, lossless) per row of *docs*; only *key* and *text* are read.
 
     *lossless* tells that the ids decode to the text, checked on every row. Null and empty
     texts have no ids and decode to the empty text. A literal mark, control characters and
-    characters outside the vocabulary are encoded as bytes. Each occurrence of a word draws
-    its own dropout, unless *rolls* bounds the patterns (:class:`Encoder`). Equal texts give equal ids;
-    repeated rows stay.
+    characters outside the vocabulary are encoded as bytes. Words may have any length. Each
+    occurrence of a word draws its own dropout. Equal texts give equal ids; repeated rows stay.
     """
     spark: SparkSession = docs.sparkSession
-    shared = spark.sparkContext.broadcast(Vocabulary.read(model_path))
-    kind = dict(docs.dtypes)[key]
+    shared = share(spark, Merger(Vocabulary.read(model_path)))
+    kind = docs.select(key).schema[0].dataType.simpleString()
     flat = pa.list_(pa.int32())
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared, dropout, seed, rolls)
+        encoder = Encoder(shared.value, dropout, seed)
         decode = encoder.vocabulary.decode
         for batch in batches:
             texts = batch.column(1).to_pylist()
@@ -445,7 +480,7 @@ def encoded(
 
 def decoded(encodings: DataFrame, model_path: str, ids: str = "ids", out: str = "text") -> DataFrame:
     """*encodings* with the text of its ids (null ids: null)."""
-    shared = encodings.sparkSession.sparkContext.broadcast(Vocabulary.read(model_path))
+    shared = share(encodings.sparkSession, Vocabulary.read(model_path))
 
     @F.pandas_udf("string")
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacantia.llm.common import small_batches
+from vacantia.llm.common import share, small_batches
 
 #: Probability that a score at the cut is given.
 CUT = 0.3
@@ -120,8 +120,8 @@ def fit(
     usable = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).filter("k is not null and y in (0, 1)")
     number = usable.count()
     if number > max_rows:
-        share = int(max_rows / number * 1_000_000)
-        usable = usable.filter(F.pmod(F.xxhash64(F.lit("fit"), "k"), F.lit(1_000_000)) < share)
+        part = int(max_rows / number * 1_000_000)
+        usable = usable.filter(F.pmod(F.xxhash64(F.lit("fit"), "k"), F.lit(1_000_000)) < part)
 
     @F.pandas_udf("array<float>")
     def vector(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -145,7 +145,7 @@ def fit(
 
 def scored(model: Model, docs: DataFrame, text: str = "text") -> Column:
     """Column: score from 0 to 1 of a text (null and empty texts: that of no features)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     @F.pandas_udf("double")
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
