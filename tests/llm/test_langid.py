@@ -66,3 +66,17 @@ def test_whole_words_count(spark):
     assert (head + two * 40) not in scorer.unseen  # too long to be kept
     assert two[-2:] + "$" in model.grams[3] and head[21:24] + "$" not in model.grams[4]
     assert scorer.unseen_word(two * 50_000).shape == (2,)
+
+
+def test_small_language_keeps_its_words(spark):
+    """Bounds are shared among languages, whatever their sizes; no other rule at any size."""
+    rows = [(i, f"the house w{'abcdefghij'[i % 10]}x of{'abcdefghij'[i // 10 % 10]}", "en") for i in range(400)] + [(1000, "hasi mbali kabisa", "sw")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, max_rows=40, max_words=8, max_grams=40)
+    assert {"hasi", "mbali", "kabisa"} <= set(model.words) and len(model.words) <= 8
+    scorer = langid.Scorer(model)
+    assert scorer.predict("mbali kabisa")[0] == "sw"
+    # nothing known: the language with most learned words, with an equal share
+    assert scorer.predict("\u0416\u0416") == ("en", 0.5)
+    assert langid.sample(df, "lang", "text", 40).filter("lang = 'sw'").count() == 1
+    assert langid.sample(df, "lang", "text", 40).count() < 60

@@ -10,10 +10,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vacantia.llm.common import small_batches
+from vacantia.llm.common import discard, share, small_batches, stored
 
 #: A word: a run of letters of any script.
 WORD = re.compile(r"[^\W\d_]+")
@@ -22,14 +22,32 @@ UNDECIDED = "und"
 
 @dataclass
 class Model:
-    """Log frequencies by language; ``words`` and ``grams[n]`` give the row of a string."""
+    """Log frequencies by language; ``words`` and ``grams[n]`` give the row of a string.
+
+    A row holds what its languages have above ``missing``, the log frequency of a string
+    that was not seen, by order (0: words); languages that have not seen it take no room.
+    """
 
     langs: list[str]
+    #: Words learned from each language, which decide between equal scores.
+    sizes: np.ndarray
     words: dict[str, int]
     grams: dict[int, dict[str, int]]
-    logs: np.ndarray
+    starts: np.ndarray
+    places: np.ndarray
+    above: np.ndarray
     missing: dict[int, np.ndarray]
 
+    def total(self, rows: list[int], order: int) -> np.ndarray:
+        """Sum of the log frequencies of strings of one order, by language."""
+        out = len(rows) * self.missing[order]
+        for at in range(0, len(rows), 1 << 15):
+            r = np.array(rows[at : at + (1 << 15)], np.int64)
+            n = self.starts[r + 1] - self.starts[r]
+            cells = np.repeat(self.starts[r] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            out = out + np.bincount(self.places[cells], self.above[cells], len(self.langs))
+        return out
+
 
 def training_words(docs: DataFrame, lang: str, text: str) -> DataFrame:
     """(lang, word, n): how often each word stands in the texts of a language."""
@@ -88,13 +106,16 @@ def training_runs(counts: DataFrame, orders: tuple[int, ...]) -> DataFrame:
     )
 
 
-def sample(docs: DataFrame, text: str, bound: int) -> DataFrame:
-    """About *bound* rows, chosen by the hash of their text: the same ones on each run."""
-    number = docs.count()
-    if number <= bound:
+def sample(docs: DataFrame, lang: str, text: str, bound: int) -> DataFrame:
+    """About *bound* rows, as many of each language, chosen by the hash of their text: the same ones on each run."""
+    numbers = {r.lang: r.n for r in docs.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}
+    each = max(1, bound // max(1, len(numbers)))
+    parts = {a: int(each / n * 1_000_000) + 1 for a, n in numbers.items() if n > each}
+    if not parts:
         return docs
-    share = int(bound / number * 1_000_000)
-    return docs.filter(F.pmod(F.xxhash64(F.lit("sample"), F.col(text)), F.lit(1_000_000)) < share)
+    table = F.create_map(*[F.lit(x) for pair in sorted(parts.items()) for x in pair])
+    part = F.coalesce(F.element_at(table, F.col(lang)), F.lit(1_000_000))
+    return docs.filter(F.pmod(F.xxhash64(F.lit("sample"), F.col(text)), F.lit(1_000_000)) < part)
 
 
 def fit(
@@ -109,56 +130,67 @@ def fit(
 ) -> Model:
     """Learn from the rows with a language and a text (null in either: not used).
 
-    The model is fitted on a sample of about *max_rows* rows and holds at most *max_words*
-    words and *max_grams* n-grams of each order, the commonest, ties in code point order.
-    So it has a size bound and may be broadcast. *floor* is added to every count.
+    The model is fitted on a sample of about *max_rows* rows, an equal share of each
+    language, and holds at most *max_words* words and *max_grams* n-grams of each order: of
+    each language an equal share, its commonest, ties in code point order. So it has a size
+    bound and may be broadcast, and a language with few rows keeps its words. *floor* is
+    added to every count. Repeated rows count as often as they stand in the sample.
     """
     known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = training_words(sample(known, text, max_rows), lang, text).cache()
+    counts = stored(training_words(sample(known, lang, text, max_rows), lang, text))
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
-    rows: list[np.ndarray] = []
+    place = {a: i for i, a in enumerate(langs)}
+    lengths: list[int] = []
+    places: list[np.ndarray] = []
+    above: list[np.ndarray] = []
     missing: dict[int, np.ndarray] = {}
 
     def commonest(table: DataFrame, limit: int, order: int, sums: dict[str, int]) -> dict[str, int]:
-        least = F.col("all") >= 3 if len(totals) and sum(totals.values()) > 100_000 else F.lit(True)
-        best = (
-            table.groupBy("key")
-            .agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("by"))
-            .filter(least)
-            .orderBy(F.desc("all"), "key")
-            .limit(limit)
+        by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
+        share = max(1, limit // max(1, len(langs)))
+        best = table.withColumn("rank", F.row_number().over(by_count)).filter(F.col("rank") <= share)
+        chosen = (
+            table.join(best.select("key").distinct(), "key", "left_semi")
+            .groupBy("key")
+            .agg(F.sort_array(F.collect_list(F.struct("lang", "n"))).alias("by"))
             .collect()
         )
-        place = {a: i for i, a in enumerate(langs)}
-        total = np.array([sums.get(a, 0) for a in langs], float) + floor * max(1, len(best))
+        total = np.array([sums.get(a, 0) for a in langs], float) + floor * max(1, len(chosen))
         missing[order] = np.log(floor / total)
         index = {}
-        for r in best:
-            n = np.full(len(langs), floor)
-            for x in r.by:
-                n[place[x.lang]] += x.n
-            index[r.key] = len(rows)
-            rows.append(np.log(n / total))
+        for r in sorted(chosen, key=lambda r: r.key):
+            index[r.key] = len(lengths)
+            lengths.append(len(r.by))
+            places.append(np.array([place[x.lang] for x in r.by], np.int32))
+            above.append(np.log(np.array([x.n for x in r.by], float) / floor + 1))
         return index
 
     words = commonest(counts.withColumnRenamed("word", "key"), max_words, 0, totals)
     grams = {}
-    runs = training_runs(counts, orders).cache()
+    runs = stored(training_runs(counts, orders))
     for order in orders:
-        table = runs.filter(F.col("order") == order)
+        table = runs.filter(F.col("order") == order).select("lang", "key", "n")
         sums = {r.lang: r.n for r in table.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
         grams[order] = commonest(table, max_grams, order, sums)
-    runs.unpersist()
-    counts.unpersist()
-    logs = np.array(rows) if rows else np.zeros((0, len(langs)))
-    return Model(langs, words, grams, logs, missing)
+    discard(runs)
+    discard(counts)
+    return Model(
+        langs,
+        np.array([totals[a] for a in langs], float),
+        words,
+        grams,
+        np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64),
+        np.concatenate([np.empty(0, np.int32), *places]),
+        np.concatenate([np.empty(0), *above]),
+        missing,
+    )
 
 
 class Scorer:
     """Scores texts by one model; keeps the vectors of unseen words it has met, up to a bound."""
 
-    KEEP = 200_000
+    KEEP = 50_000
     #: Longer words are not kept: a word may be a whole text.
     LONGEST = 64
 
@@ -171,12 +203,13 @@ class Scorer:
         got = self.unseen.get(word)
         if got is None:
             model = self.model
-            marked = f"^{word}$"
             got = np.zeros(len(model.langs))
             for order, index in model.grams.items():
+                # A sign alone says nothing about a word.
+                marked = f"^{word}$" if order > 1 else word
                 at = [index[g] for i in range(len(marked) - order + 1) if (g := marked[i : i + order]) in index]
                 if at:
-                    got = sum(model.logs[at[j : j + 10_000]].sum(axis=0) for j in range(0, len(at), 10_000)) / len(at)
+                    got = model.total(at, order) / len(at)
                     break
             if len(word) > self.LONGEST:
                 return got
@@ -186,6 +219,10 @@ class Scorer:
         return got
 
     def predict(self, text: str | None) -> tuple[str, float]:
+        """(language, its share of the evidence); of equal ones the language with most learned words, then the first by name.
+
+        So a text of which nothing is known gets the commonest language, with an equal share.
+        """
         words = WORD.findall(text.lower()) if text else []
         if not words or not self.model.langs:
             return UNDECIDED, 0.0
@@ -197,19 +234,19 @@ class Scorer:
                 strange.append(word)
             else:
                 found.append(at)
-        total = self.model.logs[found].sum(axis=0) if found else np.zeros(len(self.model.langs))
+        total = self.model.total(found, 0)
         for word in strange:
             total = total + self.unseen_word(word)
         # Words of one text are not independent: the evidence of a text counts as at most 16 words.
         mean = total / len(words) * min(len(words), 16)
         share = np.exp(mean - mean.max())
-        best = int(np.argmax(share))
+        best = int(np.argmax(np.where(share == share.max(), self.model.sizes, -1)))
         return self.model.langs[best], float(share[best] / share.sum())
 
 
 def predicted(model: Model, docs: DataFrame, text: str = "text") -> Column:
-    """Struct column (lang, score) of a text: ``und`` with 0 for a null or letterless text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """Struct column (lang, score) of a text: ``und`` with 0 for a null or letterless text. Repeated rows get the same."""
+    shared = share(docs.sparkSession, model)
 
     @F.pandas_udf("lang string, score double")
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
