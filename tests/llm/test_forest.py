@@ -105,3 +105,11 @@ def test_hot_label_late_in_order_is_split_before_the_tasks(spark, monkeypatch):
     got = {r.vec_id: (r.n_links, r.component) for r in forest.linked(table, trees=6, max_sample=60).collect()}
     assert got == brute(ids, labels, x, 0.98)
     assert seen.value == 0
+
+
+def test_very_large_and_small_components(spark):
+    rows = [(1, [1e200, 1e199]), (2, [2e200, 2e199]), (3, [1e-200, 1e-205]), (4, [1e-205, 1e-200]), (5, [3e-320, 0.0]), (6, [1e308, 0.0])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component) for r in forest.linked(df).collect()}
+    # 1 and 2 point the same way; 3, 5 and 6 lie on the first axis, and near 1 and 2 (cosine 0.995)
+    assert got == {1: (4, 1), 2: (4, 1), 3: (4, 1), 4: (0, 4), 5: (4, 1), 6: (4, 1)}

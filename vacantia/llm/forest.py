@@ -82,11 +82,17 @@ def leaves_of(node: Node) -> Iterator[Node]:
         yield from leaves_of(node.high)
 
 
+def unit(vectors: np.ndarray) -> np.ndarray:
+    """Rows of norm 1. Each is first brought near 1 by a power of two, so squares neither overflow nor vanish."""
+    _, power = np.frexp(np.abs(vectors).max(axis=1))
+    vectors = np.ldexp(vectors, -power[:, None])
+    return vectors / np.linalg.norm(vectors, axis=1)[:, None]
+
+
 def _unit(batch: pa.RecordBatch, rows: np.ndarray) -> np.ndarray:
     """The unit vectors of the given rows, whose last column is the vector."""
     flat = batch.column(batch.num_columns - 1).take(pa.array(rows)).flatten()
-    vectors = flat.to_numpy().astype(np.float64).reshape(len(rows), -1)
-    return vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    return unit(flat.to_numpy().astype(np.float64).reshape(len(rows), -1))
 
 
 def _reached(shared, spill: float):
@@ -147,19 +153,23 @@ def deepen(classes: DataFrame, forest: dict[str, list[Node]], large: dict[str, i
     rows = classes.join(F.broadcast(names), "grp", "left_semi").select("cid", "grp", "v")
     while True:
         small_batches(spark)
-        reached = rows.mapInArrow(_reached(spark.sparkContext.broadcast(forest), spill), "grp string, leaf long, n long")
+        shared = spark.sparkContext.broadcast(forest)
+        reached = rows.mapInArrow(_reached(shared, spill), "grp string, leaf long, n long")
         over = reached.groupBy("leaf").agg(F.sum("n").alias("n")).filter(F.col("n") > 4 * LEAF)
         if dense:
             over = over.join(F.broadcast(spark.createDataFrame([(x,) for x in dense], "leaf long")), "leaf", "left_anti")
         sizes = {r.leaf: r.n for r in over.orderBy(F.desc("n"), "leaf").limit(MAX_LEAVES).collect()}
+        shared.destroy()
         if not sizes:
             return
         wanted = max(LEAF_SAMPLE, 20_000 // len(sizes))
         shares = {leaf: min(1.0, wanted / n) for leaf, n in sizes.items()}
-        drawn = rows.mapInArrow(_drawn(spark.sparkContext.broadcast((forest, shares)), spill), "leaf long, vector array<double>")
+        shared = spark.sparkContext.broadcast((forest, shares))
+        drawn = rows.mapInArrow(_drawn(shared, spill), "leaf long, vector array<double>")
         samples: dict[int, list] = {}
         for r in drawn.collect():
             samples.setdefault(r.leaf, []).append(r.vector)
+        shared.destroy()
         for name in sorted(large):
             for node in [x for root in forest[name] for x in leaves_of(root)]:
                 if node.name not in sizes:
@@ -241,9 +251,7 @@ def _router(shared, trees: int, spill: float):
             cid, grp, weight = batch.column(0).to_numpy(), np.array(batch.column(1).to_pylist()), batch.column(2).to_numpy()
             for name in np.unique(grp):
                 own = np.flatnonzero(grp == name)
-                column = batch.column(3).take(pa.array(own))
-                vectors = column.flatten().to_numpy().astype(np.float64).reshape(len(own), -1)
-                vectors = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+                vectors = _unit(batch, own)
                 roots = forest.get(name) or [Node(0)]
                 found = [p for r in roots for p in route(r, vectors, np.arange(len(own)), spill)]
                 lists = _lists(found, len(own))
@@ -363,8 +371,7 @@ def linked(
         rng = np.random.default_rng(20)
         done: set[str] = set()
         for name, own in sorted(sample.items()):
-            x = np.array(own, np.float64)
-            x /= np.linalg.norm(x, axis=1)[:, None]
+            x = unit(np.array(own, np.float64))
             forest[name] = [grow(rng, x, sizes[name] / LEAF, spill) for _ in range(trees)]
         while True:
             over = classes.groupBy("grp").agg(F.count("*").alias("n")).filter(F.col("n") > 4 * LEAF)
@@ -376,8 +383,9 @@ def linked(
             deepen(classes, forest, more, rng, trees, spill)
             done.update(more)
     small_batches(spark)
+    shared = spark.sparkContext.broadcast(forest)
     routed = classes.select("cid", "grp", "weight", "v").mapInArrow(
-        _router(spark.sparkContext.broadcast(forest), trees, spill),
+        _router(shared, trees, spill),
         "leaf long, grp string, cid long, weight long, leaves array<long>, vector array<double>",
     )
     found = stored(
@@ -385,6 +393,7 @@ def linked(
         .sortWithinPartitions("grp", "leaf")
         .mapInArrow(_comparer(least, spill, trees), "a long, b long, n long")
     )
+    shared.destroy()
     counts = found.filter("n is not null").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("others"))
     roots = components(found.filter("b is not null").select("a", "b")).withColumnRenamed("node", "cid")
     joined = (
