@@ -81,3 +81,17 @@ def test_benchmark(spark, steps):
 def test_encoding(steps):
     rows = steps[5].collect()
     assert {r.doc_id for r in rows} == set(texts(steps[4])) and all(r.lossless for r in rows)
+
+
+def test_empty_table_repeated_rows_and_clashing_columns(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    none = docs.filter("false")
+    few = docs.orderBy("doc_id").limit(30)
+    twice = few.unionByName(few).selectExpr("*", "1 as h", "text as kept_text", "doc_id as __id0", "'x' as p")
+    for _, stage in corpus_pipeline.STAGES:
+        none = stored(stage(spark, none, FOLDER))
+        few, twice = stored(stage(spark, few, FOLDER)), stored(stage(spark, twice, FOLDER))
+    assert none.count() == 0 and none.columns == few.columns
+    # near-dedup leaves one of each repeated row: the same documents as without repeats
+    assert {r.doc_id for r in twice.collect()} <= {r.doc_id for r in few.collect()}
+    assert twice.count() == twice.select("doc_id").distinct().count()

@@ -130,3 +130,57 @@ def test_pairs_at_the_least_similarity_do_not_both_stay(spark):
     got = sorted(r.doc_id for r in simhash.without_near_duplicates(docs).collect())
     assert 60 <= len(stay) < 240
     assert got == stay
+
+
+def _sets(text):
+    words = (text or "").encode().lower().split()
+    return set(zip(*[words[i:] for i in range(5)])) if len(words) >= 5 else {tuple(words)} - {()}
+
+
+def _greedy(rows):
+    """One after the other in the order of keys: a row goes if it is like one before it that stays."""
+    stay = []
+    for key, text in rows:
+        own = _sets(text)
+        if not any(len(own & s) >= 0.8 * len(own | s) for _, s in stay):
+            stay.append((key, own))
+    return [k for k, _ in stay]
+
+
+def test_one_loose_group_in_few_rounds(spark, monkeypatch):
+    """5,000 texts with a common half are one group by its bands, though few of them are alike."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    common = [word() for _ in range(60)]
+    rows = []
+    for i in range(5_000):
+        own = [word() for _ in range(18)]
+        rows.append((i, " ".join(common + own)))
+    rows += [(5_000 + i, rows[i * 7][1] + " end") for i in range(300)] + [(5_300, rows[3][1]), (5_301, rows[3][1])]
+    rounds = []
+    first = simhash._first
+    monkeypatch.setattr(simhash, "_first", lambda *a, **k: rounds.append(1) or first(*a, **k))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    # bands of two values join almost everything
+    got = simhash.without_near_duplicates(df, bands=8, band_rows=2, part_rows=500)
+    assert sorted(r.doc_id for r in got.collect()) == list(range(5_000))
+    assert len(rounds) <= 5
+
+
+def test_settled_like_one_by_one(spark):
+    rng = random.Random(12)
+    base = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(80)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for at in rng.sample(range(80), rng.randrange(0, 9)):
+            words[at] = "".join(rng.choices("abcdefgh", k=6))
+        rows.append((i, " ".join(words)))
+    rows += [(400, None), (401, ""), (402, ""), (403, "the " * 40_000), (403, "the " * 40_000)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, root string")
+    for pivots in (5, 1_000):
+        got = simhash.without_near_duplicates(df, bands=20, band_rows=1, pivots=pivots, part_rows=50)
+        assert got.columns == ["doc_id", "text", "root"]
+        assert sorted(r.doc_id for r in got.collect()) == _greedy(rows)
+    small = simhash.without_near_duplicates(df, bands=20, band_rows=1, pivot_bytes=40_000)
+    assert sorted(r.doc_id for r in small.collect()) == _greedy(rows)

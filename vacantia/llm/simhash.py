@@ -23,8 +23,9 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from xxhash import xxh64_intdigest
 
 from vacantia.llm.common import components, small_batches, stored
@@ -305,22 +306,111 @@ def _shingle_set(width: int):
     return apply
 
 
-def _jaccard():
-    """Column function: Jaccard similarity of two sets of hashes; two empty sets are alike."""
+class Pivots:
+    """Sets of hashes that others are compared with all at once."""
 
-    @F.pandas_udf("double")
-    def apply(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for one, two in batches:
-            found = []
-            for a, b in zip(one, two, strict=True):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                found.append(both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0)
-            yield pd.Series(found, dtype="float64")
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        values = np.concatenate([np.empty(0, np.uint64), *sets])
+        owners = np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(values, kind="stable")
+        self.values, self.owners = values[order], owners[order]
+
+    def alike(self, one: np.ndarray, least: float) -> np.ndarray:
+        """Pivots whose Jaccard similarity to a set is *least* or more; two empty sets are alike."""
+        low, high = np.searchsorted(self.values, one, "left"), np.searchsorted(self.values, one, "right")
+        n = high - low
+        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        both = np.bincount(self.owners[at], minlength=len(self.sizes))
+        union = self.sizes + len(one) - both
+        return np.flatnonzero(both >= least * np.maximum(union, 1) if len(one) else union == 0)
+
+
+def _settled(least: float, schema: pa.Schema):
+    """Rows of (root, part), pivots first, by order -> (root, order, size, set, state) of a round.
+
+    The pivots of a group are settled one after the other: one that is like a pivot that
+    stays goes. All other rows are compared with the pivots that stay. Every part of a
+    group settles its pivots in the same way; the first part reports them. state: 0 goes,
+    1 stays, 2 is open (only those keep their set).
+    """
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = None
+        held: list[np.ndarray] = []
+        staying: Pivots | None = None
+
+        def settled() -> tuple[Pivots, list[int]]:
+            every, stay = Pivots(held), []
+            kept = np.zeros(len(held), bool)
+            for i, own in enumerate(held):
+                near = every.alike(own, least)
+                kept[i] = not kept[near[near < i]].any()
+                if kept[i]:
+                    stay.append(i)
+            return Pivots([held[i] for i in stay]), kept.astype(int).tolist()
+
+        reported: list[pa.RecordBatch] = []
+
+        def report() -> Iterator[pa.RecordBatch]:
+            nonlocal staying
+            staying, states = settled()
+            at = 0
+            for rows in reported:
+                part = states[at : at + rows.num_rows]
+                at += rows.num_rows
+                yield _told(rows, part, schema)
+
+        for batch in batches:
+            keys = list(zip(batch.column("root").to_pylist(), batch.column("part").to_pylist(), strict=True))
+            pivot = batch.column("pivot").to_pylist()
+            start = 0
+            for i in range(1, len(keys) + 1):
+                if i < len(keys) and keys[i] == keys[start] and pivot[i] == pivot[start]:
+                    continue
+                rows = batch.slice(start, i - start)
+                if keys[start] != now:
+                    if reported and staying is None:
+                        yield from report()
+                    now, held, reported, staying = keys[start], [], [], None
+                sets = [np.frombuffer(x, np.uint64) for x in rows.column("set").to_pylist()]
+                if pivot[start]:
+                    held += sets
+                    if now[1] == 0:
+                        reported.append(rows)
+                else:
+                    if staying is None:
+                        yield from report()
+                    yield _told(rows, [0 if len(staying.alike(x, least)) else 2 for x in sets], schema)
+                start = i
+        if reported and staying is None:
+            yield from report()
 
     return apply
 
 
+def _told(rows: pa.RecordBatch, states: list[int], schema: pa.Schema) -> pa.RecordBatch:
+    kept = [x if s == 2 else None for x, s in zip(rows.column("set").to_pylist(), states, strict=True)]
+    columns = [rows.column("root"), rows.column("order"), rows.column("size"), pa.array(kept, pa.binary()), pa.array(states, pa.int32())]
+    return pa.record_batch(columns, schema=schema)
+
+
+def _first(rows: DataFrame, number: int, size: int, salts: int = 64) -> DataFrame:
+    """(root, order) of the first rows of each group: *number* at most, of *size* bytes together, one at least.
+
+    Rows are first cut within salted parts, so no task orders a whole group.
+    """
+    salted = rows.select("root", "order", "size", F.pmod(F.xxhash64("order"), F.lit(salts)).alias("salt"))
+    for by in (["root", "salt"], ["root"]):
+        window = Window.partitionBy(*by).orderBy("order")
+        salted = (
+            salted.withColumn("at", F.row_number().over(window))
+            .withColumn("upto", F.sum("size").over(window.rowsBetween(Window.unboundedPreceding, 0)))
+            .filter((F.col("at") <= number) & ((F.col("upto") <= size) | (F.col("at") == 1)))
+        )
+    return salted.select("root", "order")
+
+
 def without_near_duplicates(
     docs: DataFrame,
     key: str = "doc_id",
@@ -331,16 +421,26 @@ def without_near_duplicates(
     least: float = 0.8,
     bands: int = 36,
     band_rows: int = 6,
+    pivots: int = 64,
+    pivot_bytes: int = 16 << 20,
+    part_rows: int = 2_000,
 ) -> DataFrame:
     """*docs* without the near copies of rows that stay.
 
-    Groups come from :func:`near_duplicates`. The row with the least key of a group stays
-    (null keys last); the others go if they share *least* of their distinct shingles with
-    it, and the rest of the group is treated in the same way again, until none is left. So
-    each row that goes has a close copy that stays, and no two rows of a group that stay are
-    copies of each other. Equal texts, also empty ones, are copies. Repeated rows leave one.
-    A pair at similarity s is in one group by the fingerprint or by a band: the bands miss
-    (1 - s ** band_rows) ** bands of such pairs, by default 2 in 100,000 at 0.8.
+    Groups come from :func:`near_duplicates`; at similarity 0.8 it is the MinHash bands that
+    join most pairs, since their fingerprints are further apart than the radius. Within a
+    group rows are settled in the order of their keys (null keys last, then by place): a row
+    that shares *least* of its distinct shingles with a row that stays goes, others stay.
+    So each row that goes has a close copy before it that stays, and no two rows of a group
+    that stay are copies of each other. Equal texts, also null and empty ones, are copies;
+    repeated rows leave one. A pair at similarity s is in one group by the fingerprint or by
+    a band: the bands miss (1 - s ** band_rows) ** bands of such pairs, by default 2 in
+    100,000 at 0.8. Other columns are passed on; the name ``__id`` is reserved.
+
+    A round settles the first *pivots* rows of every group (of *pivot_bytes* together) and
+    compares all others with those that stay, in parts of about *part_rows* rows; each round
+    takes eight times as many pivots. So a group of close copies takes one round, a loose
+    group of n rows about log n, until its pivots reach the bound in bytes.
     """
     spark = docs.sparkSession
     base = stored(docs.withColumn("__id", F.monotonically_increasing_id()))
@@ -353,15 +453,31 @@ def without_near_duplicates(
     sets = base.join(members, "__id").select(F.col("__root").alias("root"), order, _shingle_set(width)(F.col(text)).alias("set"))
     sets = stored(sets.withColumn("digest", F.sha2("set", 256)))
     first = sets.groupBy("root", "digest").agg(F.min("order").alias("lead"))
-    left = stored(sets.join(first, ["root", "digest"]).select("root", "order", "set", (F.col("order") != F.col("lead")).alias("gone")))
-    gone = left.filter("gone").select(F.col("order.id").alias("__id"))
-    left = left.filter("not gone")
-    while True:
-        lead = left.groupBy("root").agg(F.min("order").alias("lead"), F.min_by("set", "order").alias("lead_set"))
-        others = left.join(lead, "root").filter("order <> lead")
-        told = stored(others.select("root", "order", "set", (_jaccard()("set", "lead_set") >= least).alias("gone")))
-        left = told.filter("not gone")
-        gone = gone.unionByName(told.filter("gone").select(F.col("order.id").alias("__id")))
-        if not left.limit(1).count():
-            break
+    copies = sets.join(first, ["root", "digest"]).select(
+        "root", "order", F.octet_length("set").cast("long").alias("size"), "set", (F.col("order") != F.col("lead")).alias("copy")
+    )
+    copies = stored(copies)
+    gone = copies.filter("copy").select(F.col("order.id").alias("__id"))
+    left = copies.filter("not copy").drop("copy")
+    kinds = left.select("root", "order", "size", "set", F.lit(0).alias("state")).schema
+    while left.limit(1).count():
+        parts = left.groupBy("root").agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts"))
+        chosen = _first(left, pivots, pivot_bytes).withColumn("pivot", F.lit(True))
+        marked = left.join(chosen, ["root", "order"], "left").join(parts, "root")
+        leading = marked.filter("pivot").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        others = marked.filter("pivot is null").withColumn("pivot", F.lit(False)).withColumn(
+            "part", F.pmod(F.xxhash64("order"), F.col("parts")).cast("int")
+        )
+        small_batches(spark)
+        rows = leading.select("root", "part", "pivot", "order", "size", "set").unionByName(
+            others.select("root", "part", "pivot", "order", "size", "set")
+        )
+        told = stored(
+            rows.repartition("root", "part")
+            .sortWithinPartitions("root", "part", F.desc("pivot"), "order")
+            .mapInArrow(_settled(least, to_arrow_schema(kinds)), kinds)
+        )
+        gone = gone.unionByName(told.filter("state = 0").select(F.col("order.id").alias("__id")))
+        left = told.filter("state = 2").drop("state")
+        pivots = min(8 * pivots, 1 << 30)
     return base.join(gone, "__id", "left_anti").select(*docs.columns)
