@@ -38,14 +38,16 @@ class Model:
     above: np.ndarray
     missing: dict[int, np.ndarray]
 
-    def total(self, rows: list[int], order: int) -> np.ndarray:
-        """Sum of the log frequencies of strings of one order, by language."""
-        out = len(rows) * self.missing[order]
+    def above_missing(self, rows: list[int], weights: list[float]) -> np.ndarray:
+        """Weighted sum of what the rows have above the strings that were not seen, by language."""
+        out = np.zeros(len(self.langs))
         for at in range(0, len(rows), 1 << 15):
             r = np.array(rows[at : at + (1 << 15)], np.int64)
-            n = self.starts[r + 1] - self.starts[r]
-            cells = np.repeat(self.starts[r] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-            out = out + np.bincount(self.places[cells], self.above[cells], len(self.langs))
+            begin = self.starts[r]
+            n = self.starts[r + 1] - begin
+            cells = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            much = np.repeat(np.array(weights[at : at + (1 << 15)]), n)
+            out += np.bincount(self.places[cells], self.above[cells] * much, len(self.langs))
         return out
 
 
@@ -188,35 +190,41 @@ def fit(
 
 
 class Scorer:
-    """Scores texts by one model; keeps the vectors of unseen words it has met, up to a bound."""
-
-    KEEP = 50_000
-    #: Longer words are not kept: a word may be a whole text.
-    LONGEST = 64
+    """Scores texts by one model. Nothing is kept between texts."""
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.unseen: dict[str, np.ndarray] = {}
-
-    def unseen_word(self, word: str) -> np.ndarray:
-        """Mean log frequency of the word's known runs of the longest order that has any."""
-        got = self.unseen.get(word)
-        if got is None:
-            model = self.model
-            got = np.zeros(len(model.langs))
-            for order, index in model.grams.items():
-                # A sign alone says nothing about a word.
-                marked = f"^{word}$" if order > 1 else word
-                at = [index[g] for i in range(len(marked) - order + 1) if (g := marked[i : i + order]) in index]
-                if at:
-                    got = model.total(at, order) / len(at)
-                    break
-            if len(word) > self.LONGEST:
-                return got
-            if len(self.unseen) >= self.KEEP:
-                self.unseen.clear()
-            self.unseen[word] = got
-        return got
+
+    def known_runs(self, word: str) -> tuple[int, list[int]]:
+        """The longest order of which the word has a known run, and the rows of all of those (none: 0)."""
+        marked = f"^{word}$"
+        for order, index in self.model.grams.items():
+            # A sign alone says nothing about a word.
+            body = marked if order > 1 else word
+            at = [row for i in range(len(body) - order + 1) if (row := index.get(body[i : i + order])) is not None]
+            if at:
+                return order, at
+        return 0, []
+
+    def unseen_words(self, words: list[str]) -> np.ndarray:
+        """Sum over words of the mean log frequency of their known runs of the longest order that has any."""
+        model = self.model
+        out = np.zeros(len(model.langs))
+        rows: list[int] = []
+        weights: list[float] = []
+        many: Counter = Counter()
+        for word in words:
+            order, at = self.known_runs(word)
+            if at:
+                many[order] += 1
+                rows += at
+                weights += [1 / len(at)] * len(at)
+            if len(rows) > 100_000:
+                out += model.above_missing(rows, weights)
+                rows, weights = [], []
+        for order, n in sorted(many.items()):
+            out += n * model.missing[order]
+        return out + model.above_missing(rows, weights)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, its share of the evidence); of equal ones the language with most learned words, then the first by name.
@@ -234,9 +242,8 @@ class Scorer:
                 strange.append(word)
             else:
                 found.append(at)
-        total = self.model.total(found, 0)
-        for word in strange:
-            total = total + self.unseen_word(word)
+        total = len(found) * self.model.missing[0] + self.model.above_missing(found, [1.0] * len(found))
+        total = total + self.unseen_words(strange)
         # Words of one text are not independent: the evidence of a text counts as at most 16 words.
         mean = total / len(words) * min(len(words), 16)
         share = np.exp(mean - mean.max())
