@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from vacantia.functions import text as tx
 from vacantia.functions import urls
-from vacantia.operators import content, facts, identity, phrases
+from vacantia.operators import content, facts, history, identity, merging, phrases
 from vacantia.session import cut_lineage
 from vacantia.workloads.base import query
 
@@ -256,6 +256,33 @@ def fold_in_order(t):
     return identity.fold_in_order(postings)
 
 
+def run_arrivals(t):
+    """Two runs over all documents: first whole texts by id, then shortened ones in the opposite order."""
+    stored = contents(t)
+    title = F.col("title")
+    first = stored.select("job_id", "requisition_id", "title", "fingerprint", (F.col("job_id") + 1).alias("turn"))
+    shortened = tx.fingerprint(title, F.substring_index("text", "\n", 2))
+    second = stored.select(
+        "job_id", "requisition_id", "title", shortened.alias("fingerprint"), (F.lit(1 << 40) - F.col("job_id")).alias("turn")
+    )
+    return cut_lineage(first), cut_lineage(second)
+
+
+@query("merges_of_two_runs")
+def merges_of_two_runs(t):
+    first, second = run_arrivals(t)
+    jobs = document_jobs(t).withColumns(
+        {"next_attempt_after": F.lit(None).cast("timestamp_ntz"), "current_attempt_id": F.lit(None).cast("long"), "updated_at": F.lit(None).cast("timestamp_ntz")}
+    )
+    kept = contents(t).drop("text")
+    index = merging.key_index(jobs, kept.filter("false"))
+    one = merging.fold_run(jobs, kept.filter("false"), first, index)
+    index = merging.grown_index(index, jobs, first, one)
+    later = history.apply_merges(jobs, one, F.lit("2026-01-01 00:00:00").cast("timestamp_ntz"))
+    two = merging.fold_run(later, kept, second, index)
+    return one.withColumn("run", F.lit(1)).unionByName(two.withColumn("run", F.lit(2))).drop("turn")
+
+
 @query(
     "duplicate_texts",
     f"""WITH {SQL_DOCS} SELECT source AS company_slug, fingerprint, count(*) AS copies FROM c
