@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,6 +91,34 @@ def _with_run_hashes(df: DataFrame, words: str, spans: list[int]) -> DataFrame:
     return df
 
 
+def _bitmap(seeds: DataFrame) -> list[int]:
+    """A set of the seeds' low bits as words of 64 bits, some 32 bits for each seed, 1 MB at most.
+
+    Only the words come to the driver; with more seeds than the bound is meant for, the
+    bitmap prunes less and the join on the seeds does the rest.
+    """
+    number = seeds.count()
+    size = 1 << min(23, max(10, (32 * number).bit_length()))
+    place = F.col("seed").bitwiseAND(size - 1)
+    word = seeds.select(F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, cast(seed & 63 as int))").alias("bit"))
+    out = [0] * (size // 64)
+    for row in word.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():
+        out[row.word] = row.bits
+    return out
+
+
+def _set_in(hashes: Column, bits: list[int]) -> Column:
+    """The hashes whose bit is set."""
+    words = F.lit(np.array(bits, np.int64))
+    size = 64 * len(bits)
+
+    def here(h: Column) -> Column:
+        word = F.get(words, F.shiftright(h.bitwiseAND(size - 1), 6).cast("int"))
+        return F.bit_get(word, h.bitwiseAND(63).cast("int")) == 1
+
+    return F.filter(hashes, here)
+
+
 def unbound_phrases(
     phrases: DataFrame,
     docs: DataFrame,
@@ -102,9 +131,10 @@ def unbound_phrases(
     """Which documents contain which phrases, as (phrase_id, doc_id) pairs.
 
     A phrase of k words is keyed by the hash of its leading run, whose length is the
-    greatest power of two up to min(k, max_span). Documents send (doc, run length, hash)
-    rows, distinct and reduced to the keys in use before any wide exchange; candidates
-    are then verified on the whole text, so the keys only prune. Equal phrases are
+    greatest power of two up to min(k, max_span). The runs of a document are tested in the
+    row against a bitmap of the phrases' keys; what passes leaves as (doc, run length, hash)
+    rows, reduced to the keys in use before any wide exchange. Candidates are then verified
+    on the whole text, so bitmap and keys only prune. Equal phrases are
     searched once and given back to their ids at the end.
     """
     keyed = phrases.select(phrase_id, tx.word_key(phrase).alias("phrase_key")).filter("phrase_key != ''")
@@ -133,6 +163,9 @@ def unbound_phrases(
             "phrase_key", "span", F.coalesce(F.element_at(f"_h{span}", 1), F.lit(0)).alias("seed")
         )
         seeds = group if seeds is None else seeds.unionByName(group)
+    # Seeds as a set of bits: a run whose bit is not set is dropped inside its row.
+    seeds = cut_lineage(seeds)
+    bits = _bitmap(seeds)
     # The word list is computed once and kept out of the later steps.
     doc_words = docs.select(doc_id, tx.word_key(text).alias("_key")).select(
         doc_id, tx.key_words(F.col("_key")).alias("_words")
@@ -146,7 +179,8 @@ def unbound_phrases(
             F.array(
                 *[
                     F.struct(
-                        F.lit(span).alias("span"), F.array_distinct(F.col(f"_h{span}")).alias("runs")
+                        F.lit(span).alias("span"),
+                        F.array_distinct(_set_in(F.col(f"_h{span}"), bits)).alias("runs"),
                     )
                     for span in spans
                 ]
