@@ -4,10 +4,8 @@ from vacantia.functions import markup
 
 
 def tree(html):
-    parser = markup._Tree()
-    parser.feed(html)
-    parser.close()
-    return [(n["tag"], "".join(n["text"]), n["hidden"]) for n in parser.nodes]
+    rows = markup._Tree().read(html).rows()
+    return [(n["tag"], rows["text"][n["start"] : n["start"] + n["chars"]], n["hidden"]) for n in rows["nodes"]]
 
 
 def test_left_out_end_tags():
@@ -34,6 +32,46 @@ def test_sections_that_do_not_end():
     assert main("<script>x = 1</script>") == ""
 
 
+def test_body_after_a_section_without_end():
+    assert main("<h1>Title</h1><nav><ul><li>menu</ul><div>body</div>") == "Title body"
+    assert main("<html><body><h1>Title</h1><nav>menu<div>body</div></body></html>") == "Title body"
+    assert main("<header><p>head</header><p>one<aside>x<p>two") == "head one two"
+    # An end tag bounds a section, and what it holds stays out.
+    assert main("<p>a<nav><div>x</div></nav>b<noscript><p>q</p></noscript>c") == "a b c"
+    assert main("<h1>T</h1><nav><aside>x</aside><p>kept<footer><p>gone</footer>") == "T kept"
+    assert main("<h1>T</h1><svg><p>never") == "T"
+    assert "•" not in markup._content("<p>a<nav><ul><li>x</ul></nav><p>b")["main"]
+
+
+def test_ranges():
+    html = "<div> a <p> b <i>c</i>  </p> <br> d </div><a> e <b>f</b></a><p>  </p>"
+    rows = markup._Tree().read(html).rows()
+    held = [(n["tag"], rows["text"][n["start"] : n["start"] + n["chars"]], n["end"], n["text"]) for n in rows["nodes"]]
+    assert held == [
+        ("div", "a  b c    d", 3, None), ("p", "b c", 2, None), ("i", "c", 2, "c"), ("br", "", 3, ""),
+        ("a", "e f", 5, "e f"), ("b", "f", 5, "f"), ("p", "", 6, "")]
+    assert [n["parent"] for n in rows["nodes"]] == [None, 0, 1, 0, None, 4, None]
+
+
+def test_large_and_deep_pages_take_linear_time():
+    """Output and steps per element are bounded, so twice the page takes about twice the time."""
+    from time import process_time
+
+    def took(read, html):
+        times = []
+        for _ in range(3):
+            begun = process_time()
+            read(html)
+            times.append(process_time() - begun)
+        return min(times)
+
+    for part in ("<p>abc<b>x</b>", "<div>x", "<nav><p>x", "<p><button><div>", "<li><ul>x", "<p>a<aside>b"):
+        for read in (lambda h: markup._content(h), lambda h: markup._Tree().read(h).rows()):
+            assert took(read, part * 20_000) < 8 * took(read, part * 5_000) + 0.2, part
+    deep = markup._Tree().read("<div>x" * 5_000).rows()
+    assert sum(len(n["text"] or "") for n in deep["nodes"]) <= 2 * len(deep["text"])
+
+
 def test_odd_json():
     block = '<script type="application/ld+json">%s</script>'
     job = '{"@type": "JobPosting", "title": "%s", "x": %s}'

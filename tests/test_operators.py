@@ -198,6 +198,35 @@ def test_next_control_and_filters(spark):
     assert got == {1: ("numeric-successor", "3"), 2: ("load-more", "Show more")}
 
 
+def test_checkbox_groups(spark):
+    box = "<input type='checkbox'%s>"
+    near = "<div>City <label>" + box % "" + "A</label><span><label for='b'>B</label>" + box % " id='b' hidden" + "</span></div>"
+    far = "<section>Region" + "<div>" * 7 + box % "" + "</div>" * 7 + box % "" + "</section>"
+    wrapped = "<fieldset>Office <label><b>" + box % "" + "</b> C</label>" + box % "" + "</fieldset>"
+    lonely = "<p>City</p>" + box % ""
+    pages = spark.createDataFrame(list(enumerate([near, far, wrapped, lonely, "", None])), "page_id long, html string")
+    got = sorted((r["page_id"], r["kind"], r["tag"], r["label"], r["sample_options"]) for r in platforms.filter_controls(pages).collect())
+    # Seven elements stand between the far box and the section; its own box makes the section a group.
+    assert got == [
+        (0, "checkbox_group", "div", "City AB", ["A", "B"]),
+        (1, "checkbox_group", "section", "Region", []),
+        (2, "checkbox_group", "fieldset", "Office  C", ["C"]),
+    ]
+
+
+def test_filter_census_of_a_large_page(spark):
+    """20,000 elements with nested groups: ranges and counts, no search per element."""
+    from time import monotonic
+
+    item = "<div><ul>City " + "".join(f"<li><label><input type='checkbox' id='x{i}'>o{i}</label></li>" for i in range(6)) + "</ul></div>"
+    pages = spark.createDataFrame([(1, item * 1_000)], "page_id long, html string")
+    platforms.filter_controls(pages.limit(0)).collect()
+    begun = monotonic()
+    rows = platforms.filter_controls(pages).collect()
+    assert len(rows) == 1_000 and monotonic() - begun < 30
+    assert {tuple(r["sample_options"]) for r in rows} == {tuple(f"o{i}" for i in range(6))}
+
+
 def test_payload_types(spark):
     payload = '{"jobs": [{"absolute_url": "u1", "location": {"name": "Costa Rica"}}, 5, {"absolute_url": "", "location": null}, {"absolute_url": "u2"}]}'
     frame = spark.createDataFrame([("b", payload), ("c", '{"jobs": 3}'), ("d", "x"), ("e", "{}")], "board string, payload string")

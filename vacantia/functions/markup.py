@@ -1,8 +1,10 @@
 """HTML readers: one small parser per Arrow batch, everything after it in Catalyst.
 
-``page_nodes`` lists elements of a page as an array column (anchors, controls, options);
-``page_content`` gives main text, title and structured posting objects in one pass.
-Both work on stored HTML: scripts and external style sheets are not run.
+``page_tree`` gives the elements of a page as an array column beside the page's text,
+``page_anchors`` its anchors, ``page_content`` main text, title and structured posting
+objects in one pass. All work on stored HTML: scripts and external style sheets are not
+run. Time and output grow with the size of a page, however deep its elements nest; only an
+anchor's trail has an entry per ancestor.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from bisect import bisect_left, bisect_right
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -23,12 +26,28 @@ NODE = T.StructType(
     [
         T.StructField("position", T.IntegerType()),
         T.StructField("parent", T.IntegerType()),
+        # Position of the last element inside, its own if there is none: the elements below
+        # a node are those after it up to here.
+        T.StructField("end", T.IntegerType()),
         T.StructField("tag", T.StringType()),
         T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
+        # Text of leaves and of outermost anchors, buttons and options; see node_text.
         T.StructField("text", T.StringType()),
+        # Place of the trimmed text in the text of the page.
+        T.StructField("start", T.IntegerType()),
+        T.StructField("chars", T.IntegerType()),
         T.StructField("children", T.IntegerType()),
         T.StructField("hidden", T.BooleanType()),
-        # One token list per element, the node first, then its ancestors:
+        # Checkboxes from the page's begin up to this element.
+        T.StructField("boxes", T.IntegerType()),
+    ]
+)
+TREE = T.StructType([T.StructField("text", T.StringType()), T.StructField("nodes", T.ArrayType(NODE))])
+ANCHOR = T.StructType(
+    [
+        T.StructField("href", T.StringType()),
+        T.StructField("hidden", T.BooleanType()),
+        # One token list per element, the anchor first, then its ancestors:
         # tag, #id, .class, [attr] and [attr=value].
         T.StructField("trail", T.ArrayType(T.ArrayType(T.StringType()))),
     ]
@@ -80,33 +99,71 @@ _ENDS = {
     "tfoot": (_SECTIONS, frozenset(("table",))),
 }
 # A block ends an open paragraph, unless one of these stands between.
-_APART = frozenset("button td th caption object html body table".split())
-
+_APART = frozenset("button td th caption object html body table noscript template svg".split())
+_PARAGRAPH = frozenset(("p",))
+_ENDS_PARAGRAPH = (_BLOCK | {"nav", "footer", "aside"}) - _ENDS.keys()
+_LISTS = frozenset("ul ol menu dl".split())
+_LISTED = _LISTS | {"li", "dt", "dd"}
+# Elements whose text is given with them, if none of them is around.
+_TEXTUAL = frozenset("a button option".split())
+_INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_INK = re.compile(r"\S+")
 
-def _implied_end(tag: str, open_tags: list[str]) -> int:
-    """How many of the open elements stay open when *tag* starts."""
-    ends, until = _ENDS.get(tag, (frozenset(), _APART))
-    if tag in _BLOCK and not ends:
-        ends = frozenset(("p",))
-    stay = len(open_tags)
-    for depth in range(len(open_tags) - 1, -1, -1):
-        if open_tags[depth] in until:
-            break
-        if open_tags[depth] in ends:
-            stay = depth
-    return stay
 
+class _Stack:
+    """Open elements, with the depths at which each tag is open: nothing is searched for."""
 
-_INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+    def __init__(self) -> None:
+        self.tags: list[str] = []
+        self.at: dict[str, list[int]] = {}
+
+    def push(self, tag: str) -> None:
+        self.at.setdefault(tag, []).append(len(self.tags))
+        self.tags.append(tag)
+
+    def cut(self, depth: int) -> None:
+        while len(self.tags) > depth:
+            self.at[self.tags.pop()].pop()
+
+    def last(self, tags) -> int:
+        """Depth of the innermost open element with one of the tags, -1 if there is none."""
+        found = -1
+        for tag in tags:
+            depths = self.at.get(tag)
+            if depths and depths[-1] > found:
+                found = depths[-1]
+        return found
+
+    def implied(self, tag: str) -> int:
+        """How many of the open elements stay open when *tag* starts."""
+        stay = len(self.tags)
+        if tag in _ENDS_PARAGRAPH:
+            ends, until = _PARAGRAPH, _APART
+        elif tag in _ENDS:
+            ends, until = _ENDS[tag]
+        else:
+            return stay
+        holder = None
+        for end in ends:
+            if depths := self.at.get(end):
+                holder = self.last(until) if holder is None else holder
+                inside = bisect_right(depths, holder)
+                if inside < len(depths):
+                    stay = min(stay, depths[inside])
+        return stay
 
 
 class _Tree(HTMLParser):
-    """Elements in document order with text, visibility and ancestor tokens."""
+    """Elements in document order with the range of their text and of the elements inside."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.nodes: list[dict] = []
         self.open: list[dict] = []
+        self.stack = _Stack()
+        self.pieces: list[str] = []
+        self.length = 0
+        self.boxes = 0
 
     def handle_starttag(self, tag, attrs):
         kept: dict[str, str] = {}
@@ -114,64 +171,133 @@ class _Tree(HTMLParser):
             if name == "href" and value is None:
                 continue
             kept.setdefault(name, value or "")
-        del self.open[_implied_end(tag, [node["tag"] for node in self.open]) :]
+        self._close(self.stack.implied(tag))
         parent = self.open[-1] if self.open else None
-        own = [tag]
-        if kept.get("id"):
-            own.append("#" + kept["id"])
-        own += ["." + part for part in kept.get("class", "").split()]
-        for name, value in kept.items():
-            own += [f"[{name}]", f"[{name}={value}]"]
+        kind = kept.get("type", "").lower()
+        self.boxes += tag == "input" and kind == "checkbox"
         node = {
             "position": len(self.nodes),
             "parent": parent["position"] if parent else None,
+            "end": len(self.nodes),
             "tag": tag,
             "attrs": kept,
-            "text": [],
+            "text": None,
+            "start": self.length,
+            "chars": 0,
             "children": 0,
             "hidden": bool(parent and parent["hidden"])
             or "hidden" in kept
-            or kept.get("type", "").lower() == "hidden"
+            or kind == "hidden"
             or bool(_INVISIBLE.search(kept.get("style", ""))),
-            "trail": [own] + (parent["trail"] if parent else []),
+            "boxes": self.boxes,
+            "told": tag in _TEXTUAL and self.stack.last(_TEXTUAL) < 0,
         }
         if parent:
             parent["children"] += 1
         self.nodes.append(node)
         if tag not in _VOID:
             self.open.append(node)
+            self.stack.push(tag)
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth]["tag"] == tag:
-                del self.open[depth:]
-                return
+        depth = self.stack.last((tag,))
+        if depth >= 0:
+            self._close(depth)
+
+    def _close(self, depth):
+        for node in self.open[depth:]:
+            node["end"] = len(self.nodes) - 1
+            node["chars"] = self.length - node["start"]
+        del self.open[depth:]
+        self.stack.cut(depth)
 
     def handle_data(self, data):
-        for node in self.open:
-            node["text"].append(data)
+        self.pieces.append(data)
+        self.length += len(data)
+
+    def read(self, html: str) -> _Tree:
+        self.feed(html)
+        self.close()
+        self._close(0)
+        return self
+
+    def rows(self) -> dict:
+        """The page's text and its elements, with trimmed ranges."""
+        page = "".join(self.pieces)
+        runs = [found.span() for found in _INK.finditer(page)]
+        first, last = [run[0] for run in runs], [run[1] for run in runs]
+        for node in self.nodes:
+            start, stop = node["start"], node["start"] + node["chars"]
+            # White space ends with the first run that reaches into the range, and begins again after the last.
+            after, before = bisect_right(last, start), bisect_left(first, stop) - 1
+            if after <= before:
+                start, stop = max(start, first[after]), min(stop, last[before])
+            else:
+                stop = start
+            node["start"], node["chars"] = start, stop - start
+            if node["told"] or not node["children"]:
+                node["text"] = page[start:stop]
+        return {"text": page, "nodes": self.nodes}
+
+    def anchors(self) -> list[dict]:
+        """Anchors with the tokens of their ancestors."""
+        tokens: dict[int, list[str]] = {}
+
+        def own(node: dict) -> list[str]:
+            known = tokens.get(node["position"])
+            if known is None:
+                attrs = node["attrs"]
+                known = [node["tag"]]
+                if attrs.get("id"):
+                    known.append("#" + attrs["id"])
+                known += ["." + part for part in attrs.get("class", "").split()]
+                for name, value in attrs.items():
+                    known += [f"[{name}]", f"[{name}={value}]"]
+                tokens[node["position"]] = known
+            return known
+
+        found = []
+        for node in self.nodes:
+            if node["tag"] == "a":
+                trail, above = [own(node)], node["parent"]
+                while above is not None:
+                    trail.append(own(self.nodes[above]))
+                    above = self.nodes[above]["parent"]
+                found.append({"href": node["attrs"].get("href"), "hidden": node["hidden"], "trail": trail})
+        return found
 
 
 class _Reader(HTMLParser):
-    """Main text with bullets and block breaks, page title and JSON-LD blocks."""
+    """Main text with bullets and block breaks, page title and JSON-LD blocks.
+
+    Navigation and other dropped sections are left out up to their end tag. Where that is
+    missing, a section ends at its first block outside a list, so that it takes no more of
+    the page with it; if nothing stands outside such sections, all text is given.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.text: list[str] = []
+        self.pieces: list[str] = []
+        # The innermost dropped section of each piece, -1 outside.
+        self.owners: list[int] = []
         self.titles: list[str] = []
         self.blocks: list[str] = []
         self.everything: list[str] = []
-        # Open dropped sections, and the elements that are open inside and around them.
-        self.dropped: list[str] = []
-        self.around: list[str] = []
+        self.stack = _Stack()
+        # Of each dropped section: the one around it, and the piece from which it counts as text.
+        self.around: list[int] = []
+        self.shown_from: list[float] = []
+        # Open dropped sections as (depth, number), and those of them still without an end.
+        self.dropped: list[tuple[int, int]] = []
+        self.endless: list[tuple[int, int]] = []
+        self.unread = 0
         self.in_title = False
         self.block: list[str] | None = None
 
     def handle_starttag(self, tag, attrs):
-        if "head" in self.dropped and tag not in _HEAD:
-            self._close(self.around.index("head"))  # its end tag may be left out
-        if tag not in _VOID:
-            self.around.append(tag)
+        if tag not in _HEAD and self.stack.at.get("head"):
+            self._close(self.stack.at["head"][0], True)  # its end tag may be left out
+        self._close(self.stack.implied(tag))
         if tag == "title":
             self.in_title = True
         if tag == "script":
@@ -179,9 +305,22 @@ class _Reader(HTMLParser):
             if kind == "application/ld+json":
                 self.block = []
         if tag in _DROPPED:
-            self.dropped.append(tag)
+            place = (len(self.stack.tags), len(self.around))
+            self.around.append(self.dropped[-1][1] if self.dropped else -1)
+            self.shown_from.append(float("inf"))
+            self.dropped.append(place)
+            if tag in _UNREAD:
+                self.unread += 1
+            else:
+                self.endless.append(place)
         elif tag in _BLOCK:
-            self.text.append("\n• " if tag == "li" else "\n")
+            if tag not in _LISTED and self.endless:
+                listed = self.stack.last(_LISTS)
+                while self.endless and self.endless[-1][0] > listed:
+                    self.shown_from[self.endless.pop()[1]] = len(self.pieces)
+            self._add("\n• " if tag == "li" else "\n")
+        if tag not in _VOID:
+            self.stack.push(tag)
 
     def handle_endtag(self, tag):
         if tag == "title":
@@ -189,27 +328,48 @@ class _Reader(HTMLParser):
         if tag == "script" and self.block is not None:
             self.blocks.append("".join(self.block))
             self.block = None
-        if tag in self.around:
+        depth = self.stack.last((tag,))
+        if depth >= 0:
             # Whatever is still open inside ends too, dropped sections among it.
-            self._close(len(self.around) - 1 - self.around[::-1].index(tag))
+            self._close(depth, True)
         if tag in _BLOCK and tag not in _DROPPED:
-            self.text.append("\n")
-
-    def _close(self, depth):
-        for gone in self.around[depth:]:
-            if gone in _DROPPED and gone in self.dropped:
-                del self.dropped[len(self.dropped) - 1 - self.dropped[::-1].index(gone) :]
-        del self.around[depth:]
+            self._add("\n")
+
+    def _close(self, depth, by_end_tag=False):
+        while self.endless and self.endless[-1][0] >= depth:
+            self.endless.pop()
+        while self.dropped and self.dropped[-1][0] >= depth:
+            at, number = self.dropped.pop()
+            self.unread -= self.stack.tags[at] in _UNREAD
+            if at == depth and by_end_tag:
+                self.shown_from[number] = float("inf")
+        self.stack.cut(depth)
+
+    def _add(self, piece):
+        self.pieces.append(piece)
+        self.owners.append(self.dropped[-1][1] if self.dropped else -1)
 
     def handle_data(self, data):
         if self.in_title:
             self.titles.append(data)
         if self.block is not None:
             self.block.append(data)
-        if not self.in_title and not _UNREAD.intersection(self.dropped):
-            self.everything.append(" ".join(data.split("\n")))
-        if not self.dropped and not self.in_title:
-            self.text.append(" ".join(data.split("\n")))
+        if not self.in_title and not self.unread:
+            data = " ".join(data.split("\n"))
+            self.everything.append(data)
+            self._add(data)
+
+    def text(self) -> str:
+        outside = "".join(piece for piece, owner in zip(self.pieces, self.owners) if owner < 0)
+        if not outside.replace("•", "").strip():
+            return "".join(self.everything)
+        shown_from: list[float] = []
+        for around, own in zip(self.around, self.shown_from):
+            shown_from.append(max(own, shown_from[around]) if around >= 0 else own)
+        return "".join(
+            piece if owner < 0 or place >= shown_from[owner] else "\n" if piece[:1] == "\n" else ""
+            for place, (piece, owner) in enumerate(zip(self.pieces, self.owners))
+        )
 
 
 def _read(html: str) -> _Reader:
@@ -266,7 +426,7 @@ def _postings(blocks: list[str]) -> list[dict]:
         for item, fields in items:
             description = item.get("description")
             shown = (
-                "".join(_read(description).text) if isinstance(description, str) else ""
+                _read(description).text() if isinstance(description, str) else ""
             )
             found.append(
                 {
@@ -280,11 +440,8 @@ def _postings(blocks: list[str]) -> list[dict]:
 
 def _content(html: str) -> dict:
     reader = _read(html)
-    main = "".join(reader.text)
-    if not main.replace("•", "").strip():
-        main = "".join(reader.everything)  # sections that never end hold all of the page
     return {
-        "main": _sound(unicodedata.normalize("NFKC", main)),
+        "main": _sound(unicodedata.normalize("NFKC", reader.text())),
         "title": _sound(unicodedata.normalize("NFKC", " ".join(reader.titles))),
         "postings": _postings(reader.blocks),
     }
@@ -301,26 +458,26 @@ def page_content(html: Column | str) -> Column:
     return _page_content(col(html))
 
 
-def page_nodes(html: Column | str, *tags: str) -> Column:
-    """Elements of a page in document order; only those with one of *tags*, if given."""
-    wanted = frozenset(tags)
-
-    def read(pages: pd.Series) -> pd.Series:
-        result = []
-        for page in pages:
-            tree = _Tree()
-            tree.feed(page or "")
-            tree.close()
-            result.append(
-                [
-                    {**node, "text": "".join(node["text"]).strip()}
-                    for node in tree.nodes
-                    if not wanted or node["tag"] in wanted
-                ]
-            )
-        return pd.Series(result, dtype=object)
+@F.pandas_udf(TREE)
+def _page_tree(pages: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([_Tree().read(page or "").rows() for page in pages], columns=["text", "nodes"])
+
 
-    return F.pandas_udf(read, T.ArrayType(NODE))(col(html))
+def page_tree(html: Column | str) -> Column:
+    """``struct<text, nodes>``: the page's text and its elements in document order."""
+    return _page_tree(col(html))
+
+
+def node_text(tree: Column, node: Column, chars: int | None = None) -> Column:
+    """Trimmed text of an element with all that is inside it; its first *chars* characters, if given."""
+    size = node["chars"] if chars is None else F.least(node["chars"], F.lit(chars))
+    held = F.substring(tree["text"], node["start"] + 1, size)
+    return F.coalesce(node["text"] if chars is None else F.substring(node["text"], 1, chars), held)
+
+
+@F.pandas_udf(T.ArrayType(ANCHOR))
+def _page_links(pages: pd.Series) -> pd.Series:
+    return pd.Series([_Tree().read(page or "").anchors() for page in pages], dtype=object)
 
 
 def tidy_or_null(text: Column) -> Column:
@@ -354,15 +511,12 @@ def _holds_all(wanted: Column):
 def page_anchors(pages, key: str = "page_id", url: str = "url", html: str = "html"):
     """One row per anchor with an href: key, ord, href, hidden, trail and page URL."""
     # The outer form keeps the parse from being repeated in a size filter.
-    nodes = pages.select(key, url, page_nodes(html, "a").alias("_nodes"))
-    return nodes.select(key, url, F.posexplode_outer("_nodes").alias("ord", "_n")).select(
-        key,
-        url,
-        "ord",
-        F.col("_n.attrs")["href"].alias("href"),
-        F.col("_n.hidden").alias("hidden"),
-        F.col("_n.trail").alias("trail"),
-    ).filter(F.col("href").isNotNull())
+    nodes = pages.select(key, url, _page_links(col(html)).alias("_nodes"))
+    return (
+        nodes.select(key, url, F.posexplode_outer("_nodes").alias("ord", "_n"))
+        .select(key, url, "ord", "_n.href", "_n.hidden", "_n.trail")
+        .filter(F.col("href").isNotNull())
+    )
 
 
 def page_anchors_by_pattern(pages, key: str = "page_id", url: str = "url", html: str = "html"):

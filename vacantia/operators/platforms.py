@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacantia.functions import urls
-from vacantia.functions.markup import page_nodes
+from vacantia.functions.markup import node_text, page_tree
 from vacantia.functions.text import fixed_strings
 
 # Platform, host parts, page markers, network parts, suggested strategy.
@@ -103,12 +103,12 @@ def platform_hits(pages: DataFrame, network: DataFrame | None = None, key: str =
     per page and platform before it is joined.
     """
     host = urls.authority_host(urls.url_parts("url")["authority"])
-    read = pages.select(key, host.alias("_host"), page_nodes("html").alias("_nodes"))
+    read = pages.select(key, host.alias("_host"), page_tree("html").alias("_tree"))
     rows = []
     for place, (name, hosts, markers, _, strategy) in enumerate(PLATFORMS):
         dom = F.lit(False)
         for kind, value in markers:
-            dom = dom | _marker(F.col("_nodes"), kind, value)
+            dom = dom | _marker(F.col("_tree.nodes"), kind, value)
         rows.append(
             F.struct(
                 F.lit(place).alias("place"),
@@ -157,7 +157,7 @@ def unclassified_job_apis(network: DataFrame, hits: DataFrame, key: str = "page_
 
 def location_options(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """Location options of a board page: key, ord, option_id, label."""
-    nodes = pages.select(key, F.posexplode_outer(page_nodes("html")).alias("ord", "_n"))
+    nodes = pages.select(key, F.posexplode_outer(page_tree("html")["nodes"]).alias("ord", "_n"))
     attrs = F.col("_n.attrs")
     return (
         nodes.filter(attrs["data-cy"].rlike("^_location_id_select_.*_option$"))
@@ -176,19 +176,28 @@ def filter_controls(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
     Kinds: location selects, comboboxes, location checkbox groups and plain search boxes.
     All rules work on the page's own element list; samples hold the first ten options,
-    which is what the census shows.
+    which is what the census shows. The group of a visible checkbox is the nearest of the
+    first six elements around it that holds two checkboxes or more, hidden ones included, and
+    the seventh if none of the six does; a group is shown if the first 200 characters of its
+    text name a place. What lies below an element is a range of positions, and checkboxes
+    below it are a difference of counts, so no element searches the others.
     """
-    read = pages.select(key, page_nodes("html").alias("nodes"))
-    nodes = F.col("nodes")
+    read = pages.select(key, page_tree("html").alias("tree"))
+    tree, nodes = F.col("tree"), F.col("tree.nodes")
     shown = F.filter(nodes, lambda n: ~n["hidden"])
+    labels = F.filter(nodes, lambda n: n["tag"] == "label")
+    labelled = F.transform(labels, lambda n: F.coalesce(n["attrs"]["for"], F.lit("")))
     tokens = "(?iu)" + "|".join(LOCATION_TOKENS)
 
+    def at(position: Column) -> Column:
+        return F.try_element_at(nodes, position + 1)
+
     def named(text: Column) -> Column:
         return F.coalesce(text.rlike(tokens), F.lit(False))
 
     def label_for(element_id: Column) -> Column:
-        labels = F.filter(nodes, lambda n: (n["tag"] == "label") & (n["attrs"]["for"] == element_id))
-        return F.when(element_id != "", F.try_element_at(labels, F.lit(1))["text"])
+        place = F.array_position(labelled, element_id)
+        return F.when((element_id != "") & (place > 0), node_text(tree, F.get(labels, place.cast("int") - 1)))
 
     def control(kind: str, n: Column, label: Column, options: Column) -> Column:
         return F.struct(
@@ -203,21 +212,19 @@ def filter_controls(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
     none = F.array().cast("array<string>")
 
+    options = F.filter(nodes, lambda n: n["tag"] == "option")
+
     def options_of(select: Column) -> Column:
         # Options may sit in groups: their parent or its parent is the select.
-        groups = F.transform(
-            F.filter(nodes, lambda g: (g["tag"] == "optgroup") & (g["parent"] == select["position"])),
-            lambda g: g["position"],
-        )
-        texts = F.transform(
-            F.filter(
-                nodes,
-                lambda o: (o["tag"] == "option")
-                & ((o["parent"] == select["position"]) | F.array_contains(groups, o["parent"])),
-            ),
-            lambda o: o["text"],
+        def group_of(option: Column) -> Column:
+            return F.when(at(option["parent"])["tag"] == "optgroup", at(option["parent"])["parent"])
+
+        own = F.filter(
+            options,
+            lambda o: o["position"].between(select["position"] + 1, select["end"])
+            & ((o["parent"] == select["position"]) | F.coalesce(group_of(o) == select["position"], F.lit(False))),
         )
-        return F.slice(F.filter(texts, lambda v: v != ""), 1, SAMPLE_OPTIONS)
+        return F.slice(F.filter(F.transform(own, lambda o: node_text(tree, o)), lambda v: v != ""), 1, SAMPLE_OPTIONS)
 
     selects = F.transform(
         F.filter(
@@ -236,67 +243,42 @@ def filter_controls(pages: DataFrame, key: str = "page_id") -> DataFrame:
         lambda n: control(
             "combobox",
             n,
-            F.substring(F.coalesce(F.nullif(n["attrs"]["aria-label"], F.lit("")), n["text"]), 1, 200),
+            F.substring(F.coalesce(F.nullif(n["attrs"]["aria-label"], F.lit("")), node_text(tree, n, 200)), 1, 200),
             none,
         ),
     )
 
-    def boxes_below(n: Column) -> Column:
-        # Elements come in document order: those below n follow it and hold it in their
-        # ancestor count; the trail's length tells depth.
-        following = F.filter(
-            nodes,
-            lambda b: (b["position"] > n["position"])
-            & (F.size(b["trail"]) <= F.size(n["trail"])),
-        )
-        end = F.coalesce(F.try_element_at(following, F.lit(1))["position"], F.size(nodes))
-        return F.filter(
-            nodes,
-            lambda b: (b["tag"] == "input")
-            & (F.lower(b["attrs"]["type"]) == "checkbox")
-            & (b["position"] > n["position"])
-            & (b["position"] < end),
-        )
+    def is_box(n: Column) -> Column:
+        return (n["tag"] == "input") & F.coalesce(F.lower(n["attrs"]["type"]) == "checkbox", F.lit(False))
+
+    boxes = F.filter(nodes, is_box)
+
+    def group_of(box: Column) -> Column:
+        def climb(place: Column, _: Column) -> Column:
+            around = at(place)
+            held = at(around["end"])["boxes"] - around["boxes"]
+            return F.when(held >= 2, place).otherwise(around["parent"])
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(6)), box["parent"], climb)
 
     def box_label(box: Column) -> Column:
-        around = F.filter(nodes, lambda l: (l["tag"] == "label") & (l["position"] == box["parent"]))
+        around = F.filter(labels, lambda l: box["position"].between(l["position"] + 1, l["end"]))
         return F.coalesce(
-            label_for(F.coalesce(box["attrs"]["id"], F.lit(""))), F.try_element_at(around, F.lit(1))["text"]
+            F.nullif(label_for(F.coalesce(box["attrs"]["id"], F.lit(""))), F.lit("")),
+            node_text(tree, F.get(around, F.size(around) - 1)),
         )
 
-    boxes = F.filter(
-        shown, lambda n: (n["tag"] == "input") & (F.lower(n["attrs"]["type"]) == "checkbox")
-    )
-
-    def is_group(n: Column) -> Column:
-        # The nearest container with two boxes or more of some box: a child element leads
-        # to that one box alone.
-        single = F.exists(
-            nodes,
-            lambda c: (F.coalesce(c["parent"], F.lit(-1)) == n["position"])
-            & F.array_contains(
-                F.transform(boxes, lambda b: b["position"]),
-                F.coalesce(F.try_element_at(boxes_below(c), F.lit(1))["position"], c["position"]),
-            )
-            & (F.size(boxes_below(c)) <= 1),
+    def labels_in(group: Column) -> Column:
+        # The page's checkboxes are in document order, so a group's own are a slice.
+        own = F.slice(boxes, group["boxes"] + 1, at(group["end"])["boxes"] - group["boxes"])
+        return F.slice(
+            F.filter(F.transform(own, box_label), lambda v: v.isNotNull() & (v != "")), 1, SAMPLE_OPTIONS
         )
-        return (F.size(boxes_below(n)) >= 2) & single
-
-    groups = F.when(
-        F.size(boxes) >= 2,
-        F.transform(
-            F.filter(nodes, lambda n: is_group(n) & named(F.substring(n["text"], 1, 200))),
-            lambda n: control(
-                "checkbox_group",
-                n,
-                F.substring(n["text"], 1, 80),
-                F.slice(
-                    F.filter(F.transform(boxes_below(n), box_label), lambda v: v.isNotNull() & (v != "")),
-                    1,
-                    SAMPLE_OPTIONS,
-                ),
-            ),
-        ),
+
+    places = F.array_distinct(F.array_compact(F.transform(F.filter(boxes, lambda b: ~b["hidden"]), group_of)))
+    groups = F.transform(
+        F.filter(F.transform(places, at), lambda n: named(node_text(tree, n, 200))),
+        lambda n: control("checkbox_group", n, node_text(tree, n, 80), labels_in(n)),
     )
     searches = F.transform(
         F.filter(
@@ -319,7 +301,7 @@ def filter_controls(pages: DataFrame, key: str = "page_id") -> DataFrame:
             none,
         ),
     )
-    found = F.concat(selects, comboboxes, F.coalesce(groups, F.filter(selects, lambda _: F.lit(False))), searches)
+    found = F.concat(selects, comboboxes, groups, searches)
     return read.select(key, F.explode_outer(found).alias("_c")).filter("_c is not null").select(
         key,
         *[F.col(f"_c.{c}").alias(c) for c in ("kind", "position", "tag", "name", "id", "label", "sample_options")],
@@ -339,8 +321,8 @@ def next_controls(pages: DataFrame, key: str = "page_id") -> DataFrame:
     Signals in order: rel=next, label, text, number after the current page, class token,
     load-more. Each element is ranked by its strongest signal and the page's best is kept.
     """
-    read = pages.select(key, page_nodes("html").alias("nodes"))
-    nodes = F.col("nodes")
+    read = pages.select(key, page_tree("html").alias("tree"))
+    nodes = F.col("tree.nodes")
     numbers = F.filter(
         nodes,
         lambda n: ~n["tag"].isin("a", "button") & (n["children"] == 0) & n["text"].rlike(r"^\d{1,9}$"),
@@ -358,12 +340,14 @@ def next_controls(pages: DataFrame, key: str = "page_id") -> DataFrame:
         marks = F.filter(
             numbers,
             lambda c: (F.try_to_number(c["text"], F.lit("999999999")) + 1 == F.try_to_number(n["text"], F.lit("999999999")))
-            & F.exists(_ancestors(nodes, n), lambda a: a == c["parent"]),
+            & F.coalesce(
+                n["position"].between(c["parent"] + 1, F.try_element_at(nodes, c["parent"] + 1)["end"]), F.lit(False)
+            ),
         )
         return F.try_element_at(marks, F.lit(1))["position"]
 
     def signal(n: Column) -> Column:
-        attrs, text = n["attrs"], n["text"]
+        attrs, text = n["attrs"], node_text(F.col("tree"), n)
         label = F.coalesce(attrs["aria-label"], F.lit(""))
         more = r"(?i)^(?:load|show)\s*more"
 
@@ -396,14 +380,3 @@ def next_controls(pages: DataFrame, key: str = "page_id") -> DataFrame:
         .filter("_s is not null")
         .select(key, "_s.signal", "_s.position", "_s.text")
     )
-
-
-def _ancestors(nodes: Column, n: Column) -> Column:
-    """Positions of the elements above *n*, nearest first."""
-    return F.aggregate(
-        n["trail"],
-        F.array(n["parent"]),
-        lambda acc, _: F.concat(acc, F.array(F.try_element_at(nodes, F.element_at(acc, -1) + 1)["parent"])),
-    )
-
-
