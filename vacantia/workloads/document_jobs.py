@@ -494,20 +494,38 @@ def technology_groups(t):
     )
 
 
+# Main text of a page with plain markup: sections dropped, blocks as line ends, entities read.
+SQL_UNESCAPED = "regexp_replace(replace(replace(replace({0}, '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g')"
+SQL_PAGE_TEXTS = rf"""WITH bare AS (
+  SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS title, replace(regexp_replace(html,
+    '(?s)<!--.*?-->|<head>.*?</head>|<(?:script|style|nav|footer)>.*?</(?:script|style|nav|footer)>', '', 'g'), chr(10), ' ') AS body
+  FROM pages),
+shown AS (
+  SELECT page_id, {SQL_UNESCAPED.format("title")} AS title, {SQL_UNESCAPED.format(
+    "regexp_replace(regexp_replace(body, '</?(?:html|body|div|article|h1|p|br|li|ul)[^>]*>', chr(10), 'g'), '<[^>]*>', '', 'g')")} AS body
+  FROM bare),
+page_texts AS (
+  SELECT page_id, nullif(trim(regexp_replace(title, '[ \t]+', ' ', 'g')), '') AS page_title,
+    trim(regexp_replace(regexp_replace(regexp_replace(body, '[ \t]+', ' ', 'g'), '(?m)^ +| +$', '', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'),
+      ' ' || chr(10)) AS main_text FROM shown)"""
+
+
 @query(
     "page_texts",
-    """SELECT count(*) AS pages, count(*) FILTER (html LIKE '%<title>%') AS titled, 0::BIGINT AS structured FROM pages""",
+    f"{SQL_PAGE_TEXTS} SELECT page_id, main_text, page_title, 0 AS structured FROM page_texts",
 )
 def page_texts(t):
     read = content.read_pages(t.pages.select("page_id", "html"))
-    return read.agg(
-        F.count("main_text").alias("pages"),
-        F.count("page_title").alias("titled"),
-        F.sum(F.size("postings")).cast("long").alias("structured"),
-    )
+    return read.select("page_id", "main_text", "page_title", F.size("postings").alias("structured"))
 
 
-@query("page_content_gate")
+@query(
+    "page_content_gate",
+    f"""{SQL_PAGE_TEXTS} SELECT page_id, CASE WHEN length(main_text) >= 400 THEN 'main_content' END AS method,
+      CASE WHEN length(main_text) < 400 THEN 'empty_content' END AS failure_category,
+      CASE WHEN length(main_text) >= 400 THEN page_title END AS title,
+      CASE WHEN length(main_text) >= 400 THEN length(main_text)::INT END AS chars FROM page_texts""",
+)
 def page_content_gate(t):
     gated = content.page_contents(t.pages, "2024-06-01")
     return gated.select(
