@@ -131,3 +131,33 @@ def test_attempts_late_repeated_and_unmatched(spark, tmp_path):
     assert got == {(1, "finished"), (2, "interrupted"), (2, "late_finish"), (3, "finished"), (9, "unmatched")}
     assert liveness.attempt_outcomes(runs.read(), 60).count() == 5
     assert len(runs.manifests.load()["runs"]) < 12
+
+
+def test_contents_as_of_runs(spark):
+    """Owners, ties with the bound, days without rows, unknown runs and jobs without content."""
+    moment = "cast(concat('2024-01-', lpad(%s, 2, '0')) as timestamp_ntz)"
+    attempts = spark.createDataFrame(
+        [(1, 10, "r1", 1, 2), (2, 10, "r2", 9, None), (3, 20, "r1", 3, 3), (4, 30, "r1", 4, None), (5, 10, "r1", 1, 1),
+         (6, 40, "gone", 1, 1), (7, 40, None, 1, 1)],
+        "id long, job_id long, run_id string, s int, f int",
+    ).selectExpr("id", "job_id", "run_id", moment % "s" + " AS started_at", moment % "f" + " AS finished_at")
+    contents = spark.createDataFrame(
+        [(100, 10, 1), (101, 10, 9), (102, 10, 9), (103, 10, 20), (200, 20, 9), (300, 30, 1), (400, 40, 1)], "id long, job_id long, d int"
+    ).selectExpr("id", "job_id", moment % "d" + " AS retrieved_at")
+    decisions = spark.createDataFrame(
+        [(1, 30, 4, 300, "a"), (2, 30, 4, 400, "b"), (3, 10, 2, 100, "c")], "id long, job_id long, attempt_id long, content_id long, decision string"
+    ).selectExpr("*", "'h' AS prompt_hash")
+    runs = spark.createDataFrame([("r1",), ("r2",)], "id string").selectExpr("id", moment % "25" + " AS finished_at")
+    rows = history.contents_as_of_runs(attempts, contents, decisions, runs, "2024-02-01")
+    got = {(r["run_id"], r["job_id"]): (r["content_id"], r["decision"], r["problem"]) for r in rows.collect()}
+    assert got == {
+        # Attempt 5 is the newest of r1, its next attempt begins on the 9th: content of that moment counts, the later of two.
+        ("r1", 10): (102, None, None),
+        ("r2", 10): (100, "c", None),
+        ("r1", 20): (None, None, "no_content"),
+        ("r1", 30): (None, "b", "foreign_content"),
+        ("gone", None): (None, None, "unknown_run"),
+    }
+    one = history.contents_as_of_run("gone", attempts, contents, decisions, runs, "2024-02-01").collect()
+    assert [(r["job_id"], r["problem"]) for r in one] == [(None, "unknown_run")]
+    assert history.contents_as_of_runs(attempts.limit(0), contents, decisions, runs, "2024-02-01").count() == 0

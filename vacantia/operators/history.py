@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vacantia.functions import urls
@@ -529,53 +529,87 @@ def next_attempt_start(attempts: DataFrame) -> DataFrame:
     )
 
 
-def contents_as_of_run(
-    run_id: str, attempts: DataFrame, contents: DataFrame, decisions: DataFrame, runs: DataFrame, now
+def contents_as_of_runs(
+    attempts: DataFrame,
+    contents: DataFrame,
+    decisions: DataFrame,
+    runs: DataFrame,
+    now,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
-    """What each job of a run was judged on: (job_id, content_id, decision, prompt_hash).
+    """What each job of each run was judged on: (run_id, job_id, content_id, decision, prompt_hash, problem).
 
     The content of the run's newest decision on the job; without one, the newest content
     retrieved no later than the start of the job's next attempt, else the end of the
-    attempt or run, else *now*. There is one bound per job, so the range condition
-    compares each content once and the newest is a partial maximum.
+    attempt or run, else *now*. Content must belong to the job: content of another job, or
+    that is not stored, gives no content_id and the problem ``foreign_content``; a job
+    without any content has ``no_content``. *wanted* (run_id) names the runs, all runs of
+    the attempts if it is left out; one that *runs* does not hold is a single row without a
+    job and the problem ``unknown_run``.
+
+    All runs are answered in one pass: contents and bounds of a job are put in one order of
+    time, and each bound takes the last content before it. The order is kept within days
+    only, so that a job with many rows is spread; a day takes the last content of the days
+    before from a table with one row per job and day.
     """
-    selected = latest_attempts(attempts.filter(F.col("run_id") == run_id)).select(
-        "job_id", F.col("id").alias("_id"), F.col("started_at").alias("_start"), F.col("finished_at").alias("_end")
-    )
-    following = (
-        attempts.select("job_id", "id", "started_at")
-        .join(selected.select("job_id", "_id", "_start"), "job_id")
-        .filter(F.struct("started_at", "id") > F.struct("_start", "_id"))
-        .groupBy("job_id")
-        .agg(F.min("started_at").alias("_next"))
-    )
-    run_end = runs.filter(F.col("id") == run_id).agg(F.max("finished_at").alias("_run_end"))
-    bounds = (
-        selected.join(following, "job_id", "left")
-        .crossJoin(F.broadcast(run_end))
-        .select("job_id", F.coalesce("_next", "_end", "_run_end", _moment(now)).alias("_bound"))
+    asked = (attempts if wanted is None else wanted).select("run_id").filter("run_id is not null").distinct()
+    known = runs.select(F.col("id").alias("run_id"), F.col("finished_at").alias("_run_end"))
+    answered = asked.join(known, "run_id")
+    mine = attempts
+    if wanted is not None:
+        # Later attempts of the same jobs bound them, whatever run they are of.
+        jobs = attempts.join(answered, "run_id", "left_semi").select("job_id").distinct()
+        mine = attempts.join(jobs, "job_id", "left_semi")
+    selected = (
+        latest_attempts(next_attempt_start(mine))
+        .join(answered, "run_id")
+        .select(
+            "run_id", "job_id", F.coalesce("next_started_at", "finished_at", "_run_end", _moment(now)).alias("_at")
+        )
     )
+    tagged = (
+        contents.filter("retrieved_at is not null")
+        .select("job_id", F.col("retrieved_at").alias("_at"), F.col("id").alias("_content"), F.lit(None).cast("string").alias("run_id"))
+        .unionByName(selected.select("job_id", "_at", F.lit(None).cast("long").alias("_content"), F.col("run_id").cast("string").alias("run_id")))
+        .withColumn("_day", F.to_date("_at"))
+    )
+    order = ["_at", F.col("run_id").isNotNull(), "_content"]
+    within = F.last("_content", ignorenulls=True).over(Window.partitionBy("job_id", "_day").orderBy(*order))
+    days = tagged.groupBy("job_id", "_day").agg(F.max_by("_content", F.when(F.col("_content").isNotNull(), F.struct("_at", "_content"))).alias("_last"))
+    before = Window.partitionBy("job_id").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    carried = days.select("job_id", "_day", F.last("_last", ignorenulls=True).over(before).alias("_carried"))
     as_of = (
-        contents.select("job_id", "id", "retrieved_at")
-        .join(bounds, "job_id")
-        .filter(F.col("retrieved_at") <= F.col("_bound"))
-        .groupBy("job_id")
-        .agg(F.max_by("id", F.struct("retrieved_at", "id")).alias("_as_of"))
+        tagged.withColumn("_in", within)
+        .filter("run_id is not null")
+        .join(carried, ["job_id", "_day"])
+        .select("run_id", "job_id", F.coalesce("_in", "_carried").alias("_as_of"))
     )
-    in_run = attempts.filter(F.col("run_id") == run_id).select(F.col("id").alias("attempt_id"))
+    in_run = attempts.select(F.col("id").alias("attempt_id"), "run_id").join(answered, "run_id", "left_semi")
     decided = (
-        decisions.join(in_run, "attempt_id", "left_semi")
-        .groupBy("job_id")
+        decisions.drop("run_id")
+        .join(in_run, "attempt_id")
+        .groupBy("run_id", "job_id")
         .agg(F.max_by(F.struct("content_id", "decision", "prompt_hash"), "id").alias("_d"))
     )
-    return (
-        selected.select("job_id")
-        .join(as_of, "job_id", "left")
-        .join(decided, "job_id", "left")
-        .select(
-            "job_id",
-            F.coalesce("_d.content_id", "_as_of").alias("content_id"),
-            F.col("_d.decision").alias("decision"),
-            F.col("_d.prompt_hash").alias("prompt_hash"),
-        )
+    judged = as_of.join(decided, ["run_id", "job_id"], "left").select(
+        "run_id", "job_id", "_d", F.coalesce("_d.content_id", "_as_of").alias("_content")
+    )
+    stored = contents.select(F.col("id").alias("_content"), "job_id", F.lit(True).alias("_own")).distinct()
+    found = judged.join(stored, ["_content", "job_id"], "left").select(
+        "run_id",
+        "job_id",
+        F.when(F.col("_own"), F.col("_content")).alias("content_id"),
+        F.col("_d.decision").alias("decision"),
+        F.col("_d.prompt_hash").alias("prompt_hash"),
+        F.when(F.col("_content").isNull(), "no_content").when(F.col("_own").isNull(), "foreign_content").alias("problem"),
     )
+    unknown = asked.join(known, "run_id", "left_anti").select(F.col("run_id").cast("string").alias("run_id"), F.lit("unknown_run").alias("problem"))
+    return found.unionByName(unknown, allowMissingColumns=True)
+
+
+def contents_as_of_run(
+    run_id: str, attempts: DataFrame, contents: DataFrame, decisions: DataFrame, runs: DataFrame, now
+) -> DataFrame:
+    """:func:`contents_as_of_runs` of one run, without its name; an unknown run is one row with that problem."""
+    wanted = attempts.sparkSession.range(1).select(F.lit(run_id).alias("run_id"))
+    return contents_as_of_runs(attempts, contents, decisions, runs, now, wanted).drop("run_id")

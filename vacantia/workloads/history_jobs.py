@@ -326,22 +326,25 @@ def next_attempt_start(t):
     return history.next_attempt_start(attempts(t)).select("id", "next_started_at")
 
 
+# Each job of each run with the bound of what it was judged on; runs ending in 7 are not stored.
 SQL_AS_OF = f"""WITH {SQL_ATTEMPTS},
   contents AS (SELECT event_id AS id, user_id AS job_id, ts + INTERVAL 3 HOUR AS retrieved_at FROM events WHERE event_type = 'signup'),
   decisions AS (SELECT id, job_id, id AS attempt_id, 'eligible' AS decision, model AS prompt_hash, id + 1 AS content_id FROM attempts WHERE outcome = 'completed_eligible' AND prompt_tokens > 3000),
-  sel AS (SELECT a.* FROM attempts a JOIN (SELECT job_id, max(id) AS id FROM attempts WHERE run_id = '2024-01-15' GROUP BY 1) USING (id)),
-  nxt AS (SELECT s.job_id, min(n.started_at) AS nx FROM sel s JOIN attempts n ON n.job_id = s.job_id
-      AND (n.started_at > s.started_at OR (n.started_at = s.started_at AND n.id > s.id)) GROUP BY 1),
-  b AS (SELECT s.job_id, coalesce(nx, s.finished_at, TIMESTAMP '2024-01-16', TIMESTAMP '2024-02-01') AS bound FROM sel s LEFT JOIN nxt USING (job_id)),
-  at_bound AS (SELECT b.job_id, arg_max(c.id, (c.retrieved_at, c.id)) AS id FROM b JOIN contents c ON c.job_id = b.job_id AND c.retrieved_at <= bound GROUP BY 1),
-  dec AS (SELECT d.job_id, arg_max(d.content_id, d.id) AS content_id, arg_max(d.decision, d.id) AS decision, arg_max(d.prompt_hash, d.id) AS prompt_hash
-      FROM decisions d JOIN attempts a ON a.id = d.attempt_id WHERE a.run_id = '2024-01-15' GROUP BY 1)
-  SELECT s.job_id, coalesce(dec.content_id, at_bound.id) AS content_id, dec.decision, dec.prompt_hash
-  FROM sel s LEFT JOIN at_bound USING (job_id) LEFT JOIN dec USING (job_id)"""
-
-
-@query("contents_as_of_run", SQL_AS_OF)
-def contents_as_of_run(t):
+  ordered AS (SELECT *, lead(started_at) OVER (PARTITION BY job_id ORDER BY started_at, id) AS nx FROM attempts),
+  sel AS (SELECT run_id, job_id, max(id) AS id, coalesce(arg_max(struct_pack(v := nx), id).v, arg_max(struct_pack(v := finished_at), id).v, TIMESTAMP '2024-01-16', TIMESTAMP '2024-02-01') AS bound
+      FROM ordered WHERE right(run_id, 1) <> '7' GROUP BY 1, 2),
+  at_bound AS (SELECT s.run_id, s.job_id, arg_max(c.id, (c.retrieved_at, c.id)) AS id FROM sel s JOIN contents c ON c.job_id = s.job_id AND c.retrieved_at <= bound GROUP BY 1, 2),
+  dec AS (SELECT a.run_id, d.job_id, arg_max(d.content_id, d.id) AS content_id, arg_max(d.decision, d.id) AS decision, arg_max(d.prompt_hash, d.id) AS prompt_hash
+      FROM decisions d JOIN attempts a ON a.id = d.attempt_id GROUP BY 1, 2),
+  judged AS (SELECT s.run_id, s.job_id, coalesce(dec.content_id, at_bound.id) AS content, dec.decision, dec.prompt_hash
+      FROM sel s LEFT JOIN at_bound USING (run_id, job_id) LEFT JOIN dec USING (run_id, job_id)),
+  as_of AS (SELECT j.run_id, j.job_id, c.id AS content_id, j.decision, j.prompt_hash,
+      CASE WHEN content IS NULL THEN 'no_content' WHEN c.id IS NULL THEN 'foreign_content' END AS problem
+    FROM judged j LEFT JOIN contents c ON c.id = content AND c.job_id = j.job_id
+    UNION ALL SELECT DISTINCT run_id, NULL, NULL, NULL, NULL, 'unknown_run' FROM attempts WHERE right(run_id, 1) = '7')"""
+
+
+def as_of_tables(t):
     contents = t.events.filter("event_type = 'signup'").select(
         F.col("event_id").alias("id"),
         F.col("user_id").alias("job_id"),
@@ -351,8 +354,18 @@ def contents_as_of_run(t):
         "id", "job_id", F.col("id").alias("attempt_id"), F.lit("eligible").alias("decision"),
         F.col("model").alias("prompt_hash"), (F.col("id") + 1).alias("content_id"),
     )
-    ended = runs(t).withColumn("finished_at", F.lit("2024-01-16").cast("timestamp_ntz"))
-    return history.contents_as_of_run("2024-01-15", attempts(t), contents, decided, ended, "2024-02-01 00:00:00")
+    ended = runs(t).filter(F.right("id", F.lit(1)) != "7").withColumn("finished_at", F.lit("2024-01-16").cast("timestamp_ntz"))
+    return attempts(t), contents, decided, ended, "2024-02-01 00:00:00"
+
+
+@query("contents_as_of_run", f"{SQL_AS_OF} SELECT * EXCLUDE (run_id) FROM as_of WHERE run_id = '2024-01-15'")
+def contents_as_of_run(t):
+    return history.contents_as_of_run("2024-01-15", *as_of_tables(t))
+
+
+@query("contents_as_of_runs", f"{SQL_AS_OF} SELECT * FROM as_of")
+def contents_as_of_runs(t):
+    return history.contents_as_of_runs(*as_of_tables(t))
 
 
 @query(
