@@ -245,6 +245,41 @@ def test_snapshot_versions(spark, tmp_path):
     assert got == [("b", "u2"), ("c", "u3"), ("c", "u4")]
 
 
+def test_only_whole_boards_are_replaced(spark):
+    page = '{"totalCount": %s, "results": [%s]}'
+    item = '{"clickUri": "%s", "raw": {"country": "Costa Rica"}}'
+    rows = [
+        ("whole", 1, page % (2, item % "w1")), ("whole", 2, page % (9, item % "w2")),
+        ("short", 1, page % (3, item % "s1")), ("short", 2, page % (3, "")),
+        ("broken", 1, page % (1, item % "b1")), ("broken", 2, "{"), ("broken", 3, '{"results": 3}'),
+        ("untold", 1, page % ('"7"', item % "u1")), ("emptied", 1, page % (0, "")),
+    ]
+    pages = spark.createDataFrame(rows, "board string, page int, payload string")
+    counts = payloads.coveo_counts(pages)
+    got = {r["board"]: (r["expected"], r["received"], r["problem"], r["status"]) for r in counts.collect()}
+    assert got == {
+        "whole": (2, 2, None, "complete"),
+        "short": (3, 1, None, "short"),
+        "broken": (1, 1, "not JSON", "failed"),
+        "untold": (None, 1, None, "complete"),
+        "emptied": (0, 0, None, "complete"),
+    }
+    boards = ["whole", "short", "broken", "untold", "emptied", "absent"]
+    stored = spark.createDataFrame([(b, "old", 0) for b in boards], "company_slug string, url string, ord long").withColumn("captured_at", F.lit("2024-01-01").cast("timestamp_ntz"))
+    batch = payloads.coveo(pages).select(F.col("board").alias("company_slug"), "url", F.col("ord").cast("long").alias("ord"))
+
+    def kept(**how):
+        return sorted((r["company_slug"], r["url"]) for r in sinks.guarded_snapshot(stored, batch, counts, "2024-01-02", **how).collect())
+
+    same = [("absent", "old"), ("broken", "old")]
+    whole = [("untold", "u1"), ("whole", "w1"), ("whole", "w2")]
+    assert kept() == same + [("short", "old")] + whole
+    assert kept(accept_short=True) == same + [("short", "s1")] + whole
+    hits = '{"refineSearch": {"totalHits": %s, "data": {"jobs": [{}, 5]}}}'
+    more = spark.createDataFrame([("a", hits % 3), ("b", hits % 2), ("c", hits % "2.5")], "board string, payload string")
+    assert {r["board"]: r["status"] for r in payloads.phenom_counts(more).collect()} == {"a": "short", "b": "complete", "c": "complete"}
+
+
 def test_file_sources(spark, tmp_path):
     import hashlib
     import json

@@ -38,12 +38,55 @@ def payload_problems(payloads: DataFrame, path: str, keys: list[str]) -> DataFra
     """Payloads that are not JSON or hold no list at *path*."""
     tree = F.try_parse_json("payload")
     found = F.try_variant_get(tree, f"$.{path}", "variant")
-    problem = (
+    return payloads.select(*keys, _problem(tree, found, path).alias("problem")).filter("problem is not null")
+
+
+def _problem(tree: Column, found: Column, path: str) -> Column:
+    return (
         F.when(tree.isNull(), "not JSON")
         .when(found.isNull(), f"missing {path}")
         .when(~F.startswith(F.schema_of_variant(found), F.lit("ARRAY")), f"{path} is not a list")
     )
-    return payloads.select(*keys, problem.alias("problem")).filter("problem is not null")
+
+
+def board_counts(payloads: DataFrame, path: str, total: str | None = None, page: str | None = None) -> DataFrame:
+    """What each board's payloads promised and gave: board, expected, received, problem, status.
+
+    *expected* is the whole number at *total* (``refineSearch.totalHits``, ``totalCount``) of
+    the first page that states one, *received* the listed records of all pages. A board with
+    a payload that cannot be read is ``failed``, with the problem of its first such page; one
+    that promised more than it gave is ``short``; others are ``complete``.
+    """
+    tree = F.try_parse_json("payload")
+    found = F.try_variant_get(tree, f"$.{path}", "variant")
+    stated = F.try_variant_get(tree, f"$.{total}", "variant") if total else F.lit(None)
+    at = F.col(page) if page else F.lit(0)
+    pages = payloads.select(
+        "board",
+        at.alias("_at"),
+        (F.when(F.schema_of_variant(stated) == "BIGINT", F.try_variant_get(stated, "$", "long")) if total else F.lit(None).cast("long")).alias("_stated"),
+        F.coalesce(F.size(F.try_variant_get(tree, f"$.{path}", "array<variant>")), F.lit(0)).alias("_listed"),
+        _problem(tree, found, path).alias("_problem"),
+    )
+    counts = pages.groupBy("board").agg(
+        F.min_by("_stated", F.when(F.col("_stated").isNotNull(), F.col("_at"))).alias("expected"),
+        F.sum(F.greatest("_listed", F.lit(0))).alias("received"),
+        F.min_by("_problem", F.when(F.col("_problem").isNotNull(), F.struct("_at", "_problem"))).alias("problem"),
+    )
+    status = (
+        F.when(F.col("problem").isNotNull(), "failed")
+        .when(F.col("expected") > F.col("received"), "short")
+        .otherwise("complete")
+    )
+    return counts.withColumn("status", status)
+
+
+def phenom_counts(payloads: DataFrame) -> DataFrame:
+    return board_counts(payloads, "refineSearch.data.jobs", "refineSearch.totalHits")
+
+
+def coveo_counts(payloads: DataFrame) -> DataFrame:
+    return board_counts(payloads, "results", "totalCount", "page")
 
 
 def greenhouse(payloads: DataFrame) -> DataFrame:

@@ -25,6 +25,19 @@ def replaced_snapshot(stored: DataFrame, batch: DataFrame, companies: DataFrame,
     )
 
 
+def guarded_snapshot(
+    stored: DataFrame, batch: DataFrame, counts: DataFrame, captured_at, accept_short: bool = False
+) -> DataFrame:
+    """Next version of the URL snapshot in which only boards that were read whole are replaced.
+
+    *counts* (board, status) comes from the payloads. Failed boards keep their old set, and
+    so do short ones unless *accept_short*; a whole board without postings ends up empty.
+    """
+    good = ["complete", "short"] if accept_short else ["complete"]
+    whole = counts.filter(F.col("status").isin(good)).select(F.col("board").alias("company_slug"))
+    return replaced_snapshot(stored, batch, whole, captured_at)
+
+
 def write_version(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Write a table version to a new folder; readers switch to it when it is complete."""
     writer = df.write.mode("errorifexists")

@@ -754,3 +754,42 @@ def extraction_reports(t):
     return parts.select("company_slug", parsed.alias("v")).groupBy("company_slug").agg(
         F.sum(F.size("v.jobs")).alias("total"), F.count("*").alias("parts")
     )
+
+
+@query(
+    "guarded_snapshot",
+    """WITH d AS (SELECT doc_id, source, coalesce(lang, '') AS lang, n_chars FROM documents),
+    kept AS (SELECT source FROM d GROUP BY 1 HAVING bool_or(source = 'src3' AND doc_id % 50 = 7) OR source IN ('src4', 'src5')),
+    fresh AS (SELECT source, 'https://x.example/' || doc_id AS url, doc_id * 2 AS ord FROM d UNION ALL SELECT source, lang || n_chars, doc_id * 2 + 1 FROM d)
+    SELECT source AS company_slug, url, min(ord) AS ord FROM fresh WHERE source NOT IN (FROM kept) GROUP BY 1, 2
+    UNION ALL SELECT source, 'old' || lang, min(doc_id) FROM d WHERE source IN (FROM kept) GROUP BY 1, 2""",
+)
+def guarded_snapshot(t):
+    """Boards are sources with a payload page per document; src3 has broken pages, src4 and src5 promise too much."""
+    docs = t.documents.select("doc_id", "source", F.coalesce("lang", F.lit("")).alias("lang"), "n_chars")
+    promised = docs.groupBy("source").agg((F.count("*") * 2).alias("_n"))
+
+    def item(link):
+        return F.struct(link.alias("clickUri"), F.struct(F.lit("Costa Rica").alias("country")).alias("raw"))
+
+    payload = F.to_json(
+        F.struct(
+            (F.col("_n") + F.col("source").isin("src4", "src5").cast("int")).alias("totalCount"),
+            F.array(
+                item(F.concat(F.lit("https://x.example/"), F.col("doc_id").cast("string"))),
+                item(F.concat("lang", F.col("n_chars").cast("string"))),
+            ).alias("results"),
+        )
+    )
+    broken = (F.col("source") == "src3") & (F.col("doc_id") % 50 == 7)
+    pages = docs.join(promised, "source").select(
+        F.col("source").alias("board"), F.col("doc_id").alias("page"), F.when(broken, "{").otherwise(payload).alias("payload")
+    )
+    batch = payloads.coveo(pages).select(
+        F.col("board").alias("company_slug"), "url", (F.col("page") * 2 + F.col("ord")).alias("ord")
+    )
+    stored = docs.groupBy(F.col("source").alias("company_slug"), F.concat(F.lit("old"), "lang").alias("url")).agg(
+        F.min("doc_id").alias("ord")
+    ).withColumn("captured_at", F.lit("2024-01-01").cast("timestamp_ntz"))
+    kept = sinks.guarded_snapshot(stored, batch, payloads.coveo_counts(pages), "2024-01-02 00:00:00")
+    return kept.select("company_slug", "url", "ord")
