@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vacantia.functions import urls
@@ -131,39 +131,30 @@ def url_union(*frames: DataFrame) -> DataFrame:
 def url_set_difference(old: DataFrame, new: DataFrame, board: str, url: str = "url") -> DataFrame:
     """Per board with differing sets: counts only in one side and three samples of each.
 
-    Fragments are stripped from the old side first. The three lowest URLs of a side come
-    from a bounded top-3 per group, not from a collected set.
+    Fragments are stripped from the old side first. One aggregate per URL tells the sides it
+    is on; the three lowest URLs of a side are ranks that Spark cuts before its shuffle, so
+    a board's URLs are neither listed nor sorted whole.
     """
     strip = F.regexp_replace(F.col(url), "#.*$", "")
-    left = old.select(board, strip.alias(url)).distinct()
-    right = new.select(board, url).distinct()
-    only_old = left.join(right, [board, url], "left_anti").withColumn("side", F.lit("old"))
-    only_new = right.join(left, [board, url], "left_anti").withColumn("side", F.lit("new"))
-    both = only_old.unionByName(only_new)
-    counts = both.groupBy(board).agg(
-        F.count_if(F.col("side") == "new").alias("new_only"),
-        F.count_if(F.col("side") == "old").alias("old_only"),
+    sides = old.select(board, strip.alias(url), F.lit(True).alias("_old")).unionByName(
+        new.select(board, url, F.lit(False).alias("_old"))
     )
-    return counts.join(_lowest_three(both, board, url, "new"), board, "left").join(
-        _lowest_three(both, board, url, "old"), board, "left"
+    either = (
+        sides.groupBy(board, url)
+        .agg(F.bool_and("_old").alias("_old"), F.bool_or("_old").alias("_any"))
+        .filter(F.col("_old") == F.col("_any"))
     )
+    counts = either.groupBy(board).agg(
+        F.count_if(~F.col("_old")).alias("new_only"), F.count_if("_old").alias("old_only")
+    )
+    rank = F.row_number().over(Window.partitionBy(board, "_old").orderBy(url))
+    lowest = either.select(board, "_old", url, rank.alias("_n")).filter("_n <= 3")
 
+    def samples(is_old: bool) -> Column:
+        held = [F.max(F.when((F.col("_old") == is_old) & (F.col("_n") == n), F.col(url))) for n in (1, 2, 3)]
+        return F.when(held[0].isNotNull(), F.concat_ws(" ", *held)).alias("old_samples" if is_old else "new_samples")
 
-def _lowest_three(both: DataFrame, board: str, url: str, side: str) -> DataFrame:
-    # min, then min above it, twice: three partial aggregates and no per-group list.
-    rows = both.filter(F.col("side") == side).select(board, url)
-    first = rows.groupBy(board).agg(F.min(url).alias("_1"))
-    second = (
-        rows.join(first, board).filter(F.col(url) > F.col("_1")).groupBy(board).agg(F.min(url).alias("_2"))
-    )
-    third = (
-        rows.join(second, board).filter(F.col(url) > F.col("_2")).groupBy(board).agg(F.min(url).alias("_3"))
-    )
-    return (
-        first.join(second, board, "left")
-        .join(third, board, "left")
-        .select(board, F.concat_ws(" ", "_1", "_2", "_3").alias(f"{side}_samples"))
-    )
+    return counts.join(lowest.groupBy(board).agg(samples(False), samples(True)), board, "left")
 
 
 def link_census(links: DataFrame, page_keys: list[str]) -> DataFrame:
