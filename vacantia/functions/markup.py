@@ -38,6 +38,8 @@ NODE = T.StructType(
         T.StructField("chars", T.IntegerType()),
         T.StructField("children", T.IntegerType()),
         T.StructField("hidden", T.BooleanType()),
+        # Position of the innermost label around this element.
+        T.StructField("label", T.IntegerType()),
         # Checkboxes from the page's begin up to this element.
         T.StructField("boxes", T.IntegerType()),
     ]
@@ -174,6 +176,7 @@ class _Tree(HTMLParser):
         self._close(self.stack.implied(tag))
         parent = self.open[-1] if self.open else None
         kind = kept.get("type", "").lower()
+        labelled = self.stack.last(("label",))
         self.boxes += tag == "input" and kind == "checkbox"
         node = {
             "position": len(self.nodes),
@@ -189,6 +192,7 @@ class _Tree(HTMLParser):
             or "hidden" in kept
             or kind == "hidden"
             or bool(_INVISIBLE.search(kept.get("style", ""))),
+            "label": self.open[labelled]["position"] if labelled >= 0 else None,
             "boxes": self.boxes,
             "told": tag in _TEXTUAL and self.stack.last(_TEXTUAL) < 0,
         }

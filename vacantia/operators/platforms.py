@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vacantia.functions import urls
 from vacantia.functions.markup import node_text, page_tree
-from vacantia.functions.text import fixed_strings
+from vacantia.functions.text import computed, fixed_strings
 
 # Platform, host parts, page markers, network parts, suggested strategy.
 # A marker is (kind, value): attr, class, id, tag, frame (iframe source part),
@@ -185,8 +185,23 @@ def filter_controls(pages: DataFrame, key: str = "page_id") -> DataFrame:
     read = pages.select(key, page_tree("html").alias("tree"))
     tree, nodes = F.col("tree"), F.col("tree.nodes")
     shown = F.filter(nodes, lambda n: ~n["hidden"])
-    labels = F.filter(nodes, lambda n: n["tag"] == "label")
-    labelled = F.transform(labels, lambda n: F.coalesce(n["attrs"]["for"], F.lit("")))
+    labelling = F.filter(nodes, lambda n: n["tag"] == "label")
+
+    def is_box(n: Column) -> Column:
+        return (n["tag"] == "input") & F.coalesce(F.lower(n["attrs"]["type"]) == "checkbox", F.lit(False))
+
+    # Lists that lambdas look into are columns of their own, or each call would make them anew.
+    read = computed(
+        read,
+        "parts",
+        F.struct(
+            labelling.alias("labels"),
+            F.transform(labelling, lambda n: F.coalesce(n["attrs"]["for"], F.lit(""))).alias("labelled"),
+            F.filter(nodes, lambda n: n["tag"] == "option").alias("options"),
+            F.filter(nodes, is_box).alias("boxes"),
+        ),
+    )
+    labels, labelled, options, boxes = (F.col(f"parts.{c}") for c in ("labels", "labelled", "options", "boxes"))
     tokens = "(?iu)" + "|".join(LOCATION_TOKENS)
 
     def at(position: Column) -> Column:
@@ -212,8 +227,6 @@ def filter_controls(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
     none = F.array().cast("array<string>")
 
-    options = F.filter(nodes, lambda n: n["tag"] == "option")
-
     def options_of(select: Column) -> Column:
         # Options may sit in groups: their parent or its parent is the select.
         def group_of(option: Column) -> Column:
@@ -248,11 +261,6 @@ def filter_controls(pages: DataFrame, key: str = "page_id") -> DataFrame:
         ),
     )
 
-    def is_box(n: Column) -> Column:
-        return (n["tag"] == "input") & F.coalesce(F.lower(n["attrs"]["type"]) == "checkbox", F.lit(False))
-
-    boxes = F.filter(nodes, is_box)
-
     def group_of(box: Column) -> Column:
         def climb(place: Column, _: Column) -> Column:
             around = at(place)
@@ -262,10 +270,9 @@ def filter_controls(pages: DataFrame, key: str = "page_id") -> DataFrame:
         return F.aggregate(F.sequence(F.lit(1), F.lit(6)), box["parent"], climb)
 
     def box_label(box: Column) -> Column:
-        around = F.filter(labels, lambda l: box["position"].between(l["position"] + 1, l["end"]))
         return F.coalesce(
             F.nullif(label_for(F.coalesce(box["attrs"]["id"], F.lit(""))), F.lit("")),
-            node_text(tree, F.get(around, F.size(around) - 1)),
+            node_text(tree, at(box["label"])),
         )
 
     def labels_in(group: Column) -> Column:
@@ -323,10 +330,12 @@ def next_controls(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """
     read = pages.select(key, page_tree("html").alias("tree"))
     nodes = F.col("tree.nodes")
-    numbers = F.filter(
+    leaf_numbers = F.filter(
         nodes,
         lambda n: ~n["tag"].isin("a", "button") & (n["children"] == 0) & n["text"].rlike(r"^\d{1,9}$"),
     )
+    read = computed(read, "numbers", leaf_numbers)
+    numbers = F.col("numbers")
     usable = F.filter(
         nodes,
         lambda n: n["tag"].isin("a", "button")
