@@ -142,13 +142,16 @@ def _word_key_unicode(values: pd.Series) -> pd.Series:
     )
 )
 def span_of_words(texts: pd.Series, first: pd.Series, count: pd.Series) -> pd.DataFrame:
-    """Character range of a run of words; rows of one text in a row share its words."""
+    """Character range of a run of words (null text: none); rows of one text in a row share its words."""
     last, spans, rows = None, [], []
     for text, start, size in zip(texts, first, count):
+        if text is None:
+            rows.append((None, None))
+            continue
         if text is not last:
             last, spans = text, _spans(text)
         rows.append((spans[int(start)][1], spans[int(start + size) - 1][2]))
-    return pd.DataFrame(rows, columns=["start", "end"])
+    return pd.DataFrame(rows, columns=["start", "end"], dtype="Int32")
 
 
 def computed(df: DataFrame, name: str, value: Column) -> DataFrame:

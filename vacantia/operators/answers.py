@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from vacantia.functions import text as tx
 from vacantia.operators import phrases
-from vacantia.operators.links import first_seen
 from vacantia.schemas import ANSWER, DECISIONS
 
 # Fixed values of the answer contract.
@@ -163,16 +162,15 @@ def verdicts(answers: DataFrame, contents: DataFrame, keys: list[str]) -> DataFr
     miss or a structural error are absent.
     """
     clean = with_structure(answers).filter(F.size("structural_errors") == 0)
-    located = phrases.bound_quotes(quotes_of(clean, keys), contents)
-    lost = located.filter(~F.col("found")).select(*keys).distinct()
-    kept = phrases.with_excerpts(located.join(lost, keys, "left_anti"), contents)
-    merged = first_seen(
-        kept.select(*keys, "bucket", "span_start", "span_end", "position", "excerpt"),
-        [*keys, "bucket", "span_start", "span_end"],
-        "position",
+    located = phrases.located_quotes(quotes_of(clean, keys), contents)
+    merged = located.groupBy(*keys, "bucket", "span_start", "span_end").agg(
+        F.min("position").alias("position"),
+        F.min_by("excerpt", "position").alias("excerpt"),
+        F.bool_and("found").alias("found"),
     )
     # An answer holds at most five quotes per bucket, so these lists are short.
     lists = merged.groupBy(*keys).agg(
+        F.bool_and("found").alias("_whole"),
         *[
             F.transform(
                 F.sort_array(
@@ -185,9 +183,9 @@ def verdicts(answers: DataFrame, contents: DataFrame, keys: list[str]) -> DataFr
     )
     none = F.array().cast("array<string>")
     return (
-        clean.join(lost, keys, "left_anti")
-        .select(*keys, F.col("answer.decision").alias("decision"), F.col("answer.reason").alias("reason"))
+        clean.select(*keys, F.col("answer.decision").alias("decision"), F.col("answer.reason").alias("reason"))
         .join(lists, keys, "left")
+        .filter(F.coalesce("_whole", F.lit(True)))
         .select(
             *keys, "decision", "reason", *[F.coalesce(F.col(name), none).alias(name) for name in BUCKETS]
         )

@@ -17,6 +17,7 @@ from vacantia.schemas import (
     TECHNOLOGY_STATUSES,
     WORK_MODES,
 )
+from vacantia.session import small_side
 
 FACT_NAMES = tuple(FACT_VALUES)
 # Facts whose list items carry quotes of their own.
@@ -235,6 +236,14 @@ def _item_unquoted():
     return lambda item: (F.coalesce(F.size(item["evidence"]), F.lit(0)) == 0) | _blank(item["evidence"])
 
 
+def _tagged(name: str):
+    return lambda quote: F.struct(F.lit(name).alias("fact"), quote.alias("q"))
+
+
+def _of_fact(pairs: str, name: str) -> Column:
+    return F.filter(pairs, lambda c: c["fact"] == name)
+
+
 def validate_facts(results: DataFrame, contents: DataFrame, key: str = "content_id") -> DataFrame:
     """Cross-field rules over extracted facts: one row per result.
 
@@ -243,36 +252,28 @@ def validate_facts(results: DataFrame, contents: DataFrame, key: str = "content_
     *facts* and the *notes*. Documents are folded once and joined by key; each result is
     then judged inside its own row.
     """
-    docs = contents.select(key, "text", tx.folded_text("text").alias("_folded"))
-    df = results.join(docs, key, "left").withColumn("_post", tx.collapse(F.col("_folded")))
+    cited = contents.join(small_side(results.select(key).distinct()), key, "left_semi")
+    docs = cited.select(key, "text", tx.folded_text("text").alias("_folded"))
+    # Generated columns: plain ones would be copied into each of their many uses.
+    df = tx.computed(results.join(docs, key, "left"), "_post", tx.collapse(F.col("_folded")))
     facts = F.col("facts")
-    # All strings to be searched are folded in one array per fact.
-    cited = {}
+    # All strings to be searched stand in one array, tagged with their fact, and are folded at once.
+    none = F.array().cast("array<string>")
+    tagged = []
     for name in FACT_NAMES:
-        quotes = F.coalesce(facts[name]["evidence"], F.array().cast("array<string>"))
+        quotes = F.coalesce(facts[name]["evidence"], none)
         if name in NESTED:
-            quotes = F.concat(
-                quotes,
-                F.coalesce(
-                    F.flatten(F.transform(facts[name]["value"], lambda v: v["evidence"])),
-                    F.array().cast("array<string>"),
-                ),
-            )
-        cited[f"_q_{name}"] = quotes
-    # Whole groups of columns at once: each single one would analyse the plan again.
-    df = df.withColumns(cited)
-    df = df.withColumns({f"_k_{n}": tx.grounding_texts(f"_q_{n}") for n in FACT_NAMES})
-    missing = {
-        name: F.transform(
-            F.filter(
-                F.arrays_zip(F.col(f"_q_{name}").alias("q"), F.col(f"_k_{name}").alias("k")),
-                lambda z: ~F.coalesce(F.contains(F.col("_post"), z["k"]), F.lit(False)),
-            ),
-            lambda z: z["q"],
-        )
-        for name in FACT_NAMES
-    }
-    df = df.withColumns({f"_u_{n}": missing[n] for n in FACT_NAMES})
+            own = F.flatten(F.transform(facts[name]["value"], lambda v: v["evidence"]))
+            quotes = F.concat(quotes, F.coalesce(own, none))
+        tagged.append(F.transform(quotes, _tagged(name)))
+    df = df.withColumn("_cited", F.concat(*tagged))
+    df = df.withColumn("_keys", tx.grounding_texts(F.transform("_cited", lambda c: c["q"])))
+    pair = lambda c, k: F.struct(c["fact"].alias("fact"), c["q"].alias("q"), k.alias("k"))
+    df = df.withColumn("_cited", F.zip_with("_cited", "_keys", pair)).drop("_keys")
+    df = tx.computed(
+        df, "_missed", F.filter("_cited", lambda c: ~F.coalesce(F.contains(F.col("_post"), c["k"]), F.lit(False)))
+    )
+    df = df.withColumns({f"_u_{n}": F.transform(_of_fact("_missed", n), lambda c: c["q"]) for n in FACT_NAMES})
 
     def was_extracted(name: str) -> Column:
         return F.coalesce(facts[name]["state"] == "extracted", F.lit(False))
@@ -345,7 +346,7 @@ def validate_facts(results: DataFrame, contents: DataFrame, key: str = "content_
     # Required technologies need a trace: a required quote, a cue or a required section.
     # Only answers with technology quotes need the posting's sections.
     df = df.withColumn(
-        "_lines", F.when(F.size("_q_technologies") > 0, tx.section_lines("text", "_folded"))
+        "_lines", F.when(F.size(_of_fact("_cited", "technologies")) > 0, tx.section_lines("text", "_folded"))
     )
     df = df.withColumn(
         "_req_quotes",
@@ -364,7 +365,7 @@ def validate_facts(results: DataFrame, contents: DataFrame, key: str = "content_
             | tx.in_required_section(quote_key, F.col("_lines"))
         )
 
-    keyed_quotes = F.arrays_zip(F.col("_q_technologies").alias("q"), F.col("_k_technologies").alias("k"))
+    keyed_quotes = _of_fact("_cited", "technologies")
     df = df.withColumn("_traced", F.transform(keyed_quotes, lambda z: trace(z["q"], z["k"])))
     # Quotes of mention n start after the fact's own quotes and those of earlier mentions.
     mentions = value["technologies"]

@@ -10,17 +10,18 @@ from vacantia.functions import text as tx
 from vacantia.session import cut_lineage, small_side
 
 
+def _cited(contents: DataFrame, quotes: DataFrame, key: str) -> DataFrame:
+    """The contents that some quote names: no other text is folded or sent."""
+    return contents.join(small_side(quotes.select(key).distinct()), key, "left_semi")
 
-def bound_quotes(
-    quotes: DataFrame, contents: DataFrame, key: str = "content_id", quote: str = "quote", text: str = "text"
-) -> DataFrame:
-    """Each quote against its own document: adds *found* and *first_word*.
 
-    Words of a document are folded once and joined to the quotes on the document key;
-    whole-word runs are then plain substring search between blanks. A quote without words
-    never occurs, nor does one without a document.
+def _with_words(quotes: DataFrame, contents: DataFrame, key: str, quote: str, text: str, *held: Column) -> DataFrame:
+    """Quotes joined to their document's folded words: adds found, first_word, word_count and *held*.
+
+    Each cited document is folded once, before the join, so a document with very many quotes
+    is an ordinary skewed join.
     """
-    docs = contents.select(key, tx.word_key(text).alias("_doc"))
+    docs = _cited(contents, quotes, key).select(key, tx.word_key(text).alias("_doc"), *held)
     keyed = quotes.withColumn("_quote", tx.word_key(quote))
     index = tx.first_word_index(F.col("_doc"), F.col("_quote"))
     return (
@@ -32,18 +33,33 @@ def bound_quotes(
     )
 
 
-def with_excerpts(
-    located: DataFrame, contents: DataFrame, key: str = "content_id", text: str = "text"
+def bound_quotes(
+    quotes: DataFrame, contents: DataFrame, key: str = "content_id", quote: str = "quote", text: str = "text"
+) -> DataFrame:
+    """Each quote against its own document: adds *found*, *first_word* and *word_count*.
+
+    Whole-word runs are plain substring search between blanks. A quote without words never
+    occurs, nor does one without a document.
+    """
+    return _with_words(quotes, contents, key, quote, text)
+
+
+def located_quotes(
+    quotes: DataFrame, contents: DataFrame, key: str = "content_id", quote: str = "quote", text: str = "text"
 ) -> DataFrame:
-    """Located quotes with character span and literal excerpt; unlocated ones are left out."""
-    joined = located.filter("found").join(contents.select(key, text), key)
-    spanned = joined.withColumn("_span", tx.span_of_words(text, "first_word", "word_count"))
+    """:func:`bound_quotes` with *span_start*, *span_end* and the literal *excerpt*, null if not found.
+
+    The document comes with its folded words in the same join, so its text is sent once.
+    """
+    located = _with_words(quotes, contents, key, quote, text, F.col(text).alias("_text"))
+    read = F.when(F.col("found"), F.col("_text"))
+    spanned = located.withColumn("_span", tx.span_of_words(read, "first_word", "word_count"))
     start, end = F.col("_span.start"), F.col("_span.end")
     return spanned.select(
-        *located.columns,
+        *[c for c in located.columns if c != "_text"],
         start.alias("span_start"),
         end.alias("span_end"),
-        F.substring(F.col(text), start + 1, end - start).alias("excerpt"),
+        F.substring(F.col("_text"), start + 1, end - start).alias("excerpt"),
     )
 
 
@@ -51,7 +67,7 @@ def substring_quotes(
     quotes: DataFrame, contents: DataFrame, key: str = "content_id", quote: str = "quote", text: str = "text"
 ) -> DataFrame:
     """The rule for facts: folded, collapsed quote inside the folded, collapsed document."""
-    docs = contents.select(key, tx.grounding_text(text).alias("_doc"))
+    docs = _cited(contents, quotes, key).select(key, tx.grounding_text(text).alias("_doc"))
     return (
         quotes.withColumn("_quote", tx.grounding_text(quote))
         .join(docs, key, "left")

@@ -370,8 +370,7 @@ def bound_quotes(t):
     WHERE qk <> '' AND contains(' ' || dk || ' ', ' ' || qk || ' ')""",
 )
 def located_excerpts(t):
-    located = phrases.bound_quotes(quotes(t), as_contents(t)).filter("found")
-    return phrases.with_excerpts(located, as_contents(t)).select(
+    return phrases.located_quotes(quotes(t), as_contents(t)).filter("found").select(
         "content_id", "position", tx.word_key("excerpt").alias("excerpt_words")
     )
 
