@@ -46,6 +46,27 @@ def write_version(df: DataFrame, path: str, partition_by: str | None = None) ->
     writer.parquet(path)
 
 
+def write_keyed(df: DataFrame, key: str, path: str, name: str) -> None:
+    """One file per key below ``path/name``: texts for a .txt name, else JSON of the other columns."""
+    held = df.withColumn("folder", F.col(key).cast("string"))
+    writer = held.drop(key).write.mode("errorifexists").partitionBy("folder")
+    if name.endswith(".txt"):
+        writer.text(f"{path}/{name}")
+    else:
+        writer.json(f"{path}/{name}")
+
+
+def write_cases(cases: DataFrame, path: str) -> None:
+    """Store evaluation cases (case_id, content, decision, evidence) for ``evaluation_cases``.
+
+    Cases without evidence get no such file. Contents that hold a line break at their end keep it.
+    """
+    write_keyed(cases.select("case_id", F.coalesce("content", F.lit("")).alias("content")), "case_id", path, "content.txt")
+    for name, part in (("expected_eligibility.json", "decision"), ("expected_evidence.json", "evidence")):
+        held = cases.filter(F.col(part).isNotNull()).select(F.col("case_id").alias("_id"), f"{part}.*")
+        write_keyed(held, "_id", path, name)
+
+
 def accepted_envelopes(jobs: DataFrame, results: DataFrame, outcomes: DataFrame) -> DataFrame:
     """One JSON envelope with sorted keys per completed job of a run."""
     done = outcomes.filter("status = 'completed_eligible'").select("job_id").distinct()

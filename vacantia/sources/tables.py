@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacantia import schemas as S
@@ -23,16 +23,22 @@ def catalog(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.CATALOG).json(path).withColumn("slug", slug("name"))
 
 
-def board_snapshots(spark: SparkSession, path: str) -> DataFrame:
+def _named_files(reader, path: str, name: str, stored: bool):
+    """Reader and path of the files *name*, one folder per key, or of what ``write_keyed`` stored for them."""
+    reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*" if stored else name)
+    return reader, f"{path}/{name}" if stored else path
+
+
+def _folder() -> Column:
+    """Key of the file that is read: the name of its folder."""
+    return F.regexp_replace(F.element_at(F.split(F.input_file_name(), "/"), -2), "^folder=", "")
+
+
+def board_snapshots(spark: SparkSession, path: str, stored: bool = False) -> DataFrame:
     """Frozen board metadata, one file per board; the folder name is the slug."""
-    return (
-        spark.read.schema(S.BOARD_SNAPSHOTS)
-        .option("multiLine", "true")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "metadata.json")
-        .json(path)
-        .withColumn("slug", F.element_at(F.split(F.input_file_name(), "/"), -2))
-    )
+    reader = spark.read.schema(S.BOARD_SNAPSHOTS).option("multiLine", "true")
+    reader, path = _named_files(reader, path, "metadata.json", stored)
+    return reader.json(path).withColumn("slug", _folder())
 
 
 def snapshot_pages(boards: DataFrame) -> DataFrame:
@@ -57,47 +63,33 @@ def snapshot_pages(boards: DataFrame) -> DataFrame:
     ).select("slug", "_p.*")
 
 
-def evaluation_cases(spark: SparkSession, path: str) -> DataFrame:
+def evaluation_cases(spark: SparkSession, path: str, stored: bool = False) -> DataFrame:
     """Cases of an evaluation corpus: case_id, content, decision, evidence.
 
     Each case is a folder with content.txt and one or two label files; the parts meet on
-    the folder name.
+    the folder name. *stored*: the parts were written by ``write_cases``, which ends each
+    content with a line break of its own.
     """
-
-    def folder() -> F.Column:
-        return F.element_at(F.split(F.input_file_name(), "/"), -2)
-
-    def files(name: str, reader) -> DataFrame:
-        return (
-            reader.option("recursiveFileLookup", "true").option("pathGlobFilter", name)
-        )
-
-    content = (
-        files("content.txt", spark.read)
-        .text(path, wholetext=True)
-        .select(folder().alias("case_id"), F.col("value").alias("content"))
-    )
+    reader, texts = _named_files(spark.read, path, "content.txt", stored)
+    value = F.regexp_replace("value", r"\n\z", "") if stored else F.col("value")
+    content = reader.text(texts, wholetext=True).select(_folder().alias("case_id"), value.alias("content"))
 
     def labels(name: str, schema, alias: str) -> DataFrame:
-        rows = files(name, spark.read.schema(schema).option("multiLine", "true")).json(path)
-        return rows.select(folder().alias("_case"), F.struct(*schema.names).alias(alias)).withColumnRenamed(
-            "_case", "case_id"
-        )
+        reader, files = _named_files(spark.read.schema(schema).option("multiLine", "true"), path, name, stored)
+        rows = reader.json(files).select(_folder().alias("_case"), F.struct(*schema.names).alias(alias))
+        return rows.withColumnRenamed("_case", "case_id")
 
     return content.join(
         labels("expected_eligibility.json", S.EXPECTED_DECISION, "decision"), "case_id"
     ).join(labels("expected_evidence.json", S.EXPECTED_EVIDENCE, "evidence"), "case_id", "left")
 
 
-def recordings(spark: SparkSession, path: str) -> DataFrame:
-    """Recorded answers, one JSON file each, with the file's key."""
-    return (
-        spark.read.schema(S.RECORDING)
-        .option("multiLine", "true")
-        .option("recursiveFileLookup", "true")
-        .json(path)
-        .withColumn("file_key", F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1))
-    )
+def recordings(spark: SparkSession, path: str, stored: bool = False) -> DataFrame:
+    """Recorded answers, one JSON file each, with the file's key (stored: the folder's)."""
+    reader = spark.read.schema(S.RECORDING).option("multiLine", "true")
+    reader, path = _named_files(reader, path, "recordings.json" if stored else "*.json", stored)
+    name = F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1)
+    return reader.json(path).withColumn("file_key", _folder() if stored else name)
 
 
 def usable_recordings(

@@ -10,6 +10,7 @@ for _module in (
     "history_jobs",
     "answer_jobs",
     "board_jobs",
+    "source_jobs",
 ):
     import_module(f"vacantia.workloads.{_module}")
 

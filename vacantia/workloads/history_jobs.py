@@ -875,7 +875,7 @@ def constraint_violations(t):
       UNION ALL SELECT 'source' FROM lineitem WHERE l_orderkey IN (SELECT id FROM decisions)
       UNION ALL SELECT 'content' FROM documents WHERE doc_id IN (SELECT id FROM decisions)
       UNION ALL SELECT 'attempt' FROM events WHERE user_id IN (SELECT id FROM decisions)
-      UNION ALL SELECT 'decision' FROM decisions) GROUP BY 1""",
+      UNION ALL SELECT 'decision' FROM decisions UNION ALL SELECT 'result' FROM decisions WHERE is_current) GROUP BY 1""",
 )
 def audit_view(t):
     held = decisions(t).drop("company_slug")
@@ -886,6 +886,8 @@ def audit_view(t):
         F.col("doc_id").alias("id"), F.col("doc_id").alias("job_id"), "text", F.lit(None).cast("string").alias("jsonld_json"),
         F.timestamp_seconds("doc_id").cast("timestamp_ntz").alias("retrieved_at"),
     )
-    results = held.filter("false").select("id", "job_id", F.lit("").alias("result_json"), F.col("decided_at").alias("accepted_at"))
+    results = held.filter("is_current").select(
+        "id", "job_id", F.to_json(F.struct("decision")).alias("result_json"), F.col("decided_at").alias("accepted_at")
+    )
     view = reports.audit(held.select("id"), jobs(t), sources(t), contents, attempts(t), runs(t), held, results)
     return view.groupBy("section").agg(F.count("*").alias("records"))
