@@ -111,6 +111,46 @@ def test_stream_batches_resume(spark, tmp_path):
     assert jobs.select("id").distinct().count() == 4 and rows.select("id").distinct().count() == 5
 
 
+def test_state_buckets_split_as_they_grow(spark, tmp_path):
+    from vacantia.streaming.observe import VersionedState, fold_batches
+
+    folder, state, marks = tmp_path / "in", str(tmp_path / "state"), str(tmp_path / "marks")
+
+    def fold(name, companies, day):
+        rows = [(f"c{c}", f"https://b.io/{c}/{k}", f"2024-01-{day:02d} 00:00:00") for c in companies for k in range(3)]
+        spark.createDataFrame(rows, "company_slug string, url string, seen_at string").withColumn(
+            "seen_at", F.to_timestamp("seen_at")
+        ).coalesce(1).write.parquet(str(folder / name))
+        stream = spark.readStream.schema("company_slug string, url string, seen_at timestamp").parquet(f"{folder}/*")
+        fold_batches(stream, state, marks, trigger={"availableNow": True}, bucket_jobs=30).awaitTermination()
+        return VersionedState(spark, state)
+
+    def check(kept, companies, last):
+        """Every company in the one bucket that covers it, no bucket covered by another."""
+        jobs, sources = kept.read()
+        got = {(r["company_slug"], r["url_key"]): r["last_seen_at"].day for r in jobs.collect()}
+        assert got == {(f"c{c}", f"https://b.io/{c}/{k}"): last(c) for c in range(companies) for k in range(3)}
+        assert sources.count() == len(got) == jobs.select("id").distinct().count()
+        leaves = [tuple(map(int, b.split("-"))) for b in kept.buckets()]
+        assert sum(2.0**-n for n, _ in leaves) == 1.0
+        assert not any(a != b and a[0] <= b[0] and b[1] % (1 << a[0]) == a[1] for a in leaves for b in leaves)
+
+    first = fold("one", range(200), 1)
+    check(first, 200, lambda c: 1)
+    held = first.manifests.load()["jobs"]
+    assert len(held) > 15
+    # A batch of one company rewrites its bucket only.
+    second = fold("two", [7], 2)
+    check(second, 200, lambda c: 2 if c == 7 else 1)
+    now = second.manifests.load()["jobs"]
+    assert sum(now[b] != v for b, v in held.items() if b in now) + len(set(held) - set(now)) == 1
+    # New companies split the buckets further, across versions.
+    before = len(second.buckets())
+    third = fold("three", range(200, 400), 3)
+    check(third, 400, lambda c: 3 if c >= 200 else 2 if c == 7 else 1)
+    assert len(third.buckets()) > before
+
+
 def test_attempts_late_repeated_and_unmatched(spark, tmp_path):
     from vacantia.streaming import liveness
 
