@@ -122,6 +122,20 @@ def test_text_forms(spark, text):
     assert one(spark, tx.lines("t"), t=text) == text.splitlines()
 
 
+def test_word_spans_in_parts(spark):
+    import pyarrow as pa
+
+    texts = ["one Two", None, "", "x" * 700_000, "y " * 400_000, "End."]
+    # a batch is unfolded in parts of bounded size, never whole
+    parts = [p.to_pylist() for p in tx.word_spans.func(iter([pa.array(texts), pa.array([], pa.string())]))]
+    assert [len(p) for p in parts] == [4, 2, 0]
+    assert parts[0][:3] == [[{"word": "one", "start": 0, "end": 3}, {"word": "two", "start": 4, "end": 7}], None, []]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string").coalesce(1).select("id", tx.word_spans("t").alias("s"))
+    got = [(r["n"], r["last"]) for r in rows.select("id", F.size("s").alias("n"), F.get("s", F.size("s") - 1)["start"].alias("last")).orderBy("id").collect()]
+    assert got == [(2, 4), (None, None), (0, None), (1, 0), (400_000, 799_998), (1, 0)]
+    assert list(tx.in_parts(pa.array(["abc", "d", "efg", None]), 4)) == [["abc", "d"], ["efg", None]]
+
+
 def test_fingerprint(spark):
     def mark(title, text):
         return one(spark, tx.fingerprint("a", "b"), a=title, b=text)

@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,6 +64,8 @@ _WS_RUN = rf"[ \n{_ODD}]{{2,}}|[\n{_ODD}]"
 _HORIZONTAL_WS = rf"[ {_ODD}]{{2,}}|[{_ODD}]"
 _LINE_BREAK = r"\r\n|[\n\r\x{0b}\f\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 _NON_ASCII = r"[^\x{00}-\x{7f}]"
+# Text that a batch function unfolds at a time: a batch may hold thousands of long texts.
+PART_BYTES = 1 << 20
 _WORD = re.compile(r"[^\W_]+(?:[\u0300-\u036f]+[^\W_]*)*")
 
 WORD_SPAN = T.ArrayType(
@@ -121,14 +126,35 @@ def _spans(text: str) -> list[tuple[str, int, int]]:
     ]
 
 
-@F.pandas_udf(WORD_SPAN)
-def word_spans(values: pd.Series) -> pd.Series:
+def in_parts(texts: pa.Array, most: int = PART_BYTES) -> Iterator[list]:
+    """The texts of an Arrow batch in lists of at most *most* bytes, one text at least."""
+    begun, held = 0, 0
+    for place, size in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if place > begun and held + size > most:
+            yield texts.slice(begun, place - begun).to_pylist()
+            begun, held = place, 0
+        held += size
+    yield texts.slice(begun).to_pylist()
+
+
+@F.arrow_udf(WORD_SPAN)
+def word_spans(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Words with the character range each one has in the original text."""
-    return values.map(
-        lambda v: None
-        if v is None
-        else [{"word": w, "start": a, "end": b} for w, a, b in _spans(v)]
-    )
+    for batch in batches:
+        for texts in in_parts(batch):
+            ends, words, starts, stops = [], [], [], []
+            for text in texts:
+                ends.append(None if text is None else len(words))
+                for word, start, stop in _spans(text) if text else ():
+                    words.append(word)
+                    starts.append(start)
+                    stops.append(stop)
+            ends.append(len(words))
+            spans = pa.StructArray.from_arrays(
+                [pa.array(words, pa.string()), pa.array(starts, pa.int32()), pa.array(stops, pa.int32())],
+                names=["word", "start", "end"],
+            )
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans)
 
 
 @F.pandas_udf(T.StringType())
