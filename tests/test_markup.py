@@ -83,3 +83,15 @@ def test_odd_json():
             (p["raw"] + p["fields"] + p["description"]).encode("utf-8")
     both = markup._content(block % pages[0] + block % pages[4])["postings"]
     assert len(both) == 1
+
+
+def test_page_content_in_parts():
+    import pyarrow as pa
+
+    posting = '<script type="application/ld+json">{"@type": "JobPosting", "title": "T", "description": "d"}</script>'
+    pages = [posting, None, "<p>" + "x" * 700_000, "<title>t</title><p>" + "y " * 400_000, "<p>z"]
+    # a batch of pages is read in parts of bounded size, never whole
+    parts = [p.to_pylist() for p in markup._page_content.func(iter([pa.array(pages)]))]
+    assert [len(p) for p in parts] == [3, 2]
+    assert [p["main"].strip()[:1] for part in parts for p in part] == ["", "", "x", "y", "z"]
+    assert [len(p["postings"]) for part in parts for p in part] == [1, 0, 0, 0, 0] and parts[1][0]["title"] == "t"
