@@ -312,6 +312,24 @@ def test_file_sources(spark, tmp_path):
     assert entry["slug"] == "cme_co" and entry["link_rule"]["min_depth"] == 2
 
 
+def test_packed_files(spark, tmp_path):
+    """Many keys share few files; texts, labels and missing parts come back as written."""
+    texts = {"a": "x\n", "b": None, "c": 'q"\n\n\t', "d": "é\r\n"}
+    rows = [(k, v, (k, "eligible"), (k,) if k == "a" else None) for k, v in texts.items()]
+    rows += [(f"k{i}", str(i), (f"k{i}", "unknown"), None) for i in range(300)]
+    held = spark.createDataFrame(rows, "case_id string, content string, decision struct<case_id:string,decision:string>, evidence struct<case_id:string>")
+    sinks.write_cases(held, str(tmp_path / "cases"))
+    assert len(list((tmp_path / "cases").rglob("part-*"))) < 60
+    read = tables.evaluation_cases(spark, str(tmp_path / "cases"), stored=True).collect()
+    assert {r["case_id"]: (r["content"], r["decision"]["decision"], r["evidence"] and r["evidence"]["case_id"]) for r in read} == {
+        k: (v or "", d[1], e and e[0]) for k, v, d, e in rows}
+    assert len(read) == len(rows)
+    boards = spark.createDataFrame([(k, "Acme", "https://b") for k in ("s1", "s2", None, "a/b")], "slug string, company_name string, job_board_url string")
+    sinks.write_keyed(boards, "slug", str(tmp_path / "boards"), "metadata.json")
+    found = tables.snapshot_pages(tables.board_snapshots(spark, str(tmp_path / "boards"), stored=True)).collect()
+    assert {tuple(r) for r in found} == {(k, "page.html", "https://b") for k in ("s1", "s2", "__HIVE_DEFAULT_PARTITION__", "a/b")}
+
+
 def test_observe_follows_merges(spark):
     t0, t1 = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
     empty = (spark.createDataFrame([], JOBS), spark.createDataFrame([], JOB_SOURCES))

@@ -23,22 +23,27 @@ def catalog(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.CATALOG).json(path).withColumn("slug", slug("name"))
 
 
-def _named_files(reader, path: str, name: str, stored: bool):
-    """Reader and path of the files *name*, one folder per key, or of what ``write_keyed`` stored for them."""
-    reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*" if stored else name)
-    return reader, f"{path}/{name}" if stored else path
+def _packed(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Folder and whole text of each file *name* that ``write_keyed`` stored."""
+    return spark.read.schema("folder string, value string").parquet(f"{path}/{name}")
+
+
+def _named_json(spark: SparkSession, schema, path: str, name: str, stored: bool) -> DataFrame:
+    """Typed JSON files *name* with the name of their folder; *stored*: packed by ``write_keyed``."""
+    if stored:
+        return _packed(spark, path, name).select("folder", F.from_json("value", schema).alias("_f")).select("folder", "_f.*")
+    reader = spark.read.schema(schema).option("multiLine", "true").option("recursiveFileLookup", "true")
+    return reader.option("pathGlobFilter", name).json(path).withColumn("folder", _folder())
 
 
 def _folder() -> Column:
     """Key of the file that is read: the name of its folder."""
-    return F.regexp_replace(F.element_at(F.split(F.input_file_name(), "/"), -2), "^folder=", "")
+    return F.element_at(F.split(F.input_file_name(), "/"), -2)
 
 
 def board_snapshots(spark: SparkSession, path: str, stored: bool = False) -> DataFrame:
     """Frozen board metadata, one file per board; the folder name is the slug."""
-    reader = spark.read.schema(S.BOARD_SNAPSHOTS).option("multiLine", "true")
-    reader, path = _named_files(reader, path, "metadata.json", stored)
-    return reader.json(path).withColumn("slug", _folder())
+    return _named_json(spark, S.BOARD_SNAPSHOTS, path, "metadata.json", stored).withColumn("slug", F.col("folder")).drop("folder")
 
 
 def snapshot_pages(boards: DataFrame) -> DataFrame:
@@ -67,17 +72,19 @@ def evaluation_cases(spark: SparkSession, path: str, stored: bool = False) -> Da
     """Cases of an evaluation corpus: case_id, content, decision, evidence.
 
     Each case is a folder with content.txt and one or two label files; the parts meet on
-    the folder name. *stored*: the parts were written by ``write_cases``, which ends each
+    the folder name. *stored*: the parts were packed by ``write_cases``, which ends each
     content with a line break of its own.
     """
-    reader, texts = _named_files(spark.read, path, "content.txt", stored)
-    value = F.regexp_replace("value", r"\n\z", "") if stored else F.col("value")
-    content = reader.text(texts, wholetext=True).select(_folder().alias("case_id"), value.alias("content"))
+    if stored:
+        content = _packed(spark, path, "content.txt")
+        content = content.select(F.col("folder").alias("case_id"), F.regexp_replace("value", r"\n\z", "").alias("content"))
+    else:
+        reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "content.txt")
+        content = reader.text(path, wholetext=True).select(_folder().alias("case_id"), F.col("value").alias("content"))
 
     def labels(name: str, schema, alias: str) -> DataFrame:
-        reader, files = _named_files(spark.read.schema(schema).option("multiLine", "true"), path, name, stored)
-        rows = reader.json(files).select(_folder().alias("_case"), F.struct(*schema.names).alias(alias))
-        return rows.withColumnRenamed("_case", "case_id")
+        rows = _named_json(spark, schema, path, name, stored)
+        return rows.select("folder", F.struct(*schema.names).alias(alias)).withColumnRenamed("folder", "case_id")
 
     return content.join(
         labels("expected_eligibility.json", S.EXPECTED_DECISION, "decision"), "case_id"
@@ -86,10 +93,9 @@ def evaluation_cases(spark: SparkSession, path: str, stored: bool = False) -> Da
 
 def recordings(spark: SparkSession, path: str, stored: bool = False) -> DataFrame:
     """Recorded answers, one JSON file each, with the file's key (stored: the folder's)."""
-    reader = spark.read.schema(S.RECORDING).option("multiLine", "true")
-    reader, path = _named_files(reader, path, "recordings.json" if stored else "*.json", stored)
+    read = _named_json(spark, S.RECORDING, path, "recordings.json" if stored else "*.json", stored)
     name = F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1)
-    return reader.json(path).withColumn("file_key", _folder() if stored else name)
+    return read.withColumn("file_key", F.col("folder") if stored else name).drop("folder")
 
 
 def usable_recordings(
