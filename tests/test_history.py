@@ -201,3 +201,23 @@ def test_contents_as_of_runs(spark):
     one = history.contents_as_of_run("gone", attempts, contents, decisions, runs, "2024-02-01").collect()
     assert [(r["job_id"], r["problem"]) for r in one] == [(None, "unknown_run")]
     assert history.contents_as_of_runs(attempts.limit(0), contents, decisions, runs, "2024-02-01").count() == 0
+
+
+def test_jobs_without_content_are_shared_out(spark):
+    """Many jobs have no content: their null key alone must not bring them to one task."""
+    from vacantia.plans import workplan
+
+    rows = [(i, "c", None) for i in range(1, 200)] + [(500, "c", 500), (501, "c", 501), (502, "c", 502), (503, "c", 500)]
+    held = spark.createDataFrame(rows, "id long, company_slug string, current_content_id long")
+    contents = spark.createDataFrame([(500, 500), (501, 501), (502, 7), (3, 3)], "id long, job_id long")
+    decisions = spark.createDataFrame([(500, "eligible", 500, True), (501, "eligible", 9, True), (3, "eligible", 3, True)], "job_id long, decision string, content_id long, is_current boolean")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        problems = workplan.checkpoint_problems(held, contents, decisions)
+        found = {r["id"]: r["problem"] for r in problems.collect()}
+        plan = problems._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == {**{i: "no_content" for i in range(1, 200)}, 501: "other_content", 502: "no_content", 503: "no_content"}
+    assert "hashpartitioning(current_content_id" in plan and "_held" in plan.split("hashpartitioning(current_content_id")[1].split(")")[0]

@@ -125,7 +125,10 @@ def preview(jobs: DataFrame, keys: DataFrame, now, limit: int | None = None) ->
 
 def checkpoint_problems(jobs: DataFrame, contents: DataFrame, decisions: DataFrame) -> DataFrame:
     """Jobs that cannot be extracted: no content, no eligible decision, or other content."""
-    content = contents.select(F.col("id").alias("current_content_id"), F.col("job_id").alias("_cj"))
+    # Most jobs have no content yet: the second key, the content's id again, shares them out
+    # by their own id, where the null alone would bring them all to one task.
+    content = contents.select(F.col("id").alias("current_content_id"), F.col("id").alias("_held"), F.col("job_id").alias("_cj"))
+    held = jobs.withColumn("_held", F.coalesce("current_content_id", "id"))
     decision = decisions.filter("is_current").select(
         F.col("job_id").alias("id"), "decision", F.col("content_id").alias("_dc")
     )
@@ -135,7 +138,7 @@ def checkpoint_problems(jobs: DataFrame, contents: DataFrame, decisions: DataFra
         .when(F.col("_dc") != F.col("current_content_id"), "other_content")
     )
     return (
-        jobs.join(content, "current_content_id", "left")
+        held.join(content, ["current_content_id", "_held"], "left")
         .join(decision, "id", "left")
         .withColumn("problem", reason)
         .filter(F.col("problem").isNotNull())
