@@ -107,6 +107,20 @@ def test_hot_key_and_chains(spark):
     assert merges == plain.run(arrivals)
 
 
+def test_long_chain_of_one_key(spark, monkeypatch):
+    """Each of 40 copies is folded by its turn; that is foretold, not found one a round."""
+    jobs = [(j, "a", "new") for j in range(1, 101)]
+    plain = OneByOne(jobs, [(1, 90, "r", "p", "T"), (2, 95, "x", "q", "T")])
+    arrivals = [(j, "r" if j % 5 else "s", "T", "p", j) for j in range(1, 41)]
+    arrivals += [(j, f"u{j}", "T", "q", 200 - j) for j in range(50, 81)]
+    rounds, decided = [], merging._decided
+    monkeypatch.setattr(merging, "_decided", lambda *a: rounds.append(1) or decided(*a))
+    given_jobs, given = tables(spark, plain)
+    merges = found(merging.fold_run(given_jobs, given, spark.createDataFrame(arrivals, ARRIVAL), width=10))
+    assert merges == plain.run(arrivals) and len(merges) > 60
+    assert len(rounds) <= 5
+
+
 def test_nothing_arrives(spark):
     plain = OneByOne([(1, "a", "new")], [(1, 1, "r", "p", "t")])
     given_jobs, given = tables(spark, plain)

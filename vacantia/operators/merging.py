@@ -8,6 +8,8 @@ fixpoint over the turns at which jobs are folded: each round replays, for every
 and deaths of its holders in the order of turns as running sums. The number of live holders
 and the sum of their ids tell whether there is exactly one other, and which: no key's holders
 are ever listed or paired. Later rounds replay only the keys of jobs whose fate has changed.
+The first round starts from the fates that every key would give by itself, so that a long
+chain of postings with one key takes one round and not one for each of them.
 """
 
 from __future__ import annotations
@@ -59,26 +61,80 @@ def grown_index(index: DataFrame, jobs: DataFrame, arrivals: DataFrame, merges:
     return kept.unionByName(_keys(stored, "company_slug", "job_id").select(*KEY, "job_id")).distinct()
 
 
-def _state(events: DataFrame, width: int) -> DataFrame:
-    """(key, asker, n, ids): live holders and the sum of their ids just before each question.
+def _running(events: DataFrame, order: list[str], width: int, **values: tuple) -> DataFrame:
+    """Each question with its *values* over the events of its key before it in the order of turns.
 
-    Sums run within (key, slice of turns) and over the totals of earlier slices.
+    A value is a column's aggregate and how two of them are put together. Aggregates run
+    within (key, slice of turns) and over the totals of earlier slices.
     """
     sliced = events.withColumn("_slice", F.expr(f"turn div {width}"))
-    inner = Window.partitionBy(*KEY, "_slice").orderBy("turn", "phase").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy(*KEY, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     outer = Window.partitionBy(*KEY).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    totals = sliced.groupBy(*KEY, "_slice").agg(F.sum("n").alias("_n"), F.sum("ids").alias("_ids"))
-    before = totals.select(
-        *KEY, "_slice", F.coalesce(F.sum("_n").over(outer), F.lit(0)).alias("_n0"), F.coalesce(F.sum("_ids").over(outer), F.lit(0)).alias("_ids0")
-    )
-    running = sliced.select(
-        *KEY, "_slice", "asker", F.coalesce(F.sum("n").over(inner), F.lit(0)).alias("_n"), F.coalesce(F.sum("ids").over(inner), F.lit(0)).alias("_ids")
-    )
+    totals = sliced.groupBy(*KEY, "_slice").agg(*[agg(c).alias(c) for c, (agg, _) in values.items()])
+    before = totals.select(*KEY, "_slice", *[agg(c).over(outer).alias(f"_{c}0") for c, (agg, _) in values.items()])
+    asked = [c for c in events.columns if c not in (*KEY, *order, *values)]
+    running = sliced.select(*KEY, "_slice", "turn", *asked, *[agg(c).over(inner).alias(f"_{c}") for c, (agg, _) in values.items()])
     return (
         running.filter("asker is not null")
         .join(before, [*KEY, "_slice"])
-        .select(*KEY, "asker", (F.col("_n0") + F.col("_n")).alias("n"), (F.col("_ids0") + F.col("_ids")).alias("ids"))
+        .select(*KEY, "turn", *asked, *[both(F.col(f"_{c}0"), F.col(f"_{c}")).alias(c) for c, (_, both) in values.items()])
+    )
+
+
+def _plus(one: Column, other: Column) -> Column:
+    return F.coalesce(one, F.lit(0)) + F.coalesce(other, F.lit(0))
+
+
+def _state(events: DataFrame, width: int) -> DataFrame:
+    """(key, asker, n, ids): live holders and the sum of their ids just before each question."""
+    return _running(events, ["turn", "phase"], width, n=(F.sum, _plus), ids=(F.sum, _plus))
+
+
+def _allowed(edges: DataFrame, busy: DataFrame) -> DataFrame:
+    """Another's work in progress is not folded by this run; its own postings are."""
+    own = edges.filter("folded = job_id")
+    return own.unionByName(edges.filter("folded <> job_id").join(busy.withColumnRenamed("job_id", "folded"), "folded", "left_anti"))
+
+
+def _fates(decided: DataFrame) -> DataFrame:
+    """(job_id, died, into, matched_by): the first turn at which each job is folded."""
+    return (
+        decided.groupBy(F.col("folded").alias("job_id"))
+        .agg(F.min(F.struct(F.col("turn").alias("died"), "into", "matched_by")).alias("_d"))
+        .select("job_id", "_d.*")
+    )
+
+
+def _guessed(asked: DataFrame, holders: DataFrame, titles: DataFrame, busy: DataFrame, width: int) -> DataFrame:
+    """The fates if every key stood alone: a chain of postings with one key is folded into
+    the lowest id so far. The rounds start from here and put right what is not so."""
+    none = F.lit(None).cast("long").alias("asker")
+    old = F.col("since") == 0
+    named = titles.select("job_id", "old_title", "new_title")
+    stored = holders.filter(old).join(named, "job_id", "left")
+    turns = asked.join(holders, [*KEY, "job_id"]).join(named, "job_id", "left")
+    shape = lambda rows, turn, n, title, asker, own: rows.select(
+        *KEY, turn.alias("turn"), n.cast("long").alias("n"), F.col("job_id").alias("low"), title.alias("first"), title.alias("last"),
+        asker, title.alias("title"), own.alias("own"),
+    )
+    events = shape(stored, F.lit(0).cast("long"), F.lit(1), F.col("old_title"), none, F.lit(True)).unionByName(
+        shape(turns, F.col("turn"), F.lit(0), F.col("new_title"), F.col("job_id").alias("asker"), old)
     )
+    seen = _running(
+        cut_lineage(events), ["turn"], width, n=(F.sum, _plus), low=(F.min, F.least), first=(F.min, F.least), last=(F.max, F.greatest)
+    ).withColumnRenamed("asker", "job_id")
+    alone = (F.col("low") != F.col("job_id")) & ((F.col("n") < 2) | ((F.col("n") == 2) & F.col("own")))
+    agreed = (F.col("first") == F.col("title")) & (F.col("last") == F.col("title"))
+    found = seen.groupBy("job_id", "turn").agg(
+        F.max(F.when((F.col("kind") == "requisition") & alone & agreed, F.col("low"))).alias("by_req"),
+        F.max(F.when((F.col("kind") == "fingerprint") & alone, F.col("low"))).alias("by_print"),
+    )
+    matched = found.withColumn("match", F.coalesce("by_req", "by_print")).filter("match is not null")
+    edges = matched.select(
+        "job_id", "turn", F.greatest("job_id", "match").alias("folded"), F.least("job_id", "match").alias("into"),
+        F.when(F.col("by_req").isNotNull(), "requisition").otherwise("fingerprint").alias("matched_by"),
+    )
+    return _fates(_allowed(edges, busy))
 
 
 def _decided(affected: DataFrame, holders: DataFrame, deaths: DataFrame, titles: DataFrame, busy: DataFrame, width: int) -> DataFrame:
@@ -87,21 +143,20 @@ def _decided(affected: DataFrame, holders: DataFrame, deaths: DataFrame, titles:
     held = holders.join(asked.select(*KEY).distinct(), KEY, "left_semi").join(deaths.select("job_id", "died"), "job_id", "left")
     # A posting that is folded before its turn never stores its content.
     held = held.filter((F.col("since") == 0) | F.col("died").isNull() | (F.col("died") >= F.col("since")))
-    number = lambda c: F.col(c).cast("decimal(38,0)")
+    number = F.col("job_id").cast("decimal(38,0)")
     none = F.lit(None).cast("long").alias("asker")
-    births = held.groupBy(*KEY, F.col("since").alias("turn")).agg(F.count("*").alias("n"), F.sum(number("job_id")).alias("ids"))
-    ends = held.filter("died is not null").groupBy(*KEY, F.col("died").alias("turn")).agg(
-        F.count("*").alias("n"), F.sum(number("job_id")).alias("ids")
+    event = lambda turn, phase, n, ids: F.struct(
+        F.col(turn).alias("turn"), F.lit(phase).alias("phase"), F.lit(n).alias("n"), ids.cast("decimal(38,0)").alias("ids")
     )
+    both = held.select(*KEY, F.explode(F.array(event("since", 0, 1, number), event("died", 2, -1, -number))).alias("_e"))
+    stays = both.select(*KEY, "_e.*").filter("phase = 0 or turn is not null").groupBy(*KEY, "turn", "phase")
+    stays = stays.agg(F.sum("n").cast("long").alias("n"), F.sum("ids").cast("decimal(38,0)").alias("ids"))
     turns = asked.join(deaths.select("job_id", "died"), "job_id", "left").filter("died is null or died >= turn")
-    shape = lambda rows, phase, n, ids, asker: rows.select(
-        *KEY, "turn", F.lit(phase).alias("phase"), n.cast("long").alias("n"), ids.cast("decimal(38,0)").alias("ids"), asker
-    )
-    events = (
-        shape(births, 0, F.col("n"), F.col("ids"), none)
-        .unionByName(shape(ends, 2, -F.col("n"), -F.col("ids"), none))
-        .unionByName(shape(turns, 1, F.lit(0), F.lit(0), F.col("job_id").alias("asker")))
+    turns = turns.select(
+        *KEY, "turn", F.lit(1).alias("phase"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("decimal(38,0)").alias("ids"), F.col("job_id").alias("asker")
     )
+    # Events are read twice: once as they are and once as totals of slices.
+    events = cut_lineage(stays.withColumn("asker", none).unionByName(turns))
     seen = _state(events, width).withColumnRenamed("asker", "job_id")
     # The asker itself holds the key by now.
     only = F.when(F.col("n") == 2, (F.col("ids") - F.col("job_id")).cast("long"))
@@ -127,9 +182,7 @@ def _decided(affected: DataFrame, holders: DataFrame, deaths: DataFrame, titles:
     edges = matched.select(
         "job_id", "turn", F.greatest("job_id", "match").alias("folded"), F.least("job_id", "match").alias("into"), "matched_by"
     )
-    # Another's work in progress is not folded by this run; its own postings are.
-    own = edges.filter("folded = job_id")
-    return own.unionByName(edges.filter("folded <> job_id").join(busy.withColumnRenamed("job_id", "folded"), "folded", "left_anti"))
+    return _allowed(edges, busy)
 
 
 def fold_run(jobs: DataFrame, contents: DataFrame, arrivals: DataFrame, index: DataFrame | None = None, width: int = WIDTH) -> DataFrame:
@@ -144,7 +197,7 @@ def fold_run(jobs: DataFrame, contents: DataFrame, arrivals: DataFrame, index: D
     agrees with none; jobs in progress that are not among the arrivals are never folded.
     *index* is :func:`key_index` of the tables, made if it is not given; it is read for the
     keys of the arrivals only. Rounds are as many as the longest chain of turns that depend
-    on each other.
+    on each other across keys, where the keys' own chains do not foretell them.
     """
     index = key_index(jobs, contents) if index is None else index
     title = comparable_title("title")
@@ -161,18 +214,15 @@ def fold_run(jobs: DataFrame, contents: DataFrame, arrivals: DataFrame, index: D
         .join(arrived.select("job_id", "new_title", "turn"), "job_id", "full")
     )
     busy = jobs.filter("status = 'in_progress'").select(F.col("id").alias("job_id")).join(arrived, "job_id", "left_anti")
-    deaths = arrived.select("job_id", F.col("turn").alias("died"), F.col("job_id").alias("into"), F.lit("").alias("matched_by")).filter("false")
+    # Whatever the rounds start from, they end in the same fates: those of turn 1 hang on none.
+    deaths = cut_lineage(_guessed(asked, holders, titles, busy, width))
     decided, affected = None, arrived
     while True:
         new = _decided(affected, holders, deaths, titles, busy, width)
         if decided is not None:
             new = decided.join(affected.select("job_id"), "job_id", "left_anti").unionByName(new)
         decided = cut_lineage(new)
-        after = cut_lineage(
-            decided.groupBy(F.col("folded").alias("job_id"))
-            .agg(F.min(F.struct(F.col("turn").alias("died"), "into", "matched_by")).alias("_d"))
-            .select("job_id", "_d.*")
-        )
+        after = cut_lineage(_fates(decided))
         # Fates that differ stand once among both; equal ones twice.
         changed = cut_lineage(
             after.unionByName(deaths).groupBy("job_id", "died", "into", "matched_by").agg(F.count("*").alias("n")).filter("n = 1").select("job_id").distinct()
