@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +11,11 @@ from pyspark.sql import functions as F
 
 from vacantia import schemas as S
 
+#: Rows a task counts: few while the shuffle needs no sort (up to 200 partitions), else more.
+ROWS, MORE_ROWS, UNSORTED = 300_000, 1_200_000, 200
+#: Tasks that a hot key's rows are shared among, by the partition they are read in.
+SALTS = 16
+
 # table -> (column, allowed values); null is allowed where the column may be null.
 CODES = {
     "jobs": {"status": S.JOB_STATUSES, "next_phase": S.PHASES},
@@ -82,9 +89,27 @@ def _rows(df: DataFrame, table: str, rule: Column | str, key: Column) -> DataFra
     return df.select(F.lit(table).alias("table"), rule.alias("rule"), key.cast("string").alias("key"))
 
 
+def _parts(rows: int) -> int:
+    return max(1, min(math.ceil(rows / ROWS), UNSORTED), math.ceil(rows / MORE_ROWS))
+
+
+def repeated(df: DataFrame, columns: Sequence[str], parts: int) -> DataFrame:
+    """Keys that stand more than once, counted in two steps by *parts* tasks each.
+
+    Keys are nearly all different, so counting them where they are read saves nothing and
+    holds every key of a large split; and small shuffles of such keys are put together to
+    many millions in a task. Here the rows of a task are given by *parts*.
+    """
+    salted = df.select(*columns, (F.spark_partition_id() % SALTS).alias("_salt"))
+    salted = salted.repartition(parts, *columns, "_salt").groupBy(*columns, "_salt").agg(F.count("*").alias("_n"))
+    whole = salted.select(*columns, "_n").repartition(parts, *columns).groupBy(*columns)
+    return whole.agg(F.sum("_n").alias("_n")).filter("_n > 1")
+
+
 def violations(tables: dict[str, DataFrame]) -> DataFrame:
     """All violations of the given tables: table, rule, key. Checks whose parent table is
-    not given are left out. Row rules of a table share one scan."""
+    not given are left out. Row rules of a table share one scan; its rows are counted once
+    to share out keys that should be unique."""
     found = []
     for name, df in tables.items():
         key = F.col("slug" if "slug" in df.columns else "id") if {"slug", "id"} & set(df.columns) else F.col(df.columns[0])
@@ -100,18 +125,20 @@ def violations(tables: dict[str, DataFrame]) -> DataFrame:
         if broken:
             flagged = df.select(key.alias("_k"), F.explode(F.array_compact(F.array(*broken))).alias("_r"))
             found.append(_rows(flagged, name, F.col("_r"), F.col("_k")))
-        for columns in UNIQUE.get(name, ()):
-            if set(columns) <= set(df.columns):
-                twice = df.groupBy(*columns).agg(F.count("*").alias("_n")).filter("_n > 1")
-                found.append(
-                    _rows(twice, name, f"unique({', '.join(columns)})", F.concat_ws("|", *columns))
-                )
+        unique = [columns for columns in UNIQUE.get(name, ()) if set(columns) <= set(df.columns)]
+        parts = _parts(df.count()) if unique else 1
+        for columns in unique:
+            twice = repeated(df, columns, parts)
+            found.append(
+                _rows(twice, name, f"unique({', '.join(columns)})", F.concat_ws("|", *columns))
+            )
         for columns, parent, parent_columns in REFERENCES.get(name, ()):
             if parent in tables and set(columns) <= set(df.columns):
                 known = tables[parent].select(
                     *[F.col(p).alias(c) for c, p in zip(columns, parent_columns)]
-                ).distinct()
-                orphans = df.dropna(subset=list(columns)).join(known, list(columns), "left_anti")
+                )
+                # Only parent keys are held, each once; rows pass by without a sort.
+                orphans = df.dropna(subset=list(columns)).join(known.hint("shuffle_hash"), list(columns), "left_anti")
                 found.append(_rows(orphans, name, f"reference({', '.join(columns)})", key))
         if name in ("job_decisions", "job_results"):
             many = df.filter("is_current").groupBy("job_id").agg(F.count("*").alias("_n")).filter("_n > 1")
