@@ -64,20 +64,20 @@ def grown_index(index: DataFrame, jobs: DataFrame, arrivals: DataFrame, merges:
 def _running(events: DataFrame, order: list[str], width: int, **values: tuple) -> DataFrame:
     """Each question with its *values* over the events of its key before it in the order of turns.
 
-    A value is a column's aggregate and how two of them are put together. Aggregates run
+    A value is a column, its aggregate and how two of them are put together. Aggregates run
     within (key, slice of turns) and over the totals of earlier slices.
     """
     sliced = events.withColumn("_slice", F.expr(f"turn div {width}"))
     inner = Window.partitionBy(*KEY, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     outer = Window.partitionBy(*KEY).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    totals = sliced.groupBy(*KEY, "_slice").agg(*[agg(c).alias(c) for c, (agg, _) in values.items()])
-    before = totals.select(*KEY, "_slice", *[agg(c).over(outer).alias(f"_{c}0") for c, (agg, _) in values.items()])
-    asked = [c for c in events.columns if c not in (*KEY, *order, *values)]
-    running = sliced.select(*KEY, "_slice", "turn", *asked, *[agg(c).over(inner).alias(f"_{c}") for c, (agg, _) in values.items()])
+    totals = sliced.groupBy(*KEY, "_slice").agg(*[agg(c).alias(v) for v, (c, agg, _) in values.items()])
+    before = totals.select(*KEY, "_slice", *[agg(v).over(outer).alias(f"_{v}0") for v, (_, agg, _) in values.items()])
+    asked = [c for c in events.columns if c not in KEY and c not in values]
+    running = sliced.select(*KEY, "_slice", *asked, *[agg(c).over(inner).alias(f"_{v}") for v, (c, agg, _) in values.items()])
     return (
         running.filter("asker is not null")
         .join(before, [*KEY, "_slice"])
-        .select(*KEY, "turn", *asked, *[both(F.col(f"_{c}0"), F.col(f"_{c}")).alias(c) for c, (_, both) in values.items()])
+        .select(*KEY, *asked, *[both(F.col(f"_{v}0"), F.col(f"_{v}")).alias(v) for v, (_, _, both) in values.items()])
     )
 
 
@@ -87,7 +87,7 @@ def _plus(one: Column, other: Column) -> Column:
 
 def _state(events: DataFrame, width: int) -> DataFrame:
     """(key, asker, n, ids): live holders and the sum of their ids just before each question."""
-    return _running(events, ["turn", "phase"], width, n=(F.sum, _plus), ids=(F.sum, _plus))
+    return _running(events, ["turn", "phase"], width, n=("n", F.sum, _plus), ids=("ids", F.sum, _plus))
 
 
 def _allowed(edges: DataFrame, busy: DataFrame) -> DataFrame:
@@ -105,23 +105,27 @@ def _fates(decided: DataFrame) -> DataFrame:
     )
 
 
-def _guessed(asked: DataFrame, holders: DataFrame, titles: DataFrame, busy: DataFrame, width: int) -> DataFrame:
+def _guessed(holders: DataFrame, titles: DataFrame, busy: DataFrame, width: int) -> DataFrame:
     """The fates if every key stood alone: a chain of postings with one key is folded into
     the lowest id so far. The rounds start from here and put right what is not so."""
-    none = F.lit(None).cast("long").alias("asker")
-    old = F.col("since") == 0
-    named = titles.select("job_id", "old_title", "new_title")
-    stored = holders.filter(old).join(named, "job_id", "left")
-    turns = asked.join(holders, [*KEY, "job_id"]).join(named, "job_id", "left")
-    shape = lambda rows, turn, n, title, asker, own: rows.select(
-        *KEY, turn.alias("turn"), n.cast("long").alias("n"), F.col("job_id").alias("low"), title.alias("first"), title.alias("last"),
-        asker, title.alias("title"), own.alias("own"),
+    none = F.lit(None).cast("long")
+    event = lambda turn, n, title, asker: F.struct(
+        turn.alias("turn"), F.lit(n).cast("long").alias("n"), F.when(F.col("kind") == "requisition", title).alias("title"), asker.alias("asker")
     )
-    events = shape(stored, F.lit(0).cast("long"), F.lit(1), F.col("old_title"), none, F.lit(True)).unionByName(
-        shape(turns, F.col("turn"), F.lit(0), F.col("new_title"), F.col("job_id").alias("asker"), old)
+    stored = F.when(F.col("since") == 0, event(F.col("since"), 1, F.col("old_title"), none))
+    asks = F.when(F.col("asks").isNotNull(), event(F.col("asks"), 0, F.col("new_title"), F.col("job_id")))
+    named = holders.join(titles.select("job_id", "old_title", "new_title"), "job_id", "left")
+    events = named.select(
+        *KEY, F.col("job_id").alias("id"), (F.col("since") == 0).alias("own"), F.explode(F.array_compact(F.array(stored, asks))).alias("_e")
     )
     seen = _running(
-        cut_lineage(events), ["turn"], width, n=(F.sum, _plus), low=(F.min, F.least), first=(F.min, F.least), last=(F.max, F.greatest)
+        cut_lineage(events.select(*KEY, "id", "own", "_e.*")),
+        ["turn"],
+        width,
+        n=("n", F.sum, _plus),
+        low=("id", F.min, F.least),
+        first=("title", F.min, F.least),
+        last=("title", F.max, F.greatest),
     ).withColumnRenamed("asker", "job_id")
     alone = (F.col("low") != F.col("job_id")) & ((F.col("n") < 2) | ((F.col("n") == 2) & F.col("own")))
     agreed = (F.col("first") == F.col("title")) & (F.col("last") == F.col("title"))
@@ -204,9 +208,11 @@ def fold_run(jobs: DataFrame, contents: DataFrame, arrivals: DataFrame, index: D
     given = arrivals.select("job_id", "requisition_id", "fingerprint", F.col("turn").cast("long").alias("turn"), title.alias("new_title"))
     arrived = cut_lineage(given.join(_live(jobs), "job_id"))
     asked = _keys(arrived, "company_slug", "job_id", "turn")
-    known = index.join(asked.select(*KEY).distinct(), KEY, "left_semi").select(*KEY, "job_id", F.lit(0).cast("long").alias("since"))
-    holders = known.unionByName(asked.select(*KEY, "job_id", F.col("turn").alias("since")))
-    holders = cut_lineage(holders.groupBy(*KEY, "job_id").agg(F.min("since").alias("since")))
+    known = index.join(asked.select(*KEY).distinct(), KEY, "left_semi").select(
+        *KEY, "job_id", F.lit(0).cast("long").alias("since"), F.lit(None).cast("long").alias("asks")
+    )
+    holders = known.unionByName(asked.select(*KEY, "job_id", F.col("turn").alias("since"), F.col("turn").alias("asks")))
+    holders = cut_lineage(holders.groupBy(*KEY, "job_id").agg(F.min("since").alias("since"), F.max("asks").alias("asks")))
     named = contents.select("id", "job_id", "title").join(holders.select("job_id").distinct(), "job_id", "left_semi")
     titles = cut_lineage(
         latest_titles(named)
@@ -215,7 +221,7 @@ def fold_run(jobs: DataFrame, contents: DataFrame, arrivals: DataFrame, index: D
     )
     busy = jobs.filter("status = 'in_progress'").select(F.col("id").alias("job_id")).join(arrived, "job_id", "left_anti")
     # Whatever the rounds start from, they end in the same fates: those of turn 1 hang on none.
-    deaths = cut_lineage(_guessed(asked, holders, titles, busy, width))
+    deaths = cut_lineage(_guessed(holders, titles, busy, width))
     decided, affected = None, arrived
     while True:
         new = _decided(affected, holders, deaths, titles, busy, width)
