@@ -202,3 +202,20 @@ def test_ipv6_hosts(spark):
         return not v.is_global or v.is_reserved or v.is_multicast or v.is_link_local or getattr(v, "is_site_local", False)
 
     assert got == {h: unsafe(h) for h in hosts}
+
+
+def test_texts_without_words(spark, tmp_path):
+    """The query counts them as one empty word, as its check SQL does; the operator gives no spans."""
+    import duckdb
+
+    from vacantia.workloads import CHECKS, QUERIES
+
+    texts = ["One two", "", "... --\n", None, "_", "x"]
+    rows = [(i, text, "en", "a", len(text or "")) for i, text in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(tuple, QUERIES["word_spans"](spark, str(tmp_path)).collect()))
+    assert got == [(0, 2, "one"), (1, 1, ""), (2, 1, ""), (3, None, None), (4, 1, ""), (5, 1, "x")]
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        assert got == sorted(con.execute(CHECKS["word_spans"]).fetchall())
+    assert one(spark, tx.word_spans("t"), t="... --\n") == []

@@ -94,8 +94,12 @@ def word_counts(t):
 )
 def word_spans(t):
     spanned = t.documents.select("doc_id", tx.word_spans("text").alias("s"))
+    # A text without words counts as one empty word, as in the check SQL and in word_counts.
+    none = F.size("s") == 0
     return spanned.select(
-        "doc_id", F.size("s").cast("long").alias("spans"), F.col("s")[0]["word"].alias("first_word")
+        "doc_id",
+        F.when(none, 1).otherwise(F.size("s")).cast("long").alias("spans"),
+        F.when(none, "").otherwise(F.get("s", F.lit(0))["word"]).alias("first_word"),
     )
 
 
