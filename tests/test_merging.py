@@ -147,3 +147,44 @@ def test_registered_query(spark):
         want += [(*m[:3], run) for m in plain.run(rows)]
     got = [(r.job_id, r.canonical_id, r.matched_by, r.run) for r in QUERIES["merges_of_two_runs"](spark, folder).collect()]
     assert sorted(got, key=str) == sorted(want, key=str) and want
+
+
+def test_chain_that_loses_its_first(spark, monkeypatch):
+    """30 copies whose first holder is folded by its requisition: the second stays, the others are folded into it."""
+    jobs = [(j, "a", "new") for j in range(1, 101)]
+    plain = OneByOne(jobs, [])
+    arrivals = [(1, "r", "T", "p", 1), (2, "r", "T", "q", 2), (3, "r", "U", "s", 3)]
+    arrivals += [(j, f"u{j}", "T", "q", j) for j in range(4, 34)]
+    rounds, decided = [], merging._decided
+    monkeypatch.setattr(merging, "_decided", lambda *a: rounds.append(1) or decided(*a))
+    given_jobs, given = tables(spark, plain)
+    merges = found(merging.fold_run(given_jobs, given, spark.createDataFrame(arrivals, ARRIVAL), width=10))
+    assert merges == plain.run(arrivals) and len(merges) == 30
+    assert len(rounds) <= 4
+
+
+def test_rounds_release_their_plans(spark, monkeypatch):
+    """The driver keeps no plans of earlier rounds: proxies of their JVM objects go with each round."""
+    import gc
+
+    from py4j.java_gateway import JavaObject
+
+    jobs = [(j, "a", "new") for j in range(1, 9)]
+    plain = OneByOne(jobs, [])
+    # A chain across keys takes a round for each link.
+    arrivals = [(j, f"c{j // 2}", "T", f"d{(j + 1) // 2}", j) for j in range(1, 9)]
+    kept, decided = [], merging._decided
+
+    def counted(*a):
+        gc.disable()
+        kept.append(sum(isinstance(o, JavaObject) for o in gc.get_objects()))
+        return decided(*a)
+
+    monkeypatch.setattr(merging, "_decided", counted)
+    given_jobs, given = tables(spark, plain)
+    try:
+        merges = found(merging.fold_run(given_jobs, given, spark.createDataFrame(arrivals, ARRIVAL), width=10))
+    finally:
+        gc.enable()
+    assert merges == plain.run(arrivals)
+    assert len(kept) > 3 and kept[-1] <= kept[2] + 20

@@ -9,11 +9,14 @@ and deaths of its holders in the order of turns as running sums. The number of l
 and the sum of their ids tell whether there is exactly one other, and which: no key's holders
 are ever listed or paired. Later rounds replay only the keys of jobs whose fate has changed.
 The first round starts from the fates that every key would give by itself, so that a long
-chain of postings with one key takes one round and not one for each of them.
+chain of postings with one key takes one round and not one for each of them. Later
+rounds do the same for postings that were expected to meet another one and met none.
 """
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,10 +93,14 @@ def _state(events: DataFrame, width: int) -> DataFrame:
     return _running(events, ["turn", "phase"], width, n=("n", F.sum, _plus), ids=("ids", F.sum, _plus))
 
 
-def _allowed(edges: DataFrame, busy: DataFrame) -> DataFrame:
-    """Another's work in progress is not folded by this run; its own postings are."""
-    own = edges.filter("folded = job_id")
-    return own.unionByName(edges.filter("folded <> job_id").join(busy.withColumnRenamed("job_id", "folded"), "folded", "left_anti"))
+def _edges(matches: DataFrame) -> DataFrame:
+    """(job_id, turn, folded, into, matched_by) of postings and their matches.
+
+    Another's work in progress is not folded by this run; its own postings are.
+    """
+    return matches.select(
+        "job_id", "turn", F.greatest("job_id", "match").alias("folded"), F.least("job_id", "match").alias("into"), "matched_by", "busy"
+    ).filter("folded = job_id or not busy").drop("busy")
 
 
 def _fates(decided: DataFrame) -> DataFrame:
@@ -105,8 +112,8 @@ def _fates(decided: DataFrame) -> DataFrame:
     )
 
 
-def _guessed(holders: DataFrame, titles: DataFrame, busy: DataFrame, width: int) -> DataFrame:
-    """The fates if every key stood alone: a chain of postings with one key is folded into
+def _guessed(holders: DataFrame, facts: DataFrame, width: int) -> DataFrame:
+    """The edges if every key stood alone: a chain of postings with one key is folded into
     the lowest id so far. The rounds start from here and put right what is not so."""
     none = F.lit(None).cast("long")
     event = lambda turn, n, title, asker: F.struct(
@@ -114,7 +121,7 @@ def _guessed(holders: DataFrame, titles: DataFrame, busy: DataFrame, width: int)
     )
     stored = F.when(F.col("since") == 0, event(F.col("since"), 1, F.col("old_title"), none))
     asks = F.when(F.col("asks").isNotNull(), event(F.col("asks"), 0, F.col("new_title"), F.col("job_id")))
-    named = holders.join(titles.select("job_id", "old_title", "new_title"), "job_id", "left")
+    named = holders.join(facts.select("job_id", "old_title", "new_title"), "job_id")
     events = named.select(
         *KEY, F.col("job_id").alias("id"), (F.col("since") == 0).alias("own"), F.explode(F.array_compact(F.array(stored, asks))).alias("_e")
     )
@@ -129,20 +136,17 @@ def _guessed(holders: DataFrame, titles: DataFrame, busy: DataFrame, width: int)
     ).withColumnRenamed("asker", "job_id")
     alone = (F.col("low") != F.col("job_id")) & ((F.col("n") < 2) | ((F.col("n") == 2) & F.col("own")))
     agreed = (F.col("first") == F.col("title")) & (F.col("last") == F.col("title"))
-    found = seen.groupBy("job_id", "turn").agg(
-        F.max(F.when((F.col("kind") == "requisition") & alone & agreed, F.col("low"))).alias("by_req"),
-        F.max(F.when((F.col("kind") == "fingerprint") & alone, F.col("low"))).alias("by_print"),
-    )
-    matched = found.withColumn("match", F.coalesce("by_req", "by_print")).filter("match is not null")
-    edges = matched.select(
-        "job_id", "turn", F.greatest("job_id", "match").alias("folded"), F.least("job_id", "match").alias("into"),
-        F.when(F.col("by_req").isNotNull(), "requisition").otherwise("fingerprint").alias("matched_by"),
-    )
-    return _fates(_allowed(edges, busy))
+    found = seen.filter(alone & (agreed | (F.col("kind") == "fingerprint"))).groupBy("job_id", "turn")
+    # By name a requisition comes after a fingerprint, so the maximum is the one that counts.
+    best = found.agg(F.max(F.struct(F.col("kind").alias("matched_by"), F.col("low").alias("match"))).alias("_b")).select("job_id", "turn", "_b.*")
+    return _edges(best.join(facts.select(F.col("job_id").alias("match"), "busy"), "match"))
+
 
+def _decided(affected: DataFrame, holders: DataFrame, deaths: DataFrame, facts: DataFrame, width: int) -> DataFrame:
+    """(job_id, turn, folded, into, matched_by) of each affected posting, given when jobs are folded.
 
-def _decided(affected: DataFrame, holders: DataFrame, deaths: DataFrame, titles: DataFrame, busy: DataFrame, width: int) -> DataFrame:
-    """(job_id, turn, folded, into, matched_by) of each affected posting, given when jobs are folded."""
+    A posting that meets nobody by a key has a row with that key's kind in *alone* and no *folded*.
+    """
     asked = _keys(affected, "company_slug", "job_id", "turn")
     held = holders.join(asked.select(*KEY).distinct(), KEY, "left_semi").join(deaths.select("job_id", "died"), "job_id", "left")
     # A posting that is folded before its turn never stores its content.
@@ -163,30 +167,24 @@ def _decided(affected: DataFrame, holders: DataFrame, deaths: DataFrame, titles:
     events = cut_lineage(stays.withColumn("asker", none).unionByName(turns))
     seen = _state(events, width).withColumnRenamed("asker", "job_id")
     # The asker itself holds the key by now.
-    only = F.when(F.col("n") == 2, (F.col("ids") - F.col("job_id")).cast("long"))
-    found = seen.groupBy("job_id").agg(
-        F.max(F.when(F.col("kind") == "requisition", only)).alias("by_req"),
-        F.max(F.when(F.col("kind") == "fingerprint", only)).alias("by_print"),
-    )
-    fate = deaths.select(F.col("job_id").alias("by_req"), F.col("died").alias("_other_died"))
-    others = titles.select(
-        F.col("job_id").alias("by_req"), F.col("old_title").alias("_old"), F.col("new_title").alias("_new"), F.col("turn").alias("_other_turn")
-    )
-    turned = (F.col("_other_turn") < F.col("turn")) & (F.col("_other_died").isNull() | (F.col("_other_died") >= F.col("_other_turn")))
-    other_title = F.when(F.coalesce(turned, F.lit(False)), F.col("_new")).otherwise(F.col("_old"))
-    agreed = F.when(F.col("new_title") == other_title, F.col("by_req"))
-    matched = (
-        found.join(affected.select("job_id", "turn", "new_title"), "job_id")
-        .join(others, "by_req", "left")
-        .join(fate, "by_req", "left")
-        .withColumn("match", F.coalesce(agreed, F.col("by_print")))
-        .withColumn("matched_by", F.when(agreed.isNotNull(), "requisition").otherwise("fingerprint"))
-        .filter("match is not null")
-    )
-    edges = matched.select(
-        "job_id", "turn", F.greatest("job_id", "match").alias("folded"), F.least("job_id", "match").alias("into"), "matched_by"
-    )
-    return _allowed(edges, busy)
+    none = F.lit(None).cast("long")
+    alone = seen.filter("n = 1").select("job_id", "turn", none.alias("folded"), none.alias("into"), F.lit(None).cast("string").alias("matched_by"), F.col("kind").alias("alone"))
+    only = seen.filter("n = 2").select("job_id", F.col("turn").alias("asked"), "kind", (F.col("ids") - F.col("job_id")).cast("long").alias("match"))
+    asker = affected.select("job_id", F.col("new_title").alias("title"))
+    other = facts.withColumnRenamed("job_id", "match").join(deaths.select(F.col("job_id").alias("match"), "died"), "match", "left")
+    turned = (F.col("turn") < F.col("asked")) & (F.col("died").isNull() | (F.col("died") >= F.col("turn")))
+    other_title = F.when(F.coalesce(turned, F.lit(False)), F.col("new_title")).otherwise(F.col("old_title"))
+    agreed = (F.col("kind") == "fingerprint") | (F.col("title") == other_title)
+    found = only.join(asker, "job_id").join(other, "match").filter(agreed).groupBy("job_id", F.col("asked").alias("turn"))
+    # By name a requisition comes after a fingerprint, so the maximum is the one that counts.
+    best = found.agg(F.max(F.struct(F.col("kind").alias("matched_by"), "match", "busy")).alias("_b"))
+    return _edges(best.select("job_id", "turn", "_b.*")).withColumn("alone", F.lit(None).cast("string")).unionByName(alone)
+
+
+def _changed(after: DataFrame, before: DataFrame) -> DataFrame:
+    """The jobs whose fates differ: these stand once among both, equal ones twice."""
+    each = after.unionByName(before).groupBy("job_id", "died", "into", "matched_by").agg(F.count("*").alias("n"))
+    return each.filter("n = 1").select("job_id").distinct()
 
 
 def fold_run(jobs: DataFrame, contents: DataFrame, arrivals: DataFrame, index: DataFrame | None = None, width: int = WIDTH) -> DataFrame:
@@ -213,29 +211,40 @@ def fold_run(jobs: DataFrame, contents: DataFrame, arrivals: DataFrame, index: D
     )
     holders = known.unionByName(asked.select(*KEY, "job_id", F.col("turn").alias("since"), F.col("turn").alias("asks")))
     holders = cut_lineage(holders.groupBy(*KEY, "job_id").agg(F.min("since").alias("since"), F.max("asks").alias("asks")))
-    named = contents.select("id", "job_id", "title").join(holders.select("job_id").distinct(), "job_id", "left_semi")
-    titles = cut_lineage(
-        latest_titles(named)
-        .withColumnRenamed("latest_title", "old_title")
-        .join(arrived.select("job_id", "new_title", "turn"), "job_id", "full")
+    ids = holders.select("job_id").distinct()
+    named = contents.select("id", "job_id", "title").join(ids, "job_id", "left_semi")
+    busy = jobs.filter("status = 'in_progress'").select(F.col("id").alias("job_id")).distinct().join(arrived, "job_id", "left_anti")
+    # What every round asks of a job, put together once.
+    facts = cut_lineage(
+        ids.join(latest_titles(named).withColumnRenamed("latest_title", "old_title"), "job_id", "left")
+        .join(arrived.select("job_id", "new_title", "turn"), "job_id", "left")
+        .join(busy.withColumn("busy", F.lit(True)), "job_id", "left")
+        .withColumn("busy", F.col("busy").isNotNull())
     )
-    busy = jobs.filter("status = 'in_progress'").select(F.col("id").alias("job_id")).join(arrived, "job_id", "left_anti")
     # Whatever the rounds start from, they end in the same fates: those of turn 1 hang on none.
-    deaths = cut_lineage(_guessed(holders, titles, busy, width))
+    edges = cut_lineage(_guessed(holders, facts, width))
+    deaths = cut_lineage(_fates(edges))
     decided, affected = None, arrived
     while True:
-        new = _decided(affected, holders, deaths, titles, busy, width)
+        new = _decided(affected, holders, deaths, facts, width)
         if decided is not None:
             new = decided.join(affected.select("job_id"), "job_id", "left_anti").unionByName(new)
         decided = cut_lineage(new)
-        after = cut_lineage(_fates(decided))
-        # Fates that differ stand once among both; equal ones twice.
-        changed = cut_lineage(
-            after.unionByName(deaths).groupBy("job_id", "died", "into", "matched_by").agg(F.count("*").alias("n")).filter("n = 1").select("job_id").distinct()
-        )
-        deaths = after
-        if not changed.limit(1).count():
-            return deaths.select("job_id", F.col("into").alias("canonical_id"), "matched_by", F.col("died").alias("turn"))
-        keys = holders.join(changed, "job_id", "left_semi").select(*KEY).distinct()
+        found = decided.filter("folded is not null").drop("alone")
+        after = cut_lineage(_fates(found))
+        if _changed(after, deaths).isEmpty():
+            return after.select("job_id", F.col("into").alias("canonical_id"), "matched_by", F.col("died").alias("turn"))
+        # Postings that were to meet another one by a key and met nobody: by themselves they
+        # are a chain again, of which the first one stays. Only turns after it are foretold.
+        lost = edges.join(found.select("job_id"), "job_id", "left_anti").select("job_id", F.col("matched_by").alias("kind"))
+        lost = lost.join(decided.select("job_id", F.col("alone").alias("kind")), ["job_id", "kind"], "left_semi")
+        chained = holders.join(lost, ["job_id", "kind"], "left_semi").withColumn("since", F.col("asks"))
+        edges = cut_lineage(found.unionByName(_guessed(chained, facts, width)))
+        expected = cut_lineage(_fates(edges))
+        keys = holders.join(_changed(expected, deaths), "job_id", "left_semi").select(*KEY).distinct()
         again = asked.join(keys, KEY, "left_semi").select("job_id").distinct()
         affected = cut_lineage(arrived.join(again, "job_id", "left_semi"))
+        deaths = expected
+        # Proxies of JVM objects stand in reference cycles, which Python seldom looks for; until
+        # then the driver keeps the plans of all earlier rounds.
+        gc.collect()
