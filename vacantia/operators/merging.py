@@ -165,7 +165,8 @@ def _decided(affected: DataFrame, holders: DataFrame, deaths: DataFrame, facts:
     )
     # Events are read twice: once as they are and once as totals of slices.
     events = cut_lineage(stays.withColumn("asker", none).unionByName(turns))
-    seen = _state(events, width).withColumnRenamed("asker", "job_id")
+    # Who meets nobody and who meets one are asked of the same rows: a large part is never summed twice.
+    seen = cut_lineage(_state(events, width).filter("n <= 2").withColumnRenamed("asker", "job_id"))
     # The asker itself holds the key by now.
     none = F.lit(None).cast("long")
     alone = seen.filter("n = 1").select("job_id", "turn", none.alias("folded"), none.alias("into"), F.lit(None).cast("string").alias("matched_by"), F.col("kind").alias("alone"))
